@@ -62,11 +62,15 @@ def with_counts(rows: DataFrame) -> DataFrame:
     subscriber = Window.partitionBy("msisdn")
     group = Window.partitionBy(*GROUP)
     status = F.col("system_status")
-    counted = rows.select(
+    # The finer window first: its sort serves the coarser one as well.
+    grouped = rows.select(
         "*",
         F.count(F.when(status.isin(ACTIVE, SUSPEND, IDLE), 1)).over(group).alias("group_live"),
         F.count(F.when(status == ACTIVE, 1)).over(group).alias("group_active"),
         F.count(F.when(status == IDLE, 1)).over(group).alias("group_idle"),
+    )
+    counted = grouped.select(
+        "*",
         F.count("*").over(subscriber).alias("n_rows"),
         F.count(F.when(status == DEACTIVE, 1)).over(subscriber).alias("n_deactive"),
         F.count(F.when(status == ACTIVE, 1)).over(subscriber).alias("n_active"),

@@ -2,13 +2,18 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from telmart.functions.labels import NOT_AVAILABLE, null_count
+from telmart.functions.labels import NOT_AVAILABLE, null_count, or_not_available
 
 DETAILS = ["imei_tac", "brand_name", "model_name", "os_name", "os_vendor"]
 
 
 def with_null_count(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("no_of_nulls", null_count(raw.columns))
+    """Adds ``no_of_nulls`` over all columns. The key gets its label for null
+    here already, so that its partitioning lasts through to the joins."""
+    return raw.withColumns({
+        "no_of_nulls": null_count(raw.columns),
+        "msisdn": or_not_available(F.col("msisdn")),
+    })
 
 
 def one_per_subscriber(counted: DataFrame) -> DataFrame:

@@ -38,6 +38,16 @@ def clean_files(
     guarded_load(spark, device_table, lambda: device.clean(files.scan_device(spark, device_path)))
 
 
+def stage_revenue(revenue: DataFrame, path: str) -> None:
+    """Revenue as a table by week, so that publishing a week reads that week
+    only. Rebalancing splits a large week over several tasks and files."""
+    revenue.hint("rebalance", "week_number").write.mode("overwrite").partitionBy("week_number").parquet(path)
+
+
+def read_staged_revenue(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.REVENUE).parquet(path).select(*schemas.REVENUE.names)
+
+
 def next_week(spark: SparkSession, progress: str) -> int:
     """The week after the last one that was published."""
     try:
@@ -81,6 +91,8 @@ def replay(
     """Week after week: publish it, then run the enrichment from where its
     checkpoint stands. Ends after the last week that has revenue."""
     topic, facts = f"{folder}/topic", f"{folder}/facts"
+    stage_revenue(revenue, f"{folder}/revenue")
+    revenue = read_staged_revenue(spark, f"{folder}/revenue")
     last = revenue.agg(F.max("week_number")).first()[0]
     while last is not None and next_week(spark, f"{folder}/progress") <= last:
         publish_next_week(
@@ -107,7 +119,7 @@ def create_marts(
     summary = spark.read.parquet(f"{folder}/summary")
     tables = []
     for mart in marts.MARTS:
-        source = summary if set(mart.measures).isdisjoint(_DEVICE_COUNTS) or mart.weekly else activity
+        source = activity if mart.counts_devices else summary
         table = prefix + mart.table
         (
             marts.build(mart, source, as_of)
@@ -119,9 +131,6 @@ def create_marts(
     return tables
 
 
-_DEVICE_COUNTS = {"total_devices", "total_active_devices"}
-
-
 def export_tables(spark: SparkSession, tables: list[str], folder: str) -> None:
     """Each table's own rows as text files, replacing an earlier export."""
     for table in tables:

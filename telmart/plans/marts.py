@@ -27,6 +27,10 @@ class Mart:
     def weekly(self) -> bool:
         return "week_number" in self.keys
 
+    @property
+    def counts_devices(self) -> bool:
+        return _devices in self.measures.values()
+
 
 def _events() -> Column:
     return F.coalesce(F.sum("events"), F.lit(0)).cast("bigint")

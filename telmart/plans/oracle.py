@@ -124,7 +124,8 @@ crm AS (
     mobile_type NULLS LAST, gender NULLS LAST, value_segment NULLS LAST) = 1)"""
 
 _DEVICE = """device_counted AS (
-  SELECT *, CAST(msisdn IS NULL AS INTEGER) + CAST(imei_tac IS NULL AS INTEGER)
+  SELECT coalesce(msisdn, 'Not Available') AS msisdn, imei_tac, brand_name, model_name, os_name, os_vendor,
+         CAST(msisdn IS NULL AS INTEGER) + CAST(imei_tac IS NULL AS INTEGER)
             + CAST(brand_name IS NULL AS INTEGER) + CAST(model_name IS NULL AS INTEGER)
             + CAST(os_name IS NULL AS INTEGER) + CAST(os_vendor IS NULL AS INTEGER) AS no_of_nulls
   FROM device_raw),
@@ -134,7 +135,7 @@ device_first AS (
     PARTITION BY msisdn ORDER BY no_of_nulls, imei_tac NULLS LAST, brand_name NULLS LAST,
     model_name NULLS LAST, os_name NULLS LAST, os_vendor NULLS LAST) = 1),
 device AS (
-  SELECT coalesce(msisdn, 'Not Available') AS msisdn, coalesce(imei_tac, 'Not Available') AS imei_tac,
+  SELECT msisdn, coalesce(imei_tac, 'Not Available') AS imei_tac,
          coalesce(brand_name, 'Not Available') AS brand_name,
          coalesce(model_name, 'Not Available') AS model_name,
          coalesce(os_name, 'Not Available') AS os_name, coalesce(os_vendor, 'Not Available') AS os_vendor

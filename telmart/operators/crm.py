@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from telmart.functions.gender import normalise_gender
 from telmart.functions.labels import or_not_available
 
-ACTIVE, SUSPEND, IDLE, DEACTIVE = "ACTIVE", "SUSPEND", "IDLE", "DEACTIVE"
 GROUP = ["msisdn", "year_of_birth", "mobile_type", "gender"]
 
 
@@ -58,31 +57,29 @@ def dedupe(filled: DataFrame) -> DataFrame:
 def with_counts(rows: DataFrame) -> DataFrame:
     """Adds the row counts that the choice of a survivor rests on, per
     subscriber (n_*) and per birth year, plan type and gender of a
-    subscriber (group_*)."""
-    subscriber = Window.partitionBy("msisdn")
-    group = Window.partitionBy(*GROUP)
-    status = F.col("system_status")
-    # The finer window first: its sort serves the coarser one as well.
-    grouped = rows.select(
-        "*",
-        F.count(F.when(status.isin(ACTIVE, SUSPEND, IDLE), 1)).over(group).alias("group_live"),
-        F.count(F.when(status == ACTIVE, 1)).over(group).alias("group_active"),
-        F.count(F.when(status == IDLE, 1)).over(group).alias("group_idle"),
-    )
-    counted = grouped.select(
-        "*",
-        F.count("*").over(subscriber).alias("n_rows"),
-        F.count(F.when(status == DEACTIVE, 1)).over(subscriber).alias("n_deactive"),
-        F.count(F.when(status == ACTIVE, 1)).over(subscriber).alias("n_active"),
-        F.count(F.when(status == IDLE, 1)).over(subscriber).alias("n_idle"),
-    )
-    alone = (F.col("group_live") == 1) | (F.col("group_live") == F.col("n_rows"))
+    subscriber (group_*). The finer window comes first: its sort serves the
+    coarser one as well."""
+    group = f"OVER (PARTITION BY {', '.join(GROUP)})"
+    subscriber = "OVER (PARTITION BY msisdn)"
     return (
-        counted.withColumn("n_idle", F.when(F.col("n_active") == 0, F.col("n_idle")).otherwise(0))
-        .withColumn("alone", alone)
-        .withColumn(
-            "n_alone_active",
-            F.count(F.when(F.col("alone") & (status == ACTIVE), 1)).over(subscriber),
+        rows.selectExpr(
+            "*",
+            f"count_if(system_status IN ('ACTIVE', 'SUSPEND', 'IDLE')) {group} AS group_live",
+            f"count_if(system_status = 'ACTIVE') {group} AS group_active",
+            f"count_if(system_status = 'IDLE') {group} AS group_idle",
+        )
+        .selectExpr(
+            "*",
+            f"count(*) {subscriber} AS n_rows",
+            f"count_if(system_status = 'DEACTIVE') {subscriber} AS n_deactive",
+            f"count_if(system_status = 'ACTIVE') {subscriber} AS n_active",
+            f"count_if(system_status = 'IDLE') {subscriber} AS all_idle",
+        )
+        .selectExpr(
+            "* EXCEPT (all_idle)",
+            "if(n_active = 0, all_idle, 0) AS n_idle",
+            "group_live IN (1, n_rows) AS alone",
+            f"count_if(group_live IN (1, n_rows) AND system_status = 'ACTIVE') {subscriber} AS n_alone_active",
         )
     )
 
@@ -95,39 +92,23 @@ def survivors(counted: DataFrame) -> DataFrame:
     of its group is a suspended one. Otherwise ACTIVE rows win, first those
     alone in their group, then any; else IDLE rows; else SUSPEND rows.
     """
-    status = F.col("system_status")
-    dropped = (
-        (F.col("n_idle") > 0)
-        & (F.col("group_live") == 1)
-        & (F.col("group_active") == 0)
-        & (F.col("group_idle") == 0)
-    )
-    never_active = F.col("n_active") == 0
-    kept = F.when(F.col("n_deactive") > 0, (status == DEACTIVE) & ~dropped).otherwise(
-        ((status == ACTIVE) & (F.col("alone") | (F.col("n_alone_active") == 0)))
-        | ((status == IDLE) & never_active)
-        | ((status == SUSPEND) & never_active & (F.col("n_idle") == 0))
-    )
-    return counted.filter(kept).select(
-        "msisdn", "gender", "year_of_birth", "system_status", "mobile_type", "value_segment"
-    )
+    return counted.filter("""
+        CASE system_status
+            WHEN 'DEACTIVE' THEN NOT (n_idle > 0 AND group_live = 1 AND group_active = 0 AND group_idle = 0)
+            WHEN 'ACTIVE' THEN n_deactive = 0 AND (alone OR n_alone_active = 0)
+            WHEN 'IDLE' THEN n_deactive = 0 AND n_active = 0
+            WHEN 'SUSPEND' THEN n_deactive = 0 AND n_active = 0 AND n_idle = 0
+        END
+    """).select("msisdn", "gender", "year_of_birth", "system_status", "mobile_type", "value_segment")
 
 
 def one_per_subscriber(rows: DataFrame) -> DataFrame:
     """The first row per subscriber by status; ties go by birth year, plan
     type, gender and tier, unknown plan types and tiers last."""
-    first = Window.partitionBy("msisdn").orderBy(
-        F.asc_nulls_last("system_status"),
-        F.asc_nulls_last("year_of_birth"),
-        F.asc_nulls_last("mobile_type"),
-        F.asc_nulls_last("gender"),
-        F.asc_nulls_last("value_segment"),
-    )
-    return (
-        rows.withColumn("place", F.row_number().over(first))
-        .filter(F.col("place") == 1)
-        .drop("place")
-    )
+    place = """row_number() OVER (PARTITION BY msisdn ORDER BY
+        system_status NULLS LAST, year_of_birth NULLS LAST, mobile_type NULLS LAST,
+        gender NULLS LAST, value_segment NULLS LAST) AS place"""
+    return rows.selectExpr("*", place).filter("place = 1").drop("place")
 
 
 def clean(raw: DataFrame) -> DataFrame:

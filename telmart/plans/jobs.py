@@ -1,6 +1,7 @@
 """The jobs: clean, publish a week, enrich, refresh the reports, export."""
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
@@ -12,6 +13,9 @@ from telmart.sources import files, messages
 from telmart.streaming import enrichment
 
 
+JOBS_AT_ONCE = 8
+
+
 def is_loaded(spark: SparkSession, table: str) -> bool:
     """Whether a table exists and holds a row."""
     return spark.catalog.tableExists(table) and not spark.table(table).isEmpty()
@@ -114,28 +118,33 @@ def create_marts(
 ) -> list[str]:
     """Creates or replaces every report table. All but the device counts are
     built from one written summary, so the facts are read three times, not
-    once per report."""
+    once per report. The reports are small and independent: several run at
+    once."""
     marts.summary(activity).write.mode("overwrite").parquet(f"{folder}/summary")
     summary = spark.read.parquet(f"{folder}/summary")
-    tables = []
-    for mart in marts.MARTS:
+
+    def create(mart: marts.Mart) -> str:
         source = activity if mart.counts_devices else summary
-        table = prefix + mart.table
         (
             marts.build(mart, source, as_of)
             .write.mode("overwrite")
             .option("path", f"{folder}/{mart.table}")
-            .saveAsTable(table)
+            .saveAsTable(prefix + mart.table)
         )
-        tables.append(table)
-    return tables
+        return prefix + mart.table
+
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        return list(pool.map(create, marts.MARTS))
 
 
 def export_tables(spark: SparkSession, tables: list[str], folder: str) -> None:
     """Each table's own rows as text files, replacing an earlier export."""
-    for table in tables:
+    def export(table: str) -> None:
         files.write_text_table(spark.table(table), f"{folder}/{table}")
 
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        list(pool.map(export, tables))
+
 
 def read_export(spark: SparkSession, table: str, folder: str) -> DataFrame:
     return files.read_text_table(spark, f"{folder}/{table}", spark.table(table).schema)

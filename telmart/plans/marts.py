@@ -11,7 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telmart.functions.labels import age, age_band
-from telmart.operators.crm import ACTIVE
+
+ACTIVE = "ACTIVE"
 
 
 @dataclass(frozen=True)

@@ -1,69 +1,66 @@
 """The three raw inputs, derived from whole test tables (see FIXTURES.md)."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Spellings of gender found in raw customer records.
-GENDER_SPELLINGS = [
-    "M", "F", "male", "FEMALE", "mal", "femal", "mle", "emmle", "fmale", "unknown",
-    None, None, "Male]", "female#", "mael", "eml", "fmle", "amle", "feml", "x",
-]
+GENDER_SPELLINGS = """array(
+    'M', 'F', 'male', 'FEMALE', 'mal', 'femal', 'mle', 'emmle', 'fmale', 'unknown',
+    null, null, 'Male]', 'female#', 'mael', 'eml', 'fmle', 'amle', 'feml', 'x')"""
 
+STATUS = """CASE
+    WHEN o_orderkey % 53 = 0 THEN null
+    WHEN o_orderkey % 59 = 0 THEN 'BARRED'
+    WHEN o_custkey % 4 = 0 THEN
+        CASE o_orderkey % 3 WHEN 0 THEN 'ACTIVE' WHEN 1 THEN 'SUSPEND' ELSE 'IDLE' END
+    WHEN o_custkey % 4 = 1 THEN CASE o_orderkey % 3 WHEN 0 THEN 'IDLE' ELSE 'SUSPEND' END
+    WHEN o_custkey % 4 = 2 THEN CASE o_orderkey % 5 WHEN 0 THEN 'ACTIVE' ELSE 'SUSPEND' END
+    ELSE CASE o_orderkey % 4 WHEN 0 THEN 'DEACTIVE' WHEN 1 THEN 'IDLE' ELSE 'SUSPEND' END
+    END"""
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-
-def _status(customer: Column, order: Column) -> Column:
-    usual = (
-        F.when(customer % 4 == 0, F.when(order % 3 == 0, "ACTIVE").when(order % 3 == 1, "SUSPEND").otherwise("IDLE"))
-        .when(customer % 4 == 1, F.when(order % 3 == 0, "IDLE").otherwise("SUSPEND"))
-        .when(customer % 4 == 2, F.when(order % 5 == 0, "ACTIVE").otherwise("SUSPEND"))
-        .otherwise(F.when(order % 4 == 0, "DEACTIVE").when(order % 4 == 1, "IDLE").otherwise("SUSPEND"))
-    )
-    return F.when(order % 53 == 0, F.lit(None)).when(order % 59 == 0, "BARRED").otherwise(usual)
+def _table(spark: SparkSession, sf_dir: str, name: str, columns: str) -> DataFrame:
+    return spark.read.schema(columns).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def crm_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer, order = F.col("o_custkey"), F.col("o_orderkey")
-    spellings = F.array(*[F.lit(word).cast("string") for word in GENDER_SPELLINGS])
-    return _table(spark, sf_dir, "orders").select(
-        F.when(customer % 10 == 0, F.concat(F.lit("C"), customer.cast("string")))
-        .otherwise(customer.cast("string")).alias("msisdn"),
-        F.get(spellings, (order % len(GENDER_SPELLINGS)).cast("int")).alias("gender"),
-        F.when(order % 7 != 0, 1945 + (customer + order % 2) % 60).cast("int").alias("year_of_birth"),
-        _status(customer, order).alias("system_status"),
-        F.when(order % 2 == 0, "Prepaid").otherwise("Postpaid").alias("mobile_type"),
-        F.concat(F.lit("Tier_"), (order % 3 + 1).cast("string")).alias("value_segment"),
+    orders = _table(spark, sf_dir, "orders", "o_orderkey bigint, o_custkey bigint")
+    return orders.selectExpr(
+        "if(o_custkey % 10 = 0, 'C', '') || o_custkey AS msisdn",
+        f"get({GENDER_SPELLINGS}, int(o_orderkey % 20)) AS gender",
+        "if(o_orderkey % 7 <> 0, int(1945 + (o_custkey + o_orderkey % 2) % 60), null) AS year_of_birth",
+        f"{STATUS} AS system_status",
+        "if(o_orderkey % 2 = 0, 'Prepaid', 'Postpaid') AS mobile_type",
+        "'Tier_' || (o_orderkey % 3 + 1) AS value_segment",
     )
 
 
 def device_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer, line = F.col("o_custkey"), F.col("l_linenumber")
-    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_type")
+    lines = _table(spark, sf_dir, "lineitem", "l_orderkey bigint, l_partkey bigint, l_linenumber int")
+    orders = _table(spark, sf_dir, "orders", "o_orderkey bigint, o_custkey bigint")
+    parts = _table(
+        spark, sf_dir, "part", "p_partkey bigint, p_name string, p_brand string, p_type string"
+    )
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            F.when(customer % 10 == 1, F.concat(F.lit("D"), customer.cast("string")))
-            .otherwise(customer.cast("string")).alias("msisdn"),
-            F.col("l_partkey").cast("string").alias("imei_tac"),
-            F.when(line % 3 != 0, F.col("p_brand")).alias("brand_name"),
-            F.col("p_name").alias("model_name"),
-            F.when(line % 4 != 0, F.col("p_type")).alias("os_name"),
-            F.when(line % 2 != 0, F.concat(F.lit("V_"), F.col("p_type"))).alias("os_vendor"),
+        lines.withColumnRenamed("l_orderkey", "o_orderkey").join(orders, "o_orderkey")
+        .withColumnRenamed("l_partkey", "p_partkey").join(parts, "p_partkey")
+        .selectExpr(
+            "if(o_custkey % 10 = 1, 'D', '') || o_custkey AS msisdn",
+            "string(p_partkey) AS imei_tac",
+            "if(l_linenumber % 3 <> 0, p_brand, null) AS brand_name",
+            "p_name AS model_name",
+            "if(l_linenumber % 4 <> 0, p_type, null) AS os_name",
+            "if(l_linenumber % 2 <> 0, 'V_' || p_type, null) AS os_vendor",
         )
     )
 
 
 def revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    user, event = F.col("user_id"), F.col("event_id")
-    weeks = F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / 7)
-    fraction = (event % 100).cast("decimal(18,0)") * F.lit("0.0001").cast("decimal(5,4)")
-    return _table(spark, sf_dir, "events").select(
-        F.when(event % 97 == 0, F.concat(F.lit("U"), user.cast("string")))
-        .otherwise(user.cast("string")).alias("msisdn"),
-        (22 + weeks).cast("int").alias("week_number"),
-        (F.col("value").cast("decimal(18,4)") + fraction).cast("decimal(18,4)").alias("revenue_usd"),
+    events = _table(
+        spark, sf_dir, "events", "event_id bigint, ts timestamp_ntz, user_id bigint, value double"
+    )
+    return events.selectExpr(
+        "if(event_id % 97 = 0, 'U', '') || user_id AS msisdn",
+        "int(22 + datediff(date(ts), DATE '2024-01-01') div 7) AS week_number",
+        "cast(cast(value AS decimal(18,4)) + cast(event_id % 100 AS decimal(10,0)) * 0.0001BD"
+        " AS decimal(18,4)) AS revenue_usd",
     )

@@ -37,6 +37,8 @@ def main() -> None:
         f"local[{cpus}]", cpus,
         **{
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
+            # Few local cores and little data: keep one task per core.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="telmart-bench-"),
         },
     )

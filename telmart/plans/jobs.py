@@ -12,7 +12,6 @@ from telmart.plans import marts
 from telmart.sources import files, messages
 from telmart.streaming import enrichment
 
-
 JOBS_AT_ONCE = 8
 
 

@@ -33,6 +33,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     stream.add_argument("--facts", required=True)
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--once", action="store_true", help="end after what is there now")
+    stream.add_argument("--every", help="time between micro-batches, such as '10 minutes'")
     _topic(stream)
 
     reports = commands.add_parser("marts", help="create all report tables and export them")
@@ -75,7 +76,9 @@ def main(argv: list[str] | None = None) -> None:
         else:
             stream = messages.topic_stream(spark, args.servers, args.topic)
         rows = enrichment.enriched(stream, spark.read.parquet(args.subscribers))
-        enrichment.append_to_table(rows, args.facts, args.checkpoint, args.once).awaitTermination()
+        enrichment.append_to_table(
+            rows, args.facts, args.checkpoint, args.once, args.every
+        ).awaitTermination()
     else:
         activity = enrich.as_activity(jobs.read_facts(spark, args.facts))
         tables = jobs.create_marts(spark, activity, args.tables, args.as_of)

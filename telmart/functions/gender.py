@@ -1,16 +1,14 @@
-"""Spelling-tolerant gender labels as one Column expression."""
+"""Spelling-tolerant gender labels as one SQL expression."""
 
-from functools import reduce
 from itertools import combinations
-from operator import or_
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 MALE = "male"
 FEMALE = "female"
 
 
-def resembles(word: Column, target: str) -> Column:
+def _resembles(word: str, target: str) -> str:
     """True where the similarity of ``word`` and ``target`` rounds to 70 or more.
 
     Similarity is 200 * M / (len(word) + len(target)), M being the length of
@@ -25,17 +23,30 @@ def resembles(word: Column, target: str) -> Column:
         if longest < shared:
             continue
         parts = sorted({".*".join(letters) for letters in combinations(target, shared)})
-        passes.append((F.length(word) <= longest) & word.rlike("(?s)" + "|".join(parts)))
-    return reduce(or_, passes)
-
-
-def normalise_gender(raw: Column) -> Column:
-    """male, female or null. The female test runs first: 'fe' also sits in
-    words that hold 'ma'."""
-    word = F.lower(raw)
-    return (
-        F.when((word == "f") | word.contains("fe"), FEMALE)
-        .when((word == "m") | word.contains("ma"), MALE)
-        .when(resembles(word, MALE), MALE)
-        .when(resembles(word, FEMALE), FEMALE)
+        passes.append(f"(length({word}) <= {longest} AND {word} RLIKE '(?s){'|'.join(parts)}')")
+    return " OR ".join(passes)
+
+
+def _label(raw: str) -> str:
+    """The female test runs first: 'fe' also sits in words that hold 'ma'."""
+    word = f"lower({raw})"
+    return f"""CASE
+        WHEN {word} = 'f' OR contains({word}, 'fe') THEN '{FEMALE}'
+        WHEN {word} = 'm' OR contains({word}, 'ma') THEN '{MALE}'
+        WHEN {_resembles(word, MALE)} THEN '{MALE}'
+        WHEN {_resembles(word, FEMALE)} THEN '{FEMALE}'
+    END"""
+
+
+def normalise_gender(column: str) -> Column:
+    """male, female or null for the words of a column."""
+    return F.expr(_label(column))
+
+
+def register(spark: SparkSession) -> None:
+    """Makes ``normalise_gender(word)`` known to the session's SQL; the
+    optimiser inlines it."""
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION normalise_gender(word STRING) RETURNS STRING "
+        f"RETURN {_label('word')}"
     )

@@ -21,7 +21,7 @@ def normalise(raw: DataFrame) -> DataFrame:
     a label."""
     return raw.select(
         "msisdn",
-        normalise_gender(F.col("gender")).alias("gender"),
+        normalise_gender("gender").alias("gender"),
         or_not_available(F.col("year_of_birth")).alias("year_of_birth"),
         "system_status",
         "mobile_type",
@@ -32,15 +32,17 @@ def normalise(raw: DataFrame) -> DataFrame:
 def fill_gender(rows: DataFrame) -> DataFrame:
     """Adds ``filled_gender``: the subscriber's last known gender in birth-year
     order, else the next known one, else Not Available. Rows of one birth year
-    are taken in the order female, male, unknown."""
+    are taken in the order female, male, unknown. Where no gender is known up
+    to a row, the next known one is the subscriber's first, so both frames
+    share one sort and take one pass."""
     ordered = Window.partitionBy("msisdn").orderBy("year_of_birth", F.asc_nulls_last("gender"))
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onwards = ordered.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    all_rows = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return rows.withColumn(
         "filled_gender",
         or_not_available(F.coalesce(
             F.last("gender", ignorenulls=True).over(so_far),
-            F.first("gender", ignorenulls=True).over(onwards),
+            F.first("gender", ignorenulls=True).over(all_rows),
         )),
     )
 

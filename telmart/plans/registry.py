@@ -71,7 +71,7 @@ def gender_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         fixtures.crm_raw(spark, sf_dir)
         .groupBy(F.col("gender").alias("raw_gender"))
         .agg(F.count("*").alias("n_rows"))
-        .select("raw_gender", normalise_gender(F.col("raw_gender")).alias("gender"), "n_rows")
+        .select("raw_gender", normalise_gender("raw_gender").alias("gender"), "n_rows")
     )
 
 

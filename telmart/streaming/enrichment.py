@@ -9,7 +9,7 @@ handling, which Spark also applies to stateless streams.
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from telmart.operators.enrich import subscriber_week
 from telmart.sources.messages import decode
@@ -19,31 +19,30 @@ def enriched(messages: DataFrame, known: DataFrame) -> DataFrame:
     return subscriber_week(known, decode(messages))
 
 
-def append_to_table(rows: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Appends a stream to a parquet table, partitioned by week. ``once``
-    takes what is there now and ends; the checkpoint carries on next time."""
-    writer = (
-        rows.writeStream.outputMode("append")
-        .format("parquet")
-        .partitionBy("week_number")
-        .option("checkpointLocation", checkpoint)
-    )
+def _triggered(writer: DataStreamWriter, checkpoint: str, once: bool, every: str | None) -> DataStreamWriter:
+    """``once`` takes what is there now and ends, and the checkpoint carries on
+    next time. Otherwise the stream runs on, ``every`` so often if given: each
+    micro-batch reads the subscribers, so fewer and larger ones cost less."""
+    writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
     if once:
-        writer = writer.trigger(availableNow=True)
-    return writer.start(path)
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=every) if every else writer
+
+
+def append_to_table(
+    rows: DataFrame, path: str, checkpoint: str, once: bool = False, every: str | None = None
+) -> StreamingQuery:
+    """Appends a stream to a parquet table, partitioned by week."""
+    writer = rows.writeStream.format("parquet").partitionBy("week_number")
+    return _triggered(writer, checkpoint, once, every).start(path)
 
 
 def append_by_batch(
-    rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False
+    rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
+    once: bool = False, every: str | None = None,
 ) -> StreamingQuery:
     """Appends a stream to a target that only has a batch writer, such as a
     warehouse. ``write`` gets each micro-batch with its number; a batch may
     come again after a failure, under the same number."""
-    writer = (
-        rows.writeStream.outputMode("append")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-    )
-    if once:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    writer = rows.writeStream.foreachBatch(write)
+    return _triggered(writer, checkpoint, once, every).start()

@@ -1,8 +1,6 @@
 from itertools import product
 
-from pyspark.sql import functions as F
-
-from telmart.functions.gender import normalise_gender
+from telmart.functions.gender import normalise_gender, register
 
 
 def common(a: str, b: str) -> int:
@@ -35,7 +33,7 @@ def expected(word: str | None) -> str | None:
 
 def classify(spark, words):
     frame = spark.createDataFrame([(word,) for word in words], "word string")
-    return {tuple(row) for row in frame.select("word", normalise_gender(F.col("word"))).collect()}
+    return {tuple(row) for row in frame.select("word", normalise_gender("word")).collect()}
 
 
 def test_all_short_words(spark):
@@ -49,3 +47,9 @@ def test_longer_and_odd_words(spark):
         "mxxaxle", "axle", "male\n", "f\nm\nl\ne", "unknown", "", None, "x" * 200, "fm" + "x" * 9 + "ale",
     ]
     assert classify(spark, words) == {(word, expected(word)) for word in words}
+
+
+def test_sql_function(spark):
+    register(spark)
+    found = spark.sql("SELECT normalise_gender(w) FROM VALUES ('mal'), ('Femal'), ('zz'), (null) AS t(w)")
+    assert [row[0] for row in found.collect()] == ["male", "female", None, None]

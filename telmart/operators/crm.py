@@ -76,12 +76,15 @@ def with_counts(rows: DataFrame) -> DataFrame:
             f"count_if(system_status = 'DEACTIVE') {subscriber} AS n_deactive",
             f"count_if(system_status = 'ACTIVE') {subscriber} AS n_active",
             f"count_if(system_status = 'IDLE') {subscriber} AS all_idle",
+            f"count_if(system_status = 'ACTIVE' AND group_live = 1) {subscriber} AS lone_active",
+            f"max(group_live) {subscriber} AS widest",
         )
         .selectExpr(
-            "* EXCEPT (all_idle)",
+            "* EXCEPT (all_idle, lone_active, widest)",
             "if(n_active = 0, all_idle, 0) AS n_idle",
             "group_live IN (1, n_rows) AS alone",
-            f"count_if(group_live IN (1, n_rows) AND system_status = 'ACTIVE') {subscriber} AS n_alone_active",
+            # A group of all the subscriber's rows is alone however many they are.
+            "if(widest = n_rows, n_active, lone_active) AS n_alone_active",
         )
     )
 

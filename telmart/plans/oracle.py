@@ -291,6 +291,7 @@ def oracle_sql() -> dict[str, str]:
         "gender_normalize": _with(_RAW_CRM)
         + f"SELECT gender AS raw_gender, {_gender('gender')} AS gender, count(*) AS n_rows "
         "FROM crm_raw GROUP BY crm_raw.gender",
+        "gender_function": _with(_RAW_CRM) + f"SELECT msisdn, {_gender('gender')} AS gender FROM crm_raw",
         "clean_null_labels": _with(_RAW_CRM)
         + "SELECT msisdn, coalesce(gender, 'Not Available') AS gender, "
         "coalesce(CAST(year_of_birth AS VARCHAR), 'Not Available') AS year_of_birth FROM crm_raw",

@@ -5,7 +5,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telmart.functions.gender import normalise_gender
+from telmart.functions import gender
 from telmart.functions.labels import age, age_band, or_not_available
 from telmart.operators import crm, device, enrich
 from telmart.plans import jobs, marts
@@ -71,7 +71,15 @@ def gender_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         fixtures.crm_raw(spark, sf_dir)
         .groupBy(F.col("gender").alias("raw_gender"))
         .agg(F.count("*").alias("n_rows"))
-        .select("raw_gender", normalise_gender("raw_gender").alias("gender"), "n_rows")
+        .select("raw_gender", gender.normalise_gender("raw_gender").alias("gender"), "n_rows")
+    )
+
+
+def gender_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same labels through the function registered for SQL."""
+    gender.register(spark)
+    return spark.sql(
+        "SELECT msisdn, normalise_gender(gender) AS gender FROM {raw}", raw=fixtures.crm_raw(spark, sf_dir)
     )
 
 
@@ -245,7 +253,7 @@ def queries() -> dict[str, Query]:
         query.__name__: query
         for query in (
             scan_crm, scan_device, scan_revenue, collection_roundtrip,
-            gender_normalize, clean_null_labels, gender_fill, crm_dedupe,
+            gender_normalize, gender_function, clean_null_labels, gender_fill, crm_dedupe,
             crm_window_counts, crm_survivor, device_null_count, device_survivor,
             crm_device_full, subscriber_week, subscriber_activity,
             publish_week_json, decode_payload, stream_decode, stream_enrich,

@@ -34,6 +34,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--once", action="store_true", help="end after what is there now")
     stream.add_argument("--every", help="time between micro-batches, such as '10 minutes'")
+    stream.add_argument("--max-messages", type=int, help="a broker's most messages per micro-batch")
     _topic(stream)
 
     reports = commands.add_parser("marts", help="create all report tables and export them")
@@ -71,11 +72,12 @@ def main(argv: list[str] | None = None) -> None:
         )
         print(f"published week {week}")
     elif args.job == "enrich":
+        known = spark.read.parquet(args.subscribers)
         if args.folder:
-            stream = messages.folder_stream(spark, args.folder)
+            rows = enrichment.enriched(messages.folder_stream(spark, args.folder), known)
         else:
-            stream = messages.topic_stream(spark, args.servers, args.topic)
-        rows = enrichment.enriched(stream, spark.read.parquet(args.subscribers))
+            stream = messages.topic_stream(spark, args.servers, args.topic, args.max_messages)
+            rows = enrichment.enriched(stream, known, args.max_messages)
         enrichment.append_to_table(
             rows, args.facts, args.checkpoint, args.once, args.every
         ).awaitTermination()

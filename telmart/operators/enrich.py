@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from telmart.functions.money import cents
+
 CUSTOMER = ["gender", "year_of_birth", "system_status", "mobile_type", "value_segment"]
 DEVICE = ["imei_tac", "brand_name", "model_name", "os_name", "os_vendor"]
 
@@ -25,12 +27,12 @@ def activity(revenue: DataFrame, weekly: bool = True) -> DataFrame:
     report counts them. It combines on the map side, so that the join that
     follows sees one row per key however many events a subscriber has."""
     keys = ["msisdn", "week_number"] if weekly else ["msisdn"]
-    cents = F.round("revenue_usd", 2)
+    amount = cents(F.col("revenue_usd"))
     return revenue.groupBy(*keys).agg(
         F.count("*").alias("events"),
-        F.sum(cents).alias("revenue"),
-        F.max(cents).alias("highest"),
-        F.min(cents).alias("lowest"),
+        F.sum(amount).alias("revenue"),
+        F.max(amount).alias("highest"),
+        F.min(amount).alias("lowest"),
     )
 
 
@@ -51,11 +53,11 @@ def subscriber_activity(crm: DataFrame, device: DataFrame, rolled_up: DataFrame)
 
 def as_activity(facts: DataFrame) -> DataFrame:
     """Single events in the shape of the roll-up."""
-    cents = F.round("revenue_usd", 2)
+    amount = cents(F.col("revenue_usd"))
     return facts.select(
         "*",
         F.lit(1).cast("bigint").alias("events"),
-        cents.alias("revenue"),
-        cents.alias("highest"),
-        cents.alias("lowest"),
+        amount.alias("revenue"),
+        amount.alias("highest"),
+        amount.alias("lowest"),
     ).drop("revenue_usd")

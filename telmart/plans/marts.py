@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telmart.functions.labels import age, age_band
+from telmart.functions.money import dollars
 
 ACTIVE = "ACTIVE"
 
@@ -42,17 +43,17 @@ def _devices() -> Column:
 
 
 def _revenue() -> Column:
-    return F.sum("revenue").cast("double")
+    return dollars(F.sum("revenue"))
 
 
 def _revenue_of(gender: str) -> Callable[[], Column]:
-    return lambda: F.sum(F.when(F.col("gender") == gender, F.col("revenue")).otherwise(0)).cast("double")
+    return lambda: dollars(F.sum(F.when(F.col("gender") == gender, F.col("revenue")).otherwise(0)))
 
 
 _BY_GENDER = {"male_revenue": _revenue_of("male"), "female_revenue": _revenue_of("female")}
 _RANGE = {
-    "highest_revenue_generated": lambda: F.max("highest").cast("double"),
-    "lowest_revenue_generated": lambda: F.min("lowest").cast("double"),
+    "highest_revenue_generated": lambda: dollars(F.max("highest")),
+    "lowest_revenue_generated": lambda: dollars(F.min("lowest")),
 }
 _WEEK = ("week_number",)
 

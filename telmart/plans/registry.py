@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from telmart.functions import gender
 from telmart.functions.labels import age, age_band, or_not_available
+from telmart.functions.money import dollars
 from telmart.operators import crm, device, enrich
 from telmart.plans import jobs, marts
 from telmart.session import new_folder
@@ -129,7 +130,7 @@ def subscriber_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def subscriber_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _activity(spark, sf_dir, weekly=True)
-    money = {name: F.col(name).cast("double") for name in ("revenue", "highest", "lowest")}
+    money = {name: dollars(F.col(name)) for name in ("revenue", "highest", "lowest")}
     return rows.withColumns(money)
 
 

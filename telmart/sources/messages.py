@@ -31,17 +31,25 @@ def publish(messages: DataFrame, fmt: str = "kafka", **options) -> None:
     messages.select("value").write.format(fmt).options(**options).save()
 
 
-def topic_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """A broker's topic from its earliest message on, tolerant of messages
-    that the broker has dropped already."""
-    return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-        .option("failOnDataLoss", False)
-        .load()
-    )
+def topic_options(servers: str, topic: str, max_messages: int | None = None) -> dict[str, str]:
+    """From the earliest message on, tolerant of messages that the broker has
+    dropped already, at most ``max_messages`` per micro-batch."""
+    options = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "false",
+    }
+    if max_messages is not None:
+        options["maxOffsetsPerTrigger"] = str(max_messages)
+    return options
+
+
+def topic_stream(
+    spark: SparkSession, servers: str, topic: str, max_messages: int | None = None
+) -> DataFrame:
+    options = topic_options(servers, topic, max_messages)
+    return spark.readStream.format("kafka").options(**options).load()
 
 
 # Without a broker, a folder of files with a topic's columns is the topic.

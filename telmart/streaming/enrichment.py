@@ -8,15 +8,28 @@ handling, which Spark also applies to stateless streams.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from telmart.operators.enrich import subscriber_week
 from telmart.sources.messages import decode
 
 
-def enriched(messages: DataFrame, known: DataFrame) -> DataFrame:
-    return subscriber_week(known, decode(messages))
+# A decoded message takes some 100 bytes, so this is about 100 MB.
+BROADCAST_MESSAGES = 1_000_000
+
+
+def enriched(messages: DataFrame, known: DataFrame, max_messages: int | None = None) -> DataFrame:
+    """The revenue of known subscribers with all their columns.
+
+    ``max_messages`` is the source's own limit per micro-batch, if it has one.
+    Where that keeps a micro-batch small, the subscribers are read past it
+    without a shuffle; otherwise both sides are shuffled by msisdn.
+    """
+    revenue = decode(messages)
+    if max_messages is not None and max_messages <= BROADCAST_MESSAGES:
+        revenue = F.broadcast(revenue)
+    return subscriber_week(known, revenue)
 
 
 def _triggered(writer: DataStreamWriter, checkpoint: str, once: bool, every: str | None) -> DataStreamWriter:

@@ -1,7 +1,10 @@
 from collections import Counter
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from telmart import schemas
+from telmart.functions.money import cents, dollars
 from telmart.operators import crm, device, enrich
 from telmart.plans import marts, registry
 from telmart.sources import fixtures
@@ -34,8 +37,16 @@ def test_cents_are_rounded_before_the_sum(spark):
     customers, devices, revenue = small(spark)
     rows = enrich.subscriber_activity(customers, devices, enrich.activity(revenue, weekly=False))
     found = {row.msisdn: (row.events, row.revenue, row.highest, row.lowest) for row in rows.collect()}
-    assert found["both"] == (3, Decimal("1.14"), Decimal("1.01"), Decimal("0.13"))
-    assert found["crm"] == (1, Decimal("2.00"), Decimal("2.00"), Decimal("2.00"))
+    assert found["both"] == (3, 114, 101, 13)
+    assert found["crm"] == (1, 200, 200, 200)
+
+
+def test_amounts_in_reports_are_exact(spark):
+    frame = spark.createDataFrame(
+        [(Decimal("99999999999999.9950"),), (Decimal("-0.0050"),), (Decimal("0.0049"),), (None,)],
+        "usd decimal(18,4)")
+    found = frame.select(cents(F.col("usd")), dollars(cents(F.col("usd")))).collect()
+    assert [tuple(row) for row in found] == [(10**16, 1e14), (-1, -0.01), (0, 0.0), (None, None)]
 
 
 def test_ages_without_a_birth_year(spark):

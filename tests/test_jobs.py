@@ -65,9 +65,18 @@ def test_a_second_run_replaces_reports(spark, tmp_path):
         assert jobs.read_export(spark, table, f"{tmp_path}/out").count() == spark.table(table).count() > 0
 
 
-def test_folder_needs_a_shared_root_on_a_cluster(spark):
+class Settings:
+    def __init__(self, **settings):
+        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+
+
+def test_a_cluster_has_to_name_a_shared_folder(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
     assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    shared = Settings(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared/")
+    assert new_folder(shared, "x").startswith("hdfs:///shared/x-")
+    with pytest.raises(ValueError):
+        new_folder(Settings(spark_master="yarn"), "x")
 
 
 def test_jobs_from_the_command_line(spark, tmp_path):

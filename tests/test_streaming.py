@@ -61,6 +61,19 @@ def test_every_message_is_parsed_once(spark):
     assert plan.count("from_json") == 1
 
 
+def test_only_limited_batches_are_marked_for_broadcast(spark):
+    known = spark.createDataFrame([("a", "male")], "msisdn string, gender string")
+    rows = messages.as_topic_rows(spark.createDataFrame([("{}",)], "value string"), "revenue")
+    limit = enrichment.BROADCAST_MESSAGES
+    marked = [
+        "broadcast" in enrichment.enriched(rows, known, most)._jdf.queryExecution().logical().toString()
+        for most in (None, limit + 1, limit)
+    ]
+    assert marked == [False, False, True]
+    assert messages.topic_options("host", "t", 5)["maxOffsetsPerTrigger"] == "5"
+    assert "maxOffsetsPerTrigger" not in messages.topic_options("host", "t")
+
+
 def test_batches_to_a_target_without_a_stream_writer(spark, tmp_path):
     known, revenue = prepare(spark, tmp_path)
     messages.publish_folder(messages.encode(revenue), f"{tmp_path}/topic")

@@ -4,9 +4,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from telmart.functions.money import cents
 
-CUSTOMER = ["gender", "year_of_birth", "system_status", "mobile_type", "value_segment"]
-DEVICE = ["imei_tac", "brand_name", "model_name", "os_name", "os_vendor"]
-
 
 def subscribers(crm: DataFrame, device: DataFrame) -> DataFrame:
     """Every subscriber known to either side, one row each."""

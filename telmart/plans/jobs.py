@@ -108,8 +108,7 @@ def replay(
 
 def read_facts(spark: SparkSession, facts: str) -> DataFrame:
     """The fact table that the stream writes, in its column order."""
-    columns = ["msisdn", *enrich.CUSTOMER, *enrich.DEVICE, "week_number", "revenue_usd"]
-    return spark.read.parquet(facts).select(*columns)
+    return spark.read.schema(schemas.FACTS).parquet(facts).select(*schemas.FACTS.names)
 
 
 def create_marts(

@@ -27,6 +27,15 @@ REVENUE = T.StructType([
     T.StructField("revenue_usd", T.DecimalType(18, 4)),
 ])
 
+# Revenue events of known subscribers; cleaning turns birth years into labels.
+FACTS = T.StructType([
+    *[
+        T.StructField(field.name, T.StringType())
+        for field in [*CRM.fields, *DEVICE.fields[1:]]
+    ],
+    *REVENUE.fields[1:],
+])
+
 # One record of a message topic, as Spark's topic reader hands it over.
 MESSAGE = T.StructType([
     T.StructField("key", T.BinaryType()),

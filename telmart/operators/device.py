@@ -32,3 +32,9 @@ def one_per_subscriber(counted: DataFrame) -> DataFrame:
 
 def clean(raw: DataFrame) -> DataFrame:
     return one_per_subscriber(with_null_count(raw)).fillna(NOT_AVAILABLE)
+
+
+def keys(raw: DataFrame) -> DataFrame:
+    """The subscribers that ``clean`` has a row for, without choosing the row:
+    all that a report without device columns needs."""
+    return raw.select(or_not_available(F.col("msisdn")).alias("msisdn")).distinct()

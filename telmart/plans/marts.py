@@ -14,6 +14,7 @@ from telmart.functions.labels import age, age_band
 from telmart.functions.money import dollars
 
 ACTIVE = "ACTIVE"
+DEVICE_KEYS = {"brand_name", "os_name", "os_vendor"}
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,10 @@ class Mart:
     def counts_devices(self) -> bool:
         return _devices in self.measures.values()
 
+    @property
+    def shows_devices(self) -> bool:
+        return self.counts_devices or not DEVICE_KEYS.isdisjoint(self.keys)
+
 
 def _events() -> Column:
     return F.coalesce(F.sum("events"), F.lit(0)).cast("bigint")

@@ -31,8 +31,8 @@ def _device(spark: SparkSession, sf_dir: str) -> DataFrame:
     return device.clean(fixtures.device_raw(spark, sf_dir))
 
 
-def _activity(spark: SparkSession, sf_dir: str, weekly: bool) -> DataFrame:
-    rolled_up = enrich.activity(fixtures.revenue(spark, sf_dir), weekly)
+def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rolled_up = enrich.activity(fixtures.revenue(spark, sf_dir))
     return enrich.subscriber_activity(_crm(spark, sf_dir), _device(spark, sf_dir), rolled_up)
 
 
@@ -129,7 +129,7 @@ def subscriber_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def subscriber_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _activity(spark, sf_dir, weekly=True)
+    rows = _activity(spark, sf_dir)
     money = {name: dollars(F.col(name)) for name in ("revenue", "highest", "lowest")}
     return rows.withColumns(money)
 
@@ -224,7 +224,7 @@ def export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     form: table, group, measure, value."""
     folder = new_folder(spark, "export")
     prefix = f"export_{folder.rsplit('-', 1)[1]}_"
-    _activity(spark, sf_dir, weekly=True).write.parquet(f"{folder}/activity")
+    _activity(spark, sf_dir).write.parquet(f"{folder}/activity")
     activity = spark.read.parquet(f"{folder}/activity")
     tables = jobs.create_marts(spark, activity, folder, AS_OF, prefix)
     jobs.export_tables(spark, tables, f"{folder}/out")
@@ -243,7 +243,13 @@ def export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mart_query(mart: marts.Mart) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return marts.build(mart, _activity(spark, sf_dir, mart.weekly), AS_OF)
+        raw_device = fixtures.device_raw(spark, sf_dir)
+        rows = enrich.subscriber_activity(
+            _crm(spark, sf_dir),
+            device.clean(raw_device) if mart.shows_devices else device.keys(raw_device),
+            enrich.activity(fixtures.revenue(spark, sf_dir), mart.weekly),
+        )
+        return marts.build(mart, rows, AS_OF)
 
     run.__name__ = mart.name
     return run

@@ -28,6 +28,11 @@ def test_rows_without_a_key_become_one(spark):
     assert clean(spark, rows) == [(NA, "1", "b", "m", "o", "v"), ("a", "1", "b", "m", "o", "v")]
 
 
+def test_keys_are_those_of_the_cleaned_rows(spark):
+    raw = spark.createDataFrame([("a", *[None] * 5), ("a", *["1"] * 5), (None, *["1"] * 5)], schemas.DEVICE)
+    assert sorted(device.keys(raw).collect()) == sorted(device.clean(raw).select("msisdn").collect())
+
+
 def test_one_row_per_key_and_task_is_shuffled(spark):
     raw = spark.range(0, 20000, 1, 8).selectExpr(
         "if(id % 3 = 0, 'hot', string(id % 100)) AS msisdn", "string(id) AS imei_tac", "'b' AS brand_name",

@@ -70,8 +70,13 @@ def test_reports_read_only_their_columns(inputs):
     rows = enrich.subscriber_activity(
         crm.clean(raw_crm), device.clean(raw_device), enrich.activity(revenue, weekly=False))
     plan = plan_of(marts.build(marts.BY_NAME["customers_by_mobile_type"], rows))
-    read = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
-    assert any(columns == "msisdn:string" for columns in read)
+    assert "msisdn:string" in re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+
+
+def test_reports_without_device_columns_do_not_choose_devices(spark):
+    for mart in marts.MARTS:
+        plan = plan_of(registry.queries()[mart.name](spark, SF_DIR))
+        assert ("p_brand" in plan) == mart.shows_devices
 
 
 @pytest.mark.parametrize("name", ["crm_clean", "device_clean", "subscriber_week", *marts.BY_NAME])

@@ -14,10 +14,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="telmart")
     commands = parser.add_subparsers(dest="job", required=True)
 
-    clean = commands.add_parser("clean", help="text files to cleaned tables and the subscriber table")
+    clean = commands.add_parser("clean", help="text files to cleaned collections and their join")
     clean.add_argument("--crm", required=True)
     clean.add_argument("--device", required=True)
-    clean.add_argument("--subscribers", required=True, help="path of the joined table")
+    clean.add_argument("--cleaned", required=True, help="folder for crm, device and subscribers")
 
     stage = commands.add_parser("stage", help="revenue text file to a table by week")
     stage.add_argument("--revenue", required=True)
@@ -29,7 +29,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     _topic(publish)
 
     stream = commands.add_parser("enrich", help="join the topic with the subscribers")
-    stream.add_argument("--subscribers", required=True)
+    stream.add_argument("--cleaned", required=True)
     stream.add_argument("--facts", required=True)
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--once", action="store_true", help="end after what is there now")
@@ -56,8 +56,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"telmart {args.job}").getOrCreate()
 
     if args.job == "clean":
-        jobs.clean_files(spark, args.crm, args.device)
-        jobs.write_subscribers(spark, spark.table("crm"), spark.table("device"), args.subscribers)
+        jobs.clean_files(spark, args.crm, args.device, args.cleaned)
     elif args.job == "stage":
         jobs.stage_revenue(files.scan_revenue(spark, args.revenue), args.staged)
     elif args.job == "publish":
@@ -72,7 +71,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         print(f"published week {week}")
     elif args.job == "enrich":
-        known = spark.read.parquet(args.subscribers)
+        known = files.read_collection(spark, f"{args.cleaned}/subscribers")
         if args.folder:
             rows = enrichment.enriched(messages.folder_stream(spark, args.folder), known)
         else:

@@ -15,30 +15,38 @@ from telmart.streaming import enrichment
 JOBS_AT_ONCE = 8
 
 
-def is_loaded(spark: SparkSession, table: str) -> bool:
-    """Whether a table exists and holds a row."""
-    return spark.catalog.tableExists(table) and not spark.table(table).isEmpty()
+def is_loaded(spark: SparkSession, location: str, fmt: str = "parquet", **options) -> bool:
+    """Whether a collection exists and holds a row."""
+    try:
+        return not files.read_collection(spark, location, fmt, **options).isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
 
 
 def guarded_load(
-    spark: SparkSession, table: str, rows: Callable[[], DataFrame], path: str | None = None
+    spark: SparkSession, location: str, rows: Callable[[], DataFrame], fmt: str = "parquet", **options
 ) -> bool:
-    """Appends ``rows()`` to ``table`` unless it is loaded already."""
-    if is_loaded(spark, table):
+    """Appends ``rows()`` to a collection unless it is loaded already."""
+    if is_loaded(spark, location, fmt, **options):
         return False
-    writer = rows().write.mode("append").format("parquet")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    files.append_collection(rows(), location, fmt, **options)
     return True
 
 
-def clean_files(
-    spark: SparkSession, crm_path: str, device_path: str, crm_table: str = "crm", device_table: str = "device"
-) -> None:
-    """Text files to the two cleaned tables, each only if not loaded yet."""
-    guarded_load(spark, crm_table, lambda: crm.clean(files.scan_crm(spark, crm_path)))
-    guarded_load(spark, device_table, lambda: device.clean(files.scan_device(spark, device_path)))
+def clean_files(spark: SparkSession, crm_path: str, device_path: str, folder: str) -> None:
+    """Text files to the cleaned collections ``crm`` and ``device`` and the
+    static side of the stream join, ``subscribers``. A cleaned collection that
+    is there already stays as it is."""
+    guarded_load(spark, f"{folder}/crm", lambda: crm.clean(files.scan_crm(spark, crm_path)))
+    guarded_load(spark, f"{folder}/device", lambda: device.clean(files.scan_device(spark, device_path)))
+    write_subscribers(
+        spark,
+        files.read_collection(spark, f"{folder}/crm"),
+        files.read_collection(spark, f"{folder}/device"),
+        f"{folder}/subscribers",
+    )
 
 
 def stage_revenue(revenue: DataFrame, path: str) -> None:

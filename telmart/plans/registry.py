@@ -213,10 +213,9 @@ def replay_next_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 def guarded_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of the cleaned devices; the second finds them there."""
     folder = new_folder(spark, "guarded")
-    table = "guarded_" + folder.rsplit("-", 1)[1]
     for _ in range(2):
-        jobs.guarded_load(spark, table, lambda: _device(spark, sf_dir), path=folder)
-    return spark.table(table)
+        jobs.guarded_load(spark, folder, lambda: _device(spark, sf_dir))
+    return files.read_collection(spark, folder)
 
 
 def export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:

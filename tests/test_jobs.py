@@ -36,15 +36,15 @@ def test_a_staged_week_is_one_partition(spark, tmp_path):
     assert "week_number = 23" in plan or "(week_number#" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
-def test_loaded_tables_are_left_alone(spark):
-    table = "guard_test"
-    assert not jobs.is_loaded(spark, table)
-    spark.sql(f"CREATE TABLE {table} (n INT) USING parquet")
-    assert not jobs.is_loaded(spark, table)
-    one = spark.range(1).selectExpr("int(id) AS n")
-    assert jobs.guarded_load(spark, table, lambda: one)
-    assert not jobs.guarded_load(spark, table, lambda: pytest.fail("must not be read"))
-    assert spark.table(table).count() == 1
+def test_loaded_collections_are_left_alone(spark, tmp_path):
+    place = f"{tmp_path}/collection"
+    assert not jobs.is_loaded(spark, place)
+    one = spark.range(1)
+    one.filter("id > 5").write.parquet(place)
+    assert not jobs.is_loaded(spark, place)
+    assert jobs.guarded_load(spark, place, lambda: one)
+    assert not jobs.guarded_load(spark, place, lambda: pytest.fail("must not be read"))
+    assert spark.read.parquet(place).count() == 1
 
 
 def test_collections_lose_their_identifier(spark, tmp_path):
@@ -84,7 +84,7 @@ def test_jobs_from_the_command_line(spark, tmp_path):
     files.write_text_table(fixtures.device_raw(spark, SF_DIR), f"{tmp_path}/device.csv")
     files.write_text_table(fixtures.revenue(spark, SF_DIR), f"{tmp_path}/revenue.csv")
     path = {name: f"{tmp_path}/{name}" for name in
-            ("subscribers", "staged", "progress", "topic", "facts", "checkpoint", "tables", "export")}
+            ("cleaned", "staged", "progress", "topic", "facts", "checkpoint", "tables", "export")}
 
     def run(job, *names, **more):
         arguments = [job]
@@ -94,11 +94,11 @@ def test_jobs_from_the_command_line(spark, tmp_path):
             arguments += [f"--{name.replace('_', '-')}"] + ([] if value is True else [value])
         command.main(arguments)
 
-    run("clean", "subscribers", crm=f"{tmp_path}/crm.csv", device=f"{tmp_path}/device.csv")
+    run("clean", "cleaned", crm=f"{tmp_path}/crm.csv", device=f"{tmp_path}/device.csv")
     run("stage", "staged", revenue=f"{tmp_path}/revenue.csv")
     for _ in range(2):
         run("publish", "staged", "progress", folder=path["topic"])
-    run("enrich", "subscribers", "facts", "checkpoint", folder=path["topic"], once=True)
+    run("enrich", "cleaned", "facts", "checkpoint", folder=path["topic"], once=True)
     run("marts", "facts", "tables", "export", as_of=registry.AS_OF)
     report = spark.table("total_customers_weekwise").collect()
     expected = registry.queries()["customers_by_week"](spark, SF_DIR).filter("week_number <= 23").collect()

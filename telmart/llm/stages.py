@@ -3,10 +3,17 @@ last one returns token identifiers."""
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telmart.llm import exact
+from telmart.llm import exact, pieces
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id stays."""
     kept = exact.exact_copies(docs).where("kept").select("doc_id")
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids and decoded text of every document that is left."""
+    import public_tokenizers
+
+    return pieces.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"))

@@ -4,8 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telmart.llm import exact, pieces, tokenfiles, warc
-from telmart.llm.shared import table
+from telmart.llm import decontaminate, exact, pieces, quality, tokenfiles, warc
+from telmart.llm.shared import remainder, table
 from telmart.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pieces.encode_texts(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
     return rows.select(
@@ -37,6 +41,14 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_copies(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(documents, labels.where(remainder(F.col("doc_id"), 3) != 1))
+    return quality.score(documents, model).select(
+        "doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted"
+    )
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "bundles")
     bundles = warc.write_bundles(table(spark, sf_dir, "pages"), folder)
@@ -46,10 +58,33 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op3_sentencepiece, op4_token_files, op5_exact_dedup, op8_warc)
+    named = (
+        op1_decontamination, op3_sentencepiece, op4_token_files, op5_exact_dedup, op7_quality, op8_warc,
+    )
     return {query.__name__: query for query in named}
 
 
+def _shingle_sql(table_name: str, key: str, n: int) -> str:
+    """The different n-word shingles of each row of a table."""
+    return rf"""
+    SELECT {key}, unnest(list_distinct(CASE
+        WHEN len(w) >= {n} THEN list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
+        ELSE [] END)) AS shingle
+    FROM (
+        SELECT {key}, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM {table_name})"""
+
+
+CONTAINED_SQL = f"""
+WITH d AS ({_shingle_sql("documents", "doc_id", 5)}), i AS ({_shingle_sql("benchmark", "item_id", 5)}),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_shingles) AS n_shingles
+FROM d JOIN i USING (shingle) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id HAVING 5 * count(*) >= 4 * any_value(n_shingles)"""
+
 EXACT_SQL = r"""
 WITH normal AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents
@@ -75,4 +110,4 @@ FROM first"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": EXACT_SQL, "op8_warc": WARC_SQL}
+    return {"op1_decontamination": CONTAINED_SQL, "op5_exact_dedup": EXACT_SQL, "op8_warc": WARC_SQL}

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telmart.llm import decontaminate, exact, pieces, quality, tokenfiles, warc
+from telmart.llm import decontaminate, exact, katz, pieces, quality, tokenfiles, warc
 from telmart.llm.shared import remainder, table
 from telmart.session import new_folder
 
@@ -57,9 +57,14 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_decontamination, op3_sentencepiece, op4_token_files, op5_exact_dedup, op7_quality, op8_warc,
+        op9_katz,
     )
     return {query.__name__: query for query in named}
 

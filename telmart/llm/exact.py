@@ -43,9 +43,10 @@ def exact_copies(documents: DataFrame, id_column: str = "doc_id", text_column: s
         F.row_number().over(equal.orderBy(F.col("doc_id").asc_nulls_last())).alias("place"),
         F.count("*").over(equal).alias("in_part"),
     ), "exact-places")
-    groups = placed.where("place = 1").groupBy("text_sha256").agg(
+    # Written, so that the join deals both sides out and can split a frequent text.
+    groups = written(placed.where("place = 1").groupBy("text_sha256").agg(
         F.min("doc_id").alias("keep_id"), F.sum("in_part").alias("group_size")
-    )
+    ), "exact-groups")
     return placed.join(groups, "text_sha256").select(
         "doc_id", "keep_id", "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("place") == 1)).alias("kept"),

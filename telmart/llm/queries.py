@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telmart.llm import decontaminate, exact, katz, pieces, quality, tokenfiles, warc
+from telmart.llm import decontaminate, exact, katz, pieces, quality, suffixes, tokenfiles, warc
 from telmart.llm.shared import remainder, table
 from telmart.session import new_folder
 
@@ -61,10 +61,16 @@ def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_decontamination, op3_sentencepiece, op4_token_files, op5_exact_dedup, op7_quality, op8_warc,
-        op9_katz,
+        op9_katz, op10_suffix_dedup,
     )
     return {query.__name__: query for query in named}
 

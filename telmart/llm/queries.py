@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telmart.llm import decontaminate, exact, katz, pieces, quality, suffixes, tokenfiles, warc
+from telmart.llm import decontaminate, exact, jaccard, katz, pieces, quality, suffixes, tokenfiles, warc
 from telmart.llm.shared import remainder, table
 from telmart.session import new_folder
 
@@ -21,6 +21,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_documents(table(spark, sf_dir, "documents"), jaccard.Rule(words=4, percent=85))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pieces.encode_texts(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
     return rows.select(
@@ -69,7 +73,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = (
-        op1_decontamination, op3_sentencepiece, op4_token_files, op5_exact_dedup, op7_quality, op8_warc,
+        op1_decontamination, op2_ngram_jaccard, op3_sentencepiece, op4_token_files, op5_exact_dedup, op7_quality, op8_warc,
         op9_katz, op10_suffix_dedup,
     )
     return {query.__name__: query for query in named}
@@ -96,6 +100,23 @@ SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_shingles) AS n_shingle
 FROM d JOIN i USING (shingle) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id HAVING 5 * count(*) >= 4 * any_value(n_shingles)"""
 
+JACCARD_SQL = f"""
+WITH RECURSIVE s AS ({_shingle_sql("documents", "doc_id", 4)}),
+sizes AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
+links AS (
+    SELECT x.doc_id AS a, y.doc_id AS b FROM s AS x JOIN s AS y USING (shingle)
+    JOIN sizes AS p ON p.doc_id = x.doc_id JOIN sizes AS q ON q.doc_id = y.doc_id
+    WHERE x.doc_id <> y.doc_id
+        AND 100 * p.n_shingles >= 85 * q.n_shingles AND 100 * q.n_shingles >= 85 * p.n_shingles
+    GROUP BY x.doc_id, y.doc_id
+    HAVING 100 * count(*) >= 85 * (any_value(p.n_shingles) + any_value(q.n_shingles) - count(*))),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, coalesce(any_value(n_shingles), 0) AS n_shingles, min(b) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.a = doc_id
+GROUP BY doc_id"""
+
 EXACT_SQL = r"""
 WITH normal AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents
@@ -121,4 +142,4 @@ FROM first"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": CONTAINED_SQL, "op5_exact_dedup": EXACT_SQL, "op8_warc": WARC_SQL}
+    return {"op1_decontamination": CONTAINED_SQL, "op2_ngram_jaccard": JACCARD_SQL, "op5_exact_dedup": EXACT_SQL, "op8_warc": WARC_SQL}

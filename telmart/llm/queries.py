@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telmart.llm import decontaminate, exact, jaccard, katz, pieces, quality, suffixes, tokenfiles, warc
+from telmart.llm import chat, decontaminate, exact, jaccard, katz, pieces, quality, suffixes, tokenfiles, warc
 from telmart.llm.shared import remainder, table
 from telmart.session import new_folder
 
@@ -45,6 +45,15 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_copies(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles are learned from the conversations with crc32(conv_id) % 10 > 0."""
+    conversations = table(spark, sf_dir, "conversations")
+    model = chat.train(conversations.where(remainder(F.col("conv_id"), 10) != 0))
+    return chat.canonical_turns(conversations, model).select(
+        "conv_id", "turn", "segment", "role", (remainder(F.col("conv_id"), 10) == 0).alias("held_out"), "rendered"
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train(documents, labels.where(remainder(F.col("doc_id"), 3) != 1))
@@ -73,7 +82,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = (
-        op1_decontamination, op2_ngram_jaccard, op3_sentencepiece, op4_token_files, op5_exact_dedup, op7_quality, op8_warc,
+        op1_decontamination, op2_ngram_jaccard, op3_sentencepiece, op4_token_files, op5_exact_dedup, op6_chat_turns, op7_quality, op8_warc,
         op9_katz, op10_suffix_dedup,
     )
     return {query.__name__: query for query in named}

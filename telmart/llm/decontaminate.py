@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from telmart.llm.shared import flat, slices, text_of
 from telmart.llm.shingles import distinct, shingles, words
@@ -119,20 +120,49 @@ def contained_items(
     table count one by one, null identifiers stay null. A benchmark above
     ``block_bytes`` is taken in blocks of about that size, one pass each.
     """
+    found = None
+    for ids, texts, id_type in _blocks(benchmark, block_bytes):
+        part = _search(documents, ids, texts, n, id_type)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def without_items(
+    documents: DataFrame, benchmark: DataFrame, n: int = WORDS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The documents that contain no item, with all their columns; nothing is
+    moved."""
+    for _, texts, _ in _blocks(benchmark, block_bytes):
+        documents = _clean(documents, texts, n)
+    return documents
+
+
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list, list[str], DataType]]:
+    """The items in blocks that are bounded by their bytes, so that each may
+    come to the driver."""
     items = benchmark.select("item_id", text_of().alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(total // block_bytes) + 1
-    found = None
     for block in range(blocks):
         rows = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        # A block is bounded by its bytes, so that it may come to the driver.
         rows = rows.collect()
-        part = _search(documents, [row[0] for row in rows], [row[1] for row in rows], n, items.schema["item_id"].dataType)
-        found = part if found is None else found.unionByName(part)
-    return found
+        yield [row[0] for row in rows], [row[1] for row in rows], items.schema["item_id"].dataType
+
+
+def _clean(documents: DataFrame, texts: list[str], n: int) -> DataFrame:
+    shared = documents.sparkSession.sparkContext.broadcast(Items(texts, n))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                keep = np.ones(part.num_rows, bool)
+                keep[shared.value.contained(*flat(part.column("text")))[0]] = False
+                yield part.filter(pa.array(keep))
+
+    return documents.mapInArrow(run, documents.schema)
 
 
-def _search(documents: DataFrame, ids: list, texts: list[str], n: int, id_type) -> DataFrame:
+def _search(documents: DataFrame, ids: list, texts: list[str], n: int, id_type: DataType) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast((ids, Items(texts, n)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,6 +7,9 @@ from telmart.llm.shared import SPACE_PATTERN, text_of, written
 HEAD = 64
 
 
+ROW = "__row"
+
+
 def exact_copies(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -21,26 +24,37 @@ def exact_copies(documents: DataFrame, id_column: str = "doc_id", text_column: s
     the table does not meet in one task; each part yields one short row, and
     these are combined by digest.
 
-    A null text counts as empty, so empty, blank-free and null texts are one
-    group; a text of blanks only is one blank, another group. Of rows that
-    share the smallest identifier one stays. Null identifiers never stay while
-    the group has another. Other columns are ignored.
+    A null text counts as empty; a text of white space only is one blank,
+    another group. Of rows that share the smallest identifier one stays. Null
+    identifiers never stay while the group has another. Other columns are
+    ignored.
     """
+    rows = documents.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.lit(0).alias(ROW))
+    return _verdicts(rows).drop(ROW)
+
+
+def without_copies(documents: DataFrame) -> DataFrame:
+    """The documents that stay, with all their columns."""
+    numbered = documents.withColumn(ROW, F.monotonically_increasing_id())
+    kept = _verdicts(numbered.select("doc_id", "text", ROW)).where("kept").select(ROW)
+    return numbered.join(kept, ROW, "left_semi").select(*documents.columns)
+
+
+def _verdicts(documents: DataFrame) -> DataFrame:
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     normal = documents.select(
-        F.col(id_column).alias("doc_id"),
-        F.regexp_replace(text_of(text_column), SPACE_PATTERN, " ").alias("content"),
+        "doc_id", ROW, F.regexp_replace(text_of(), SPACE_PATTERN, " ").alias("content"),
     )
     ranged = normal.select(
-        "doc_id", "content",
+        "doc_id", ROW, "content",
         F.substring("content", 1, HEAD).alias("head"),
         F.sha2("content", 256).alias("text_sha256"),
         F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("part"),
     ).repartitionByRange("head", "text_sha256", "part")
     equal = Window.partitionBy("head", "text_sha256", "part", "content")
     placed = written(ranged.select(
-        "doc_id", "text_sha256",
-        F.row_number().over(equal.orderBy(F.col("doc_id").asc_nulls_last())).alias("place"),
+        "doc_id", ROW, "text_sha256",
+        F.row_number().over(equal.orderBy(F.col("doc_id").asc_nulls_last(), ROW)).alias("place"),
         F.count("*").over(equal).alias("in_part"),
     ), "exact-places")
     # Written, so that the join deals both sides out and can split a frequent text.
@@ -50,5 +64,5 @@ def exact_copies(documents: DataFrame, id_column: str = "doc_id", text_column: s
     return placed.join(groups, "text_sha256").select(
         "doc_id", "keep_id", "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("place") == 1)).alias("kept"),
-        "text_sha256",
+        "text_sha256", ROW,
     )

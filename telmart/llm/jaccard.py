@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from telmart.llm.components import components
 from telmart.llm.packing import pack, smallest, steps, unpack
-from telmart.llm.shared import binary, flat, slices, text_of, written
+from telmart.llm.shared import binary, flat, numbered, slices, written
 from telmart.llm.shingles import distinct, mix, shingles, words
 
 GROUPS = 64
@@ -39,6 +39,7 @@ BLOCK_SHINGLES = 1 << 20
 KEYS_AT_ONCE = 1 << 22
 BLOCKS_PER_PARTITION = 4
 LEVEL_RATIO = 1.4
+ROW = "__row"
 
 
 @dataclass(frozen=True)
@@ -205,12 +206,6 @@ def forest(left: list[np.ndarray], right: list[np.ndarray] | None, rule: Rule) -
     return links
 
 
-def _numbered(documents: DataFrame) -> DataFrame:
-    """Rows with numbers that follow from the scan alone, so that every pass
-    gives a row the same number."""
-    return documents.select("doc_id", text_of().alias("text"), F.monotonically_increasing_id().alias("row"))
-
-
 def _sets(piece: pa.RecordBatch, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     _, _, hashes, bounds = words(*flat(piece.column("text")))
     return distinct(*shingles(hashes, bounds, rule.words))
@@ -242,7 +237,7 @@ def _sketches(documents: DataFrame, rule: Rule) -> DataFrame:
                     pa.array([x if y and len(x) else None for x, y in zip(packed.to_pylist(), own)], pa.binary()),
                 ], ["doc_id", "row", "n_shingles", "one", "two", "keys"])
 
-    rows = _numbered(documents)
+    rows = numbered(documents)
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, row long, n_shingles long, one long, two long, keys binary")
 
@@ -343,7 +338,7 @@ def _links(documents: DataFrame, hoods: DataFrame, rule: Rule) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "a": pa.array([a[i] for i, _ in found], pa.int64()), "b": pa.array([b[j] for _, j in found], pa.int64())})
 
-    texts = _numbered(documents).select("row", "text").join(hoods, "row")
+    texts = numbered(documents).select("row", "text").join(hoods, "row")
     sets = texts.mapInArrow(load, "row long, hood long, block int, blocks int, shingles binary")
     # Every two blocks of a neighbourhood meet in one task; the row of the
     # second one is marked by its sign.
@@ -359,7 +354,8 @@ def _links(documents: DataFrame, hoods: DataFrame, rule: Rule) -> DataFrame:
 
 def linked_documents(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that links lead
-    to, its own included) of every document.
+    to, its own included) and first (whether it is the document of that
+    identifier, one row of each component) of every document.
 
     Words are runs of bytes other than white space, A-Z in lower case; a text
     of fewer words than a shingle is one shingle. A text without words, empty
@@ -368,16 +364,30 @@ def linked_documents(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     with each other; a null doc_id is no smallest one, and a component that has
     no other has a null component_id. Other columns are ignored.
     """
+    return _linked(documents, rule).drop("row")
+
+
+def without_near_copies(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """One document of each component, that of the smallest identifier, with
+    all its columns. Documents without words all stay."""
+    numbered = documents.withColumn(ROW, F.monotonically_increasing_id())
+    kept = _linked(documents, rule).where("first").select(F.col("row").alias(ROW))
+    return numbered.join(kept, ROW, "left_semi").select(*documents.columns)
+
+
+def _linked(documents: DataFrame, rule: Rule) -> DataFrame:
     blocks = BLOCKS_PER_PARTITION * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sketches = written(_sketches(documents, rule), "jaccard-sets")
     classes = written(
         sketches.where("n_shingles > 0").groupBy("one", "two", "n_shingles").agg(
-            F.min("row").alias("node"), F.min("doc_id").alias("first_id")
+            F.min("row").alias("node"),
+            # The smallest identifier, null last, and its first row.
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("leader"),
         ), "jaccard-classes",
     )
     members = written(
         sketches.drop("keys").join(classes, ["one", "two", "n_shingles"], "left")
-        .select("row", "doc_id", "n_shingles", "node", "first_id"), "jaccard-members",
+        .select("row", "doc_id", "n_shingles", "node", "leader"), "jaccard-members",
     )
     node_of = members.where("node IS NOT NULL").select("row", "node")
     near = (
@@ -393,11 +403,12 @@ def linked_documents(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
         "row", "hood", F.pmod(F.xxhash64("row"), F.col("blocks").cast("long")).cast("int").alias("block"), "blocks",
     ), "jaccard-hoods")
     found = components(_links(documents, placed, rule))
-    firsts = found.join(classes.select("node", "first_id"), "node").groupBy("label").agg(F.min("first_id").alias("component_id"))
+    leaders = found.join(classes.select("node", "leader"), "node").groupBy("label").agg(F.min("leader").alias("head"))
     # Written, so that the join deals both sides out and can split a frequent set.
-    names = written(found.join(firsts, "label").select("node", "component_id"), "jaccard-components")
-    return members.join(names, "node", "left").select(
+    names = written(found.join(leaders, "label").select("node", "head"), "jaccard-components")
+    lone = F.col("n_shingles") == 0
+    return members.join(names, "node", "left").withColumn("head", F.coalesce("head", "leader")).select(
         "doc_id", "n_shingles",
-        F.when(F.col("n_shingles") == 0, F.col("doc_id"))
-        .otherwise(F.coalesce("component_id", "first_id")).alias("component_id"),
+        F.when(lone, F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"),
+        (lone | (F.col("row") == F.col("head.row"))).alias("first"), "row",
     )

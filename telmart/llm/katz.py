@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from telmart.llm.packing import pack, smallest, steps, unpack
-from telmart.llm.shared import flat, remainder, slices, text_of, written
+from telmart.llm.shared import flat, numbered, remainder, slices, written
 from telmart.llm.shingles import mix, words
 
 KATZ_LIMIT = 5
@@ -105,13 +105,8 @@ def _tokens(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return token, history, bounds + np.arange(len(bounds))
 
 
-def _numbered(documents: DataFrame) -> DataFrame:
-    """Rows with numbers that follow from the scan alone, so that every pass
-    gives a row the same number."""
-    return documents.select(
-        "doc_id", text_of().alias("text"), (remainder(F.col("doc_id"), 10) == 0).alias("held_out"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+def _rows(documents: DataFrame) -> DataFrame:
+    return numbered(documents).withColumn("held_out", remainder(F.col("doc_id"), 10) == 0)
 
 
 def _counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +159,7 @@ def count_words(documents: DataFrame, blocks: int) -> DataFrame:
             values, counts = _counted([(np.cumsum(w, dtype=np.uint64), n.astype(np.int64)) for w, n in parts])
             yield _batch(w=pa.array(values.view(np.int64)), n=pa.array(counts))
 
-    dealt = _numbered(documents).mapInArrow(local, "block int, payload binary")
+    dealt = _rows(documents).mapInArrow(local, "block int, payload binary")
     return dealt.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "w long, n long")
 
 
@@ -236,7 +231,7 @@ def _own_figures(documents: DataFrame, shared) -> DataFrame:
                     ], pa.binary()),
                 ], ["doc_id", "row", "held_out", "n_tokens", "n_known", "base_score", "rare"])
 
-    rows = _numbered(documents)
+    rows = _rows(documents)
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
         run, f"doc_id {kind}, row long, held_out boolean, n_tokens long, n_known long, base_score double, rare binary"
@@ -371,7 +366,7 @@ def _pairs(documents: DataFrame, rare: DataFrame, shared, blocks: int) -> DataFr
         if held:
             yield _deal(dealer, *_unrolled(waiting))
 
-    return _numbered(documents).mapInArrow(frequent, "block int, payload binary").unionByName(
+    return _rows(documents).mapInArrow(frequent, "block int, payload binary").unionByName(
         rare.mapInArrow(other, "block int, payload binary")
     )
 

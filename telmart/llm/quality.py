@@ -202,6 +202,28 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     return fit(np.concatenate([number[i] for i in order]), np.concatenate([value[i] for i in order]), before, label[order])
 
 
+def _scores(model: Machine, text: pa.Array, stated: np.ndarray) -> np.ndarray:
+    raw = model.raw(*features(*flat(text), stated))
+    return 1 / (1 + np.exp(-np.clip(raw.astype(np.float64), -500, 500)))
+
+
+def only_good(documents: DataFrame, model: Machine, least: float = 0.5) -> DataFrame:
+    """The documents with a score of at least ``least``, with all their
+    columns; nothing is moved."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    has_length = "n_chars" in documents.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 4 << 20):
+                stated = np.full(part.num_rows, -1.0)
+                if has_length:
+                    stated = part.column("n_chars").cast(pa.float64()).fill_null(-1.0).to_numpy(zero_copy_only=False)
+                yield part.filter(pa.array(_scores(shared.value, part.column("text"), stated) >= least))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def score(documents: DataFrame, model: Machine) -> DataFrame:
     """doc_id, score (0 to 1) and predicted (1 from 0.5 on) of every document.
 
@@ -214,8 +236,7 @@ def score(documents: DataFrame, model: Machine) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 4 << 20):
-                raw = shared.value.raw(*features(*flat(part.column("text")), part.column("stated").to_numpy()))
-                value = 1 / (1 + np.exp(-np.clip(raw.astype(np.float64), -500, 500)))
+                value = _scores(shared.value, part.column("text"), part.column("stated").to_numpy())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(value)], ["doc_id", "score"])
 
     rows = _inputs(documents)

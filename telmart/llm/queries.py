@@ -5,28 +5,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from telmart.llm import chat, decontaminate, exact, jaccard, katz, pieces, quality, suffixes, tokenfiles, warc
-from telmart.llm.shared import remainder, table
+from telmart.llm.shared import remainder, table, vocabulary
 from telmart.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _vocabulary(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.linked_documents(table(spark, sf_dir, "documents"), jaccard.Rule(words=4, percent=85))
+    return jaccard.linked_documents(table(spark, sf_dir, "documents"), jaccard.Rule(words=4, percent=85)).drop("first")
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pieces.encode_texts(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    rows = pieces.encode_texts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
     return rows.select(
         "doc_id", "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -36,7 +30,7 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
-    manifest = tokenfiles.write_tokens(table(spark, sf_dir, "documents"), folder, _vocabulary("byte_bpe_50k.json"))
+    manifest = tokenfiles.write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary("byte_bpe_50k.json"))
     rows = tokenfiles.read_tokens(spark, manifest, folder)
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -25,10 +25,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """The path of a public tokenizer's file, which every machine has."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def numbered(documents: DataFrame) -> DataFrame:
+    """doc_id, text and row. The row numbers follow from the scan alone, so
+    every pass over the same table gives a row the same number; ``documents``
+    should be a table, or one filtered and projected, not the result of a
+    shuffle. The number divided by 2^33 names the part of the scan."""
+    return documents.select("doc_id", text_of().alias("text"), F.monotonically_increasing_id().alias("row"))
+
+
 def remainder(doc_id: Column, of: int) -> Column:
     """crc32 of the identifier as text, modulo ``of``; a null counts as empty."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % of

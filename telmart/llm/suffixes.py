@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from telmart.llm.packing import pack, smallest, steps, unpack
-from telmart.llm.shared import flat, slices, text_of, written
+from telmart.llm.shared import flat, numbered, slices, written
 from telmart.llm.shingles import mix, span_hashes
 
 LENGTH = 400
@@ -81,12 +81,6 @@ def suffixes(data: np.ndarray, offsets: np.ndarray, length: int):
 SUFFIX = "lead long, same long, run long, row long, place long, back int, ahead int"
 
 
-def _numbered(documents: DataFrame) -> DataFrame:
-    """Rows with numbers that follow from the scan alone, so that every pass
-    gives a row the same number."""
-    return documents.select("doc_id", text_of().alias("text"), F.monotonically_increasing_id().alias("row"))
-
-
 def _listed(documents: DataFrame, length: int) -> DataFrame:
     """The suffixes of all texts: their first eight bytes, the digest of the
     bytes that must agree, the digest of the whole run, the row, the place, and
@@ -109,7 +103,7 @@ def _listed(documents: DataFrame, length: int) -> DataFrame:
                     pa.array((place - first).astype(np.int32)), pa.array((last - first).astype(np.int32)),
                 ], ["lead", "same", "run", "row", "place", "back", "ahead"])
 
-    return _numbered(documents).select("row", "text").mapInArrow(run, SUFFIX)
+    return numbered(documents).select("row", "text").mapInArrow(run, SUFFIX)
 
 
 def multikey_order(words: list[np.ndarray]) -> np.ndarray:
@@ -289,7 +283,7 @@ def _by_string(documents: DataFrame, opened: DataFrame, length: int, blocks: int
                 "source": pa.array([x for x, _ in out], pa.int64()), "payload": pa.array([x for _, x in out], pa.binary())})
 
     runs = opened.groupBy("row").agg(F.collect_list(F.struct("same", "place", "back", "ahead")).alias("runs"))
-    texts = _numbered(documents).select("row", "text")
+    texts = numbered(documents).select("row", "text")
     dealt = texts.join(runs, "row").mapInArrow(strings, "block int, source long, payload binary")
     # What is decided already has no block; it stays spread over all tasks.
     spread = F.coalesce(F.col("block").cast("long"), F.xxhash64("payload"))
@@ -391,7 +385,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
                     pa.array([len(x) for x in spans], pa.int64()), pa.array(spans, spans_type), pa.array(kept, pa.binary()),
                 ], ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
 
-    rows = _numbered(documents)
+    rows = numbered(documents)
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.join(ranges, "row", "left").select("doc_id", "text", "ranges").mapInArrow(
         run,

@@ -9,7 +9,10 @@ from telmart.llm import stages
 from telmart.llm.shared import table, written
 
 STAGES = [
+    ("quality", stages.keep_good),
     ("exact copies", stages.drop_copies),
+    ("near copies", stages.drop_near_copies),
+    ("benchmark passages", stages.drop_contaminated),
     ("tokens", stages.encode),
 ]
 

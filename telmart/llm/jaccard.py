@@ -21,7 +21,9 @@ each of which has an R-tree, or one for each block of it if it is large.
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import combinations
+from math import lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,8 @@ BLOCK_SHINGLES = 1 << 20
 KEYS_AT_ONCE = 1 << 22
 BLOCKS_PER_PARTITION = 4
 LEVEL_RATIO = 1.4
+# The logarithm of the chance of a document with many empty sections.
+RARELY = log(1e-4)
 ROW = "__row"
 
 
@@ -61,12 +65,25 @@ def level_starts(most: int) -> np.ndarray:
     return np.array(starts, np.int64)
 
 
-def sections(level_end: int, rule: Rule) -> tuple[int, int]:
-    """For sets of less than ``level_end`` shingles: how many sections, and
-    how many of them agree at least in two linked sets."""
-    differ = 2 * (level_end - 1) * (100 - rule.percent) // (100 + rule.percent)
-    agree = 1 if differ == 0 else differ * 15 // 100 + 4
-    return differ + agree, agree
+@lru_cache(maxsize=1024)
+def sections(least: int, end: int, rule: Rule) -> tuple[int, int]:
+    """For sets of ``least`` to ``end`` - 1 shingles: how many sections, and
+    how many of them agree at least in two linked sets. As many agree as makes
+    it rare for a set to leave that many empty: it would have to lie in the
+    other sections entirely, which has a chance of at most
+    C(count, differ) (differ / count)^least."""
+    differ = 2 * (end - 1) * (100 - rule.percent) // (100 + rule.percent)
+    if differ == 0:
+        return 1, 1
+    agree = 4 + differ // 20
+    while True:
+        count = differ + agree
+        if count > 4 * end + 40:
+            raise ValueError(f"{rule.percent} percent are too few for exact sections")
+        ways = lgamma(count + 1) - lgamma(differ + 1) - lgamma(agree + 1)
+        if ways + least * log(differ / count) <= RARELY:
+            return count, agree
+        agree += 1 + agree // 50
 
 
 def section_keys(values: np.ndarray, before: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +97,7 @@ def section_keys(values: np.ndarray, before: np.ndarray, rule: Rule) -> tuple[np
         here = np.flatnonzero((sizes > 0) & (own <= level) & (top >= level))
         if not len(here):
             continue
-        count, agree = sections(int(starts[level + 1]), rule)
+        count, agree = sections(int(starts[level]), int(starts[level + 1]), rule)
         many = sizes[here]
         at = np.repeat(before[:-1][here] - (np.cumsum(many) - many), many) + np.arange(many.sum())
         spread = mix(values[at] + np.uint64(2 * level + 1))

@@ -30,11 +30,15 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
     stream = commands.add_parser("enrich", help="join the topic with the subscribers")
     stream.add_argument("--cleaned", required=True)
-    stream.add_argument("--facts", required=True)
+    stream.add_argument("--facts", help="folder of the fact table")
+    stream.add_argument("--format", help="append to this Spark format instead, such as jdbc")
+    stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="of the format")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--once", action="store_true", help="end after what is there now")
     stream.add_argument("--every", help="time between micro-batches, such as '10 minutes'")
     stream.add_argument("--max-messages", type=int, help="a broker's most messages per micro-batch")
+    stream.add_argument("--broadcast-messages", action="store_true",
+                        help="join limited micro-batches without shuffling the subscribers")
     _topic(stream)
 
     reports = commands.add_parser("marts", help="create all report tables and export them")
@@ -42,7 +46,15 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     reports.add_argument("--tables", required=True, help="folder of the report tables")
     reports.add_argument("--export", required=True)
     reports.add_argument("--as-of", help="date that ages refer to; today if not given")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.job == "enrich":
+        if args.folder and args.max_messages is not None:
+            parser.error("--max-messages is for a broker; a folder has no such limit")
+        if args.broadcast_messages and args.max_messages is None:
+            parser.error("--broadcast-messages needs a limit, --max-messages")
+        if (args.facts is None) == (args.format is None):
+            parser.error("name one target, --facts or --format")
+    return args
 
 
 def _topic(parser: argparse.ArgumentParser) -> None:
@@ -69,16 +81,19 @@ def main(argv: list[str] | None = None) -> None:
         week = jobs.publish_next_week(
             spark, jobs.read_staged_revenue(spark, args.staged), args.progress, send
         )
-        print(f"published week {week}")
+        print("nothing to publish yet" if week is None else f"published week {week}")
     elif args.job == "enrich":
-        known = files.read_collection(spark, f"{args.cleaned}/subscribers")
         if args.folder:
-            rows = enrichment.enriched(messages.folder_stream(spark, args.folder), known)
+            stream = messages.folder_stream(spark, args.folder)
         else:
             stream = messages.topic_stream(spark, args.servers, args.topic, args.max_messages)
-            rows = enrichment.enriched(stream, known, args.max_messages)
-        enrichment.append_to_table(
-            rows, args.facts, args.checkpoint, args.once, args.every
+        if args.format:
+            write = enrichment.format_writer(args.format, dict(x.split("=", 1) for x in args.option))
+        else:
+            write = enrichment.fact_writer(args.facts, args.checkpoint)
+        jobs.enrich_stream(
+            spark, stream, f"{args.cleaned}/subscribers", write, args.checkpoint, args.once, args.every,
+            args.broadcast_messages,
         ).awaitTermination()
     else:
         activity = enrich.as_activity(jobs.read_facts(spark, args.facts))

@@ -17,10 +17,12 @@ def null_count(columns: list[str]) -> Column:
 
 
 def age(year_of_birth: Column, as_of: str | None = None) -> Column:
-    """Calendar year of ``as_of`` (today if not given) minus the birth year;
-    null where the birth year is no number."""
+    """Calendar year of ``as_of`` (today if not given) minus the birth year,
+    which may be written 1990.0; null where it is no whole number."""
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    return F.try_subtract(F.year(today), year_of_birth.try_cast("int"))
+    number = year_of_birth.cast("string").try_cast("decimal(20,6)")
+    whole = F.when(number == F.floor(number), number.try_cast("int"))
+    return F.try_subtract(F.year(today), whole)
 
 
 def age_band(years: Column) -> Column:

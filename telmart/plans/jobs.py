@@ -4,6 +4,8 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from telmart import schemas
@@ -61,54 +63,97 @@ def read_staged_revenue(spark: SparkSession, path: str) -> DataFrame:
 
 def next_week(spark: SparkSession, progress: str) -> int:
     """The week after the last one that was published."""
-    try:
-        done = spark.read.schema("week_number int").parquet(progress)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return messages.FIRST_WEEK
-    last = done.agg(F.max("week_number")).first()[0]
+    last = _last_recorded(spark, "week_number", progress)
     return messages.FIRST_WEEK if last is None else last + 1
 
 
 def publish_next_week(
     spark: SparkSession, revenue: DataFrame, progress: str, publish: Callable[[DataFrame], None]
-) -> int:
-    """Publishes one week and records it once that has succeeded."""
+) -> int | None:
+    """Publishes one week and records it once that has succeeded. A week that
+    ``revenue`` does not hold yet is neither sent nor recorded: the result is
+    None, and a later run sends it."""
     week = next_week(spark, progress)
+    if revenue.filter(F.col("week_number") == week).isEmpty():
+        return None
     publish(messages.week_messages(revenue, week))
-    spark.range(1).select(F.lit(week).cast("int").alias("week_number")).write.mode("append").parquet(progress)
+    _record(spark, "week_number", week, progress)
     return week
 
 
+def _record(spark: SparkSession, name: str, number: int, path: str) -> None:
+    spark.range(1).select(F.lit(number).cast("int").alias(name)).write.mode("append").parquet(path)
+
+
+def _last_recorded(spark: SparkSession, name: str, path: str) -> int | None:
+    try:
+        done = spark.read.schema(f"{name} int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return done.agg(F.max(name)).first()[0]
+
+
 def write_subscribers(spark: SparkSession, crm_rows: DataFrame, device_rows: DataFrame, path: str) -> DataFrame:
-    """The static side of the stream join, as a table."""
-    enrich.subscribers(crm_rows, device_rows).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """A new version of the static side of the stream join, in a folder of its
+    own and recorded last: readers of the version before are not disturbed, and
+    nobody reads one that is not complete."""
+    version = (_last_recorded(spark, "version", f"{path}/versions") or 0) + 1
+    enrich.subscribers(crm_rows, device_rows).write.mode("overwrite").parquet(f"{path}/version-{version}")
+    _record(spark, "version", version, f"{path}/versions")
+    return read_subscribers(spark, path)
+
+
+def read_subscribers(spark: SparkSession, path: str) -> DataFrame:
+    """The subscribers as they are now."""
+    version = _last_recorded(spark, "version", f"{path}/versions")
+    if version is None:
+        raise ValueError(f"no subscribers have been written to {path}")
+    return spark.read.schema(schemas.SUBSCRIBERS).parquet(f"{path}/version-{version}")
+
+
+def enrich_stream(
+    spark: SparkSession, stream: DataFrame, subscribers_path: str, write: enrichment.Writer, checkpoint: str,
+    once: bool = False, every: str | None = None, broadcast: bool = False,
+) -> StreamingQuery:
+    """Joins each micro-batch with the subscribers as they are when it runs and
+    hands it to ``write``. ``broadcast`` reads the subscribers past a micro-batch
+    without a shuffle; only for a source that limits its micro-batches."""
+    return enrichment.append_by_batch(
+        stream,
+        lambda batch, number: write(
+            enrichment.enriched(batch, read_subscribers(batch.sparkSession, subscribers_path), broadcast), number
+        ),
+        checkpoint, once, every,
+    )
 
 
 def enrich_available(
     spark: SparkSession, stream: DataFrame, subscribers_path: str, facts: str, checkpoint: str
 ) -> None:
     """Brings every message that is there now into the fact table."""
-    known = spark.read.parquet(subscribers_path)
-    rows = enrichment.enriched(stream, known)
-    enrichment.append_to_table(rows, facts, checkpoint, once=True).awaitTermination()
+    write = enrichment.fact_writer(facts, checkpoint)
+    enrich_stream(spark, stream, subscribers_path, write, checkpoint, once=True).awaitTermination()
 
 
 def replay(
     spark: SparkSession, revenue: DataFrame, subscribers_path: str, folder: str
 ) -> str:
     """Week after week: publish it, then run the enrichment from where its
-    checkpoint stands. Ends after the last week that has revenue."""
+    checkpoint stands. Ends after the last week that has revenue; a week
+    without any is passed over, as all revenue is there."""
     topic, facts = f"{folder}/topic", f"{folder}/facts"
     stage_revenue(revenue, f"{folder}/revenue")
     revenue = read_staged_revenue(spark, f"{folder}/revenue")
     last = revenue.agg(F.max("week_number")).first()[0]
     while last is not None and next_week(spark, f"{folder}/progress") <= last:
-        publish_next_week(
+        sent = publish_next_week(
             spark, revenue, f"{folder}/progress", lambda rows: messages.publish_folder(rows, topic)
         )
+        if sent is None:
+            _record(spark, "week_number", next_week(spark, f"{folder}/progress"), f"{folder}/progress")
+            continue
         stream = messages.folder_stream(spark, topic)
         enrich_available(spark, stream, subscribers_path, facts, f"{folder}/checkpoint")
     return facts
@@ -119,6 +164,11 @@ def read_facts(spark: SparkSession, facts: str) -> DataFrame:
     return spark.read.schema(schemas.FACTS).parquet(facts).select(*schemas.FACTS.names)
 
 
+def drop_tables(spark: SparkSession, tables: list[str]) -> None:
+    for table in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def create_marts(
     spark: SparkSession, activity: DataFrame, folder: str, as_of: str | None = None, prefix: str = ""
 ) -> list[str]:
@@ -152,5 +202,7 @@ def export_tables(spark: SparkSession, tables: list[str], folder: str) -> None:
         list(pool.map(export, tables))
 
 
-def read_export(spark: SparkSession, table: str, folder: str) -> DataFrame:
-    return files.read_text_table(spark, f"{folder}/{table}", spark.table(table).schema)
+def read_export(spark: SparkSession, table: str, folder: str, schema: StructType | None = None) -> DataFrame:
+    """An export with the columns of its table, or of ``schema`` if the table is
+    gone."""
+    return files.read_text_table(spark, f"{folder}/{table}", schema or spark.table(table).schema)

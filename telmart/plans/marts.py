@@ -62,6 +62,7 @@ _RANGE = {
 }
 _WEEK = ("week_number",)
 
+# Table and column names as report readers know them, spelling included.
 MARTS = [
     Mart("total_devices", "total_devices", (), {"total_devices": _devices}),
     Mart("devices_by_week", "total_devices_weekwise", _WEEK, {"total_devices": _events}, ordered=True),
@@ -112,7 +113,6 @@ MARTS = [
     Mart("revenue_range_by_brand_week", "highest_lowest_revenue_by_brand_name_weekwise",
          _WEEK + ("brand_name",), _RANGE),
     Mart("revenue_range_by_os_week", "highest_lowest_revenue_by_os_name_weekwise", _WEEK + ("os_name",), _RANGE),
-    # Table names as report readers know them, spelling included.
     Mart("brand_by_age_band", "distrbution_brand_name_by_age",
          ("age_group", "brand_name"), {"total_customers": _events}),
     Mart("os_by_age_band", "distrbution_os_name_by_age", ("age_group", "os_name"), {"total_customers": _events}),

@@ -4,13 +4,14 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from telmart.functions import gender
 from telmart.functions.labels import age, age_band, or_not_available
 from telmart.functions.money import dollars
 from telmart.operators import crm, device, enrich
 from telmart.plans import jobs, marts
-from telmart.session import new_folder
+from telmart.session import new_folder, remove_folder
 from telmart.sources import files, fixtures, messages
 from telmart.streaming import enrichment
 
@@ -39,21 +40,26 @@ def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources
 
 
+def _reordered(rows: DataFrame) -> DataFrame:
+    """The columns back to front, and one more: text files are read by header."""
+    return rows.select(F.lit("x").alias("further"), *reversed(rows.columns))
+
+
 def scan_crm(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "crm-text")
-    files.write_text_table(fixtures.crm_raw(spark, sf_dir), path)
+    files.write_text_table(_reordered(fixtures.crm_raw(spark, sf_dir)), path)
     return files.scan_crm(spark, path)
 
 
 def scan_device(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "device-text")
-    files.write_text_table(fixtures.device_raw(spark, sf_dir), path)
+    files.write_text_table(_reordered(fixtures.device_raw(spark, sf_dir)), path)
     return files.scan_device(spark, path)
 
 
 def scan_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "revenue-text")
-    files.write_text_table(fixtures.revenue(spark, sf_dir), path)
+    files.write_text_table(_reordered(fixtures.revenue(spark, sf_dir)), path)
     return _in_double(files.scan_revenue(spark, path))
 
 
@@ -169,10 +175,17 @@ def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     enrichment.append_to_table(
         rows, f"{folder}/decoded", f"{folder}/checkpoint", once=True
     ).awaitTermination()
+    _remove(spark, folder, "topic", "checkpoint")
     decoded = spark.read.parquet(f"{folder}/decoded")
     return _in_double(decoded.select("msisdn", "week_number", "revenue_usd"))
 
 
+def _remove(spark: SparkSession, folder: str, *names: str) -> None:
+    """What a result no longer rests on."""
+    for name in names:
+        remove_folder(spark, f"{folder}/{name}")
+
+
 def _written_subscribers(spark: SparkSession, sf_dir: str, folder: str) -> str:
     path = f"{folder}/subscribers"
     jobs.write_subscribers(spark, _crm(spark, sf_dir), _device(spark, sf_dir), path)
@@ -185,25 +198,64 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages.publish_folder(_all_messages(spark, sf_dir), f"{folder}/topic")
     stream = messages.folder_stream(spark, f"{folder}/topic")
     jobs.enrich_available(spark, stream, known, f"{folder}/facts", f"{folder}/checkpoint")
+    _remove(spark, folder, "subscribers", "topic", "checkpoint")
+    return _in_double(jobs.read_facts(spark, f"{folder}/facts"))
+
+
+def stream_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One running stream. The first week meets subscribers of the customer side
+    only; the others come after the full table has been written."""
+    folder = new_folder(spark, "stream-refreshed")
+    topic, known = f"{folder}/topic", f"{folder}/subscribers"
+    customers, revenue = _crm(spark, sf_dir), fixtures.revenue(spark, sf_dir)
+    devices = _device(spark, sf_dir)
+    first = F.col("week_number") == messages.FIRST_WEEK
+    jobs.write_subscribers(spark, customers, devices.limit(0), known)
+    messages.publish_folder(messages.encode(revenue.filter(first)), topic)
+    write = enrichment.fact_writer(f"{folder}/facts", f"{folder}/checkpoint")
+    running = jobs.enrich_stream(spark, messages.folder_stream(spark, topic), known, write, f"{folder}/checkpoint")
+    try:
+        running.processAllAvailable()
+        jobs.write_subscribers(spark, customers, devices, known)
+        messages.publish_folder(messages.encode(revenue.filter(~first)), topic)
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    _remove(spark, folder, "subscribers", "topic", "checkpoint")
     return _in_double(jobs.read_facts(spark, f"{folder}/facts"))
 
 
+def stream_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream appended to a target that has a batch writer only."""
+    folder = new_folder(spark, "stream-by-batch")
+    known = _written_subscribers(spark, sf_dir, folder)
+    messages.publish_folder(_all_messages(spark, sf_dir), f"{folder}/topic")
+    write = enrichment.format_writer("orc", {"path": f"{folder}/target"})
+    stream = messages.folder_stream(spark, f"{folder}/topic")
+    jobs.enrich_stream(spark, stream, known, write, f"{folder}/checkpoint", once=True).awaitTermination()
+    _remove(spark, folder, "subscribers", "topic", "checkpoint")
+    return _in_double(spark.read.orc(f"{folder}/target"))
+
+
 def replay_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "replay")
     known = _written_subscribers(spark, sf_dir, folder)
     facts = jobs.replay(spark, fixtures.revenue(spark, sf_dir), known, folder)
+    _remove(spark, folder, "subscribers", "topic", "checkpoint", "revenue", "progress")
     return _in_double(jobs.read_facts(spark, facts))
 
 
 def replay_next_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of the publisher: the first week there is, then the next."""
     folder = new_folder(spark, "next-week")
-    revenue = fixtures.revenue(spark, sf_dir)
+    jobs.stage_revenue(fixtures.revenue(spark, sf_dir), f"{folder}/revenue")
+    revenue = jobs.read_staged_revenue(spark, f"{folder}/revenue")
     for _ in range(2):
         jobs.publish_next_week(
             spark, revenue, f"{folder}/progress",
             lambda rows: messages.publish_folder(rows, f"{folder}/topic"),
         )
+    _remove(spark, folder, "revenue", "progress")
     return _in_double(messages.decode(spark.read.parquet(f"{folder}/topic")))
 
 
@@ -227,17 +279,22 @@ def export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     activity = spark.read.parquet(f"{folder}/activity")
     tables = jobs.create_marts(spark, activity, folder, AS_OF, prefix)
     jobs.export_tables(spark, tables, f"{folder}/out")
-
-    def long_form(mart: marts.Mart, table: str) -> DataFrame:
-        keys = [F.coalesce(F.col(key).cast("string"), F.lit("-")) for key in mart.keys]
-        rows = jobs.read_export(spark, table, f"{folder}/out").select(
+    schemas = [spark.table(table).schema for table in tables]
+    jobs.drop_tables(spark, tables)
+    _remove(spark, folder, "activity", "summary", *[mart.table for mart in marts.MARTS])
+
+    def long_form(mart: marts.Mart, table: str, schema: StructType) -> DataFrame:
+        # A report by exact age shows the band as well.
+        labels = [*mart.keys, *(["age_group"] if "age" in mart.keys else [])]
+        keys = [F.coalesce(F.col(key).cast("string"), F.lit("-")) for key in labels]
+        rows = jobs.read_export(spark, table, f"{folder}/out", schema).select(
             F.lit(mart.table).alias("table_name"),
             F.concat_ws("|", *keys).alias("group_label"),
             *[F.col(name).cast("double").alias(name) for name in mart.measures],
         )
         return rows.unpivot(["table_name", "group_label"], list(mart.measures), "measure", "value")
 
-    return reduce(DataFrame.unionByName, map(long_form, marts.MARTS, tables))
+    return reduce(DataFrame.unionByName, map(long_form, marts.MARTS, tables, schemas))
 
 
 def _mart_query(mart: marts.Mart) -> Query:
@@ -263,6 +320,7 @@ def queries() -> dict[str, Query]:
             crm_window_counts, crm_survivor, device_null_count, device_survivor,
             crm_device_full, subscriber_week, subscriber_activity,
             publish_week_json, decode_payload, stream_decode, stream_enrich,
+            stream_refreshed, stream_by_batch,
             replay_weeks, replay_next_week, guarded_load, export_marts,
         )
     }

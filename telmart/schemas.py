@@ -5,7 +5,8 @@ from pyspark.sql import types as T
 CRM = T.StructType([
     T.StructField("msisdn", T.StringType()),
     T.StructField("gender", T.StringType()),
-    T.StructField("year_of_birth", T.IntegerType()),
+    # As text: it may be written 1990.0, and becomes a label where it is missing.
+    T.StructField("year_of_birth", T.StringType()),
     T.StructField("system_status", T.StringType()),
     T.StructField("mobile_type", T.StringType()),
     T.StructField("value_segment", T.StringType()),
@@ -20,21 +21,18 @@ DEVICE = T.StructType([
     T.StructField("os_vendor", T.StringType()),
 ])
 
-# Money is decimal, so that sums do not depend on the order of the rows.
+# Money is decimal, so that sums do not depend on the order of the rows, with
+# all the digits that are sent: it is rounded once, to cents.
 REVENUE = T.StructType([
     T.StructField("msisdn", T.StringType()),
     T.StructField("week_number", T.IntegerType()),
-    T.StructField("revenue_usd", T.DecimalType(18, 4)),
+    T.StructField("revenue_usd", T.DecimalType(28, 10)),
 ])
 
-# Revenue events of known subscribers; cleaning turns birth years into labels.
-FACTS = T.StructType([
-    *[
-        T.StructField(field.name, T.StringType())
-        for field in [*CRM.fields, *DEVICE.fields[1:]]
-    ],
-    *REVENUE.fields[1:],
-])
+# Subscribers with the columns of both cleaned sides, and their revenue events.
+SUBSCRIBERS = T.StructType([*CRM.fields, *DEVICE.fields[1:]])
+
+FACTS = T.StructType([*SUBSCRIBERS.fields, *REVENUE.fields[1:]])
 
 # One record of a message topic, as Spark's topic reader hands it over.
 MESSAGE = T.StructType([

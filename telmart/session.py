@@ -1,7 +1,5 @@
 """Session settings and the shared folder for intermediate tables."""
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -24,10 +22,13 @@ def session(master: str = "local[*]", shuffle_partitions: int = 8, **settings) -
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path for written tables below the cluster's shared folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = os.path.join(tempfile.gettempdir(), "telmart-tables")
+    """A fresh path for written tables: below spark.checkpoint.dir, which all
+    executors share, or where that is not set below the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a written folder in whatever store it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -1,17 +1,34 @@
 """Headered text files, stored collections and exports."""
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from telmart import schemas
 
 
 def read_text_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """The columns of ``schema`` by their names in the header, in any order.
+
+    Stops where a column is missing, where files have different headers, and
+    where a value is not of its column's type; blanks around numbers are no
+    fault, and further columns are left out.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    missing = [name for name in schema.names if name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    as_text = StructType([StructField(name, StringType()) for name in names])
+    rows = spark.read.schema(as_text).option("header", True).option("enforceSchema", False).csv(path)
+    return rows.select(*[
+        F.col(field.name) if isinstance(field.dataType, StringType)
+        else F.nullif(F.trim(field.name), F.lit("")).cast(field.dataType).alias(field.name)
+        for field in schema
+    ])
 
 
 def scan_crm(spark: SparkSession, path: str) -> DataFrame:
-    return read_text_table(spark, path, schemas.CRM)
+    rows = read_text_table(spark, path, schemas.CRM)
+    return rows.withColumn("year_of_birth", F.nullif(F.trim("year_of_birth"), F.lit("")))
 
 
 def scan_device(spark: SparkSession, path: str) -> DataFrame:

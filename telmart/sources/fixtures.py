@@ -18,6 +18,13 @@ STATUS = """CASE
     END"""
 
 
+# Parts of a cent on both sides of its half, with more digits than four.
+CENT_PARTS = """CASE event_id % 8
+    WHEN 0 THEN 0.00499BD WHEN 1 THEN 0.005BD WHEN 2 THEN 0.00501BD WHEN 3 THEN 0.004999BD
+    WHEN 4 THEN 0.0050000001BD WHEN 5 THEN 0.0049999999BD
+    ELSE cast(event_id % 100 AS decimal(10,0)) * 0.0001BD + 0.0000010000BD END"""
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str, columns: str) -> DataFrame:
     return spark.read.schema(columns).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,12 +32,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str, columns: str) -> DataFra
 def crm_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders", "o_orderkey bigint, o_custkey bigint")
     return orders.selectExpr(
-        "if(o_custkey % 10 = 0, 'C', '') || o_custkey AS msisdn",
+        "if(o_orderkey % 101 <> 0, if(o_custkey % 10 = 0, 'C', '') || o_custkey, null) AS msisdn",
         f"get({GENDER_SPELLINGS}, int(o_orderkey % 20)) AS gender",
-        "if(o_orderkey % 7 <> 0, int(1945 + (o_custkey + o_orderkey % 2) % 60), null) AS year_of_birth",
+        "if(o_orderkey % 7 <> 0, 1945 + (o_custkey + o_orderkey % 2) % 60"
+        " || if(o_custkey % 17 = 0, '.0', ''), null) AS year_of_birth",
         f"{STATUS} AS system_status",
-        "if(o_orderkey % 2 = 0, 'Prepaid', 'Postpaid') AS mobile_type",
-        "'Tier_' || (o_orderkey % 3 + 1) AS value_segment",
+        "if(o_orderkey % 31 <> 0, if(o_orderkey % 2 = 0, 'Prepaid', 'Postpaid'), null) AS mobile_type",
+        "if(o_orderkey % 37 <> 0, 'Tier_' || (o_orderkey % 3 + 1), null) AS value_segment",
     )
 
 
@@ -44,7 +52,7 @@ def device_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines.withColumnRenamed("l_orderkey", "o_orderkey").join(orders, "o_orderkey")
         .withColumnRenamed("l_partkey", "p_partkey").join(parts, "p_partkey")
         .selectExpr(
-            "if(o_custkey % 10 = 1, 'D', '') || o_custkey AS msisdn",
+            "if(o_orderkey % 103 <> 0, if(o_custkey % 10 = 1, 'D', '') || o_custkey, null) AS msisdn",
             "string(p_partkey) AS imei_tac",
             "if(l_linenumber % 3 <> 0, p_brand, null) AS brand_name",
             "p_name AS model_name",
@@ -59,8 +67,7 @@ def revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "events", "event_id bigint, ts timestamp_ntz, user_id bigint, value double"
     )
     return events.selectExpr(
-        "if(event_id % 97 = 0, 'U', '') || user_id AS msisdn",
+        "if(event_id % 89 <> 0, if(event_id % 97 = 0, 'U', '') || user_id, null) AS msisdn",
         "int(22 + datediff(date(ts), DATE '2024-01-01') div 7) AS week_number",
-        "cast(cast(value AS decimal(18,4)) + cast(event_id % 100 AS decimal(10,0)) * 0.0001BD"
-        " AS decimal(18,4)) AS revenue_usd",
+        f"cast(cast(value AS decimal(16,2)) + {CENT_PARTS} AS decimal(28,10)) AS revenue_usd",
     )

@@ -1,12 +1,12 @@
 """The revenue stream joined with the cleaned subscribers.
 
-The join keeps no state. The static side must be a written table: it is read
-anew for every micro-batch, and a plan that cleans raw records would run each
-time. Hot subscribers in a micro-batch are split by adaptive skew-join
-handling, which Spark also applies to stateless streams.
+The join keeps no state. Each micro-batch is joined as a batch, with the
+subscribers as they are then; a subscriber with very many events in it is split
+by adaptive skew-join handling.
 """
 
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -14,22 +14,41 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from telmart.operators.enrich import subscriber_week
 from telmart.sources.messages import decode
 
+# Takes the rows of a micro-batch and its number.
+Writer = Callable[[DataFrame, int], None]
 
-# A decoded message takes some 100 bytes, so this is about 100 MB.
-BROADCAST_MESSAGES = 1_000_000
 
+def enriched(messages: DataFrame, known: DataFrame, broadcast: bool = False) -> DataFrame:
+    """The revenue of known subscribers with all their columns. Both sides are
+    shuffled by msisdn unless ``broadcast`` marks the messages; that is for
+    micro-batches which their source limits."""
+    revenue = decode(messages)
+    return subscriber_week(known, F.broadcast(revenue) if broadcast else revenue)
 
-def enriched(messages: DataFrame, known: DataFrame, max_messages: int | None = None) -> DataFrame:
-    """The revenue of known subscribers with all their columns.
 
-    ``max_messages`` is the source's own limit per micro-batch, if it has one.
-    Where that keeps a micro-batch small, the subscribers are read past it
-    without a shuffle; otherwise both sides are shuffled by msisdn.
-    """
-    revenue = decode(messages)
-    if max_messages is not None and max_messages <= BROADCAST_MESSAGES:
-        revenue = F.broadcast(revenue)
-    return subscriber_week(known, revenue)
+def fact_writer(path: str, checkpoint: str) -> Writer:
+    """Writes a micro-batch to the fact table. It gets a folder of its own, by
+    the stream that its checkpoint names and its number: a batch that comes
+    again replaces itself. Rows are gathered by week first, so a batch writes
+    few files a week; rebalancing splits a large week."""
+    stream = f"{crc32(checkpoint.encode()):08x}"
+
+    def write(rows: DataFrame, number: int) -> None:
+        rows.hint("rebalance", "week_number").write.mode("overwrite").partitionBy("week_number").parquet(
+            f"{path}/stream={stream}/batch={number}"
+        )
+
+    return write
+
+
+def format_writer(fmt: str, options: dict[str, str]) -> Writer:
+    """Appends a micro-batch to a target that has a batch writer, such as a
+    warehouse. A batch that comes again after a failure is appended again,
+    unless the target knows its rows."""
+    def write(rows: DataFrame, number: int) -> None:
+        rows.write.mode("append").format(fmt).options(**options).save()
+
+    return write
 
 
 def _triggered(writer: DataStreamWriter, checkpoint: str, once: bool, every: str | None) -> DataStreamWriter:
@@ -51,11 +70,9 @@ def append_to_table(
 
 
 def append_by_batch(
-    rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
-    once: bool = False, every: str | None = None,
+    rows: DataFrame, write: Writer, checkpoint: str, once: bool = False, every: str | None = None,
 ) -> StreamingQuery:
-    """Appends a stream to a target that only has a batch writer, such as a
-    warehouse. ``write`` gets each micro-batch with its number; a batch may
-    come again after a failure, under the same number."""
+    """Hands each micro-batch of a stream to ``write`` with its number; a batch
+    may come again after a failure, under the same number."""
     writer = rows.writeStream.foreachBatch(write)
     return _triggered(writer, checkpoint, once, every).start()

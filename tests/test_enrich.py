@@ -43,10 +43,12 @@ def test_cents_are_rounded_before_the_sum(spark):
 
 def test_amounts_in_reports_are_exact(spark):
     frame = spark.createDataFrame(
-        [(Decimal("99999999999999.9950"),), (Decimal("-0.0050"),), (Decimal("0.0049"),), (None,)],
-        "usd decimal(18,4)")
+        [(Decimal("99999999999999.9950"),), (Decimal("-0.0050"),), (Decimal("0.0049"),), (None,),
+         (Decimal("1.00499"),), (Decimal("7.444999"),), (Decimal("7.4450000001"),)],
+        "usd decimal(28,10)")
     found = frame.select(cents(F.col("usd")), dollars(cents(F.col("usd")))).collect()
-    assert [tuple(row) for row in found] == [(10**16, 1e14), (-1, -0.01), (0, 0.0), (None, None)]
+    assert [tuple(row) for row in found] == [
+        (10**16, 1e14), (-1, -0.01), (0, 0.0), (None, None), (100, 1.0), (744, 7.44), (745, 7.45)]
 
 
 def test_ages_without_a_birth_year(spark):
@@ -92,7 +94,7 @@ def test_hot_subscribers_are_split_in_the_event_join(spark):
     try:
         revenue = spark.range(0, 60000, 1, 8).selectExpr(
             "if(id % 3 = 0, 'hot', string(id % 5000)) AS msisdn", "22 AS week_number",
-            "cast(id AS decimal(18,4)) AS revenue_usd")
+            "cast(id AS decimal(28,10)) AS revenue_usd")
         known = spark.range(0, 5001, 1, 2).selectExpr(
             "if(id = 5000, 'hot', string(id)) AS msisdn", "'male' AS gender")
         facts = enrich.subscriber_week(known, revenue)

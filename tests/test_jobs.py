@@ -1,8 +1,11 @@
 from collections import Counter
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from telmart import __main__ as command
+from telmart.functions.labels import age
 from telmart.plans import jobs, marts, registry
 from telmart.session import new_folder
 from telmart.sources import files, fixtures, messages
@@ -70,13 +73,75 @@ class Settings:
         self.conf = {key.replace("_", "."): value for key, value in settings.items()}
 
 
-def test_a_cluster_has_to_name_a_shared_folder(spark):
+def test_one_rule_for_the_shared_folder(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
     assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
-    shared = Settings(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared/")
-    assert new_folder(shared, "x").startswith("hdfs:///shared/x-")
-    with pytest.raises(ValueError):
-        new_folder(Settings(spark_master="yarn"), "x")
+    for master in ("yarn", "local[2]"):
+        own = Settings(spark_master=master, spark_sql_warehouse_dir="hdfs:///warehouse")
+        assert new_folder(own, "x").startswith("hdfs:///warehouse/x-")
+        own = Settings(spark_master=master, spark_sql_warehouse_dir="w", spark_checkpoint_dir="hdfs:///shared/")
+        assert new_folder(own, "x").startswith("hdfs:///shared/x-")
+
+
+def test_a_week_is_sent_when_it_is_staged(spark, tmp_path):
+    revenue, staged, progress = fixtures.revenue(spark, SF_DIR), f"{tmp_path}/staged", f"{tmp_path}/progress"
+    sent = []
+
+    def publish():
+        return jobs.publish_next_week(
+            spark, jobs.read_staged_revenue(spark, staged), progress, lambda rows: sent.append(rows.count()))
+
+    jobs.stage_revenue(revenue.filter("week_number = 22"), staged)
+    assert [publish(), publish(), publish()] == [22, None, None]
+    jobs.stage_revenue(revenue.filter("week_number <= 23"), staged)
+    assert [publish(), publish()] == [23, None]
+    assert sent == [revenue.filter(f"week_number = {week}").count() for week in (22, 23)]
+
+
+def text_file(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def test_text_tables_are_read_by_header(spark, tmp_path):
+    text = "gender,value_segment,year_of_birth,x,msisdn,mobile_type,system_status\nmale,Tier_1, 1990.0 ,?,k1,Prepaid,ACTIVE\n"
+    row = files.scan_crm(spark, text_file(tmp_path / "crm.csv", text)).first()
+    assert row.asDict() == {
+        "msisdn": "k1", "gender": "male", "year_of_birth": "1990.0", "system_status": "ACTIVE",
+        "mobile_type": "Prepaid", "value_segment": "Tier_1"}
+    text = "week_number,revenue_usd,msisdn\n 22 ,1.00499,k1\n23, ,k2\n"
+    rows = files.scan_revenue(spark, text_file(tmp_path / "revenue.csv", text)).collect()
+    assert [(r.msisdn, r.week_number, r.revenue_usd) for r in rows] == [("k1", 22, Decimal("1.00499")), ("k2", 23, None)]
+
+
+def test_text_tables_that_are_wrong_stop_the_job(spark, tmp_path):
+    with pytest.raises(ValueError, match="week_number"):
+        files.scan_revenue(spark, text_file(tmp_path / "a.csv", "week,revenue_usd,msisdn\n22,1,k\n"))
+    for line in ("22,a lot,k", "soon,1,k"):
+        path = text_file(tmp_path / "b.csv", f"week_number,revenue_usd,msisdn\n{line}\n")
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            files.scan_revenue(spark, path).collect()
+    folder = tmp_path / "two"
+    folder.mkdir()
+    text_file(folder / "1.csv", "week_number,revenue_usd,msisdn\n22,1,k\n")
+    text_file(folder / "2.csv", "msisdn,week_number,revenue_usd\nk,22,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.scan_revenue(spark, str(folder)).collect()
+
+
+@pytest.mark.parametrize("year, years", [("1990", 34), ("1990.0", 34), (" 1990", 34), ("1990.5", None), ("x", None), (None, None)])
+def test_ages_of_whole_numbers(spark, year, years):
+    frame = spark.createDataFrame([(year,)], "y string")
+    assert frame.select(age(F.col("y"), registry.AS_OF)).first()[0] == years
+
+
+@pytest.mark.parametrize("more", [
+    ["--folder", "f", "--max-messages", "5", "--facts", "x"], ["--servers", "s", "--broadcast-messages", "--facts", "x"],
+    ["--folder", "f"], ["--folder", "f", "--facts", "x", "--format", "orc"],
+])
+def test_options_that_do_not_go_together(more, capsys):
+    with pytest.raises(SystemExit):
+        command.main(["enrich", "--cleaned", "c", "--checkpoint", "p", *more])
 
 
 def test_jobs_from_the_command_line(spark, tmp_path):

@@ -32,7 +32,7 @@ KATZ_LIMIT = 5
 # Words whose counts every task knows, some 20 bytes each.
 KNOWN_EVERYWHERE = 1 << 21
 # Tokens that a task holds before it deals them out.
-TOKENS_AT_ONCE = 1 << 22
+TOKENS_AT_ONCE = 3 << 19
 BLOCKS_PER_PARTITION = 4
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 # Marks a word that is given by its hash, not by its rank.
@@ -287,18 +287,14 @@ class _Dealer:
         return (out % np.uint64(self.blocks)).astype(np.int64)
 
 
-def _sorted_pairs(history, word, place):
-    """Occurrences in order of (history, word, place)."""
-    order = np.lexsort((place, word, history))
-    return history[order], word[order], place[order]
-
-
 def _deal(dealer: _Dealer, history, word, count, place) -> pa.RecordBatch:
     """Occurrences packed by block. ``word`` is a rank, or a hash with its
     training count; ``place`` is the row number times two, plus one if it is
     held out."""
+    order = np.argsort(history)
+    history, word, count, place = history[order], word[order], count[order], place[order]
     block = dealer.block(history, word)
-    order = np.lexsort((place, word, history, block))
+    order = np.argsort(smallest(block), kind="stable")
     history, word, count, place = history[order], word[order], count[order], place[order]
     edges = np.searchsorted(block[order], np.arange(dealer.blocks + 1))
     rows = [b for b in range(dealer.blocks) if edges[b + 1] > edges[b]]
@@ -344,7 +340,7 @@ def _pairs(documents: DataFrame, rare: DataFrame, shared, blocks: int) -> DataFr
                 rank = model.find(token)
                 own = np.flatnonzero(rank >= 0)
                 parts.append((
-                    history[own], rank[own].astype(np.uint64), np.zeros(len(own), np.int64),
+                    history[own], rank[own].astype(np.uint64), np.zeros(len(own), np.uint8),
                     np.repeat(place, np.diff(bounds))[own],
                 ))
                 held += len(own)
@@ -397,28 +393,30 @@ def build_blocks(pairs: DataFrame, shared, blocks: int) -> DataFrame:
         model, dealer = shared.value, _Dealer(shared.value, blocks)
         for block, payloads in _by_block(batches):
             history, word, count, place = _dealt(payloads, model.counts)
-            order = np.lexsort((place, word, history))
-            history, word, count, place = history[order], word[order], count[order], place[order]
-            first = _groups(history, word)
+            order, first = _alike(history, word)
             size = np.diff(np.append(first, len(word)))
-            trained = np.add.reduceat(1 - (place & 1), first)
+            trained = np.add.reduceat(1 - (place[order] & 1), first)
             with_count = np.bincount(np.minimum(trained, KATZ_LIMIT + 2), minlength=KATZ_LIMIT + 3)
-            h, w, n = history[first], word[first], count[first]
+            # Pairs in order of their history, and their occurrences with them.
+            pair = np.argsort(history[order[first]], kind="stable")
+            first, size, trained = first[pair], size[pair], trained[pair]
+            h, w, n = (x[order[first]] for x in (history, word, count))
+            stop = np.cumsum(size)
+            place = place[order[np.repeat(first - (stop - size), size) + np.arange(len(order))]]
             # Histories in several blocks: totals by count, and the words' mass.
             groups = _groups(h)
             hot = groups[dealer.split(h[groups])[0]]
             sums = _history_sums(model, h, n, trained, groups)
             chosen = np.isin(groups, hot)
             hashed = w >= BY_HASH
-            distance = np.diff(place, prepend=0)
-            distance[first] = place[first]
+            least = place.min()
             yield _batch(
                 block=pa.array([block], pa.int32()), with_count=pa.array([with_count.tolist()], pa.list_(pa.int64())),
                 split=pa.array([pack(h[groups[chosen]], *[x[chosen] for x in sums])], pa.binary()),
                 payload=pa.array([pack(
                     steps(h[groups]), smallest(np.diff(np.append(groups, len(h)))),
                     smallest(np.where(hashed, 0, w + np.uint64(1))), w[hashed], smallest(n[hashed]),
-                    smallest(trained), smallest(size), smallest(distance),
+                    smallest(trained), smallest(size), np.array([least]), smallest(place - least),
                 )], pa.binary()),
             )
 
@@ -427,6 +425,19 @@ def build_blocks(pairs: DataFrame, shared, blocks: int) -> DataFrame:
     )
 
 
+def _alike(history: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal pairs side by side, and where each begins."""
+    key = mix(history ^ mix(word))
+    order = np.argsort(key)
+    key, history, word = key[order], history[order], word[order]
+    first = _groups(history, word)
+    if len(first) == len(_groups(key)):
+        return order, first
+    # Two pairs with one key.
+    again = np.lexsort((word, history))
+    return order[again], _groups(history[again], word[again])
+
+
 def _history_sums(model: Unigrams, h, n, trained, groups):
     """Per history: training tokens, tokens by small count (one column each),
     and the mass of P(w) of the words seen after it."""
@@ -459,7 +470,7 @@ def evaluate(blocks: DataFrame, shared, dealer_blocks: int) -> DataFrame:
             for payload in batch.column("payload").to_pylist():
                 place, score = _evaluated(model, by, split, payload)
                 row = place >> 1
-                order = np.argsort(row, kind="stable")
+                order = np.argsort(row)
                 row, score = row[order], score[order]
                 first = _groups(row)
                 total = np.add.reduceat(score, first)
@@ -496,7 +507,7 @@ def evaluate(blocks: DataFrame, shared, dealer_blocks: int) -> DataFrame:
 
 def _evaluated(model: Unigrams, by: np.ndarray, split: dict, payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Place and log10 probability of every token of a block."""
-    h, many, ranked, hashed, n, trained, size, distance = unpack(payload)
+    h, many, ranked, hashed, n, trained, size, least, at = unpack(payload)
     h = np.cumsum(h, dtype=np.uint64)
     trained, size = trained.astype(np.int64), size.astype(np.int64)
     count = np.zeros(len(ranked), np.int64)
@@ -516,10 +527,7 @@ def _evaluated(model: Unigrams, by: np.ndarray, split: dict, payload: bytes) ->
         seen = np.log10(discounted(trained, by)) - np.log10(np.maximum(below, 1))[owner]
         backed = np.log10(weight)[owner] + np.log10(model.probability(count))
     value = np.where(trained > 0, seen, backed)
-    first = np.cumsum(size) - size
-    running = np.cumsum(distance.astype(np.int64))
-    place = running - np.repeat(running[first] - distance[first].astype(np.int64), size)
-    return place, np.repeat(value, size)
+    return at.astype(np.int64) + least[0], np.repeat(value, size)
 
 
 def score(documents: DataFrame) -> DataFrame:

@@ -35,9 +35,11 @@ TURN_START, TURN_END = "<|im_start|>", "<|im_end|>"
 STATES = 2 * len(ROLES)  # role r begins in state r and goes on in r + len(ROLES)
 # What is observed of a line, with the number of its values.
 OBSERVED = {"marker": len(MARKERS) + 1, "length": 12, "sign": 4, "kind": 3, "row": 26}
-# Prior weight: a marker at the beginning of a turn of its role, of another
-# role, and within a turn; and the chance that a row holds a further turn.
-OWN_MARKER, OTHER_MARKER, INNER_MARKER = 8.0, 0.1, 0.001
+# How likely a marker is at the beginning of a turn of its role, of a turn of
+# another role, and within a turn; the weight of that beside the counts; and the
+# chance that a row holds a further turn.
+OWN_MARKER, OTHER_MARKER, INNER_MARKER = 0.48, 0.01, 1e-8
+KNOWN_WEIGHT = 0.02
 FURTHER_TURN = 1e-3
 
 
@@ -90,12 +92,21 @@ def train(conversations: DataFrame) -> Model:
     for name, size in OBSERVED.items():
         table = np.ones((STATES, size))
         if name == "marker":
-            table[:, 1:] = INNER_MARKER
-            table[: len(ROLES), 1:] = OTHER_MARKER
+            # What markers mean is known; how frequent they are is counted.
+            table[:] = INNER_MARKER
+            table[: len(ROLES)] = OTHER_MARKER
             table[np.arange(len(ROLES)), 1 + np.arange(len(ROLES))] = OWN_MARKER
+            table[:, 0] = 1 - table[:, 1:].sum(axis=1)
+        known_marks = table.copy()
         for row in counts:
             table[ROLES.index(row["role"]) + len(ROLES) * row["inside"], row[name]] += row["n"]
-        emit.append(np.log(table / table.sum(axis=1, keepdims=True)))
+        table /= table.sum(axis=1, keepdims=True)
+        if name == "marker":
+            table = (1 - KNOWN_WEIGHT) * table + KNOWN_WEIGHT * known_marks
+        if name == "row":
+            # Lines further down show nothing of this, whatever they are.
+            table[:, 0] = 1
+        emit.append(np.log(table))
     turns = known.select("conv_id", "turn", "role")
     earlier = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("before"))
     steps = turns.join(earlier, ["conv_id", "turn"], "left").groupBy("before", "role").agg(F.count("*").alias("n")).collect()

@@ -32,7 +32,9 @@ from telmart.llm.shingles import mix, span_hashes
 
 LENGTH = 400
 # Strings compared by a task before it deals them out.
-STRINGS_AT_ONCE = 1 << 21
+STRINGS_AT_ONCE = 1 << 20
+# Text whose places a task looks at together; it takes some 60 times as much.
+BYTES_AT_ONCE = 2 << 20
 BLOCKS_PER_PARTITION = 4
 _LOW = np.uint64(0xFFFFFFFF)
 # Fixed values of the string hash: an odd base and its inverse modulo 2^64.
@@ -87,7 +89,7 @@ def _listed(documents: DataFrame, length: int) -> DataFrame:
     how far before it the first and behind that the last start lie."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", BYTES_AT_ONCE):
                 data, offsets = flat(piece.column("text"))
                 place, first, last, text = suffixes(data, offsets, length)
                 if not len(place):
@@ -332,9 +334,9 @@ def repeated_ranges(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """Byte ranges (row, first, stop) that repeated strings cover; they may
     overlap. Rows are numbered as by monotonically_increasing_id()."""
     blocks = BLOCKS_PER_PARTITION * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    listed = written(_listed(documents, length), "suffixes")
-    compared = written(_compared(listed), "suffix-groups")
-    decided = written(compared.where("kind <> 'edge'").unionByName(_across(compared)), "suffix-runs")
+    compared = written(_compared(_listed(documents, length)), "suffix-groups")
+    across = written(_across(compared), "suffix-edges")
+    decided = compared.where("kind <> 'edge'").unionByName(across)
     whole = decided.where("kind = 'whole'").select(
         "row", (F.col("place") - F.col("back")).alias("first"),
         (F.col("place") - F.col("back") + F.col("ahead") + length).alias("stop"),

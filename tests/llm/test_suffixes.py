@@ -75,6 +75,14 @@ def test_odd_texts(documents, odd_texts):
     check(documents, texts + ["ab" * 700, "a" * 399, "a" * 400, "a" * 401, "abc" * 200 + "x" + "abc" * 200], 400)
 
 
+def test_long_texts_in_stretches(documents, passage_texts, monkeypatch):
+    """The tasks take the constants as they are when the job starts."""
+    monkeypatch.setattr(suffixes, "BYTES_AT_ONCE", 500)
+    monkeypatch.setattr(suffixes, "STRINGS_AT_ONCE", 300)
+    texts = passage_texts[:20] + [" ".join(passage_texts[20:60]), "ab " * 900, " ".join(passage_texts[25:40])]
+    check(documents, texts, 100)
+
+
 def test_whole_table(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
     frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")

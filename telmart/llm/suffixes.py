@@ -83,6 +83,18 @@ def suffixes(data: np.ndarray, offsets: np.ndarray, length: int):
 SUFFIX = "lead long, same long, run long, row long, place long, back int, ahead int"
 
 
+def _stretches(data: np.ndarray, offsets: np.ndarray, length: int):
+    """Texts as they are, or one very long text in stretches that overlap so
+    that each string lies in one of them whole: (where it begins, bytes,
+    offsets)."""
+    if len(offsets) > 2 or len(data) <= 2 * BYTES_AT_ONCE:
+        yield 0, data, offsets
+        return
+    for base in range(0, len(data) - length + 1, BYTES_AT_ONCE):
+        part = data[base: base + BYTES_AT_ONCE + length - 1]
+        yield base, part, np.array([0, len(part)])
+
+
 def _listed(documents: DataFrame, length: int) -> DataFrame:
     """The suffixes of all texts: their first eight bytes, the digest of the
     bytes that must agree, the digest of the whole run, the row, the place, and
@@ -90,20 +102,20 @@ def _listed(documents: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text", BYTES_AT_ONCE):
-                data, offsets = flat(piece.column("text"))
-                place, first, last, text = suffixes(data, offsets, length)
-                if not len(place):
-                    continue
-                padded = np.concatenate([data, np.zeros(8, np.uint8)])
-                eight = np.ndarray((len(data),), ">u8", buffer=padded.data, strides=(1,))
-                row = piece.column("row").to_numpy()[text]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(eight[place].astype(np.uint64).view(np.int64)),
-                    pa.array(span_hashes(data, place, place + length - span_of(length)).view(np.int64)),
-                    pa.array(span_hashes(data, first, last + length).view(np.int64)),
-                    pa.array(row), pa.array(place - offsets[text]),
-                    pa.array((place - first).astype(np.int32)), pa.array((last - first).astype(np.int32)),
-                ], ["lead", "same", "run", "row", "place", "back", "ahead"])
+                rows = piece.column("row").to_numpy()
+                for base, data, offsets in _stretches(*flat(piece.column("text")), length):
+                    place, first, last, text = suffixes(data, offsets, length)
+                    if not len(place):
+                        continue
+                    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+                    eight = np.ndarray((len(data),), ">u8", buffer=padded.data, strides=(1,))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(eight[place].astype(np.uint64).view(np.int64)),
+                        pa.array(span_hashes(data, place, place + length - span_of(length)).view(np.int64)),
+                        pa.array(span_hashes(data, first, last + length).view(np.int64)),
+                        pa.array(rows[text]), pa.array(place - offsets[text] + base),
+                        pa.array((place - first).astype(np.int32)), pa.array((last - first).astype(np.int32)),
+                    ], ["lead", "same", "run", "row", "place", "back", "ahead"])
 
     return numbered(documents).select("row", "text").mapInArrow(run, SUFFIX)
 
@@ -134,7 +146,8 @@ def multikey_order(words: list[np.ndarray]) -> np.ndarray:
 def _compared(rows: DataFrame) -> DataFrame:
     """Sorts every bucket and compares neighbours. Returns the rows that count
     with ``kind``: whole (repeated from end to end), open (to be compared string
-    by string) and edge (in a group at an end of a bucket)."""
+    by string) and edge (one of the alike runs of a group at an end of a
+    bucket, and ``alike``, their number there)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
         if not sum(batch.num_rows for batch in held):
@@ -153,25 +166,26 @@ def _compared(rows: DataFrame) -> DataFrame:
         size, alike = np.bincount(group), np.bincount(own)
         lone = alike[own] == 1
         singles = np.bincount(group, lone)
-        edge = (group == 0) | (group == group[-1])
-        counts = ~edge & (size[group] > 1)
-        whole = counts & ~lone
-        opened = counts & (lone | (new_class & (singles[group] > 0)))
-        for name, chosen in (("whole", whole), ("open", opened), ("edge", edge)):
-            at = pa.array(order[chosen])
+        ends = (group == 0) | (group == group[-1])
+        opened = ~ends & (size[group] > 1) & (lone | (new_class & (singles[group] > 0)))
+        # Of alike runs at an end one goes on, with their number.
+        for name, chosen in (("whole", ~lone), ("open", opened), ("edge", ends & new_class)):
+            at = order[chosen]
             if len(at):
-                part = bucket.take(at).to_batches()
-                for batch in part:
+                part = bucket.take(pa.array(at)).append_column("alike", pa.array(alike[own[chosen]], pa.int64()))
+                for batch in part.to_batches():
                     yield batch.append_column("kind", pa.array([name] * batch.num_rows))
 
-    return rows.repartitionByRange("lead", "same", "row").mapInArrow(run, f"{SUFFIX}, kind string")
+    return rows.repartitionByRange("lead", "same", "row").mapInArrow(run, f"{SUFFIX}, alike long, kind string")
 
 
 def _across(compared: DataFrame) -> DataFrame:
     """The same decisions for the groups at the ends of buckets, by counts."""
     own = ["lead", "same", "run", "back", "ahead"]
-    edge = compared.where("kind = 'edge'").drop("kind")
-    classes = edge.groupBy(*own).agg(F.count("*").alias("alike"), F.min(F.struct("row", "place")).alias("chosen"))
+    edge = compared.where("kind = 'edge'").drop("kind", "alike")
+    classes = compared.where("kind = 'edge'").groupBy(*own).agg(
+        F.sum("alike").alias("alike"), F.min(F.struct("row", "place")).alias("chosen")
+    )
     groups = classes.groupBy("lead", "same").agg(
         F.sum("alike").alias("size"), F.sum((F.col("alike") == 1).cast("long")).alias("singles")
     ).where("size > 1")

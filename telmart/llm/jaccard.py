@@ -8,22 +8,21 @@ these are verified on the shingles themselves. Nothing is estimated: no link is
 lost.
 
 To find each other without comparing all with all, documents are first dealt
-out by exact agreement in part of their groups. At a similarity of t percent
-two sets of at most n shingles differ in D = 2 n (100 - t) / (100 + t) of them
-at most. With the groups cut into D + 1 + s sections, they agree in s + 1
-sections entirely. A key is made of each section that is not empty; a document
-with more than s empty sections gets a key for each s + 1 of them, so that
-emptiness alone brings few together. Sizes are cut into levels with a number of
-sections each, and a document also enters the higher levels that its larger
-partners may be in. Documents that share a key are joined to neighbourhoods,
-each of which has an R-tree, or one for each block of it if it is large.
+out by their rarest shingles. Two linked sets share at least one of the first
+n - ceil(n t / 100) + 1 shingles of each, n its size and t the similarity in
+percent, in any order that is the same for all. The order is by an estimate of
+how many documents have a shingle, so that passages which many documents share
+bring together only documents that hold little else. The estimate counts
+shingles in a fixed number of cells; it decides how much work there is, not what
+is found. Two documents that share such a shingle are neighbours if their sizes
+and the bound on their points allow a link. Where more than PAIRED documents
+share one, they are not paired: each is a neighbour of the next by size. Chains
+of neighbours make neighbourhoods, each of which has an R-tree, or one for each
+block of it if it is large.
 """
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
-from itertools import combinations
-from math import lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +33,18 @@ from telmart.llm.packing import pack, smallest, steps, unpack
 from telmart.llm.shared import binary, flat, numbered, slices, written
 from telmart.llm.shingles import distinct, mix, shingles, words
 
-GROUPS = 64
+GROUPS = 256
 FANOUT = 16
-# Shingles in one block of a neighbourhood.
+# Documents with a key in common that are paired.
+PAIRED = 32
+# Shingles and group counts in one block of a neighbourhood.
 BLOCK_SHINGLES = 1 << 20
 KEYS_AT_ONCE = 1 << 22
 BLOCKS_PER_PARTITION = 4
-LEVEL_RATIO = 1.4
-# The logarithm of the chance of a document with many empty sections.
-RARELY = log(1e-4)
+# Cells of shingles, whose frequencies all tasks hold: a byte each.
+CELLS = 1 << 24
+CELL_SHIFT = np.uint64(40)
+GROUP_SHIFT = np.uint64(56)
 ROW = "__row"
 
 
@@ -57,86 +59,25 @@ class Rule:
         return 100 * both >= self.percent * either
 
 
-def level_starts(most: int) -> np.ndarray:
-    """The smallest set size of each level, up to one above ``most``."""
-    starts = [1]
-    while starts[-1] <= most:
-        starts.append(max(starts[-1] + 1, int(starts[-1] * LEVEL_RATIO)))
-    return np.array(starts, np.int64)
-
-
-@lru_cache(maxsize=1024)
-def sections(least: int, end: int, rule: Rule) -> tuple[int, int]:
-    """For sets of ``least`` to ``end`` - 1 shingles: how many sections, and
-    how many of them agree at least in two linked sets. As many agree as makes
-    it rare for a set to leave that many empty: it would have to lie in the
-    other sections entirely, which has a chance of at most
-    C(count, differ) (differ / count)^least."""
-    differ = 2 * (end - 1) * (100 - rule.percent) // (100 + rule.percent)
-    if differ == 0:
-        return 1, 1
-    agree = 4 + differ // 20
-    while True:
-        count = differ + agree
-        if count > 4 * end + 40:
-            raise ValueError(f"{rule.percent} percent are too few for exact sections")
-        ways = lgamma(count + 1) - lgamma(differ + 1) - lgamma(agree + 1)
-        if ways + least * log(differ / count) <= RARELY:
-            return count, agree
-        agree += 1 + agree // 50
-
-
-def section_keys(values: np.ndarray, before: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of each set of shingle hashes, and the keys before each."""
-    sizes = np.diff(before)
-    starts = level_starts(int(sizes.max(initial=0)) * 100 // rule.percent + 1)
-    own = np.searchsorted(starts, sizes, "right") - 1
-    top = np.searchsorted(starts, sizes * 100 // rule.percent, "right") - 1
-    found_key, found_set = [], []
-    for level in range(len(starts) - 1):
-        here = np.flatnonzero((sizes > 0) & (own <= level) & (top >= level))
-        if not len(here):
-            continue
-        count, agree = sections(int(starts[level]), int(starts[level + 1]), rule)
-        many = sizes[here]
-        at = np.repeat(before[:-1][here] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        spread = mix(values[at] + np.uint64(2 * level + 1))
-        section = ((spread >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
-        cell = np.repeat(np.arange(len(here)), many) * count + section
-        order = np.argsort(cell, kind="stable")
-        cell, spread = cell[order], mix(spread[order])
-        first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
-        total = np.add.reduceat(spread, first)
-        filled = cell[first]
-        salt = np.uint64(level << 32)
-        found_key.append(mix(total + mix((filled % count).astype(np.uint64) + salt)))
-        found_set.append(here[filled // count])
-        used = np.bincount(filled // count, minlength=len(here))
-        for i in np.flatnonzero(count - used >= agree):
-            empty = np.setdiff1d(np.arange(count), filled[filled // count == i] % count)
-            keys = [
-                int(mix(np.array([hash_of(subset, level)], np.uint64))[0]) for subset in combinations(empty.tolist(), agree)
-            ]
-            found_key.append(np.array(keys, np.uint64))
-            found_set.append(np.full(len(keys), here[i]))
-    if not found_key:
-        return np.zeros(0, np.uint64), np.zeros(len(before), np.int64)
-    key, owner = np.concatenate(found_key), np.concatenate(found_set)
-    order = np.argsort(owner, kind="stable")
-    return key[order], np.searchsorted(owner[order], np.arange(len(before)))
-
-
-def hash_of(subset: tuple, level: int) -> int:
-    value = level + 1
-    for x in subset:
-        value = (value * 0x9E3779B97F4A7C15 + x + 1) & 0xFFFFFFFFFFFFFFFF
-    return value
+def rare_keys(
+    values: np.ndarray, before: np.ndarray, rule: Rule, frequency: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles of each set, as many as it takes to share one with
+    every set it is linked with, and the keys before each set."""
+    size = np.diff(before)
+    many = np.where(size > 0, size - -(-size * rule.percent // 100) + 1, 0)
+    order = (frequency[values >> CELL_SHIFT].astype(np.uint64) << np.uint64(58)) | (values >> np.uint64(6))
+    parts = []
+    for first, stop, count in zip(before[:-1], before[1:], many):
+        own = values[first:stop]
+        parts.append(own[np.argpartition(order[first:stop], count - 1)[:count]] if count < len(own) else own)
+    return (np.concatenate(parts) if parts else values[:0]), np.concatenate([[0], np.cumsum(many)])
 
 
 def points(values: np.ndarray, before: np.ndarray) -> np.ndarray:
     """The group counts of each set."""
     sets = len(before) - 1
-    cell = np.repeat(np.arange(sets), np.diff(before)) * GROUPS + (mix(values) >> np.uint64(58)).astype(np.int64)
+    cell = np.repeat(np.arange(sets), np.diff(before)) * GROUPS + (mix(values) >> GROUP_SHIFT).astype(np.int64)
     return np.bincount(cell, minlength=sets * GROUPS).reshape(sets, GROUPS).astype(np.int32)
 
 
@@ -175,8 +116,8 @@ class CountTree:
                 fits = (100 * most[node] >= t * size[query]) & (t * least[node] <= 100 * size[query])
                 query, node = query[fits], node[fits]
                 bound = np.concatenate([np.zeros(0, np.int64), *[
-                    np.minimum(queries[query[i: i + 65536]], high[node[i: i + 65536]]).sum(axis=1)
-                    for i in range(0, len(query), 65536)
+                    np.minimum(queries[query[i: i + 16384]], high[node[i: i + 16384]]).sum(axis=1)
+                    for i in range(0, len(query), 16384)
                 ]])
                 keep = (100 + t) * bound >= t * (size[query] + least[node])
                 query, node, bound = query[keep], node[keep], bound[keep]
@@ -228,9 +169,52 @@ def _sets(piece: pa.RecordBatch, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     return distinct(*shingles(hashes, bounds, rule.words))
 
 
-def _sketches(documents: DataFrame, rule: Rule) -> DataFrame:
-    """Per row the size and two digests of its set, and its keys, which of
-    equal sets of one task only the first has."""
+def _frequencies(documents: DataFrame, rule: Rule, blocks: int) -> np.ndarray:
+    """For each cell of shingles the rounded logarithm of how many documents
+    have one of them, one byte a cell. Cells that occur once among a task's
+    documents are not counted: nearly all do."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(CELLS, np.uint32)
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                cells += np.bincount((_sets(piece, rule)[0] >> CELL_SHIFT).astype(np.int64), minlength=CELLS).astype(np.uint32)
+        found = np.flatnonzero(cells > 1)
+        block = found * blocks // CELLS
+        edges = np.searchsorted(block, np.arange(blocks + 1))
+        names = [b for b in range(blocks) if edges[b + 1] > edges[b]]
+        yield pa.RecordBatch.from_pydict({
+            "block": pa.array(names, pa.int32()),
+            "payload": pa.array([
+                pack(steps(found[edges[b]: edges[b + 1]]), smallest(cells[found[edges[b]: edges[b + 1]]])) for b in names
+            ], pa.binary()),
+        })
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                cell, number = unpack(payload)
+                own = total.setdefault(block, np.zeros(-(-CELLS // blocks) + 1, np.int64))
+                own[np.cumsum(cell) - -(-block * CELLS // blocks)] += number
+        for block, own in total.items():
+            cell = np.flatnonzero(own)
+            level = np.log2(1 + own[cell]).astype(np.uint8)
+            yield pa.RecordBatch.from_pydict({
+                "payload": pa.array([pack(cell + -(-block * CELLS // blocks), level)], pa.binary())})
+
+    counted = numbered(documents).select("text").mapInArrow(count, "block int, payload binary")
+    summed = counted.repartition("block").mapInArrow(add, "payload binary")
+    out = np.zeros(CELLS, np.uint8)
+    # One byte for each of a fixed number of cells comes to the driver.
+    for row in summed.toLocalIterator():
+        cell, level = unpack(bytes(row[0]))
+        out[cell] = level
+    return np.minimum(out, 63)
+
+
+def _sketches(documents: DataFrame, rule: Rule, frequency) -> DataFrame:
+    """Per row the size and two digests of its set, and its rarest shingles and
+    its point, which of equal sets of one task only the first has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
@@ -242,42 +226,44 @@ def _sketches(documents: DataFrame, rule: Rule) -> DataFrame:
                     for k in (3, 5)
                 ]
                 one, two = (x[before[1:]] - x[before[:-1]] for x in sums)
-                key, bounds = section_keys(values, before, rule)
+                key, bounds = rare_keys(values, before, rule, frequency.value)
                 own = []
                 for i, name in enumerate(zip(one.tolist(), two.tolist(), size.tolist())):
                     own.append(name not in seen)
                     seen.add(name)
                 packed = binary(key, np.diff(bounds))
+                counts = points(values, before)
                 yield pa.RecordBatch.from_arrays([
                     piece.column("doc_id"), piece.column("row"), pa.array(size, pa.int64()),
                     pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
                     pa.array([x if y and len(x) else None for x, y in zip(packed.to_pylist(), own)], pa.binary()),
-                ], ["doc_id", "row", "n_shingles", "one", "two", "keys"])
+                    pa.array([pack(smallest(x)) if y else None for x, y in zip(counts, own)], pa.binary()),
+                ], ["doc_id", "row", "n_shingles", "one", "two", "keys", "point"])
 
     rows = numbered(documents)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, row long, n_shingles long, one long, two long, keys binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, row long, n_shingles long, one long, two long, keys binary, point binary")
 
 
-def _neighbours(sketches: DataFrame, blocks: int) -> DataFrame:
-    """Rows that share a key, each linked to the first of them: a, b."""
+def _sharing(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
+    """Rows that share a key and are of like size: a, b, and whether they are
+    a pair or two of many."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, rows, held = [], [], 0
+        held, count = [], 0
         for batch in batches:
-            for row, packed in zip(batch.column("row").to_pylist(), batch.column("keys").to_pylist()):
+            for row, size, packed in zip(*(batch.column(x).to_pylist() for x in ("row", "n_shingles", "keys"))):
                 own = np.frombuffer(packed, np.uint64)
-                keys.append(own)
-                rows.append(np.full(len(own), row, np.int64))
-                held += len(own)
-                if held > KEYS_AT_ONCE:
-                    yield dealt(np.concatenate(keys), np.concatenate(rows))
-                    keys, rows, held = [], [], 0
+                held.append((own, np.full(len(own), row, np.int64), np.full(len(own), size, np.int64)))
+                count += len(own)
+                if count > KEYS_AT_ONCE:
+                    yield dealt(*(np.concatenate(x) for x in zip(*held)))
+                    held, count = [], 0
         if held:
-            yield dealt(np.concatenate(keys), np.concatenate(rows))
+            yield dealt(*(np.concatenate(x) for x in zip(*held)))
 
-    def dealt(key, row):
+    def dealt(key, row, size):
         order = np.argsort(key)
-        key, row = key[order], row[order]
+        key, row, size = key[order], row[order], size[order]
         block = (key >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
         edges = np.searchsorted(block, np.arange(blocks + 1, dtype=np.uint64))
         names = [b for b in range(blocks) if edges[b + 1] > edges[b]]
@@ -285,7 +271,7 @@ def _neighbours(sketches: DataFrame, blocks: int) -> DataFrame:
         for b in names:
             part = slice(edges[b], edges[b + 1])
             least = row[part].min()
-            packed.append(pack(steps(key[part]), np.array([least]), smallest(row[part] - least)))
+            packed.append(pack(steps(key[part]), np.array([least]), smallest(row[part] - least), smallest(size[part])))
         return pa.RecordBatch.from_pydict({"block": pa.array(names, pa.int32()), "payload": pa.array(packed, pa.binary())})
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,16 +289,67 @@ def _neighbours(sketches: DataFrame, blocks: int) -> DataFrame:
             return
         key = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in held])
         row = np.concatenate([x[2].astype(np.int64) + x[1][0] for x in held])
-        order = np.lexsort((row, key))
-        key, row = key[order], row[order]
-        new = np.append(True, key[1:] != key[:-1])
-        first = row[np.flatnonzero(new)][np.cumsum(new) - 1]
-        more = first != row
-        pair = np.unique(np.stack([first[more], row[more]]), axis=1)
-        yield pa.RecordBatch.from_pydict({"a": pair[0], "b": pair[1]})
-
-    dealt_out = sketches.where("keys IS NOT NULL").select("row", "keys").mapInArrow(deal, "block int, payload binary")
-    return dealt_out.repartition("block").sortWithinPartitions("block").mapInArrow(match, "a long, b long").distinct()
+        size = np.concatenate([x[3].astype(np.int64) for x in held])
+        a, b, pair = sharing(key, row, size, rule)
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b), pair]), axis=1)
+        yield pa.RecordBatch.from_pydict({"a": both[0], "b": both[1], "pair": both[2].astype(bool)})
+
+    keys = sketches.where("keys IS NOT NULL").select("row", "n_shingles", "keys")
+    dealt_out = keys.mapInArrow(deal, "block int, payload binary")
+    return dealt_out.repartition("block").sortWithinPartitions("block").mapInArrow(
+        match, "a long, b long, pair boolean"
+    ).groupBy("a", "b").agg(F.min("pair").alias("pair"))
+
+
+def sharing(key: np.ndarray, row: np.ndarray, size: np.ndarray, rule: Rule):
+    """Rows with a key in common whose sizes allow a link; of more than PAIRED
+    with one key, each and the next larger one."""
+    order = np.argsort(key)
+    # Keys that occur once are most; they go first.
+    key = key[order]
+    shared = np.zeros(len(key), bool)
+    shared[1:] = key[1:] == key[:-1]
+    shared[:-1] |= shared[1:]
+    order = order[shared]
+    key, row, size = key[shared], row[order], size[order]
+    order = np.lexsort((size, key))
+    key, row, size = key[order], row[order], size[order]
+    new = np.append(True, key[1:] != key[:-1])[: len(key)]
+    run = np.cumsum(new) - 1
+    many = np.bincount(run)[run] > PAIRED if len(key) else new
+    out = []
+    for step in range(1, PAIRED):
+        low = np.flatnonzero(key[step:] == key[:-step])
+        if step > 1:
+            low = low[~many[low]]
+        low = low[100 * size[low] >= rule.percent * size[low + step]]
+        if not len(low):
+            break
+        out.append((row[low], row[low + step], (~many[low]).astype(np.int64)))
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (none, none, none)
+
+
+def _neighbours(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
+    """Neighbours: a, b."""
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                one, two = (np.stack([unpack(x)[0].astype(np.int64) for x in batch.column(c).to_pylist()]) for c in ("p", "q"))
+                bound = np.minimum(one, two).sum(axis=1)
+                keep = (100 + rule.percent) * bound >= rule.percent * (one.sum(axis=1) + two.sum(axis=1))
+                yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    shared = written(_sharing(sketches, rule, blocks), "jaccard-sharing")
+    point = sketches.where("point IS NOT NULL")
+    pairs = (
+        shared.where("pair").select("a", "b")
+        .join(point.select(F.col("row").alias("a"), F.col("point").alias("p")), "a")
+        .join(point.select(F.col("row").alias("b"), F.col("point").alias("q")), "b")
+    )
+    return shared.where("NOT pair").select("a", "b").unionByName(
+        pairs.select("a", "b", "p", "q").mapInArrow(bounded, "a long, b long")
+    )
 
 
 def _links(documents: DataFrame, hoods: DataFrame, rule: Rule) -> DataFrame:
@@ -394,7 +431,8 @@ def without_near_copies(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 def _linked(documents: DataFrame, rule: Rule) -> DataFrame:
     blocks = BLOCKS_PER_PARTITION * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sketches = written(_sketches(documents, rule), "jaccard-sets")
+    frequency = documents.sparkSession.sparkContext.broadcast(_frequencies(documents, rule, blocks))
+    sketches = written(_sketches(documents, rule, frequency), "jaccard-sets")
     classes = written(
         sketches.where("n_shingles > 0").groupBy("one", "two", "n_shingles").agg(
             F.min("row").alias("node"),
@@ -403,19 +441,19 @@ def _linked(documents: DataFrame, rule: Rule) -> DataFrame:
         ), "jaccard-classes",
     )
     members = written(
-        sketches.drop("keys").join(classes, ["one", "two", "n_shingles"], "left")
+        sketches.drop("keys", "point").join(classes, ["one", "two", "n_shingles"], "left")
         .select("row", "doc_id", "n_shingles", "node", "leader"), "jaccard-members",
     )
     node_of = members.where("node IS NOT NULL").select("row", "node")
     near = (
-        _neighbours(sketches, blocks)
+        _neighbours(sketches, rule, blocks)
         .join(node_of.select(F.col("row").alias("a"), F.col("node").alias("x")), "a")
         .join(node_of.select(F.col("row").alias("b"), F.col("node").alias("y")), "b")
         .select(F.col("x").alias("a"), F.col("y").alias("b"))
     )
     hoods = components(near).withColumnRenamed("label", "hood").withColumnRenamed("node", "row")
     sized = hoods.join(members.select("row", "n_shingles"), "row")
-    parts = sized.groupBy("hood").agg((F.sum("n_shingles") / BLOCK_SHINGLES + 1).cast("int").alias("blocks"))
+    parts = sized.groupBy("hood").agg((F.sum(F.col("n_shingles") + GROUPS) / BLOCK_SHINGLES + 1).cast("int").alias("blocks"))
     placed = written(sized.join(parts, "hood").select(
         "row", "hood", F.pmod(F.xxhash64("row"), F.col("blocks").cast("long")).cast("int").alias("block"), "blocks",
     ), "jaccard-hoods")

@@ -30,9 +30,9 @@ from telmart.llm.shingles import mix, words
 
 KATZ_LIMIT = 5
 # Words whose counts every task knows, some 20 bytes each.
-KNOWN_EVERYWHERE = 1 << 21
+KNOWN_EVERYWHERE = 1 << 20
 # Tokens that a task holds before it deals them out.
-TOKENS_AT_ONCE = 3 << 19
+TOKENS_AT_ONCE = 1 << 20
 BLOCKS_PER_PARTITION = 4
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 # Marks a word that is given by its hash, not by its rank.

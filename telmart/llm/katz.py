@@ -33,6 +33,8 @@ KATZ_LIMIT = 5
 KNOWN_EVERYWHERE = 1 << 20
 # Tokens that a task holds before it deals them out.
 TOKENS_AT_ONCE = 1 << 20
+# Text that a task takes apart at a time.
+BYTES_AT_ONCE = 2 << 20
 BLOCKS_PER_PARTITION = 4
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 # Marks a word that is given by its hash, not by its rank.
@@ -142,7 +144,7 @@ def count_words(documents: DataFrame, blocks: int) -> DataFrame:
             )
 
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", BYTES_AT_ONCE):
                 token, _, bounds = _tokens(piece)
                 train = np.repeat(~piece.column("held_out").to_numpy(zero_copy_only=False), np.diff(bounds))
                 parts.append(_counted([(token[train], np.ones(int(train.sum()), np.int64))]))
@@ -212,7 +214,7 @@ def _own_figures(documents: DataFrame, shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", BYTES_AT_ONCE):
                 token, history, bounds = _tokens(piece)
                 rank = model.find(token)
                 known = rank >= 0
@@ -334,7 +336,7 @@ def _pairs(documents: DataFrame, rare: DataFrame, shared, blocks: int) -> DataFr
         model, dealer = shared.value, _Dealer(shared.value, blocks)
         parts, held = [], 0
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", BYTES_AT_ONCE):
                 token, history, bounds = _tokens(piece)
                 place = piece.column("row").to_numpy() * 2 + piece.column("held_out").to_numpy(zero_copy_only=False)
                 rank = model.find(token)

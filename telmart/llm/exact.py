@@ -35,7 +35,8 @@ def exact_copies(documents: DataFrame, id_column: str = "doc_id", text_column: s
 
 def without_copies(documents: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
-    numbered = documents.withColumn(ROW, F.monotonically_increasing_id())
+    # Written with their numbers: another scan may be split in another way.
+    numbered = written(documents.withColumn(ROW, F.monotonically_increasing_id()), "exact-rows", compression="zstd")
     kept = _verdicts(numbered.select("doc_id", "text", ROW)).where("kept").select(ROW)
     return numbered.join(kept, ROW, "left_semi").select(*documents.columns)
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from telmart.llm.components import components
 from telmart.llm.packing import pack, smallest, steps, unpack
-from telmart.llm.shared import binary, flat, numbered, slices, written
+from telmart.llm.shared import binary, flat, numbered, slices, text_of, written
 from telmart.llm.shingles import distinct, mix, shingles, words
 
 GROUPS = 256
@@ -169,7 +169,7 @@ def _sets(piece: pa.RecordBatch, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     return distinct(*shingles(hashes, bounds, rule.words))
 
 
-def _frequencies(documents: DataFrame, rule: Rule, blocks: int) -> np.ndarray:
+def _frequencies(texts: DataFrame, rule: Rule, blocks: int) -> np.ndarray:
     """For each cell of shingles the rounded logarithm of how many documents
     have one of them, one byte a cell. Cells that occur once among a task's
     documents are not counted: nearly all do."""
@@ -202,7 +202,7 @@ def _frequencies(documents: DataFrame, rule: Rule, blocks: int) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({
                 "payload": pa.array([pack(cell + -(-block * CELLS // blocks), level)], pa.binary())})
 
-    counted = numbered(documents).select("text").mapInArrow(count, "block int, payload binary")
+    counted = texts.select("text").mapInArrow(count, "block int, payload binary")
     summed = counted.repartition("block").mapInArrow(add, "payload binary")
     out = np.zeros(CELLS, np.uint8)
     # One byte for each of a fixed number of cells comes to the driver.
@@ -212,7 +212,7 @@ def _frequencies(documents: DataFrame, rule: Rule, blocks: int) -> np.ndarray:
     return np.minimum(out, 63)
 
 
-def _sketches(documents: DataFrame, rule: Rule, frequency) -> DataFrame:
+def _sketches(texts: DataFrame, rule: Rule, frequency) -> DataFrame:
     """Per row the size and two digests of its set, and its rarest shingles and
     its point, which of equal sets of one task only the first has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,9 +240,8 @@ def _sketches(documents: DataFrame, rule: Rule, frequency) -> DataFrame:
                     pa.array([pack(smallest(x)) if y else None for x, y in zip(counts, own)], pa.binary()),
                 ], ["doc_id", "row", "n_shingles", "one", "two", "keys", "point"])
 
-    rows = numbered(documents)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, row long, n_shingles long, one long, two long, keys binary, point binary")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(run, f"doc_id {kind}, row long, n_shingles long, one long, two long, keys binary, point binary")
 
 
 def _sharing(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
@@ -352,7 +351,7 @@ def _neighbours(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
     )
 
 
-def _links(documents: DataFrame, hoods: DataFrame, rule: Rule) -> DataFrame:
+def _links(texts: DataFrame, hoods: DataFrame, rule: Rule) -> DataFrame:
     """Verified links a, b within neighbourhoods (row, hood, block, blocks)."""
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -392,8 +391,8 @@ def _links(documents: DataFrame, hoods: DataFrame, rule: Rule) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "a": pa.array([a[i] for i, _ in found], pa.int64()), "b": pa.array([b[j] for _, j in found], pa.int64())})
 
-    texts = numbered(documents).select("row", "text").join(hoods, "row")
-    sets = texts.mapInArrow(load, "row long, hood long, block int, blocks int, shingles binary")
+    placed = texts.select("row", "text").join(hoods, "row")
+    sets = placed.mapInArrow(load, "row long, hood long, block int, blocks int, shingles binary")
     # Every two blocks of a neighbourhood meet in one task; the row of the
     # second one is marked by its sign.
     meeting = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -418,21 +417,23 @@ def linked_documents(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     with each other; a null doc_id is no smallest one, and a component that has
     no other has a null component_id. Other columns are ignored.
     """
-    return _linked(documents, rule).drop("row")
+    return _linked(numbered(documents), rule).drop("row")
 
 
 def without_near_copies(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """One document of each component, that of the smallest identifier, with
     all its columns. Documents without words all stay."""
-    numbered = documents.withColumn(ROW, F.monotonically_increasing_id())
-    kept = _linked(documents, rule).where("first").select(F.col("row").alias(ROW))
-    return numbered.join(kept, ROW, "left_semi").select(*documents.columns)
+    # Written with their numbers: another scan may be split in another way.
+    rows = written(documents.withColumn(ROW, F.monotonically_increasing_id()), "jaccard-rows", compression="zstd")
+    texts = rows.select("doc_id", text_of().alias("text"), F.col(ROW).alias("row"))
+    kept = _linked(texts, rule).where("first").select(F.col("row").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(*documents.columns)
 
 
-def _linked(documents: DataFrame, rule: Rule) -> DataFrame:
-    blocks = BLOCKS_PER_PARTITION * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    frequency = documents.sparkSession.sparkContext.broadcast(_frequencies(documents, rule, blocks))
-    sketches = written(_sketches(documents, rule, frequency), "jaccard-sets")
+def _linked(texts: DataFrame, rule: Rule) -> DataFrame:
+    blocks = BLOCKS_PER_PARTITION * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    frequency = texts.sparkSession.sparkContext.broadcast(_frequencies(texts, rule, blocks))
+    sketches = written(_sketches(texts, rule, frequency), "jaccard-sets")
     classes = written(
         sketches.where("n_shingles > 0").groupBy("one", "two", "n_shingles").agg(
             F.min("row").alias("node"),
@@ -457,7 +458,7 @@ def _linked(documents: DataFrame, rule: Rule) -> DataFrame:
     placed = written(sized.join(parts, "hood").select(
         "row", "hood", F.pmod(F.xxhash64("row"), F.col("blocks").cast("long")).cast("int").alias("block"), "blocks",
     ), "jaccard-hoods")
-    found = components(_links(documents, placed, rule))
+    found = components(_links(texts, placed, rule))
     leaders = found.join(classes.select("node", "leader"), "node").groupBy("label").agg(F.min("leader").alias("head"))
     # Written, so that the join deals both sides out and can split a frequent set.
     names = written(found.join(leaders, "label").select("node", "head"), "jaccard-components")

@@ -108,6 +108,7 @@ def _tokens(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _rows(documents: DataFrame) -> DataFrame:
+    """doc_id, text, row and held_out, numbered once for all passes."""
     return numbered(documents).withColumn("held_out", remainder(F.col("doc_id"), 10) == 0)
 
 
@@ -124,7 +125,7 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
 
-def count_words(documents: DataFrame, blocks: int) -> DataFrame:
+def count_words(texts: DataFrame, blocks: int) -> DataFrame:
     """Training counts: w (hash), n."""
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -161,7 +162,7 @@ def count_words(documents: DataFrame, blocks: int) -> DataFrame:
             values, counts = _counted([(np.cumsum(w, dtype=np.uint64), n.astype(np.int64)) for w, n in parts])
             yield _batch(w=pa.array(values.view(np.int64)), n=pa.array(counts))
 
-    dealt = _rows(documents).mapInArrow(local, "block int, payload binary")
+    dealt = texts.mapInArrow(local, "block int, payload binary")
     return dealt.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "w long, n long")
 
 
@@ -208,7 +209,7 @@ def unigram_model(counts: DataFrame) -> Unigrams:
     )
 
 
-def _own_figures(documents: DataFrame, shared) -> DataFrame:
+def _own_figures(texts: DataFrame, shared) -> DataFrame:
     """Per row: its tokens, what the frequent words add to the base score, and
     the pairs whose word is not frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,9 +234,8 @@ def _own_figures(documents: DataFrame, shared) -> DataFrame:
                     ], pa.binary()),
                 ], ["doc_id", "row", "held_out", "n_tokens", "n_known", "base_score", "rare"])
 
-    rows = _rows(documents)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(
         run, f"doc_id {kind}, row long, held_out boolean, n_tokens long, n_known long, base_score double, rare binary"
     )
 
@@ -330,7 +330,7 @@ def _dealt(payloads: list[bytes], counts: np.ndarray):
     return [np.concatenate(x) for x in zip(*out)]
 
 
-def _pairs(documents: DataFrame, rare: DataFrame, shared, blocks: int) -> DataFrame:
+def _pairs(texts: DataFrame, rare: DataFrame, shared, blocks: int) -> DataFrame:
     """Every token with its history, packed by block: block, payload."""
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, dealer = shared.value, _Dealer(shared.value, blocks)
@@ -364,7 +364,7 @@ def _pairs(documents: DataFrame, rare: DataFrame, shared, blocks: int) -> DataFr
         if held:
             yield _deal(dealer, *_unrolled(waiting))
 
-    return _rows(documents).mapInArrow(frequent, "block int, payload binary").unionByName(
+    return texts.mapInArrow(frequent, "block int, payload binary").unionByName(
         rare.mapInArrow(other, "block int, payload binary")
     )
 
@@ -542,12 +542,13 @@ def score(documents: DataFrame) -> DataFrame:
     and has probability one."""
     spark = documents.sparkSession
     blocks = BLOCKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = written(count_words(documents, blocks), "katz-words")
+    texts = _rows(documents)
+    counts = written(count_words(texts, blocks), "katz-words")
     model = unigram_model(counts)
     shared = spark.sparkContext.broadcast(model)
-    own = written(_own_figures(documents, shared), "katz-documents")
+    own = written(_own_figures(texts, shared), "katz-documents")
     rare = written(_rare_pairs(own, counts), "katz-rare")
-    table = written(build_blocks(_pairs(documents, rare, shared, blocks), shared, blocks), "katz-blocks")
+    table = written(build_blocks(_pairs(texts, rare, shared, blocks), shared, blocks), "katz-blocks")
     scored = evaluate(table, shared, blocks)
     smooth = F.log10((F.col("n") + 0.1) / F.lit(model.tokens + 0.1 * (model.types + 1)))
     rest = rare.groupBy("row").agg(

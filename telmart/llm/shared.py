@@ -13,11 +13,11 @@ SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
-def written(rows: DataFrame, name: str) -> DataFrame:
+def written(rows: DataFrame, name: str, **options) -> DataFrame:
     """The rows as a table in the shared folder: it cuts the lineage, and a
     lost executor costs only its tasks."""
     folder = new_folder(rows.sparkSession, name)
-    rows.write.parquet(folder)
+    rows.write.options(**options).parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
@@ -37,11 +37,12 @@ def text_of(column: str = "text") -> Column:
 
 
 def numbered(documents: DataFrame) -> DataFrame:
-    """doc_id, text and row. The row numbers follow from the scan alone, so
-    every pass over the same table gives a row the same number; ``documents``
-    should be a table, or one filtered and projected, not the result of a
-    shuffle. The number divided by 2^33 names the part of the scan."""
-    return documents.select("doc_id", text_of().alias("text"), F.monotonically_increasing_id().alias("row"))
+    """doc_id, text and row as a written table. How a scan is split depends on
+    the cores alive, so a pass of its own would number the rows anew; later
+    passes read the stored number. Divided by 2^33 it names the task that wrote
+    the row."""
+    rows = documents.select("doc_id", text_of().alias("text"), F.monotonically_increasing_id().alias("row"))
+    return written(rows, "numbered", compression="zstd")
 
 
 def remainder(doc_id: Column, of: int) -> Column:

@@ -95,7 +95,7 @@ def _stretches(data: np.ndarray, offsets: np.ndarray, length: int):
         yield base, part, np.array([0, len(part)])
 
 
-def _listed(documents: DataFrame, length: int) -> DataFrame:
+def _listed(texts: DataFrame, length: int) -> DataFrame:
     """The suffixes of all texts: their first eight bytes, the digest of the
     bytes that must agree, the digest of the whole run, the row, the place, and
     how far before it the first and behind that the last start lie."""
@@ -117,7 +117,7 @@ def _listed(documents: DataFrame, length: int) -> DataFrame:
                         pa.array((place - first).astype(np.int32)), pa.array((last - first).astype(np.int32)),
                     ], ["lead", "same", "run", "row", "place", "back", "ahead"])
 
-    return numbered(documents).select("row", "text").mapInArrow(run, SUFFIX)
+    return texts.select("row", "text").mapInArrow(run, SUFFIX)
 
 
 def multikey_order(words: list[np.ndarray]) -> np.ndarray:
@@ -210,7 +210,7 @@ def _string_hashes(data: np.ndarray, start: np.ndarray, length: int) -> np.ndarr
     return mix((total[start + length] - total[start]) * back[start])
 
 
-def _by_string(documents: DataFrame, opened: DataFrame, length: int, blocks: int) -> DataFrame:
+def _by_string(texts: DataFrame, opened: DataFrame, length: int, blocks: int) -> DataFrame:
     """Compares the strings of open runs one by one. Returns source (the part
     of the row number that names its scan), and packed rows and starts."""
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,8 +299,7 @@ def _by_string(documents: DataFrame, opened: DataFrame, length: int, blocks: int
                 "source": pa.array([x for x, _ in out], pa.int64()), "payload": pa.array([x for _, x in out], pa.binary())})
 
     runs = opened.groupBy("row").agg(F.collect_list(F.struct("same", "place", "back", "ahead")).alias("runs"))
-    texts = numbered(documents).select("row", "text")
-    dealt = texts.join(runs, "row").mapInArrow(strings, "block int, source long, payload binary")
+    dealt = texts.select("row", "text").join(runs, "row").mapInArrow(strings, "block int, source long, payload binary")
     # What is decided already has no block; it stays spread over all tasks.
     spread = F.coalesce(F.col("block").cast("long"), F.xxhash64("payload"))
     return dealt.repartition(spread).sortWithinPartitions("block").mapInArrow(merge, "source long, payload binary")
@@ -344,18 +343,18 @@ def _joined_starts(found: DataFrame, length: int) -> DataFrame:
     return found.repartition("source").sortWithinPartitions("source").mapInArrow(run, "row long, first long, stop long")
 
 
-def repeated_ranges(documents: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Byte ranges (row, first, stop) that repeated strings cover; they may
-    overlap. Rows are numbered as by monotonically_increasing_id()."""
-    blocks = BLOCKS_PER_PARTITION * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    compared = written(_compared(_listed(documents, length)), "suffix-groups")
+def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Byte ranges (row, first, stop) that repeated strings of numbered texts
+    cover; they may overlap."""
+    blocks = BLOCKS_PER_PARTITION * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    compared = written(_compared(_listed(texts, length)), "suffix-groups")
     across = written(_across(compared), "suffix-edges")
     decided = compared.where("kind <> 'edge'").unionByName(across)
     whole = decided.where("kind = 'whole'").select(
         "row", (F.col("place") - F.col("back")).alias("first"),
         (F.col("place") - F.col("back") + F.col("ahead") + length).alias("stop"),
     )
-    found = _by_string(documents, decided.where("kind = 'open'"), length, blocks)
+    found = _by_string(texts, decided.where("kind = 'open'"), length, blocks)
     return whole.unionByName(_joined_starts(found, length))
 
 
@@ -368,7 +367,8 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     included; rows are treated one by one whatever their identifiers, null or
     repeated. Other columns are ignored.
     """
-    ranges = repeated_ranges(documents, length).groupBy("row").agg(
+    rows = numbered(documents)
+    ranges = repeated_ranges(rows, length).groupBy("row").agg(
         F.collect_list(F.struct("first", "stop")).alias("ranges")
     )
 
@@ -401,7 +401,6 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
                     pa.array([len(x) for x in spans], pa.int64()), pa.array(spans, spans_type), pa.array(kept, pa.binary()),
                 ], ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
 
-    rows = numbered(documents)
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.join(ranges, "row", "left").select("doc_id", "text", "ranges").mapInArrow(
         run,

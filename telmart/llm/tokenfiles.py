@@ -36,14 +36,19 @@ class Encoder:
     break between two other characters, so texts are cut there and each
     different piece of a batch is encoded once. Pieces are joined to long
     strings for the library, and its identifiers are told apart by the number
-    of bytes that each stands for.
+    of bytes that each stands for. The library finds the strings of its added
+    tokens in a text before its pattern; pieces with such a string are not cut
+    in or next to it, and are encoded by themselves.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._library.encode_special_tokens = True
+        added = self._library.get_added_tokens_decoder().values()
+        self._added = [x for x in (token.content.encode() for token in added) if x]
+        # Of an added token that holds white space, joined pieces could make one.
+        self._apart = any(x.split() != [x] for x in self._added)
         size = self._library.get_vocab_size()
         self._bytes = np.array([len(self._library.id_to_token(i) or "") for i in range(size)], np.int64)
         # White space beyond ASCII starts with one of four bytes, so around
@@ -54,7 +59,18 @@ class Encoder:
         self._after[[0xE1, 0xE2, 0xE3]] = False
         self._forget()
 
-    def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def _places(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the strings of added tokens begin and end."""
+        raw, found = data.tobytes(), []
+        for token in self._added:
+            at = raw.find(token)
+            while at >= 0:
+                found.append((at, at + len(token)))
+                at = raw.find(token, at + 1)
+        begin, end = np.array(sorted(found), np.int64).reshape(-1, 2).T
+        return begin, end
+
+    def _cuts(self, data: np.ndarray, offsets: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         blank = np.flatnonzero((data == 0x20) | (data == 0x0A))
         blank = blank[(blank > 2) & (blank + 1 < len(data))]
         before = data[blank - 1]
@@ -63,6 +79,12 @@ class Encoder:
         blank = blank[(plain | wide) & self._after[data[blank + 1]]]
         text = np.searchsorted(offsets, blank, "right") - 1
         blank = blank[(blank > offsets[text]) & (blank + 1 < offsets[text + 1])]
+        if len(begin):
+            # The blanks before and behind an added token are its neighbours' too.
+            marks = np.zeros(len(data) + 2, np.int32)
+            np.add.at(marks, np.maximum(begin - 1, 0), 1)
+            np.add.at(marks, end + 1, -1)
+            blank = blank[np.cumsum(marks)[blank] == 0]
         return np.sort(np.concatenate([blank, offsets[:-1][np.diff(offsets) > 0]]))
 
     def _joined(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -86,16 +108,20 @@ class Encoder:
         counts = np.zeros(len(offsets) - 1, np.int64)
         if not len(data):
             return np.zeros(0, np.uint32), counts
-        start = self._cuts(data, offsets)
+        added = self._places(data)
+        start = self._cuts(data, offsets, *added)
         end = np.append(start[1:], len(data))
         text = np.searchsorted(offsets, start, "right") - 1
         first = start == offsets[text]
+        alone = first | self._apart
+        for place in (added[0], added[1] - 1):
+            alone[np.searchsorted(start, place, "right") - 1] = True
         hashes = span_hashes(data, start, end) ^ first.astype(np.uint64)
         order = np.argsort(hashes)
         ranked = hashes[order]
         new = np.append(True, ranked[1:] != ranked[:-1])
         at = order[new]
-        begin, size = self._look_up(ranked[new], at, first, start, end, data)
+        begin, size = self._look_up(ranked[new], at, alone, start, end, data)
         which = np.empty(len(order), np.int64)
         which[order] = np.cumsum(new) - 1
         many = size[which]
@@ -105,7 +131,7 @@ class Encoder:
         counts[filled] = np.add.reduceat(many, rows)
         return self._pool[place], counts
 
-    def _look_up(self, hashes, at, first, start, end, data) -> tuple[np.ndarray, np.ndarray]:
+    def _look_up(self, hashes, at, alone, start, end, data) -> tuple[np.ndarray, np.ndarray]:
         """Where the identifiers of each different piece lie in the pool, and
         how many; pieces of earlier batches are still there, up to a number."""
         if len(self._known) > PIECES_KEPT:
@@ -113,8 +139,8 @@ class Encoder:
         found = np.minimum(np.searchsorted(self._known, hashes), max(len(self._known) - 1, 0))
         missing = np.flatnonzero(self._known[found] != hashes) if len(self._known) else np.arange(len(hashes))
         raw = data.tobytes()
-        alone = first[at[missing]]
-        heads, inner = missing[alone], missing[~alone]
+        single = alone[at[missing]]
+        heads, inner = missing[single], missing[~single]
         ids, sizes = self._joined([raw[start[i]: end[i]] for i in at[inner]])
         single = [x.ids for x in self._library.encode_batch_fast(
             [raw[start[i]: end[i]].decode() for i in at[heads]], add_special_tokens=False)]

@@ -60,6 +60,35 @@ def test_bytes_as_the_library(byte_library, texts):
     assert [x.tolist() for x in split(ids, counts)] == wanted
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(
+    ["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "x", "word", "é", "\u3000", "\u00a0", ".", "<", "|>"]
+), max_size=14).map("".join), max_size=8))
+def test_added_tokens_as_the_unchanged_library(texts):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BYTES)
+    texts = ["x <|endoftext|> y", *texts, "<|endof", "text|> b <|endoftext|><|endoftext|>\n"]
+    ids, counts = tokenfiles.encoder(BYTES).encode(*flat(pa.array(texts, pa.string())))
+    wanted = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [x.tolist() for x in split(ids, counts)] == wanted
+    assert 50256 in wanted[0]
+
+
+@pytest.mark.parametrize("options", [{"lstrip": True}, {"rstrip": True}, {"single_word": True}, {}])
+def test_other_added_tokens(tmp_path, options):
+    from tokenizers import AddedToken, Tokenizer
+
+    library = Tokenizer.from_file(BYTES)
+    library.add_tokens([AddedToken(" ab c", normalized=False), AddedToken("\u00b5m", normalized=False, **options)])
+    library.add_special_tokens([AddedToken("<mask>", normalized=False, **options)])
+    path = str(tmp_path / "added.json")
+    library.save(path)
+    texts = ["a <mask> b", "a<mask>b", "one <mask>\n two", "x ab c ab", "y ab", "c z ab c", "3 \u00b5m 4 \u00b5m", "<mask> <mask>"]
+    ids, counts = tokenfiles.Encoder(path).encode(*flat(pa.array(texts, pa.string())))
+    assert [x.tolist() for x in split(ids, counts)] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_pieces_of_a_table(spark, documents, odd_texts, piece_library):
     long = ["a" * 20_000, "=" * 7_000 + "-" * 7_000, "ab" * 5_000, "漢字" * 4_000, " " * 3_000]
     rows = list(enumerate(odd_texts + long)) + [(None, "x"), (1, "again")]

@@ -1,4 +1,4 @@
-"""A bigram language model with Katz backoff, trained and applied on Spark.
+"""An n-gram language model with Katz backoff, trained and applied on Spark.
 
 P(w | h) is the discounted relative frequency of the pair where training has
 it; else the history's backoff weight times P(w), which in turn is the word's
@@ -8,6 +8,12 @@ Counts up to KATZ_LIMIT are discounted by Good-Turing. A history's weight is
 its left-over mass divided by the mass of P(w) over the words not seen after
 it, so that each history's probabilities add up to one.
 
+Higher orders go on in the same way: P(w | more, h) is discounted where training
+has the longer n-gram, else the longer history's weight times P(w | h). A block
+holds all n-grams that end with its pairs, so every order is evaluated there; the
+sums of longer histories whose last word lies in several blocks are added up in
+a table.
+
 Three passes over the texts: word counts; the documents' own figures and the
 rare words, whose counts come by a join; the pairs. Pairs are dealt out by
 history, a frequent history by history and word, to blocks that hold their
@@ -90,6 +96,11 @@ class Unigrams:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, self.ranks[at], -1)
 
+    def codes(self, hashes: np.ndarray) -> np.ndarray:
+        """Frequent words by rank, others by hash."""
+        rank = self.find(hashes)
+        return np.where(rank >= 0, rank.astype(np.uint64), hashes | BY_HASH)
+
     def probability(self, count: np.ndarray) -> np.ndarray:
         return np.where(count > 0, discounted(count, self.discount) / max(self.denominator, 1), self.unknown)
 
@@ -107,6 +118,16 @@ def _tokens(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return token, history, bounds + np.arange(len(bounds))
 
 
+def _shifted(values: np.ndarray, bounds: np.ndarray, start: np.uint64, times: int) -> list[np.ndarray]:
+    """What stands before each token's history, word by word."""
+    out = []
+    for _ in range(times):
+        values = np.concatenate([values[:0], [start], values[:-1]]).astype(np.uint64)
+        values[bounds[:-1]] = start
+        out.append(values)
+    return out
+
+
 def _rows(documents: DataFrame) -> DataFrame:
     """doc_id, text, row and held_out, numbered once for all passes."""
     return numbered(documents).withColumn("held_out", remainder(F.col("doc_id"), 10) == 0)
@@ -209,7 +230,7 @@ def unigram_model(counts: DataFrame) -> Unigrams:
     )
 
 
-def _own_figures(texts: DataFrame, shared) -> DataFrame:
+def _own_figures(texts: DataFrame, shared, order: int) -> DataFrame:
     """Per row: its tokens, what the frequent words add to the base score, and
     the pairs whose word is not frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,13 +244,14 @@ def _own_figures(texts: DataFrame, shared) -> DataFrame:
                 score[known] = model.base(model.counts[rank[known]])
                 rare = np.flatnonzero(~known)
                 edges = np.searchsorted(rare, bounds)
+                columns = (history, token, *_shifted(history, bounds, START, order - 2))
                 yield pa.RecordBatch.from_arrays([
                     piece.column("doc_id"), piece.column("row"), piece.column("held_out"),
                     pa.array(np.diff(bounds), pa.int64()),
                     pa.array(np.add.reduceat(known.astype(np.int64), bounds[:-1]), pa.int64()),
                     pa.array(np.add.reduceat(score, bounds[:-1])),
                     pa.array([
-                        history[rare[a:b]].tobytes() + token[rare[a:b]].tobytes() if b > a else None
+                        b"".join(x[rare[a:b]].tobytes() for x in columns) if b > a else None
                         for a, b in zip(edges[:-1], edges[1:])
                     ], pa.binary()),
                 ], ["doc_id", "row", "held_out", "n_tokens", "n_known", "base_score", "rare"])
@@ -240,23 +262,26 @@ def _own_figures(texts: DataFrame, shared) -> DataFrame:
     )
 
 
-def _rare_pairs(own: DataFrame, counts: DataFrame) -> DataFrame:
-    """row, held_out, h, w, n (the word's training count, 0 if it has none)."""
+def _rare_pairs(own: DataFrame, counts: DataFrame, order: int) -> DataFrame:
+    """row, held_out, h, w, the words before h as e0 and so on, n (the word's
+    training count, 0 if it has none)."""
+    names = ["h", "w", *(f"e{j}" for j in range(order - 2))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            many = np.array([len(x) // 16 for x in batch.column("rare").to_pylist()], np.int64)
-            pairs = [np.frombuffer(x, np.int64).reshape(2, -1) for x in batch.column("rare").to_pylist()]
-            both = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+            many = np.array([len(x) // (8 * order) for x in batch.column("rare").to_pylist()], np.int64)
+            pairs = [np.frombuffer(x, np.int64).reshape(order, -1) for x in batch.column("rare").to_pylist()]
+            both = np.concatenate(pairs, axis=1) if pairs else np.zeros((order, 0), np.int64)
             at = np.repeat(np.arange(len(many)), many)
             yield pa.RecordBatch.from_arrays([
                 batch.column("row").take(pa.array(at)), batch.column("held_out").take(pa.array(at)),
-                pa.array(both[0]), pa.array(both[1]),
-            ], ["row", "held_out", "h", "w"])
+                *(pa.array(x) for x in both),
+            ], ["row", "held_out", *names])
 
     pairs = own.where("rare IS NOT NULL").select("row", "held_out", "rare").mapInArrow(
-        run, "row long, held_out boolean, h long, w long"
+        run, "row long, held_out boolean, " + ", ".join(f"{x} long" for x in names)
     )
-    return pairs.join(counts, "w", "left").select("row", "held_out", "h", "w", F.coalesce("n", F.lit(0)).alias("n"))
+    return pairs.join(counts, "w", "left").select("row", "held_out", *names, F.coalesce("n", F.lit(0)).alias("n"))
 
 
 class _Dealer:
@@ -289,16 +314,17 @@ class _Dealer:
         return (out % np.uint64(self.blocks)).astype(np.int64)
 
 
-def _deal(dealer: _Dealer, history, word, count, place) -> pa.RecordBatch:
+def _deal(dealer: _Dealer, history, word, count, place, *earlier) -> pa.RecordBatch:
     """Occurrences packed by block. ``word`` is a rank, or a hash with its
     training count; ``place`` is the row number times two, plus one if it is
-    held out."""
+    held out; ``earlier`` are the codes of the words before the history."""
     order = np.argsort(history)
+    block = dealer.block(history[order], word[order])
+    by_block = np.argsort(smallest(block), kind="stable")
+    block, order = block[by_block], order[by_block]
     history, word, count, place = history[order], word[order], count[order], place[order]
-    block = dealer.block(history, word)
-    order = np.argsort(smallest(block), kind="stable")
-    history, word, count, place = history[order], word[order], count[order], place[order]
-    edges = np.searchsorted(block[order], np.arange(dealer.blocks + 1))
+    earlier = [x[order] for x in earlier]
+    edges = np.searchsorted(block, np.arange(dealer.blocks + 1))
     rows = [b for b in range(dealer.blocks) if edges[b + 1] > edges[b]]
     packed = []
     for b in rows:
@@ -310,27 +336,47 @@ def _deal(dealer: _Dealer, history, word, count, place) -> pa.RecordBatch:
         packed.append(pack(
             steps(h[new]), smallest(np.diff(np.append(np.flatnonzero(new), len(h)))),
             smallest(np.where(hashed, 0, w + np.uint64(1))), w[hashed], smallest(n[hashed]),
-            np.array([least]), smallest(at - least),
+            np.array([least]), smallest(at - least), *_coded(x[part] for x in earlier),
         ))
     return _batch(block=pa.array(rows, pa.int32()), payload=pa.array(packed, pa.binary()))
 
 
+def _coded(columns) -> Iterator[np.ndarray]:
+    """Each column of word codes as ranks plus one, zero for the hashes behind."""
+    for code in columns:
+        hashed = code >= BY_HASH
+        yield smallest(np.where(hashed, 0, code + np.uint64(1)))
+        yield code[hashed]
+
+
+def _decoded(arrays: list[np.ndarray]) -> list[np.ndarray]:
+    out = []
+    for ranked, hashed in zip(arrays[::2], arrays[1::2]):
+        code = ranked.astype(np.uint64) - np.uint64(1)
+        code[ranked == 0] = hashed
+        out.append(code)
+    return out
+
+
 def _dealt(payloads: list[bytes], counts: np.ndarray):
-    """The occurrences of a block: history, word, the word's count, place."""
+    """The occurrences of a block: history, word, the word's count, place, and
+    the words before the history."""
     out = []
     for payload in payloads:
-        h, many, ranked, hashed, n, least, at = unpack(payload)
+        h, many, ranked, hashed, n, least, at, *earlier = unpack(payload)
         word = ranked.astype(np.uint64) - np.uint64(1)
         by_hash = ranked == 0
         word[by_hash] = hashed
         count = np.zeros(len(word), np.int64)
         count[~by_hash] = counts[word[~by_hash].astype(np.int64)]
         count[by_hash] = n
-        out.append((np.repeat(np.cumsum(h, dtype=np.uint64), many), word, count, at.astype(np.int64) + least[0]))
+        out.append((
+            np.repeat(np.cumsum(h, dtype=np.uint64), many), word, count, at.astype(np.int64) + least[0], *_decoded(earlier),
+        ))
     return [np.concatenate(x) for x in zip(*out)]
 
 
-def _pairs(texts: DataFrame, rare: DataFrame, shared, blocks: int) -> DataFrame:
+def _pairs(texts: DataFrame, rare: DataFrame, shared, blocks: int, order: int) -> DataFrame:
     """Every token with its history, packed by block: block, payload."""
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, dealer = shared.value, _Dealer(shared.value, blocks)
@@ -341,9 +387,11 @@ def _pairs(texts: DataFrame, rare: DataFrame, shared, blocks: int) -> DataFrame:
                 place = piece.column("row").to_numpy() * 2 + piece.column("held_out").to_numpy(zero_copy_only=False)
                 rank = model.find(token)
                 own = np.flatnonzero(rank >= 0)
+                codes = np.where(rank >= 0, rank.astype(np.uint64), token | BY_HASH)
+                earlier = _shifted(codes, bounds, START | BY_HASH, order - 1)[1:]
                 parts.append((
                     history[own], rank[own].astype(np.uint64), np.zeros(len(own), np.uint8),
-                    np.repeat(place, np.diff(bounds))[own],
+                    np.repeat(place, np.diff(bounds))[own], *(x[own] for x in earlier),
                 ))
                 held += len(own)
                 if held > TOKENS_AT_ONCE:
@@ -353,28 +401,29 @@ def _pairs(texts: DataFrame, rare: DataFrame, shared, blocks: int) -> DataFrame:
             yield _deal(dealer, *[np.concatenate(x) for x in zip(*parts)])
 
     def other(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dealer = _Dealer(shared.value, blocks)
+        model, dealer = shared.value, _Dealer(shared.value, blocks)
         waiting, held = [], 0
         for batch in batches:
             waiting.append(batch)
             held += batch.num_rows
             if held > TOKENS_AT_ONCE // 4:
-                yield _deal(dealer, *_unrolled(waiting))
+                yield _deal(dealer, *_unrolled(waiting, model, order))
                 waiting, held = [], 0
         if held:
-            yield _deal(dealer, *_unrolled(waiting))
+            yield _deal(dealer, *_unrolled(waiting, model, order))
 
     return texts.mapInArrow(frequent, "block int, payload binary").unionByName(
         rare.mapInArrow(other, "block int, payload binary")
     )
 
 
-def _unrolled(batches: list[pa.RecordBatch]):
+def _unrolled(batches: list[pa.RecordBatch], model: Unigrams, order: int):
     rows = pa.Table.from_batches(batches)
     number = {name: rows.column(name).to_numpy() for name in ("row", "h", "w", "n", "held_out")}
     return (
         number["h"].view(np.uint64), number["w"].view(np.uint64) | BY_HASH, number["n"],
         number["row"] * 2 + number["held_out"].astype(np.int64),
+        *(model.codes(rows.column(f"e{j}").to_numpy().view(np.uint64)) for j in range(order - 2)),
     )
 
 
@@ -394,17 +443,34 @@ def build_blocks(pairs: DataFrame, shared, blocks: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, dealer = shared.value, _Dealer(shared.value, blocks)
         for block, payloads in _by_block(batches):
-            history, word, count, place = _dealt(payloads, model.counts)
+            history, word, count, place, *earlier = _dealt(payloads, model.counts)
             order, first = _alike(history, word)
             size = np.diff(np.append(first, len(word)))
             trained = np.add.reduceat(1 - (place[order] & 1), first)
-            with_count = np.bincount(np.minimum(trained, KATZ_LIMIT + 2), minlength=KATZ_LIMIT + 3)
+            with_count = [_with_count(trained)]
             # Pairs in order of their history, and their occurrences with them.
             pair = np.argsort(history[order[first]], kind="stable")
             first, size, trained = first[pair], size[pair], trained[pair]
             h, w, n = (x[order[first]] for x in (history, word, count))
             stop = np.cumsum(size)
-            place = place[order[np.repeat(first - (stop - size), size) + np.arange(len(order))]]
+            order = order[np.repeat(first - (stop - size), size) + np.arange(len(order))]
+            # Longer n-grams side by side below their pair.
+            number = np.repeat(np.arange(len(size)), size)
+            earlier = [x[order] for x in earlier]
+            if earlier:
+                sort = np.lexsort((*reversed(earlier), number))
+                order, earlier = order[sort], [x[sort] for x in earlier]
+            place = place[order]
+            longer = []
+            for upto in range(1, len(earlier) + 1):
+                grams = _groups(number, *earlier[:upto])
+                own = np.add.reduceat(1 - (place & 1), grams)
+                with_count.append(_with_count(own))
+                if upto == len(earlier):
+                    longer = [
+                        smallest(np.bincount(number[grams], minlength=len(w))), smallest(own),
+                        smallest(np.diff(np.append(grams, len(place)))), *_coded(x[grams] for x in earlier),
+                    ]
             # Histories in several blocks: totals by count, and the words' mass.
             groups = _groups(h)
             hot = groups[dealer.split(h[groups])[0]]
@@ -413,20 +479,24 @@ def build_blocks(pairs: DataFrame, shared, blocks: int) -> DataFrame:
             hashed = w >= BY_HASH
             least = place.min()
             yield _batch(
-                block=pa.array([block], pa.int32()), with_count=pa.array([with_count.tolist()], pa.list_(pa.int64())),
+                block=pa.array([block], pa.int32()), with_count=pa.array([[x.tolist() for x in with_count]], pa.list_(pa.list_(pa.int64()))),
                 split=pa.array([pack(h[groups[chosen]], *[x[chosen] for x in sums])], pa.binary()),
                 payload=pa.array([pack(
                     steps(h[groups]), smallest(np.diff(np.append(groups, len(h)))),
                     smallest(np.where(hashed, 0, w + np.uint64(1))), w[hashed], smallest(n[hashed]),
-                    smallest(trained), smallest(size), np.array([least]), smallest(place - least),
+                    smallest(trained), smallest(size), np.array([least]), smallest(place - least), *longer,
                 )], pa.binary()),
             )
 
     return pairs.repartition("block").sortWithinPartitions("block").mapInArrow(
-        run, "block int, with_count array<long>, split binary, payload binary"
+        run, "block int, with_count array<array<long>>, split binary, payload binary"
     )
 
 
+def _with_count(trained: np.ndarray) -> np.ndarray:
+    return np.bincount(np.minimum(trained, KATZ_LIMIT + 2), minlength=KATZ_LIMIT + 3)
+
+
 def _alike(history: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order that puts equal pairs side by side, and where each begins."""
     key = mix(history ^ mix(word))
@@ -449,14 +519,15 @@ def _history_sums(model: Unigrams, h, n, trained, groups):
     return [np.add.reduceat(trained, groups), *small, mass]
 
 
-def evaluate(blocks: DataFrame, shared, dealer_blocks: int) -> DataFrame:
+def evaluate(blocks: DataFrame, shared, order: int) -> DataFrame:
     """row, score, tokens: the summed log10 probabilities of a row's tokens."""
     spark = blocks.sparkSession
-    totals = blocks.select(F.posexplode("with_count").alias("r", "n")).groupBy("r").agg(F.sum("n")).collect()
-    with_count = np.zeros(KATZ_LIMIT + 3, np.int64)
-    for r, n in totals:
-        with_count[r] = n
-    by = discounts(with_count)
+    each = blocks.select(F.posexplode("with_count").alias("k", "c")).select("k", F.posexplode("c").alias("r", "n"))
+    with_count = np.zeros((order - 1, KATZ_LIMIT + 3), np.int64)
+    # A few figures an order.
+    for k, r, n in each.groupBy("k", "r").agg(F.sum("n")).collect():
+        with_count[k, r] = n
+    by = [discounts(x) for x in with_count]
     # At most two entries a block: a history is split by its share of the tokens.
     split: dict[int, np.ndarray] = {}
     for row in blocks.select("split").toLocalIterator():
@@ -464,16 +535,18 @@ def evaluate(blocks: DataFrame, shared, dealer_blocks: int) -> DataFrame:
         for key, values in zip(h.tolist(), np.array(sums, float).T):
             split[key] = split.get(key, 0) + values
     across = spark.sparkContext.broadcast((by, split))
+    for k in range(3, order + 1):
+        blocks = _with_sums(blocks, shared, across, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         by, split = across.value
         for batch in batches:
-            for payload in batch.column("payload").to_pylist():
-                place, score = _evaluated(model, by, split, payload)
+            for i in range(batch.num_rows):
+                place, score = _evaluated(model, by, split, *_block(batch, i, order))
                 row = place >> 1
-                order = np.argsort(row)
-                row, score = row[order], score[order]
+                by_row = np.argsort(row)
+                row, score = row[by_row], score[by_row]
                 first = _groups(row)
                 total = np.add.reduceat(score, first)
                 many = np.diff(np.append(first, len(row)))
@@ -501,15 +574,61 @@ def evaluate(blocks: DataFrame, shared, dealer_blocks: int) -> DataFrame:
             )
 
     return (
-        blocks.select("payload").mapInArrow(run, "source long, payload binary")
+        blocks.select("payload", *_sums_names(order)).mapInArrow(run, "source long, payload binary")
         .repartition("source").sortWithinPartitions("source")
         .mapInArrow(add, "row long, score double, tokens long")
     )
 
 
-def _evaluated(model: Unigrams, by: np.ndarray, split: dict, payload: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Place and log10 probability of every token of a block."""
-    h, many, ranked, hashed, n, trained, size, least, at = unpack(payload)
+SUMS = ["total", *(f"small{r}" for r in range(1, KATZ_LIMIT + 1)), "mass"]
+
+
+def _sums_names(order: int) -> list[str]:
+    return [f"sums{k}" for k in range(3, order + 1)]
+
+
+def _block(batch: pa.RecordBatch, i: int, order: int) -> tuple[bytes, list]:
+    """A block's payload, and for each longer order the keys and sums of its
+    histories that lie in several blocks."""
+    sums = []
+    for name in _sums_names(order):
+        rows = batch.column(name).slice(i, 1).flatten()
+        keys = rows.field("key").to_numpy()
+        sort = np.argsort(keys)
+        sums.append((keys[sort], np.stack([rows.field(x).to_numpy() for x in SUMS])[:, sort]))
+    return batch.column("payload")[i].as_py(), sums
+
+
+def _with_sums(blocks: DataFrame, shared, across, k: int) -> DataFrame:
+    """The blocks, each with the sums of its histories of k - 1 words that lie
+    in others too."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        by, split = across.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key, sums = _evaluated(model, by, split, *_block(batch, i, k - 1), sums_of=k)
+                yield _batch(
+                    block=pa.array(np.full(len(key), batch.column("block")[i].as_py(), np.int32)),
+                    key=pa.array(key.view(np.int64)), **dict(zip(SUMS, sums)),
+                )
+
+    columns = ["block", "payload", *_sums_names(k - 1)]
+    schema = "block int, key long, " + ", ".join(f"{x} double" for x in SUMS)
+    parts = written(blocks.select(*columns).mapInArrow(run, schema), "katz-sums")
+    whole = parts.groupBy("key").agg(F.count("*").alias("parts"), *(F.sum(x).alias(x) for x in SUMS)).where("parts > 1")
+    # Written, so that the join deals both sides out.
+    sums = written(parts.select("block", "key").join(whole, "key").groupBy("block").agg(
+        F.collect_list(F.struct("key", *SUMS)).alias(f"sums{k}")
+    ), "katz-histories")
+    return blocks.select(*columns).join(sums, "block", "left")
+
+
+def _evaluated(model: Unigrams, bys: list, split: dict, payload: bytes, across=(), sums_of: int = 0):
+    """Place and log10 probability of every token of a block; with ``sums_of``,
+    keys and sums of the histories of that order that may lie in other blocks."""
+    h, many, ranked, hashed, n, trained, size, least, at, *longer = unpack(payload)
+    by = bys[0]
     h = np.cumsum(h, dtype=np.uint64)
     trained, size = trained.astype(np.int64), size.astype(np.int64)
     count = np.zeros(len(ranked), np.int64)
@@ -529,27 +648,59 @@ def _evaluated(model: Unigrams, by: np.ndarray, split: dict, payload: bytes) ->
         seen = np.log10(discounted(trained, by)) - np.log10(np.maximum(below, 1))[owner]
         backed = np.log10(weight)[owner] + np.log10(model.probability(count))
     value = np.where(trained > 0, seen, backed)
+    if longer:
+        grams, trained, size, *codes = longer
+        trained, size, codes = trained.astype(np.int64), size.astype(np.int64), _decoded(codes)
+        pair = np.repeat(np.arange(len(grams)), grams)
+        value, last = value[pair], h[owner][pair]
+        context = mix(last)
+        for k in range(3, len(codes) + 3):
+            context = mix(context ^ mix(codes[k - 3] + np.uint64(k)))
+            first = _groups(pair, *codes[: k - 2])
+            own, lower = np.add.reduceat(trained, first), value[first]
+            key, at_key = np.unique(context[first], return_inverse=True)
+            sums = np.array([
+                np.bincount(at_key, own), *(np.bincount(at_key, np.where(own == r, r, 0)) for r in range(1, KATZ_LIMIT + 1)),
+                np.bincount(at_key, np.where(own > 0, 10.0 ** lower, 0.0)),
+            ], float)
+            if sums_of == k:
+                hot = np.bincount(at_key, np.isin(last[first], np.array(list(split), np.uint64))) > 0
+                return key[hot], sums[:, hot]
+            known, found = across[k - 3]
+            if len(known):
+                place = np.minimum(np.searchsorted(known, key.view(np.int64)), len(known) - 1)
+                same = known[place] == key.view(np.int64)
+                sums[:, same] = found[:, place[same]]
+            total, small, mass = sums[0], sums[1:-1], sums[-1]
+            below, free = left_over(total, total - ((1 - bys[k - 2][1:])[:, None] * small).sum(axis=0))
+            weight = np.where(total > 0, free / np.maximum(1 - mass, 1e-300), 1.0)
+            with np.errstate(divide="ignore"):
+                seen = np.log10(discounted(own, bys[k - 2])) - np.log10(np.maximum(below, 1))[at_key]
+                backed = np.log10(weight)[at_key] + lower
+            value = np.repeat(np.where(own > 0, seen, backed), np.diff(np.append(first, len(pair))))
     return at.astype(np.int64) + least[0], np.repeat(value, size)
 
 
-def score(documents: DataFrame) -> DataFrame:
+def score(documents: DataFrame, order: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
-    every document; documents with crc32(doc_id) % 10 = 0 are held out of
+    every document, by n-grams of up to ``order`` words (2 at least); documents with crc32(doc_id) % 10 = 0 are held out of
     training. Tokens are words (runs of bytes other than white space, A-Z in
     lower case) and one end per document, which is all that a null or empty
     text has. Repeated rows are scored one by one and count in training one by
     one; a null doc_id is in training. Without training every token is unknown
     and has probability one."""
+    if order < 2:
+        raise ValueError("the order must be 2 at least")
     spark = documents.sparkSession
     blocks = BLOCKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = _rows(documents)
     counts = written(count_words(texts, blocks), "katz-words")
     model = unigram_model(counts)
     shared = spark.sparkContext.broadcast(model)
-    own = written(_own_figures(texts, shared), "katz-documents")
-    rare = written(_rare_pairs(own, counts), "katz-rare")
-    table = written(build_blocks(_pairs(texts, rare, shared, blocks), shared, blocks), "katz-blocks")
-    scored = evaluate(table, shared, blocks)
+    own = written(_own_figures(texts, shared, order), "katz-documents")
+    rare = written(_rare_pairs(own, counts, order), "katz-rare")
+    table = written(build_blocks(_pairs(texts, rare, shared, blocks, order), shared, blocks), "katz-blocks")
+    scored = evaluate(table, shared, order)
     smooth = F.log10((F.col("n") + 0.1) / F.lit(model.tokens + 0.1 * (model.types + 1)))
     rest = rare.groupBy("row").agg(
         F.sum((F.col("n") > 0).cast("long")).alias("rare_known"), F.sum(smooth).alias("rare_base")

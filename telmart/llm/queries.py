@@ -65,7 +65,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.score(table(spark, sf_dir, "documents"))
+    return katz.score(table(spark, sf_dir, "documents"), order=3)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

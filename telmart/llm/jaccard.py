@@ -129,39 +129,52 @@ class CountTree:
         return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def forest(left: list[np.ndarray], right: list[np.ndarray] | None, rule: Rule) -> list[tuple[int, int]]:
-    """Links among sets, or between two lists of sets: enough of them to
-    connect all that links connect. Pairs that are connected already are not
-    verified again."""
+def similar(left: list[np.ndarray], right: list[np.ndarray] | None, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """All links among sets, or between two lists of sets: every pair that
+    passes the bound is verified."""
     def laid(sets):
         return np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
 
     within = right is None
-    others = left if within else right
-    queries = points(*laid(left))
-    tree = CountTree(queries if within else points(*laid(others)), rule)
-    a, b, bound = tree.search(queries)
-    if within:
-        a, b, bound = a[a < b], b[a < b], bound[a < b]
-    total = np.array([len(x) for x in left])[a] + np.array([len(x) for x in others])[b]
+    values, before = laid(left if within else [*left, *right])
     shift = 0 if within else len(left)
-    parent = list(range(len(left) + (0 if within else len(others))))
-
-    def root(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    links = []
-    for i in np.argsort(-bound / np.maximum(total - bound, 1), kind="stable"):
-        x, y = root(int(a[i])), root(int(b[i]) + shift)
-        if x != y:
-            both = len(np.intersect1d(left[a[i]], others[b[i]], assume_unique=True))
-            if rule.linked(both, int(total[i]) - both):
-                parent[max(x, y)] = min(x, y)
-                links.append((int(a[i]), int(b[i])))
-    return links
+    counts = points(values, before)
+    a, b, _ = CountTree(counts[shift:], rule).search(counts[: len(left)])
+    if within:
+        a, b = a[a < b], b[a < b]
+    b = b + shift
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    different, name = np.unique(values, return_inverse=True)
+    size, has = np.diff(before), np.zeros(len(different), bool)
+    linked = np.zeros(len(a), bool)
+    edges = np.searchsorted(a, np.arange(len(left) + 1))
+    for i in np.flatnonzero(np.diff(edges)):
+        own = name[before[i]: before[i + 1]]
+        has[own] = True
+        for first in range(edges[i], edges[i + 1], 4096):
+            at = slice(first, min(first + 4096, edges[i + 1]))
+            many = size[b[at]]
+            stop = np.cumsum(many)
+            place = np.repeat(before[b[at]] - (stop - many), many) + np.arange(stop[-1])
+            both = np.add.reduceat(has[name[place]].astype(np.int64), stop - many)
+            linked[at] = rule.linked(both, size[i] + many - both)
+        has[own] = False
+    return a[linked], b[linked] - shift
+
+
+def connected(a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
+    """The smallest number that links lead to, for each of ``count``."""
+    label = np.arange(count)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if np.array_equal(new, label):
+            return label
+        label = new
 
 
 def _sets(piece: pa.RecordBatch, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
@@ -351,26 +364,28 @@ def _neighbours(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
     )
 
 
-def _links(texts: DataFrame, hoods: DataFrame, rule: Rule) -> DataFrame:
-    """Verified links a, b within neighbourhoods (row, hood, block, blocks)."""
+def _links(texts: DataFrame, hoods: DataFrame, rule: Rule, pairs: bool = False) -> DataFrame:
+    """The verified links within neighbourhoods (row, hood, block, blocks,
+    alike): all as a, b with ``pairs``, else for each row of two blocks that has
+    links there a, the row b that links lead to, and n, the documents linked."""
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
                 values, before = _sets(piece, rule)
                 yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(x) for x in ("row", "hood", "block", "blocks")), binary(values, np.diff(before))],
-                    ["row", "hood", "block", "blocks", "shingles"],
+                    [*(piece.column(x) for x in ("row", "hood", "block", "blocks", "alike")), binary(values, np.diff(before))],
+                    ["row", "hood", "block", "blocks", "alike", "shingles"],
                 )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            for name, row, packed in zip(zip(*columns[:3]), columns[3], batch.column("shingles").to_pylist()):
+            columns = [batch.column(i).to_pylist() for i in range(5)]
+            for name, row, alike, packed in zip(zip(*columns[:3]), *columns[3:], batch.column("shingles").to_pylist()):
                 if name != now:
                     yield from settle(now, held)
                     now, held = name, []
-                held.append((row, packed))
+                held.append((row, packed, alike))
         yield from settle(now, held)
 
     def settle(name, held):
@@ -381,34 +396,45 @@ def _links(texts: DataFrame, hoods: DataFrame, rule: Rule) -> DataFrame:
         right = [x for x in held if x[0] < 0] or None
         if not left:
             return
-        a = [x[0] for x in left]
-        b = a if right is None else [-1 - x[0] for x in right]
-        found = forest(
+        a, b = similar(
             [np.frombuffer(x[1], np.uint64) for x in left],
             None if right is None else [np.frombuffer(x[1], np.uint64) for x in right], rule,
         )
-        if found:
-            yield pa.RecordBatch.from_pydict({
-                "a": pa.array([a[i] for i, _ in found], pa.int64()), "b": pa.array([b[j] for _, j in found], pa.int64())})
+        if not len(a):
+            return
+        both = left + (right or [])
+        rows = np.array([x[0] if x[0] >= 0 else -1 - x[0] for x in both])
+        alike = np.array([x[2] for x in both])
+        b = b if right is None else b + len(left)
+        if pairs:
+            yield pa.RecordBatch.from_pydict({"a": rows[a], "b": rows[b], "n": alike[a] * alike[b]})
+            return
+        number = np.zeros(len(both), np.int64)
+        np.add.at(number, a, alike[b])
+        np.add.at(number, b, alike[a])
+        linked = np.flatnonzero(number)
+        yield pa.RecordBatch.from_pydict({
+            "a": rows[linked], "b": rows[connected(a, b, len(both))[linked]], "n": number[linked]})
 
     placed = texts.select("row", "text").join(hoods, "row")
-    sets = placed.mapInArrow(load, "row long, hood long, block int, blocks int, shingles binary")
+    sets = placed.mapInArrow(load, "row long, hood long, block int, blocks int, alike long, shingles binary")
     # Every two blocks of a neighbourhood meet in one task; the row of the
     # second one is marked by its sign.
     meeting = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "hood", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        F.when(F.col("block") <= F.col("other"), F.col("row")).otherwise(-1 - F.col("row")).alias("row"), "shingles",
+        F.when(F.col("block") <= F.col("other"), F.col("row")).otherwise(-1 - F.col("row")).alias("row"), "alike", "shingles",
     )
     return (
         meeting.repartition("hood", "low", "high").sortWithinPartitions("hood", "low", "high", "row")
-        .mapInArrow(search, "a long, b long")
+        .mapInArrow(search, "a long, b long, n long")
     )
 
 
 def linked_documents(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that links lead
     to, its own included) and first (whether it is the document of that
-    identifier, one row of each component) of every document.
+    identifier, one row of each component) and n_links (the other rows that
+    it is linked with, those of an equal set included) of every document.
 
     Words are runs of bytes other than white space, A-Z in lower case; a text
     of fewer words than a shingle is one shingle. A text without words, empty
@@ -417,7 +443,18 @@ def linked_documents(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     with each other; a null doc_id is no smallest one, and a component that has
     no other has a null component_id. Other columns are ignored.
     """
-    return _linked(numbered(documents), rule).drop("row")
+    return _linked(numbered(documents), rule)[0].drop("row")
+
+
+def links(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """Every link between different sets: a_id, b_id, the smallest identifiers
+    of both, and n, the pairs of documents that it stands for."""
+    _, texts, placed, classes = _linked(numbered(documents), rule)
+    names = classes.select("node", F.col("leader.doc_id").alias("id"))
+    return (
+        _links(texts, placed, rule, pairs=True)
+        .join(names.toDF("a", "a_id"), "a").join(names.toDF("b", "b_id"), "b").select("a_id", "b_id", "n")
+    )
 
 
 def without_near_copies(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -426,24 +463,24 @@ def without_near_copies(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     # Written with their numbers: another scan may be split in another way.
     rows = written(documents.withColumn(ROW, F.monotonically_increasing_id()), "jaccard-rows", compression="zstd")
     texts = rows.select("doc_id", text_of().alias("text"), F.col(ROW).alias("row"))
-    kept = _linked(texts, rule).where("first").select(F.col("row").alias(ROW))
+    kept = _linked(texts, rule)[0].where("first").select(F.col("row").alias(ROW))
     return rows.join(kept, ROW, "left_semi").select(*documents.columns)
 
 
-def _linked(texts: DataFrame, rule: Rule) -> DataFrame:
+def _linked(texts: DataFrame, rule: Rule) -> tuple[DataFrame, ...]:
     blocks = BLOCKS_PER_PARTITION * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     frequency = texts.sparkSession.sparkContext.broadcast(_frequencies(texts, rule, blocks))
     sketches = written(_sketches(texts, rule, frequency), "jaccard-sets")
     classes = written(
         sketches.where("n_shingles > 0").groupBy("one", "two", "n_shingles").agg(
-            F.min("row").alias("node"),
+            F.min("row").alias("node"), F.count("*").alias("alike"),
             # The smallest identifier, null last, and its first row.
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("leader"),
         ), "jaccard-classes",
     )
     members = written(
         sketches.drop("keys", "point").join(classes, ["one", "two", "n_shingles"], "left")
-        .select("row", "doc_id", "n_shingles", "node", "leader"), "jaccard-members",
+        .select("row", "doc_id", "n_shingles", "node", "leader", "alike"), "jaccard-members",
     )
     node_of = members.where("node IS NOT NULL").select("row", "node")
     near = (
@@ -453,18 +490,22 @@ def _linked(texts: DataFrame, rule: Rule) -> DataFrame:
         .select(F.col("x").alias("a"), F.col("y").alias("b"))
     )
     hoods = components(near).withColumnRenamed("label", "hood").withColumnRenamed("node", "row")
-    sized = hoods.join(members.select("row", "n_shingles"), "row")
+    sized = hoods.join(members.select("row", "n_shingles", "alike"), "row")
     parts = sized.groupBy("hood").agg((F.sum(F.col("n_shingles") + GROUPS) / BLOCK_SHINGLES + 1).cast("int").alias("blocks"))
     placed = written(sized.join(parts, "hood").select(
-        "row", "hood", F.pmod(F.xxhash64("row"), F.col("blocks").cast("long")).cast("int").alias("block"), "blocks",
+        "row", "hood", F.pmod(F.xxhash64("row"), F.col("blocks").cast("long")).cast("int").alias("block"), "blocks", "alike",
     ), "jaccard-hoods")
-    found = components(_links(texts, placed, rule))
+    near = written(_links(texts, placed, rule), "jaccard-links")
+    number = near.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    found = components(near)
     leaders = found.join(classes.select("node", "leader"), "node").groupBy("label").agg(F.min("leader").alias("head"))
     # Written, so that the join deals both sides out and can split a frequent set.
-    names = written(found.join(leaders, "label").select("node", "head"), "jaccard-components")
+    names = written(found.join(leaders, "label").join(number, "node").select("node", "head", "n"), "jaccard-components")
     lone = F.col("n_shingles") == 0
-    return members.join(names, "node", "left").withColumn("head", F.coalesce("head", "leader")).select(
+    rows = members.join(names, "node", "left").withColumn("head", F.coalesce("head", "leader")).select(
         "doc_id", "n_shingles",
         F.when(lone, F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"),
-        (lone | (F.col("row") == F.col("head.row"))).alias("first"), "row",
+        (lone | (F.col("row") == F.col("head.row"))).alias("first"),
+        F.when(lone, 0).otherwise(F.coalesce("n", F.lit(0)) + F.col("alike") - 1).cast("long").alias("n_links"), "row",
     )
+    return rows, texts, placed, classes

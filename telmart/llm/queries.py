@@ -16,7 +16,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.linked_documents(table(spark, sf_dir, "documents"), jaccard.Rule(words=4, percent=85)).drop("first")
+    return jaccard.linked_documents(table(spark, sf_dir, "documents"), jaccard.Rule(words=4, percent=85)).drop("first", "n_links")
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

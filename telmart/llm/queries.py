@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telmart.llm import chat, decontaminate, exact, jaccard, katz, pieces, quality, suffixes, tokenfiles, warc
+from telmart.llm import alignment, chat, decontaminate, exact, jaccard, katz, neighbours, pieces, quality, suffixes, tokenfiles, warc, whitening
 from telmart.llm.shared import remainder, table, vocabulary
 from telmart.session import new_folder
 
@@ -74,10 +74,29 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_tokens(
+        table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    )
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the rows whose vec_id is divisible by 20."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    index = neighbours.build(embeddings)
+    nearest = neighbours.search(index, embeddings.where(F.col("vec_id") % 20 == 0), 20)
+    index.remove()
+    return nearest
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_decontamination, op2_ngram_jaccard, op3_sentencepiece, op4_token_files, op5_exact_dedup, op6_chat_turns, op7_quality, op8_warc,
-        op9_katz, op10_suffix_dedup,
+        op9_katz, op10_suffix_dedup, op11_alignment, op12_neighbours, op13_whitening,
     )
     return {query.__name__: query for query in named}
 

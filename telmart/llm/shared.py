@@ -1,11 +1,13 @@
 """Tables and files in the cluster's shared folder, and Arrow columns as numpy."""
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from telmart.session import new_folder
+from telmart.session import new_folder, remove_folder
 
 # White space of all word operators.
 SPACE_BYTES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -16,9 +18,14 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 def written(rows: DataFrame, name: str, **options) -> DataFrame:
     """The rows as a table in the shared folder: it cuts the lineage, and a
     lost executor costs only its tasks."""
+    return stored(rows, name, **options)[0]
+
+
+def stored(rows: DataFrame, name: str, **options) -> tuple[DataFrame, str]:
+    """As ``written``, with the folder, for a caller that removes it."""
     folder = new_folder(rows.sparkSession, name)
     rows.write.options(**options).parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder), folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,3 +97,14 @@ def binary(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(
         pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
     ).cast(pa.binary())
+
+
+def release(spark: SparkSession, *folders: str) -> None:
+    """Removes written tables that are no longer needed. Spark drops the
+    shuffle files of finished jobs only once the driver collects its garbage,
+    which a long iteration on few driver objects does not bring about, so it
+    is asked to."""
+    for folder in folders:
+        remove_folder(spark, folder)
+    gc.collect()
+    spark._jvm.System.gc()

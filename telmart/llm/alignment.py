@@ -27,7 +27,7 @@ from telmart.llm.tokenfiles import Encoder
 
 # Text that a task encodes at a time, and the bytes of one pair of dictionaries.
 BYTES_AT_ONCE = 2 << 20
-SPAN = 1 << 20
+SPAN = 1 << 16
 # A pair is known to all tasks from this share of all (document, pair) rows on.
 KNOWN_SHARE = 2.0 ** -20
 # Different pairs that a task counts before it passes them on.
@@ -141,11 +141,12 @@ class Aligner:
         edges = np.arange(0, total + SPAN, SPAN)
         a_at, b_at = np.searchsorted(a_end, edges, "right"), np.searchsorted(b_end, edges, "right")
         for a0, a1, b0, b1 in zip(a_at[:-1], a_at[1:], b_at[:-1], b_at[1:]):
-            a_index = dict(zip(a_end[a0:a1].tolist(), range(a0 + 1, a1 + 1)))
-            b_index = dict(zip(b_end[b0:b1].tolist(), range(b0 + 1, b1 + 1)))
-            common = sorted(a_index.keys() & b_index.keys())
-            a_cut.append(np.fromiter(map(a_index.__getitem__, common), np.int64, len(common)))
-            b_cut.append(np.fromiter(map(b_index.__getitem__, common), np.int64, len(common)))
+            a_ends, b_ends = a_end[a0:a1].tolist(), b_end[b0:b1].tolist()
+            a_index, b_index = dict(zip(a_ends, range(a0 + 1, a1 + 1))), dict(zip(b_ends, range(b0 + 1, b1 + 1)))
+            # Ends rise, so those that are found come sorted.
+            common = list(filter(b_index.__contains__, a_ends))
+            a_cut.append(np.array([a_index[end] for end in common], np.int64))
+            b_cut.append(np.array([b_index[end] for end in common], np.int64))
         return np.concatenate(a_cut), np.concatenate(b_cut)
 
     def _groups(self, a_ids, b_ids, a_cut, b_cut, a_counts) -> tuple[list[str], np.ndarray]:
@@ -156,8 +157,8 @@ class Aligner:
         first = np.where(before == 0, 0, first + 1)
         n_groups = np.where(a_counts > 0, np.diff(first), 0)
         # Slices stand one after the other: A's tokens, then B's.
-        a_place = np.arange(len(a_ids)) + np.concatenate([[0], b_cut])[np.searchsorted(a_cut, np.arange(len(a_ids)), "right")]
-        b_place = np.arange(len(b_ids)) + a_cut[np.searchsorted(b_cut, np.arange(len(b_ids)), "right")] if len(b_ids) else a_place[:0]
+        a_place = np.arange(len(a_ids)) + np.concatenate([[0], b_cut])[_group_of(a_cut, len(a_ids))]
+        b_place = np.arange(len(b_ids)) + np.concatenate([a_cut, [0]])[_group_of(b_cut, len(b_ids))]
         ids = np.empty(len(a_ids) + len(b_ids), np.int64)
         ids[a_place], ids[b_place] = a_ids, b_ids
         written_out, stop = self.digits.spread(ids)
@@ -176,15 +177,28 @@ class Aligner:
         """The different linked pairs of each text in order, how often each is
         linked, and the numbers of links and of pairs of each text. Between
         two neighbouring ends of either side lies one link."""
-        ends = np.union1d(a_end, b_end)
-        at = np.searchsorted(a_end, ends)
-        keys = (text[at] << PAIR_BITS) | (a_ids[at] << 16) | b_ids[np.searchsorted(b_end, ends)]
+        ends = np.concatenate([a_end, b_end])
+        order = np.argsort(ends, kind="stable")
+        ends, from_a = ends[order], order < len(a_end)
+        last = np.append(ends[1:] != ends[:-1], True)[: len(ends)]
+        # Where both sides end, A's end stands before B's.
+        both = np.append(False, ~last[:-1])[: len(ends)][last]
+        a_before, b_before = np.cumsum(from_a)[last], np.cumsum(~from_a)[last]
+        at = a_before - (from_a[last] | both)
+        keys = (text[at] << PAIR_BITS) | (a_ids[at] << 16) | b_ids[b_before - ~from_a[last]]
         n_links = np.bincount(text[at], minlength=texts)
         keys, times = np.unique(keys, return_counts=True)
         n_pairs = np.bincount(keys >> PAIR_BITS, minlength=texts)
         return keys & ((1 << PAIR_BITS) - 1), times, n_links, n_pairs
 
 
+def _group_of(cuts: np.ndarray, count: int) -> np.ndarray:
+    """Each token's group, where groups end after ``cuts`` tokens."""
+    marks = np.zeros(count + 1, np.int64)
+    marks[cuts] = 1
+    return np.cumsum(marks)[:count]
+
+
 @lru_cache(maxsize=2)
 def aligner(bytes_path: str, pieces_path: str) -> Aligner:
     return Aligner(bytes_path, pieces_path)

@@ -27,7 +27,7 @@ from telmart.llm.tokenfiles import Encoder
 
 # Text that a task encodes at a time, and the bytes of one pair of dictionaries.
 BYTES_AT_ONCE = 2 << 20
-SPAN = 1 << 16
+SPAN = 1 << 13
 # A pair is known to all tasks from this share of all (document, pair) rows on.
 KNOWN_SHARE = 2.0 ** -20
 # Different pairs that a task counts before it passes them on.

@@ -33,6 +33,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     stream.add_argument("--facts", help="folder of the fact table")
     stream.add_argument("--format", help="append to this Spark format instead, such as jdbc")
     stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="of the format")
+    stream.add_argument("--staging", help="folder by which a --format that Spark also reads gets each batch once")
+    stream.add_argument("--rejects", help="folder for messages that cannot be used")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--once", action="store_true", help="end after what is there now")
     stream.add_argument("--every", help="time between micro-batches, such as '10 minutes'")
@@ -45,6 +47,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     reports.add_argument("--facts", required=True)
     reports.add_argument("--tables", required=True, help="folder of the report tables")
     reports.add_argument("--export", required=True)
+    reports.add_argument("--week", type=int, action="append", help="a week with new facts; all weeks if none is given")
     reports.add_argument("--as-of", help="date that ages refer to; today if not given")
     args = parser.parse_args(argv)
     if args.job == "enrich":
@@ -79,7 +82,7 @@ def main(argv: list[str] | None = None) -> None:
                 messages.publish(rows, **{"kafka.bootstrap.servers": args.servers, "topic": args.topic})
 
         week = jobs.publish_next_week(
-            spark, jobs.read_staged_revenue(spark, args.staged), args.progress, send
+            spark, jobs.read_staged_messages(spark, args.staged), args.progress, send
         )
         print("nothing to publish yet" if week is None else f"published week {week}")
     elif args.job == "enrich":
@@ -88,16 +91,20 @@ def main(argv: list[str] | None = None) -> None:
         else:
             stream = messages.topic_stream(spark, args.servers, args.topic, args.max_messages)
         if args.format:
-            write = enrichment.format_writer(args.format, dict(x.split("=", 1) for x in args.option))
+            options = dict(x.split("=", 1) for x in args.option)
+            if args.staging:
+                write = enrichment.append_once(args.format, options, args.staging, args.checkpoint)
+            else:
+                write = enrichment.format_writer(args.format, options)
         else:
             write = enrichment.fact_writer(args.facts, args.checkpoint)
         jobs.enrich_stream(
             spark, stream, f"{args.cleaned}/subscribers", write, args.checkpoint, args.once, args.every,
-            args.broadcast_messages,
+            args.broadcast_messages, args.rejects,
         ).awaitTermination()
     else:
         activity = enrich.as_activity(jobs.read_facts(spark, args.facts))
-        tables = jobs.create_marts(spark, activity, args.tables, args.as_of)
+        tables = jobs.create_marts(spark, activity, args.tables, args.as_of, weeks=args.week)
         jobs.export_tables(spark, tables, args.export)
 
 

@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
@@ -11,6 +11,8 @@ from pyspark.sql.utils import AnalysisException
 from telmart import schemas
 from telmart.operators import crm, device, enrich
 from telmart.plans import marts
+from telmart.plans.ledger import DONE, INTENT, Ledger
+from telmart.session import new_folder, remove_folder
 from telmart.sources import files, messages
 from telmart.streaming import enrichment
 
@@ -53,31 +55,45 @@ def clean_files(spark: SparkSession, crm_path: str, device_path: str, folder: st
 
 def stage_revenue(revenue: DataFrame, path: str) -> None:
     """Revenue as a table by week, so that publishing a week reads that week
-    only. Rebalancing splits a large week over several tasks and files."""
-    revenue.hint("rebalance", "week_number").write.mode("overwrite").partitionBy("week_number").parquet(path)
+    only. Rebalancing splits a large week over several tasks and files. Rows
+    are numbered once, here: a week that is sent again has the same numbers."""
+    numbered = revenue.withColumn("ordinal", F.monotonically_increasing_id())
+    numbered.hint("rebalance", "week_number").write.mode("overwrite").partitionBy("week_number").parquet(path)
 
 
 def read_staged_revenue(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.REVENUE).parquet(path).select(*schemas.REVENUE.names)
 
 
+def read_staged_messages(spark: SparkSession, path: str) -> DataFrame:
+    """Staged revenue with the rows' numbers, by which messages are known."""
+    return spark.read.schema(schemas.STAGED).parquet(path).select(*schemas.STAGED.names)
+
+
+def progress_ledger(spark: SparkSession, progress: str) -> Ledger:
+    return Ledger(spark, progress, "week_number")
+
+
 def next_week(spark: SparkSession, progress: str) -> int:
     """The week after the last one that was published."""
-    last = _last_recorded(spark, "week_number", progress)
+    last = progress_ledger(spark, progress).last()
     return messages.FIRST_WEEK if last is None else last + 1
 
 
 def publish_next_week(
     spark: SparkSession, revenue: DataFrame, progress: str, publish: Callable[[DataFrame], None]
 ) -> int | None:
-    """Publishes one week and records it once that has succeeded. A week that
+    """Publishes one week. The ledger has the intent before the send and its
+    end after it: a send that breaks off leaves an intent alone, and the next
+    run sends that week again, with the same message keys. A week that
     ``revenue`` does not hold yet is neither sent nor recorded: the result is
     None, and a later run sends it."""
-    week = next_week(spark, progress)
+    week, ledger = next_week(spark, progress), progress_ledger(spark, progress)
     if revenue.filter(F.col("week_number") == week).isEmpty():
         return None
+    ledger.record(week, INTENT)
     publish(messages.week_messages(revenue, week))
-    _record(spark, "week_number", week, progress)
+    ledger.record(week, DONE)
     return week
 
 
@@ -115,18 +131,44 @@ def read_subscribers(spark: SparkSession, path: str) -> DataFrame:
 
 def enrich_stream(
     spark: SparkSession, stream: DataFrame, subscribers_path: str, write: enrichment.Writer, checkpoint: str,
-    once: bool = False, every: str | None = None, broadcast: bool = False,
+    once: bool = False, every: str | None = None, broadcast: bool = False, rejects: str | None = None,
+    counted: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
     """Joins each micro-batch with the subscribers as they are when it runs and
     hands it to ``write``. ``broadcast`` reads the subscribers past a micro-batch
-    without a shuffle; only for a source that limits its micro-batches."""
-    return enrichment.append_by_batch(
-        stream,
-        lambda batch, number: write(
-            enrichment.enriched(batch, read_subscribers(batch.sparkSession, subscribers_path), broadcast), number
-        ),
-        checkpoint, once, every,
-    )
+    without a shuffle; only for a source that limits its micro-batches.
+
+    A micro-batch is decoded once, into a table of its own. Messages that come
+    again, in it or after an earlier one, count once where the target knows the
+    identities of what it has. Those that cannot be used go to the folder
+    ``rejects``, if there is one; ``counted`` is told how many messages a batch
+    has received, accepted and rejected."""
+    def run(batch: DataFrame, number: int) -> None:
+        session, seen = batch.sparkSession, Observation()
+        folder = new_folder(session, "micro-batch")
+        measures = (
+            F.count("*").alias("received"), F.count("cause").alias("rejected"),
+            F.min("week_number").alias("low"), F.max("week_number").alias("high"),
+        )
+        messages.received(batch).observe(seen, *measures).write.parquet(folder)
+        rows, found = session.read.schema(messages.RECEIVED).parquet(folder), seen.get
+        if rejects is not None:
+            enrichment.reject_writer(rejects, checkpoint)(rows.where("cause IS NOT NULL"), number)
+        revenue = rows.where("cause IS NULL").select("message_id", *schemas.REVENUE.names)
+        weeks = (found["low"], found["high"])
+        keeps_identity = hasattr(write, "seen")
+        earlier = write.seen(session, weeks, number) if keeps_identity and None not in weeks else None
+        revenue = enrichment.once_each(revenue, earlier)
+        facts = enrichment.matched(revenue, read_subscribers(session, subscribers_path), broadcast)
+        write(facts if keeps_identity else facts.drop("message_id"), number)
+        if counted is not None:
+            counted(number, {
+                "received": found["received"], "rejected": found["rejected"],
+                "accepted": found["received"] - found["rejected"],
+            })
+        remove_folder(session, folder)
+
+    return enrichment.append_by_batch(stream, run, checkpoint, once, every)
 
 
 def enrich_available(
@@ -138,21 +180,24 @@ def enrich_available(
 
 
 def replay(
-    spark: SparkSession, revenue: DataFrame, subscribers_path: str, folder: str
+    spark: SparkSession, revenue: DataFrame, subscribers_path: str, folder: str,
+    publish: Callable[[DataFrame, str], None] = messages.publish_folder,
 ) -> str:
     """Week after week: publish it, then run the enrichment from where its
     checkpoint stands. Ends after the last week that has revenue; a week
-    without any is passed over, as all revenue is there."""
+    without any is passed over, as all revenue is there. After a failure a
+    further call goes on with the revenue that is staged."""
     topic, facts = f"{folder}/topic", f"{folder}/facts"
-    stage_revenue(revenue, f"{folder}/revenue")
-    revenue = read_staged_revenue(spark, f"{folder}/revenue")
+    if not is_loaded(spark, f"{folder}/revenue"):
+        stage_revenue(revenue, f"{folder}/revenue")
+    revenue = read_staged_messages(spark, f"{folder}/revenue")
     last = revenue.agg(F.max("week_number")).first()[0]
     while last is not None and next_week(spark, f"{folder}/progress") <= last:
         sent = publish_next_week(
-            spark, revenue, f"{folder}/progress", lambda rows: messages.publish_folder(rows, topic)
+            spark, revenue, f"{folder}/progress", lambda rows: publish(rows, topic)
         )
         if sent is None:
-            _record(spark, "week_number", next_week(spark, f"{folder}/progress"), f"{folder}/progress")
+            progress_ledger(spark, f"{folder}/progress").record(next_week(spark, f"{folder}/progress"), DONE)
             continue
         stream = messages.folder_stream(spark, topic)
         enrich_available(spark, stream, subscribers_path, facts, f"{folder}/checkpoint")
@@ -166,31 +211,80 @@ def read_facts(spark: SparkSession, facts: str) -> DataFrame:
 
 def drop_tables(spark: SparkSession, tables: list[str]) -> None:
     for table in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"DROP VIEW IF EXISTS {table}")
+
+
+def refresh_weeks(spark: SparkSession, activity: DataFrame, folder: str, weeks: list[int] | None = None) -> None:
+    """Brings the written weekly sums and device bitmaps up to date: all of
+    them, or those of ``weeks`` alone, whose facts are then the only ones read
+    and whose partitions the only ones replaced. Facts are only added, so a
+    week that had some has some."""
+    rows = activity if weeks is None else activity.where(F.col("week_number").isin(weeks))
+    replace = {"partitionOverwriteMode": "static" if weeks is None else "dynamic"}
+    marts.by_week(rows).write.mode("overwrite").options(**replace).partitionBy("part", "week_number").parquet(
+        f"{folder}/weeks")
+    devices = marts.devices_of(_read_weeks(spark, folder))
+    if weeks is not None:
+        devices = devices.where(F.col("week_number").isin(weeks))
+    _number_devices(spark, devices, f"{folder}/numbers")
+    marts.device_bitmaps(devices, _read_numbers(spark, folder)).write.mode("overwrite").options(**replace).partitionBy(
+        "week_number").parquet(f"{folder}/bitmaps")
+
+
+def _read_weeks(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(marts.WEEKS).parquet(f"{folder}/weeks")
+
+
+def _read_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema("imei_tac string, number long").parquet(f"{folder}/numbers")
+
+
+def _number_devices(spark: SparkSession, devices: DataFrame, path: str) -> None:
+    """Gives each device that has none a number, above all that are given."""
+    new, above = devices.select("imei_tac").distinct(), 0
+    try:
+        known = spark.read.schema("imei_tac string, number long").parquet(path)
+        above = (known.agg(F.max("number")).first()[0] or 0)
+        new = new.join(known, "imei_tac", "left_anti")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    new.select("imei_tac", (F.monotonically_increasing_id() + above + 1).alias("number")).write.mode("append").parquet(path)
 
 
 def create_marts(
-    spark: SparkSession, activity: DataFrame, folder: str, as_of: str | None = None, prefix: str = ""
+    spark: SparkSession, activity: DataFrame, folder: str, as_of: str | None = None, prefix: str = "",
+    weeks: list[int] | None = None,
 ) -> list[str]:
-    """Creates or replaces every report table. All but the device counts are
-    built from one written summary, so the facts are read three times, not
-    once per report. The reports are small and independent: several run at
-    once."""
-    marts.summary(activity).write.mode("overwrite").parquet(f"{folder}/summary")
-    summary = spark.read.parquet(f"{folder}/summary")
-
-    def create(mart: marts.Mart) -> str:
-        source = activity if mart.counts_devices else summary
-        (
-            marts.build(mart, source, as_of)
-            .write.mode("overwrite")
-            .option("path", f"{folder}/{mart.table}")
-            .saveAsTable(prefix + mart.table)
-        )
-        return prefix + mart.table
+    """Creates or replaces every report table. All are built from written sums
+    and device bitmaps by week, for which the facts are read once; with
+    ``weeks`` only the facts of those are. The reports are small and
+    independent: several run at once.
+
+    They are written as a new version beside the old one, and their names, as
+    views, are switched to it last: a reader that has begun goes on with the
+    old rows, a failed build leaves the old reports, and the version before
+    the last one is removed."""
+    refresh_weeks(spark, activity, folder, weeks)
+    summary = marts.summary_of(_read_weeks(spark, folder))
+    bitmaps = spark.read.schema(marts.BITMAPS).parquet(f"{folder}/bitmaps")
+    version = (_last_recorded(spark, "version", f"{folder}/versions") or 0) + 1
+
+    def place(mart: marts.Mart) -> str:
+        return f"{folder}/version-{version}/{mart.table}"
+
+    def build(mart: marts.Mart) -> None:
+        rows = marts.count_devices(mart, bitmaps) if mart.counts_devices else marts.build(mart, summary, as_of)
+        rows.write.mode("overwrite").parquet(place(mart))
 
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        return list(pool.map(create, marts.MARTS))
+        list(pool.map(build, marts.MARTS))
+    for mart in marts.MARTS:
+        spark.sql(f"CREATE OR REPLACE VIEW {prefix}{mart.table} AS SELECT * FROM parquet.`{place(mart)}`")
+    _record(spark, "version", version, f"{folder}/versions")
+    if version > 2:
+        remove_folder(spark, f"{folder}/version-{version - 2}")
+    return [prefix + mart.table for mart in marts.MARTS]
 
 
 def export_tables(spark: SparkSession, tables: list[str], folder: str) -> None:
@@ -205,4 +299,5 @@ def export_tables(spark: SparkSession, tables: list[str], folder: str) -> None:
 def read_export(spark: SparkSession, table: str, folder: str, schema: StructType | None = None) -> DataFrame:
     """An export with the columns of its table, or of ``schema`` if the table is
     gone."""
-    return files.read_text_table(spark, f"{folder}/{table}", schema or spark.table(table).schema)
+    schema = schema or spark.table(table).schema
+    return files.read_text_table(spark, f"{folder}/{table}", schema, schema.names)

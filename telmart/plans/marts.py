@@ -148,12 +148,53 @@ def build(mart: Mart, activity: DataFrame, as_of: str | None = None) -> DataFram
     return report.orderBy(*mart.keys) if mart.ordered else report
 
 
-def summary(activity: DataFrame) -> DataFrame:
-    """Activity by every report dimension at once. One pass over the facts;
-    all reports but the device counts can be built from it."""
-    return activity.groupBy(*DIMENSIONS).agg(
+_SUMS = ["events", "revenue", "highest", "lowest"]
+# The written tables by week.
+WEEKS = ", ".join([
+    *[f"{name} {'int' if name == 'week_number' else 'string'}" for name in DIMENSIONS], "imei_tac string",
+    *[f"{name} bigint" for name in _SUMS], "part string",
+])
+BITMAPS = "week_number int, system_status string, bucket bigint, devices binary"
+
+
+def by_week(activity: DataFrame) -> DataFrame:
+    """Activity by every report dimension at once, and the devices of each
+    week and status, from one pass over the facts. ``part`` tells the two
+    apart: ``summary`` rows have the dimensions and sums, ``devices`` rows
+    week, status and device."""
+    sets = [[F.col(name) for name in DIMENSIONS], [F.col(name) for name in ("week_number", "system_status", "imei_tac")]]
+    return activity.groupingSets(sets, *[F.col(name) for name in DIMENSIONS], F.col("imei_tac")).agg(
         F.sum("events").alias("events"),
         F.sum("revenue").alias("revenue"),
         F.max("highest").alias("highest"),
         F.min("lowest").alias("lowest"),
+        F.when(F.grouping("imei_tac") == 1, "summary").otherwise("devices").alias("part"),
     )
+
+
+def summary_of(weeks: DataFrame) -> DataFrame:
+    return weeks.where(F.col("part") == "summary").select(*DIMENSIONS, *_SUMS)
+
+
+def devices_of(weeks: DataFrame) -> DataFrame:
+    """The different devices of each week and status."""
+    return weeks.where((F.col("part") == "devices") & F.col("imei_tac").isNotNull()).select(
+        "week_number", "system_status", "imei_tac"
+    )
+
+
+def device_bitmaps(devices: DataFrame, numbers: DataFrame) -> DataFrame:
+    """week_number, system_status, bucket, devices: the numbers of the devices
+    as bitmaps, which can be merged over weeks without counting a device twice."""
+    number = F.col("number")
+    return devices.join(numbers, "imei_tac").groupBy(
+        "week_number", "system_status", F.bitmap_bucket_number(number).alias("bucket")
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("devices"))
+
+
+def count_devices(mart: Mart, bitmaps: DataFrame) -> DataFrame:
+    """A report of different devices, from the bitmaps of all weeks."""
+    rows = bitmaps if mart.status is None else bitmaps.where(F.col("system_status") == mart.status)
+    merged = rows.groupBy("bucket").agg(F.bitmap_or_agg("devices").alias("devices"))
+    (name,) = mart.measures
+    return merged.agg(F.coalesce(F.sum(F.bitmap_count("devices")), F.lit(0)).cast("bigint").alias(name))

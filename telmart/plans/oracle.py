@@ -354,9 +354,15 @@ def oracle_sql() -> dict[str, str]:
         "NULL, NULL, week_number, CAST(revenue_usd AS DOUBLE) FROM crm JOIN revenue USING (msisdn) "
         "WHERE week_number = 22",
         "replay_weeks": full + facts,
+        "replay_resent_week": full + facts,
+        "stream_rejects": revenue
+        + """SELECT 'week ' || week_number AS text, 'unreadable' AS cause FROM revenue GROUP BY week_number
+        UNION ALL SELECT '{"week_number":' || week_number || ',"revenue_usd":' || revenue_usd || '}', 'no key'
+        FROM revenue WHERE msisdn IS NULL""",
         "replay_next_week": revenue + in_double + " WHERE week_number IN (22, 23)",
         "guarded_load": device + "SELECT * FROM device",
         "export_marts": full + _long_form(),
+        "marts_after_new_week": full + _long_form(),
     }
     named.update({name: full + sql for name, sql in _MARTS.items()})
     return named

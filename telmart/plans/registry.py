@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from telmart import schemas
 from telmart.functions import gender
 from telmart.functions.labels import age, age_band, or_not_available
 from telmart.functions.money import dollars
@@ -230,11 +231,30 @@ def stream_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "stream-by-batch")
     known = _written_subscribers(spark, sf_dir, folder)
     messages.publish_folder(_all_messages(spark, sf_dir), f"{folder}/topic")
-    write = enrichment.format_writer("orc", {"path": f"{folder}/target"})
+    write = enrichment.append_once("orc", {"path": f"{folder}/target"}, f"{folder}/staging", "by-batch")
+
+    def twice(rows: DataFrame, number: int) -> None:
+        write(rows, number)
+        write(rows, number)
+
     stream = messages.folder_stream(spark, f"{folder}/topic")
-    jobs.enrich_stream(spark, stream, known, write, f"{folder}/checkpoint", once=True).awaitTermination()
-    _remove(spark, folder, "subscribers", "topic", "checkpoint")
-    return _in_double(spark.read.orc(f"{folder}/target"))
+    jobs.enrich_stream(spark, stream, known, twice, f"{folder}/checkpoint", once=True).awaitTermination()
+    _remove(spark, folder, "subscribers", "topic", "checkpoint", "staging")
+    return _in_double(spark.read.orc(f"{folder}/target").select(*schemas.FACTS.names))
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream could not use, with the cause."""
+    folder = new_folder(spark, "stream-rejects")
+    known = _written_subscribers(spark, sf_dir, folder)
+    messages.publish_folder(_all_messages(spark, sf_dir), f"{folder}/topic")
+    stream = messages.folder_stream(spark, f"{folder}/topic")
+    write = enrichment.fact_writer(f"{folder}/facts", f"{folder}/checkpoint")
+    jobs.enrich_stream(
+        spark, stream, known, write, f"{folder}/checkpoint", once=True, rejects=f"{folder}/rejects"
+    ).awaitTermination()
+    _remove(spark, folder, "subscribers", "topic", "checkpoint", "facts")
+    return spark.read.schema("text string, cause string").parquet(f"{folder}/rejects").select("text", "cause")
 
 
 def replay_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,6 +265,34 @@ def replay_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_double(jobs.read_facts(spark, facts))
 
 
+def replay_resent_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each week's send breaks off when half of its messages are out; the run
+    that follows sends the week again."""
+    folder = new_folder(spark, "resent")
+    known = _written_subscribers(spark, sf_dir, folder)
+    revenue = fixtures.revenue(spark, sf_dir)
+    begun: set[int] = set()
+
+    def send(rows: DataFrame, topic: str) -> None:
+        week = jobs.next_week(spark, f"{folder}/progress")
+        if week not in begun:
+            begun.add(week)
+            messages.publish_folder(rows.where(F.xxhash64("key") % 2 == 0), topic)
+            raise ConnectionError("the broker is gone")
+        messages.publish_folder(rows, topic)
+
+    facts, checkpoint = f"{folder}/facts", f"{folder}/checkpoint"
+    while True:
+        try:
+            facts = jobs.replay(spark, revenue, known, folder, send)
+            break
+        except ConnectionError:
+            # The half that went out is joined before the rest comes.
+            jobs.enrich_available(spark, messages.folder_stream(spark, f"{folder}/topic"), known, facts, checkpoint)
+    _remove(spark, folder, "subscribers", "topic", "checkpoint", "revenue", "progress")
+    return _in_double(jobs.read_facts(spark, facts))
+
+
 def replay_next_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of the publisher: the first week there is, then the next."""
     folder = new_folder(spark, "next-week")
@@ -270,18 +318,12 @@ def guarded_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_collection(spark, folder)
 
 
-def export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All reports created as tables, exported, and read back in one long
-    form: table, group, measure, value."""
-    folder = new_folder(spark, "export")
-    prefix = f"export_{folder.rsplit('-', 1)[1]}_"
-    _activity(spark, sf_dir).write.parquet(f"{folder}/activity")
-    activity = spark.read.parquet(f"{folder}/activity")
-    tables = jobs.create_marts(spark, activity, folder, AS_OF, prefix)
+def _exported(spark: SparkSession, folder: str, tables: list[str]) -> DataFrame:
+    """All report tables exported and read back in one long form: table,
+    group, measure, value. The tables are dropped."""
     jobs.export_tables(spark, tables, f"{folder}/out")
     schemas = [spark.table(table).schema for table in tables]
     jobs.drop_tables(spark, tables)
-    _remove(spark, folder, "activity", "summary", *[mart.table for mart in marts.MARTS])
 
     def long_form(mart: marts.Mart, table: str, schema: StructType) -> DataFrame:
         # A report by exact age shows the band as well.
@@ -297,6 +339,31 @@ def export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, map(long_form, marts.MARTS, tables, schemas))
 
 
+def export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reports created as tables, exported, and read back."""
+    folder = new_folder(spark, "export")
+    _activity(spark, sf_dir).write.parquet(f"{folder}/activity")
+    tables = jobs.create_marts(
+        spark, spark.read.parquet(f"{folder}/activity"), f"{folder}/reports", AS_OF, f"export_{folder.rsplit('-', 1)[1]}_")
+    result = _exported(spark, folder, tables)
+    _remove(spark, folder, "activity", "reports")
+    return result
+
+
+def marts_after_new_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reports over all weeks but the last, then brought up to date for
+    that week alone: the same as all reports over all weeks."""
+    folder = new_folder(spark, "new-week")
+    _activity(spark, sf_dir).write.partitionBy("week_number").parquet(f"{folder}/activity")
+    activity, prefix = spark.read.parquet(f"{folder}/activity"), f"week_{folder.rsplit('-', 1)[1]}_"
+    last = activity.agg(F.max("week_number")).first()[0]
+    jobs.create_marts(spark, activity.where(F.col("week_number") < last), f"{folder}/reports", AS_OF, prefix)
+    tables = jobs.create_marts(spark, activity, f"{folder}/reports", AS_OF, prefix, weeks=[last])
+    result = _exported(spark, folder, tables)
+    _remove(spark, folder, "activity", "reports")
+    return result
+
+
 def _mart_query(mart: marts.Mart) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw_device = fixtures.device_raw(spark, sf_dir)
@@ -321,7 +388,7 @@ def queries() -> dict[str, Query]:
             crm_device_full, subscriber_week, subscriber_activity,
             publish_week_json, decode_payload, stream_decode, stream_enrich,
             stream_refreshed, stream_by_batch,
-            replay_weeks, replay_next_week, guarded_load, export_marts,
+            replay_weeks, replay_resent_week, replay_next_week, stream_rejects, guarded_load, export_marts, marts_after_new_week,
         )
     }
     named["crm_clean"] = _crm

@@ -29,6 +29,10 @@ REVENUE = T.StructType([
     T.StructField("revenue_usd", T.DecimalType(28, 10)),
 ])
 
+# Revenue as it is staged: each row of a week has a number of its own, which
+# stays as long as the row does.
+STAGED = T.StructType([*REVENUE.fields, T.StructField("ordinal", T.LongType())])
+
 # Subscribers with the columns of both cleaned sides, and their revenue events.
 SUBSCRIBERS = T.StructType([*CRM.fields, *DEVICE.fields[1:]])
 

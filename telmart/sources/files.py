@@ -6,14 +6,18 @@ from pyspark.sql.types import StringType, StructField, StructType
 from telmart import schemas
 
 
-def read_text_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_text_table(
+    spark: SparkSession, path: str, schema: StructType, names: list[str] | None = None
+) -> DataFrame:
     """The columns of ``schema`` by their names in the header, in any order.
+    Where ``names`` says what the header holds, it is only compared, while the
+    rows are read.
 
     Stops where a column is missing, where files have different headers, and
     where a value is not of its column's type; blanks around numbers are no
     fault, and further columns are left out.
     """
-    names = spark.read.option("header", True).csv(path).columns
+    names = names or spark.read.option("header", True).csv(path).columns
     missing = [name for name in schema.names if name not in names]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")

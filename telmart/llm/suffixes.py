@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from telmart.llm.packing import pack, smallest, steps, unpack
-from telmart.llm.shared import flat, numbered, slices, written
+from telmart.llm.shared import flat, numbered, release, slices, stored, written
 from telmart.llm.shingles import mix, span_hashes
 
 LENGTH = 400
@@ -347,7 +347,9 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """Byte ranges (row, first, stop) that repeated strings of numbered texts
     cover; they may overlap."""
     blocks = BLOCKS_PER_PARTITION * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    compared = written(_compared(_listed(texts, length)), "suffix-groups")
+    compared, compared_folder = stored(_compared(_listed(texts, length)), "suffix-groups")
+    # The sort's shuffle is done with, as are later those that make the ranges.
+    release(texts.sparkSession)
     across = written(_across(compared), "suffix-edges")
     decided = compared.where("kind <> 'edge'").unionByName(across)
     whole = decided.where("kind = 'whole'").select(
@@ -355,7 +357,9 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         (F.col("place") - F.col("back") + F.col("ahead") + length).alias("stop"),
     )
     found = _by_string(texts, decided.where("kind = 'open'"), length, blocks)
-    return whole.unionByName(_joined_starts(found, length))
+    ranges = written(whole.unionByName(_joined_starts(found, length)), "suffix-ranges", compression="zstd")
+    release(texts.sparkSession, compared_folder)
+    return ranges
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:

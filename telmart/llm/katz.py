@@ -19,8 +19,8 @@ rare words, whose counts come by a join; the pairs. Pairs are dealt out by
 history, a frequent history by history and word, to blocks that hold their
 counts, the counts of their words, and the documents that they occur in. The
 blocks are the model's partitioned table, and every token is evaluated in the
-block of its history. Words of high count are known to all tasks; their number
-has a limit, and it changes no result.
+block of its history. Words with a certain share of all tokens are known to all
+tasks, which bounds their number and changes no result.
 """
 
 from collections.abc import Iterator
@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from telmart.llm.packing import pack, smallest, steps, unpack
-from telmart.llm.shared import flat, numbered, remainder, slices, written
+from telmart.llm.shared import flat, numbered_in, release, remainder, slices, stored, written
 from telmart.llm.shingles import mix, words
 
 KATZ_LIMIT = 5
-# Words whose counts every task knows, some 20 bytes each.
+# Every task knows the counts of words that are at least one of so many tokens;
+# there are at most so many of them, some 20 bytes each.
 KNOWN_EVERYWHERE = 1 << 20
 # Tokens that a task holds before it deals them out.
 TOKENS_AT_ONCE = 1 << 20
@@ -128,9 +129,11 @@ def _shifted(values: np.ndarray, bounds: np.ndarray, start: np.uint64, times: in
     return out
 
 
-def _rows(documents: DataFrame) -> DataFrame:
-    """doc_id, text, row and held_out, numbered once for all passes."""
-    return numbered(documents).withColumn("held_out", remainder(F.col("doc_id"), 10) == 0)
+def _rows(documents: DataFrame) -> tuple[DataFrame, str]:
+    """doc_id, text, row and held_out, numbered once for all passes, and the
+    folder that has them."""
+    rows, folder = numbered_in(documents)
+    return rows.withColumn("held_out", remainder(F.col("doc_id"), 10) == 0), folder
 
 
 def _counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -213,10 +216,8 @@ def unigram_model(counts: DataFrame) -> Unigrams:
     by = discounts(with_count)
     used = tokens - sum(with_count[r] * r * (1 - by[r]) for r in range(1, KATZ_LIMIT + 1))
     below, free = left_over(np.array([float(tokens)]), np.array([float(used)]))
-    at_least = np.cumsum(with_count[::-1])[::-1]
-    fits = np.flatnonzero(at_least <= KNOWN_EVERYWHERE)
-    least = int(max(fits[0], 1)) if len(fits) else top + 1
-    # Bounded by KNOWN_EVERYWHERE.
+    least = -(-int(tokens) // KNOWN_EVERYWHERE) if KNOWN_EVERYWHERE else int(tokens) + 1
+    # No more than KNOWN_EVERYWHERE words can have that share of the tokens.
     known = counts.where(F.col("n") >= least).toArrow()
     hashes = known.column("w").to_numpy().view(np.uint64)
     count = known.column("n").to_numpy()
@@ -615,12 +616,13 @@ def _with_sums(blocks: DataFrame, shared, across, k: int) -> DataFrame:
 
     columns = ["block", "payload", *_sums_names(k - 1)]
     schema = "block int, key long, " + ", ".join(f"{x} double" for x in SUMS)
-    parts = written(blocks.select(*columns).mapInArrow(run, schema), "katz-sums")
+    parts, parts_folder = stored(blocks.select(*columns).mapInArrow(run, schema), "katz-sums")
     whole = parts.groupBy("key").agg(F.count("*").alias("parts"), *(F.sum(x).alias(x) for x in SUMS)).where("parts > 1")
     # Written, so that the join deals both sides out.
     sums = written(parts.select("block", "key").join(whole, "key").groupBy("block").agg(
         F.collect_list(F.struct("key", *SUMS)).alias(f"sums{k}")
     ), "katz-histories")
+    release(blocks.sparkSession, parts_folder)
     return blocks.select(*columns).join(sums, "block", "left")
 
 
@@ -687,20 +689,24 @@ def score(documents: DataFrame, order: int = 2) -> DataFrame:
     training. Tokens are words (runs of bytes other than white space, A-Z in
     lower case) and one end per document, which is all that a null or empty
     text has. Repeated rows are scored one by one and count in training one by
-    one; a null doc_id is in training. Without training every token is unknown
+    one; a null doc_id counts as an empty text, whose checksum 0 holds it out. Without training every token is unknown
     and has probability one."""
     if order < 2:
         raise ValueError("the order must be 2 at least")
     spark = documents.sparkSession
     blocks = BLOCKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = _rows(documents)
+    texts, texts_folder = _rows(documents)
     counts = written(count_words(texts, blocks), "katz-words")
     model = unigram_model(counts)
     shared = spark.sparkContext.broadcast(model)
     own = written(_own_figures(texts, shared, order), "katz-documents")
     rare = written(_rare_pairs(own, counts, order), "katz-rare")
-    table = written(build_blocks(_pairs(texts, rare, shared, blocks, order), shared, blocks), "katz-blocks")
-    scored = evaluate(table, shared, order)
+    # Each pass leaves shuffle files and tables that the next ones do not read.
+    release(spark)
+    table, table_folder = stored(build_blocks(_pairs(texts, rare, shared, blocks, order), shared, blocks), "katz-blocks")
+    release(spark, texts_folder)
+    scored = written(evaluate(table, shared, order), "katz-scores")
+    release(spark, table_folder)
     smooth = F.log10((F.col("n") + 0.1) / F.lit(model.tokens + 0.1 * (model.types + 1)))
     rest = rare.groupBy("row").agg(
         F.sum((F.col("n") > 0).cast("long")).alias("rare_known"), F.sum(smooth).alias("rare_base")

@@ -48,8 +48,13 @@ def numbered(documents: DataFrame) -> DataFrame:
     the cores alive, so a pass of its own would number the rows anew; later
     passes read the stored number. Divided by 2^33 it names the task that wrote
     the row."""
+    return numbered_in(documents)[0]
+
+
+def numbered_in(documents: DataFrame) -> tuple[DataFrame, str]:
+    """As ``numbered``, with the folder, for a caller that removes it."""
     rows = documents.select("doc_id", text_of().alias("text"), F.monotonically_increasing_id().alias("row"))
-    return written(rows, "numbered", compression="zstd")
+    return stored(rows, "numbered", compression="zstd")
 
 
 def remainder(doc_id: Column, of: int) -> Column:

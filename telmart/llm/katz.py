@@ -25,6 +25,7 @@ tasks, which bounds their number and changes no result.
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +38,15 @@ from telmart.llm.shingles import mix, words
 KATZ_LIMIT = 5
 # Every task knows the counts of words that are at least one of so many tokens;
 # there are at most so many of them, some 20 bytes each.
-KNOWN_EVERYWHERE = 1 << 20
+KNOWN_EVERYWHERE = 1 << 22
 # Tokens that a task holds before it deals them out.
 TOKENS_AT_ONCE = 1 << 20
 # Text that a task takes apart at a time.
 BYTES_AT_ONCE = 2 << 20
 BLOCKS_PER_PARTITION = 4
+# The blocks are built in so many waves, each from its own pass over the texts,
+# so that the shuffle files of one are gone when the next begins.
+WAVES = 2
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 # Marks a word that is given by its hash, not by its rank.
 BY_HASH = np.uint64(1 << 63)
@@ -703,10 +707,15 @@ def score(documents: DataFrame, order: int = 2) -> DataFrame:
     rare = written(_rare_pairs(own, counts, order), "katz-rare")
     # Each pass leaves shuffle files and tables that the next ones do not read.
     release(spark)
-    table, table_folder = stored(build_blocks(_pairs(texts, rare, shared, blocks, order), shared, blocks), "katz-blocks")
+    pairs, waves, folders = _pairs(texts, rare, shared, blocks, order), [], []
+    for wave in range(WAVES):
+        part, folder = stored(build_blocks(pairs.where(F.col("block") % WAVES == wave), shared, blocks), "katz-blocks")
+        waves.append(part)
+        folders.append(folder)
+        release(spark)
     release(spark, texts_folder)
-    scored = written(evaluate(table, shared, order), "katz-scores")
-    release(spark, table_folder)
+    scored = written(evaluate(reduce(DataFrame.unionByName, waves), shared, order), "katz-scores")
+    release(spark, *folders)
     smooth = F.log10((F.col("n") + 0.1) / F.lit(model.tokens + 0.1 * (model.types + 1)))
     rest = rare.groupBy("row").agg(
         F.sum((F.col("n") > 0).cast("long")).alias("rare_known"), F.sum(smooth).alias("rare_base")

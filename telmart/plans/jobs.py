@@ -223,7 +223,7 @@ def refresh_weeks(spark: SparkSession, activity: DataFrame, folder: str, weeks:
     replace = {"partitionOverwriteMode": "static" if weeks is None else "dynamic"}
     marts.by_week(rows).write.mode("overwrite").options(**replace).partitionBy("part", "week_number").parquet(
         f"{folder}/weeks")
-    devices = marts.devices_of(_read_weeks(spark, folder))
+    devices = marts.devices_of(_read_weeks(spark, activity, folder))
     if weeks is not None:
         devices = devices.where(F.col("week_number").isin(weeks))
     _number_devices(spark, devices, f"{folder}/numbers")
@@ -231,8 +231,8 @@ def refresh_weeks(spark: SparkSession, activity: DataFrame, folder: str, weeks:
         "week_number").parquet(f"{folder}/bitmaps")
 
 
-def _read_weeks(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(marts.WEEKS).parquet(f"{folder}/weeks")
+def _read_weeks(spark: SparkSession, activity: DataFrame, folder: str) -> DataFrame:
+    return spark.read.schema(marts.by_week(activity).schema).parquet(f"{folder}/weeks")
 
 
 def _read_numbers(spark: SparkSession, folder: str) -> DataFrame:
@@ -266,7 +266,7 @@ def create_marts(
     old rows, a failed build leaves the old reports, and the version before
     the last one is removed."""
     refresh_weeks(spark, activity, folder, weeks)
-    summary = marts.summary_of(_read_weeks(spark, folder))
+    summary = marts.summary_of(_read_weeks(spark, activity, folder))
     bitmaps = spark.read.schema(marts.BITMAPS).parquet(f"{folder}/bitmaps")
     version = (_last_recorded(spark, "version", f"{folder}/versions") or 0) + 1
 

@@ -149,11 +149,7 @@ def build(mart: Mart, activity: DataFrame, as_of: str | None = None) -> DataFram
 
 
 _SUMS = ["events", "revenue", "highest", "lowest"]
-# The written tables by week.
-WEEKS = ", ".join([
-    *[f"{name} {'int' if name == 'week_number' else 'string'}" for name in DIMENSIONS], "imei_tac string",
-    *[f"{name} bigint" for name in _SUMS], "part string",
-])
+# The written bitmaps by week.
 BITMAPS = "week_number int, system_status string, bucket bigint, devices binary"
 
 

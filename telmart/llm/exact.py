@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from telmart.llm.shared import SPACE_PATTERN, text_of, written
+from telmart.llm.shared import SPACE_PATTERN, text_of, unused, written
 
 HEAD = 64
 
@@ -36,9 +36,10 @@ def exact_copies(documents: DataFrame, id_column: str = "doc_id", text_column: s
 def without_copies(documents: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
     # Written with their numbers: another scan may be split in another way.
-    numbered = written(documents.withColumn(ROW, F.monotonically_increasing_id()), "exact-rows", compression="zstd")
-    kept = _verdicts(numbered.select("doc_id", "text", ROW)).where("kept").select(ROW)
-    return numbered.join(kept, ROW, "left_semi").select(*documents.columns)
+    name = unused(documents, "row")
+    numbered = written(documents.withColumn(name, F.monotonically_increasing_id()), "exact-rows", compression="zstd")
+    kept = _verdicts(numbered.select("doc_id", "text", F.col(name).alias(ROW))).where("kept").select(F.col(ROW).alias(name))
+    return numbered.join(kept, name, "left_semi").select(*documents.columns)
 
 
 def _verdicts(documents: DataFrame) -> DataFrame:

@@ -14,13 +14,15 @@ percent, in any order that is the same for all. The order is by an estimate of
 how many documents have a shingle, so that passages which many documents share
 bring together only documents that hold little else. The estimate counts
 shingles in a fixed number of cells; it decides how much work there is, not what
-is found. Two documents that share such a shingle are neighbours if their sizes
-and the bound on their points allow a link. Where more than PAIRED documents
-share one, they are not paired: each is a neighbour of the next by size. Chains
-of neighbours make neighbourhoods, each of which has an R-tree, or one for each
-block of it if it is large.
+is found. Of the documents that share such a shingle, however many, each is a
+neighbour of the next by size if their sizes allow a link; all that lie between
+two linked ones do, so a chain leads from one to the other. Chains make
+neighbourhoods, each of which has an R-tree. One that is too large for a task is
+cut into bands of size, of which only neighbouring ones can hold links, and a
+band into blocks, with a tree each.
 """
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,13 +32,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from telmart.llm.components import components
 from telmart.llm.packing import pack, smallest, steps, unpack
-from telmart.llm.shared import binary, flat, numbered, slices, text_of, written
+from telmart.llm.shared import binary, flat, numbered, slices, text_of, unused, written
 from telmart.llm.shingles import distinct, mix, shingles, words
 
 GROUPS = 256
 FANOUT = 16
-# Documents with a key in common that are paired.
-PAIRED = 32
 # Shingles and group counts in one block of a neighbourhood.
 BLOCK_SHINGLES = 1 << 20
 KEYS_AT_ONCE = 1 << 22
@@ -45,7 +45,7 @@ BLOCKS_PER_PARTITION = 4
 CELLS = 1 << 24
 CELL_SHIFT = np.uint64(40)
 GROUP_SHIFT = np.uint64(56)
-ROW = "__row"
+MEETS = "array<struct<band: bigint, low: int, high: int, second: boolean>>"
 
 
 @dataclass(frozen=True)
@@ -190,7 +190,8 @@ def _frequencies(texts: DataFrame, rule: Rule, blocks: int) -> np.ndarray:
         cells = np.zeros(CELLS, np.uint32)
         for batch in batches:
             for piece in slices(batch, "text"):
-                cells += np.bincount((_sets(piece, rule)[0] >> CELL_SHIFT).astype(np.int64), minlength=CELLS).astype(np.uint32)
+                cell, number = np.unique(_sets(piece, rule)[0] >> CELL_SHIFT, return_counts=True)
+                cells[cell] += number.astype(np.uint32)
         found = np.flatnonzero(cells > 1)
         block = found * blocks // CELLS
         edges = np.searchsorted(block, np.arange(blocks + 1))
@@ -257,9 +258,9 @@ def _sketches(texts: DataFrame, rule: Rule, frequency) -> DataFrame:
     return texts.mapInArrow(run, f"doc_id {kind}, row long, n_shingles long, one long, two long, keys binary, point binary")
 
 
-def _sharing(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
-    """Rows that share a key and are of like size: a, b, and whether they are
-    a pair or two of many."""
+def _neighbours(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
+    """Neighbours, rows that a chain of shared keys and like sizes joins: a, b,
+    for each block of keys a forest of them."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
@@ -302,20 +303,22 @@ def _sharing(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
         key = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in held])
         row = np.concatenate([x[2].astype(np.int64) + x[1][0] for x in held])
         size = np.concatenate([x[3].astype(np.int64) for x in held])
-        a, b, pair = sharing(key, row, size, rule)
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b), pair]), axis=1)
-        yield pa.RecordBatch.from_pydict({"a": both[0], "b": both[1], "pair": both[2].astype(bool)})
+        a, b = sharing(key, row, size, rule)
+        # A forest of the block: at most one link a row, whatever its keys.
+        rows, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        label = connected(place[: len(a)], place[len(a):], len(rows))
+        other = np.flatnonzero(label != np.arange(len(rows)))
+        yield pa.RecordBatch.from_pydict({"a": rows[label[other]], "b": rows[other]})
 
     keys = sketches.where("keys IS NOT NULL").select("row", "n_shingles", "keys")
     dealt_out = keys.mapInArrow(deal, "block int, payload binary")
-    return dealt_out.repartition("block").sortWithinPartitions("block").mapInArrow(
-        match, "a long, b long, pair boolean"
-    ).groupBy("a", "b").agg(F.min("pair").alias("pair"))
+    return dealt_out.repartition("block").sortWithinPartitions("block").mapInArrow(match, "a long, b long")
 
 
 def sharing(key: np.ndarray, row: np.ndarray, size: np.ndarray, rule: Rule):
-    """Rows with a key in common whose sizes allow a link; of more than PAIRED
-    with one key, each and the next larger one."""
+    """Of the rows with one key each and the next larger one, where their sizes
+    allow a link: those between two linked sets in size are of like size too,
+    so a chain leads from one to the other."""
     order = np.argsort(key)
     # Keys that occur once are most; they go first.
     key = key[order]
@@ -326,62 +329,28 @@ def sharing(key: np.ndarray, row: np.ndarray, size: np.ndarray, rule: Rule):
     key, row, size = key[shared], row[order], size[order]
     order = np.lexsort((size, key))
     key, row, size = key[order], row[order], size[order]
-    new = np.append(True, key[1:] != key[:-1])[: len(key)]
-    run = np.cumsum(new) - 1
-    many = np.bincount(run)[run] > PAIRED if len(key) else new
-    out = []
-    for step in range(1, PAIRED):
-        low = np.flatnonzero(key[step:] == key[:-step])
-        if step > 1:
-            low = low[~many[low]]
-        low = low[100 * size[low] >= rule.percent * size[low + step]]
-        if not len(low):
-            break
-        out.append((row[low], row[low + step], (~many[low]).astype(np.int64)))
-    none = np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (none, none, none)
-
-
-def _neighbours(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
-    """Neighbours: a, b."""
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                one, two = (np.stack([unpack(x)[0].astype(np.int64) for x in batch.column(c).to_pylist()]) for c in ("p", "q"))
-                bound = np.minimum(one, two).sum(axis=1)
-                keep = (100 + rule.percent) * bound >= rule.percent * (one.sum(axis=1) + two.sum(axis=1))
-                yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    shared = written(_sharing(sketches, rule, blocks), "jaccard-sharing")
-    point = sketches.where("point IS NOT NULL")
-    pairs = (
-        shared.where("pair").select("a", "b")
-        .join(point.select(F.col("row").alias("a"), F.col("point").alias("p")), "a")
-        .join(point.select(F.col("row").alias("b"), F.col("point").alias("q")), "b")
-    )
-    return shared.where("NOT pair").select("a", "b").unionByName(
-        pairs.select("a", "b", "p", "q").mapInArrow(bounded, "a long, b long")
-    )
+    low = np.flatnonzero((key[1:] == key[:-1]) & (100 * size[:-1] >= rule.percent * size[1:]))
+    return row[low], row[low + 1]
 
 
 def _links(texts: DataFrame, hoods: DataFrame, rule: Rule, pairs: bool = False) -> DataFrame:
-    """The verified links within neighbourhoods (row, hood, block, blocks,
-    alike): all as a, b with ``pairs``, else for each row of two blocks that has
+    """The verified links within neighbourhoods (row, hood, alike, meets: the
+    band, the blocks low and high, and the side in it): all as a, b with ``pairs``, else for each row of two blocks that has
     links there a, the row b that links lead to, and n, the documents linked."""
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
                 values, before = _sets(piece, rule)
                 yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(x) for x in ("row", "hood", "block", "blocks", "alike")), binary(values, np.diff(before))],
-                    ["row", "hood", "block", "blocks", "alike", "shingles"],
+                    [*(piece.column(x) for x in ("row", "hood", "alike", "meets")), binary(values, np.diff(before))],
+                    ["row", "hood", "alike", "meets", "shingles"],
                 )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(5)]
-            for name, row, alike, packed in zip(zip(*columns[:3]), *columns[3:], batch.column("shingles").to_pylist()):
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for name, row, alike, packed in zip(zip(*columns[:4]), *columns[4:]):
                 if name != now:
                     yield from settle(now, held)
                     now, held = name, []
@@ -417,17 +386,48 @@ def _links(texts: DataFrame, hoods: DataFrame, rule: Rule, pairs: bool = False)
             "a": rows[linked], "b": rows[connected(a, b, len(both))[linked]], "n": number[linked]})
 
     placed = texts.select("row", "text").join(hoods, "row")
-    sets = placed.mapInArrow(load, "row long, hood long, block int, blocks int, alike long, shingles binary")
-    # Every two blocks of a neighbourhood meet in one task; the row of the
+    sets = placed.mapInArrow(load, f"row long, hood long, alike long, meets {MEETS}, shingles binary")
+    # Every two blocks that can hold links meet in one task; the row of the
     # second one is marked by its sign.
-    meeting = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "hood", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        F.when(F.col("block") <= F.col("other"), F.col("row")).otherwise(-1 - F.col("row")).alias("row"), "alike", "shingles",
+    meeting = sets.withColumn("meet", F.explode("meets")).select(
+        "hood", "meet.band", "meet.low", "meet.high",
+        F.when(F.col("meet.second"), -1 - F.col("row")).otherwise(F.col("row")).alias("row"), "alike", "shingles",
     )
-    return (
-        meeting.repartition("hood", "low", "high").sortWithinPartitions("hood", "low", "high", "row")
-        .mapInArrow(search, "a long, b long, n long")
+    place = ["hood", "band", "low", "high"]
+    return meeting.repartition(*place).sortWithinPartitions(*place, "row").mapInArrow(search, "a long, b long, n long")
+
+
+def _placed(sized: DataFrame, rule: Rule) -> DataFrame:
+    """For rows of neighbourhoods (row, hood, n_shingles, alike) the places
+    where they meet others. A neighbourhood that fits in a block has one; of
+    another one the sizes in a band differ by no more than two linked sets may,
+    so links are within a band or between neighbouring ones. Blocks that meet
+    are of a band, low and high, or low of it and high of the
+    band above, which counts as the odd band between both."""
+    weight = F.sum(F.col("n_shingles") + GROUPS) / BLOCK_SHINGLES + 1
+    # A little wider than the limit, so that rounding separates no link.
+    width = math.log(100 / rule.percent) + 1e-6
+    whole = sized.groupBy("hood").agg(weight.cast("int").alias("parts"))
+    banded = sized.join(whole, "hood").withColumn(
+        "band", F.when(F.col("parts") == 1, 0).otherwise(2 * F.floor(F.log("n_shingles") / width)).cast("long"))
+    blocks = written(banded.groupBy("hood", "band").agg(weight.cast("int").alias("blocks")), "jaccard-bands")
+
+    def of(shift: int, name: str) -> DataFrame:
+        return blocks.select("hood", (F.col("band") + shift).alias("band"), F.col("blocks").alias(name))
+
+    rows = (
+        banded.join(blocks, ["hood", "band"])
+        .join(of(-2, "above"), ["hood", "band"], "left").join(of(2, "below"), ["hood", "band"], "left")
+        .withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks").cast("long")).cast("int"))
     )
+    meets = """concat(
+        transform(sequence(0, blocks - 1), x -> struct(
+            band, least(block, x) AS low, greatest(block, x) AS high, block > x AS second)),
+        if(above IS NULL, array(), transform(sequence(0, above - 1), x -> struct(
+            band + 1 AS band, block AS low, x AS high, false AS second))),
+        if(below IS NULL, array(), transform(sequence(0, below - 1), x -> struct(
+            band - 1 AS band, x AS low, block AS high, true AS second))))"""
+    return rows.select("row", "hood", "alike", F.expr(meets).cast(MEETS).alias("meets"))
 
 
 def linked_documents(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -461,10 +461,11 @@ def without_near_copies(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """One document of each component, that of the smallest identifier, with
     all its columns. Documents without words all stay."""
     # Written with their numbers: another scan may be split in another way.
-    rows = written(documents.withColumn(ROW, F.monotonically_increasing_id()), "jaccard-rows", compression="zstd")
-    texts = rows.select("doc_id", text_of().alias("text"), F.col(ROW).alias("row"))
-    kept = _linked(texts, rule)[0].where("first").select(F.col("row").alias(ROW))
-    return rows.join(kept, ROW, "left_semi").select(*documents.columns)
+    name = unused(documents, "row")
+    rows = written(documents.withColumn(name, F.monotonically_increasing_id()), "jaccard-rows", compression="zstd")
+    texts = rows.select("doc_id", text_of().alias("text"), F.col(name).alias("row"))
+    kept = _linked(texts, rule)[0].where("first").select(F.col("row").alias(name))
+    return rows.join(kept, name, "left_semi").select(*documents.columns)
 
 
 def _linked(texts: DataFrame, rule: Rule) -> tuple[DataFrame, ...]:
@@ -491,10 +492,7 @@ def _linked(texts: DataFrame, rule: Rule) -> tuple[DataFrame, ...]:
     )
     hoods = components(near).withColumnRenamed("label", "hood").withColumnRenamed("node", "row")
     sized = hoods.join(members.select("row", "n_shingles", "alike"), "row")
-    parts = sized.groupBy("hood").agg((F.sum(F.col("n_shingles") + GROUPS) / BLOCK_SHINGLES + 1).cast("int").alias("blocks"))
-    placed = written(sized.join(parts, "hood").select(
-        "row", "hood", F.pmod(F.xxhash64("row"), F.col("blocks").cast("long")).cast("int").alias("block"), "blocks", "alike",
-    ), "jaccard-hoods")
+    placed = written(_placed(sized, rule), "jaccard-hoods")
     near = written(_links(texts, placed, rule), "jaccard-links")
     number = near.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     found = components(near)

@@ -16,7 +16,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.linked_documents(table(spark, sf_dir, "documents"), jaccard.Rule(words=4, percent=85)).drop("first", "n_links")
+    return jaccard.linked_documents(table(spark, sf_dir, "documents"), jaccard.Rule(words=4, percent=85)).drop("first")
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,9 +134,11 @@ links AS (
     HAVING 100 * count(*) >= 85 * (any_value(p.n_shingles) + any_value(q.n_shingles) - count(*))),
 reach AS (
     SELECT doc_id AS a, doc_id AS b FROM documents
-    UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
-SELECT doc_id, coalesce(any_value(n_shingles), 0) AS n_shingles, min(b) AS component_id
-FROM documents LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.a = doc_id
+    UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+degrees AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, coalesce(any_value(n_shingles), 0) AS n_shingles, min(b) AS component_id,
+    coalesce(any_value(n_links), 0) AS n_links
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN degrees USING (doc_id) JOIN reach ON reach.a = doc_id
 GROUP BY doc_id"""
 
 EXACT_SQL = r"""

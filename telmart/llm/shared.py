@@ -57,6 +57,15 @@ def numbered_in(documents: DataFrame) -> tuple[DataFrame, str]:
     return stored(rows, "numbered", compression="zstd")
 
 
+def unused(rows: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as it takes to be none of
+    the table's columns, which Spark compares without case."""
+    taken = {column.lower() for column in rows.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def remainder(doc_id: Column, of: int) -> Column:
     """crc32 of the identifier as text, modulo ``of``; a null counts as empty."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % of

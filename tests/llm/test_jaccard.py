@@ -2,11 +2,12 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from telmart.llm import jaccard
+from telmart.llm import exact, jaccard
 
 
 def shingle_set(text, n):
@@ -77,6 +78,30 @@ def test_large_neighbourhoods_in_blocks(documents, monkeypatch):
     check(documents, list(enumerate(near_copies(9))), jaccard.Rule(3, 70))
 
 
+@pytest.mark.parametrize("percent", [50, 70, 85, 100])
+def test_bands_of_size_lose_no_link(spark, monkeypatch, percent):
+    """In a neighbourhood cut into bands and blocks all rows of like size meet
+    once, and rows of other sizes mostly not."""
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 4000)
+    sizes = [int(x) for x in np.random.default_rng(percent).integers(1, 900, 150)]
+    rows = [(i, 7, size, 1) for i, size in enumerate(sizes)]
+    placed = jaccard._placed(spark.createDataFrame(rows, "row long, hood long, n_shingles long, alike long"), jaccard.Rule(4, percent))
+    places = {}
+    for row in placed.collect():
+        for meet in row.meets:
+            places.setdefault((meet.band, meet.low, meet.high), []).append((row.row, meet.second))
+    met = Counter()
+    for held in places.values():
+        left, right = [r for r, second in held if not second], [r for r, second in held if second]
+        met.update(tuple(sorted((a, b))) for a in left for b in (right or left) if a < b or right)
+    for i, one in enumerate(sizes):
+        for j, two in enumerate(sizes[:i]):
+            assert met[j, i] <= 1
+            if 100 * min(one, two) >= percent * max(one, two):
+                assert met[j, i] == 1
+    assert len(met) < 150 * 149 / 2 or percent == 50
+
+
 def test_odd_texts(documents, odd_texts):
     rows = list(enumerate(odd_texts)) + [(None, "two words"), (None, None), (None, "alone and without name"), (4, "one"), (4, "one")]
     found = check(documents, rows, jaccard.Rule())
@@ -98,6 +123,15 @@ def test_one_document_of_a_component_stays(documents):
     assert "score" in kept[0].asDict()
 
 
+def test_columns_named_like_row_numbers_are_kept(documents):
+    rows = documents([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)]).selectExpr(
+        "*", "'mine' AS _row", "'own' AS __row", "'third' AS __ROW2")
+    for kept in (jaccard.without_near_copies(rows), exact.without_copies(rows)):
+        assert kept.columns == rows.columns
+        found = kept.select("doc_id", "row", "_row", "__row").collect()
+        assert sorted(map(tuple, found)) == [(1, "r", "mine", "own"), (3, "r", "mine", "own")]
+
+
 @pytest.mark.parametrize("percent", [30, 80, 85, 100])
 def test_linked_sets_share_a_key(percent):
     """Whatever the frequencies, linked sets have a key in common."""
@@ -117,13 +151,13 @@ def test_linked_sets_share_a_key(percent):
         assert np.intersect1d(keys[: before[1]], keys[before[1]:]).size
 
 
-@pytest.mark.parametrize("paired", [2, 5, 1000])
-def test_chains_cover_all_pairs_of_like_size(monkeypatch, paired):
-    monkeypatch.setattr(jaccard, "PAIRED", paired)
-    rnd = np.random.default_rng(paired)
-    key, row = rnd.integers(0, 12, 400).astype(np.uint64), np.arange(400)
+@pytest.mark.parametrize("keys", [2, 12, 200])
+def test_chains_cover_all_pairs_of_like_size(keys):
+    rnd = np.random.default_rng(keys)
+    key, row = rnd.integers(0, keys, 400).astype(np.uint64), np.arange(400)
     size = rnd.integers(1, 60, 400)
-    a, b, _ = jaccard.sharing(key, row, size, jaccard.Rule())
+    a, b = jaccard.sharing(key, row, size, jaccard.Rule())
+    assert len(a) < len(key), "as many as rows at most, however many share a key"
     parent = list(range(400))
 
     def root(x):

@@ -4,6 +4,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from telmart import schemas
 from telmart.operators import enrich
 from telmart.plans import jobs
 from telmart.sources import files, messages
@@ -18,10 +19,13 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     clean.add_argument("--crm", required=True)
     clean.add_argument("--device", required=True)
     clean.add_argument("--cleaned", required=True, help="folder for crm, device and subscribers")
+    clean.add_argument("--add", action="store_true", help="add the files' rows to those of earlier runs with --add")
+    _rejects(clean)
 
     stage = commands.add_parser("stage", help="revenue text file to a table by week")
     stage.add_argument("--revenue", required=True)
     stage.add_argument("--staged", required=True)
+    _rejects(stage)
 
     publish = commands.add_parser("publish", help="send the next week")
     publish.add_argument("--staged", required=True)
@@ -60,6 +64,12 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return args
 
 
+def _rejects(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument("--rejects", help="folder for records that cannot be used; without it they stop the job")
+    parser.add_argument("--most-rejected", type=float, default=0.0, metavar="SHARE",
+                        help="the share of records above which the job stops all the same")
+
+
 def _topic(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--servers", help="brokers of the topic")
     parser.add_argument("--topic", default="revenue")
@@ -71,9 +81,14 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"telmart {args.job}").getOrCreate()
 
     if args.job == "clean":
-        jobs.clean_files(spark, args.crm, args.device, args.cleaned)
+        load = jobs.clean_added_files if args.add else jobs.clean_files
+        load(spark, args.crm, args.device, args.cleaned, args.rejects, args.most_rejected)
     elif args.job == "stage":
-        jobs.stage_revenue(files.scan_revenue(spark, args.revenue), args.staged)
+        if args.rejects:
+            revenue = jobs.scan_checked(spark, args.revenue, schemas.REVENUE, args.rejects, args.most_rejected)
+        else:
+            revenue = files.scan_revenue(spark, args.revenue)
+        jobs.stage_revenue(revenue, args.staged)
     elif args.job == "publish":
         def send(rows: DataFrame) -> None:
             if args.folder:

@@ -10,7 +10,7 @@ from pyspark.sql.utils import AnalysisException
 
 from telmart import schemas
 from telmart.operators import crm, device, enrich
-from telmart.plans import marts
+from telmart.plans import added, marts
 from telmart.plans.ledger import DONE, INTENT, Ledger
 from telmart.session import new_folder, remove_folder
 from telmart.sources import files, messages
@@ -39,12 +39,48 @@ def guarded_load(
     return True
 
 
-def clean_files(spark: SparkSession, crm_path: str, device_path: str, folder: str) -> None:
+def scan_checked(
+    spark: SparkSession, path: str, schema: StructType, rejects: str, most: float = 0.0
+) -> DataFrame:
+    """The records of headered text files that can be used. The others go with
+    their text and the cause to the table ``rejects``; the load stops where they
+    are more than the share ``most`` of all, after they have been written. The
+    files are read once, into a table that the result rests on."""
+    folder, seen = new_folder(spark, "scanned"), Observation()
+    marked = files.read_with_causes(spark, path, schema)
+    marked.observe(seen, F.count("*").alias("read"), F.count("cause").alias("rejected")).write.parquet(folder)
+    rows, found = spark.read.schema(marked.schema).parquet(folder), seen.get
+    rejected = rows.where("cause IS NOT NULL").select(F.lit(path).alias("source"), "text", "cause")
+    rejected.write.mode("append").parquet(rejects)
+    if found["rejected"] > most * found["read"]:
+        raise ValueError(f"{found['rejected']} of {found['read']} records of {path} cannot be used, see {rejects}")
+    return rows.where("cause IS NULL").select(*schema.names)
+
+
+def read_rejects(spark: SparkSession, rejects: str) -> DataFrame:
+    return spark.read.schema("source string, text string, cause string").parquet(rejects)
+
+
+def _scans(spark: SparkSession, rejects: str | None, most: float):
+    """How customer and device files are read: to the letter, or with rejects."""
+    if rejects is None:
+        return files.scan_crm, files.scan_device
+    return (
+        lambda spark, path: files.birth_years(scan_checked(spark, path, schemas.CRM, rejects, most)),
+        lambda spark, path: scan_checked(spark, path, schemas.DEVICE, rejects, most),
+    )
+
+
+def clean_files(
+    spark: SparkSession, crm_path: str, device_path: str, folder: str, rejects: str | None = None, most: float = 0.0
+) -> None:
     """Text files to the cleaned collections ``crm`` and ``device`` and the
     static side of the stream join, ``subscribers``. A cleaned collection that
-    is there already stays as it is."""
-    guarded_load(spark, f"{folder}/crm", lambda: crm.clean(files.scan_crm(spark, crm_path)))
-    guarded_load(spark, f"{folder}/device", lambda: device.clean(files.scan_device(spark, device_path)))
+    is there already stays as it is. Records that cannot be used stop the job,
+    or go to ``rejects`` if that is given, up to the share ``most``."""
+    scan_crm, scan_device = _scans(spark, rejects, most)
+    guarded_load(spark, f"{folder}/crm", lambda: crm.clean(scan_crm(spark, crm_path)))
+    guarded_load(spark, f"{folder}/device", lambda: device.clean(scan_device(spark, device_path)))
     write_subscribers(
         spark,
         files.read_collection(spark, f"{folder}/crm"),
@@ -53,6 +89,18 @@ def clean_files(spark: SparkSession, crm_path: str, device_path: str, folder: st
     )
 
 
+def clean_added_files(
+    spark: SparkSession, crm_path: str, device_path: str, folder: str, rejects: str | None = None, most: float = 0.0
+) -> None:
+    """Adds the files' rows to those of earlier calls: the subscribers that
+    they name are cleaned again, and ``subscribers`` gets a new version. What
+    ``clean_files`` has loaded is another collection, without its raw rows."""
+    scan_crm, scan_device = _scans(spark, rejects, most)
+    customers = added.add(spark, scan_crm(spark, crm_path), f"{folder}/crm-added", crm.clean)
+    devices = added.add(spark, scan_device(spark, device_path), f"{folder}/device-added", device.clean)
+    write_subscribers(spark, customers, devices, f"{folder}/subscribers")
+
+
 def stage_revenue(revenue: DataFrame, path: str) -> None:
     """Revenue as a table by week, so that publishing a week reads that week
     only. Rebalancing splits a large week over several tasks and files. Rows

@@ -75,6 +75,21 @@ _RAW_REVENUE = """revenue AS (
               AS DECIMAL(28,10)) AS revenue_usd
   FROM events)"""
 
+# The records of the text files and what becomes of them.
+_RECORDS = """records AS (
+  SELECT 'crm' AS source, msisdn || ',male' AS text, CASE WHEN msisdn LIKE '%77' THEN 'fields' ELSE 'used' END AS cause
+  FROM crm_raw
+  UNION ALL SELECT 'device', msisdn || ',a,b,c,d,e,f', CASE WHEN msisdn LIKE '%77' THEN 'fields' ELSE 'used' END
+  FROM device_raw
+  UNION ALL SELECT 'revenue',
+    CASE WHEN msisdn LIKE '%77' THEN msisdn
+         WHEN msisdn LIKE '%88' THEN msisdn || ',w' || week_number || ',n/a'
+         WHEN msisdn LIKE '%7' THEN msisdn || ',w' || week_number || ',' || revenue_usd
+         ELSE msisdn || ',' || week_number || ',n/a' END,
+    CASE WHEN msisdn LIKE '%77' THEN 'fields' WHEN msisdn LIKE '%88' THEN 'week_number, revenue_usd'
+         WHEN msisdn LIKE '%7' THEN 'week_number' WHEN msisdn LIKE '%8' THEN 'revenue_usd' ELSE 'used' END
+  FROM revenue)"""
+
 _CRM = f"""crm_words AS (
   SELECT msisdn, {_gender('gender')} AS gender,
          coalesce(CAST(year_of_birth AS VARCHAR), 'Not Available') AS year_of_birth,
@@ -314,6 +329,17 @@ def oracle_sql() -> dict[str, str]:
         "scan_crm": _with(_RAW_CRM) + "SELECT * FROM crm_raw",
         "scan_device": _with(_RAW_DEVICE) + "SELECT * FROM device_raw",
         "scan_revenue": revenue + in_double,
+        "scan_rejects": _with(_RAW_CRM, _RAW_DEVICE, _RAW_REVENUE, _RECORDS) + """
+        SELECT source, CASE WHEN cause <> 'used' THEN text END AS text, cause, count(*) AS n FROM records GROUP BY 1, 2, 3""",
+        "collection_merged": crm + """
+        SELECT msisdn, CASE WHEN low THEN gender END AS gender,
+            CASE WHEN NOT low OR regexp_full_match(year_of_birth, '[0-9]+') THEN year_of_birth END AS year_of_birth,
+            mobile_type, length(msisdn) AS n_chars,
+            CASE WHEN NOT low THEN value_segment END AS value_segment,
+            CASE WHEN NOT low THEN system_status END AS system_status
+        FROM (SELECT *, coalesce(right(msisdn, 1) < '5', false) AS low FROM crm)""",
+        "crm_clean_added": crm + "SELECT * FROM crm",
+        "device_clean_added": device + "SELECT * FROM device",
         "collection_roundtrip": crm + "SELECT * FROM crm",
         "gender_normalize": _with(_RAW_CRM)
         + f"SELECT gender AS raw_gender, {_gender('gender')} AS gender, count(*) AS n_rows "

@@ -11,9 +11,9 @@ from telmart.functions import gender
 from telmart.functions.labels import age, age_band, or_not_available
 from telmart.functions.money import dollars
 from telmart.operators import crm, device, enrich
-from telmart.plans import jobs, marts
+from telmart.plans import added, jobs, marts
 from telmart.session import new_folder, remove_folder
-from telmart.sources import files, fixtures, messages
+from telmart.sources import collections, files, fixtures, messages
 from telmart.streaming import enrichment
 
 AS_OF = "2024-06-30"
@@ -71,9 +71,76 @@ def collection_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_collection(spark, path)
 
 
+def collection_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends with different columns, two of them of different types."""
+    path, rows = new_folder(spark, "merged"), _crm(spark, sf_dir)
+    low = F.coalesce(F.right("msisdn", F.lit(1)) < "5", F.lit(False))
+    whole_year = F.expr("if(year_of_birth rlike '^[0-9]+$', int(year_of_birth), null)").alias("year_of_birth")
+    collections.append_documents(
+        rows.where(low).select("msisdn", "gender", whole_year, "mobile_type", F.length("msisdn").alias("n_chars")), path)
+    collections.append_documents(rows.where(~low).select(
+        "value_segment", "msisdn", "year_of_birth", "mobile_type", "system_status",
+        F.length("msisdn").cast("long").alias("n_chars"), F.xxhash64("msisdn").alias("_id"),
+    ), path)
+    return collections.read_documents(spark, path)
+
+
+def _text_with_faults(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, StructType]:
+    """The three inputs as text files, with records of too few or too many
+    fields and with words in the place of numbers."""
+    def lines(rows: DataFrame, schema: StructType, fields: list[str], short: str, name: str) -> None:
+        line = f"if(msisdn LIKE '%77', {short}, concat_ws(',', {', '.join(fields)}))"
+        header = ",".join(schema.names)
+        # One column under the whole header; the separator is in none of the lines.
+        rows.select(F.expr(line).alias(header)).write.option("header", True).option("sep", "\x01").csv(f"{folder}/{name}")
+
+    def plain(schema: StructType) -> list[str]:
+        return [f"coalesce({name}, '')" for name in schema.names]
+
+    money = ["coalesce(msisdn, '')", "if(msisdn LIKE '%7' OR msisdn LIKE '%88', 'w', '') || week_number",
+             "if(msisdn LIKE '%8', 'n/a', string(revenue_usd))"]
+    lines(fixtures.crm_raw(spark, sf_dir), schemas.CRM, plain(schemas.CRM), "msisdn || ',male'", "crm")
+    lines(fixtures.device_raw(spark, sf_dir), schemas.DEVICE, plain(schemas.DEVICE), "msisdn || ',a,b,c,d,e,f'", "device")
+    lines(fixtures.revenue(spark, sf_dir), schemas.REVENUE, money, "msisdn", "revenue")
+    return {"crm": schemas.CRM, "device": schemas.DEVICE, "revenue": schemas.REVENUE}
+
+
+def scan_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What text scans cannot use, and how many records of each cause they do
+    use: ``text`` is null for those."""
+    folder, used = new_folder(spark, "scan-rejects"), []
+    for name, schema in _text_with_faults(spark, sf_dir, folder).items():
+        rows = jobs.scan_checked(spark, f"{folder}/{name}", schema, f"{folder}/rejects", most=0.5)
+        used.append(rows.agg(F.count("*").alias("n")).select(
+            F.lit(name).alias("source"), F.lit(None).cast("string").alias("text"), F.lit("used").alias("cause"), "n"))
+    rejected = jobs.read_rejects(spark, f"{folder}/rejects").withColumn("source", F.substring_index("source", "/", -1))
+    return reduce(DataFrame.unionByName, used, rejected.groupBy("source", "text", "cause").agg(F.count("*").alias("n")))
+
+
 # Customer and device cleaning
 
 
+def _in_two(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    first = F.pmod(F.xxhash64(*raw.columns), F.lit(5)) > 0
+    return raw.where(first), raw.where(~first)
+
+
+def _cleaned_in_two(spark: SparkSession, raw: DataFrame, clean, name: str) -> DataFrame:
+    folder = new_folder(spark, name)
+    for rows in _in_two(raw):
+        cleaned = added.add(spark, rows, folder, clean)
+    return cleaned
+
+
+def crm_clean_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most customer records first, then the rest."""
+    return _cleaned_in_two(spark, fixtures.crm_raw(spark, sf_dir), crm.clean, "crm-added")
+
+
+def device_clean_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cleaned_in_two(spark, fixtures.device_raw(spark, sf_dir), device.clean, "device-added")
+
+
 def gender_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         fixtures.crm_raw(spark, sf_dir)
@@ -382,7 +449,8 @@ def queries() -> dict[str, Query]:
     named: dict[str, Query] = {
         query.__name__: query
         for query in (
-            scan_crm, scan_device, scan_revenue, collection_roundtrip,
+            scan_crm, scan_device, scan_revenue, scan_rejects, collection_roundtrip, collection_merged,
+            crm_clean_added, device_clean_added,
             gender_normalize, gender_function, clean_null_labels, gender_fill, crm_dedupe,
             crm_window_counts, crm_survivor, device_null_count, device_survivor,
             crm_device_full, subscriber_week, subscriber_activity,

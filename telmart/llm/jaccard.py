@@ -14,11 +14,13 @@ percent, in any order that is the same for all. The order is by an estimate of
 how many documents have a shingle, so that passages which many documents share
 bring together only documents that hold little else. The estimate counts
 shingles in a fixed number of cells; it decides how much work there is, not what
-is found. Two documents that share such a shingle are neighbours if their sizes
-and the bound on their points allow a link. Where more than PAIRED documents
-share one, they are not paired: each is a neighbour of the next by size. Chains
-of neighbours make neighbourhoods, each of which has an R-tree, or one for each
-block of it if it is large.
+is found. Of the shingles that two sets share, the first has none before it, so
+they share at most what each has from there on: with p shingles before it a set
+of n can be linked by it to sets of (n - p) (100 + t) / t - n shingles at most.
+Two documents that allow each other's size at a shingle are neighbours. Of the
+neighbours at one shingle, however many, a spanning forest is made, which has
+fewer edges than documents. Chains of neighbours make neighbourhoods, each of
+which has an R-tree, or one for each block of it if it is large.
 """
 
 from collections.abc import Iterator
@@ -35,8 +37,6 @@ from telmart.llm.shingles import distinct, mix, shingles, words
 
 GROUPS = 256
 FANOUT = 16
-# Documents with a key in common that are paired.
-PAIRED = 32
 # Shingles and group counts in one block of a neighbourhood.
 BLOCK_SHINGLES = 1 << 20
 KEYS_AT_ONCE = 1 << 22
@@ -61,15 +61,16 @@ class Rule:
 def rare_keys(
     values: np.ndarray, before: np.ndarray, rule: Rule, frequency: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The rarest shingles of each set, as many as it takes to share one with
-    every set it is linked with, and the keys before each set."""
+    """The rarest shingles of each (ascending) set, rarest first, as many as it
+    takes to share one with every set it is linked with, and the keys before
+    each set."""
     size = np.diff(before)
     many = np.where(size > 0, size - -(-size * rule.percent // 100) + 1, 0)
     order = (frequency[values >> CELL_SHIFT].astype(np.uint64) << np.uint64(58)) | (values >> np.uint64(6))
-    parts = []
-    for first, stop, count in zip(before[:-1], before[1:], many):
-        own = values[first:stop]
-        parts.append(own[np.argpartition(order[first:stop], count - 1)[:count]] if count < len(own) else own)
+    parts = [
+        values[first:stop][np.argsort(order[first:stop], kind="stable")[:count]]
+        for first, stop, count in zip(before[:-1], before[1:], many)
+    ]
     return (np.concatenate(parts) if parts else values[:0]), np.concatenate([[0], np.cumsum(many)])
 
 
@@ -225,8 +226,8 @@ def _frequencies(texts: DataFrame, rule: Rule, blocks: int) -> np.ndarray:
 
 
 def _sketches(texts: DataFrame, rule: Rule, frequency) -> DataFrame:
-    """Per row the size and two digests of its set, and its rarest shingles and
-    its point, which of equal sets of one task only the first has."""
+    """Per row the size and two digests of its set, and its rarest shingles,
+    which of equal sets of one task only the first has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
@@ -244,27 +245,26 @@ def _sketches(texts: DataFrame, rule: Rule, frequency) -> DataFrame:
                     own.append(name not in seen)
                     seen.add(name)
                 packed = binary(key, np.diff(bounds))
-                counts = points(values, before)
                 yield pa.RecordBatch.from_arrays([
                     piece.column("doc_id"), piece.column("row"), pa.array(size, pa.int64()),
                     pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
                     pa.array([x if y and len(x) else None for x, y in zip(packed.to_pylist(), own)], pa.binary()),
-                    pa.array([pack(smallest(x)) if y else None for x, y in zip(counts, own)], pa.binary()),
-                ], ["doc_id", "row", "n_shingles", "one", "two", "keys", "point"])
+                ], ["doc_id", "row", "n_shingles", "one", "two", "keys"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, row long, n_shingles long, one long, two long, keys binary, point binary")
+    return texts.mapInArrow(run, f"doc_id {kind}, row long, n_shingles long, one long, two long, keys binary")
 
 
-def _sharing(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
-    """Rows that share a key and are of like size: a, b, and whether they are
-    a pair or two of many."""
+def _neighbours(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
+    """A spanning forest of the neighbours at each key: a, b."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
             for row, size, packed in zip(*(batch.column(x).to_pylist() for x in ("row", "n_shingles", "keys"))):
                 own = np.frombuffer(packed, np.uint64)
-                held.append((own, np.full(len(own), row, np.int64), np.full(len(own), size, np.int64)))
+                held.append((
+                    own, np.full(len(own), row, np.int64), np.full(len(own), size, np.int64), np.arange(len(own)),
+                ))
                 count += len(own)
                 if count > KEYS_AT_ONCE:
                     yield dealt(*(np.concatenate(x) for x in zip(*held)))
@@ -272,9 +272,9 @@ def _sharing(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
         if held:
             yield dealt(*(np.concatenate(x) for x in zip(*held)))
 
-    def dealt(key, row, size):
+    def dealt(key, row, size, place):
         order = np.argsort(key)
-        key, row, size = key[order], row[order], size[order]
+        key, row, size, place = key[order], row[order], size[order], place[order]
         block = (key >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
         edges = np.searchsorted(block, np.arange(blocks + 1, dtype=np.uint64))
         names = [b for b in range(blocks) if edges[b + 1] > edges[b]]
@@ -282,7 +282,9 @@ def _sharing(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
         for b in names:
             part = slice(edges[b], edges[b + 1])
             least = row[part].min()
-            packed.append(pack(steps(key[part]), np.array([least]), smallest(row[part] - least), smallest(size[part])))
+            packed.append(pack(
+                steps(key[part]), np.array([least]), smallest(row[part] - least), smallest(size[part]), smallest(place[part]),
+            ))
         return pa.RecordBatch.from_pydict({"block": pa.array(names, pa.int32()), "payload": pa.array(packed, pa.binary())})
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,21 +302,29 @@ def _sharing(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
             return
         key = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in held])
         row = np.concatenate([x[2].astype(np.int64) + x[1][0] for x in held])
-        size = np.concatenate([x[3].astype(np.int64) for x in held])
-        a, b, pair = sharing(key, row, size, rule)
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b), pair]), axis=1)
-        yield pa.RecordBatch.from_pydict({"a": both[0], "b": both[1], "pair": both[2].astype(bool)})
+        size, place = (np.concatenate([x[i].astype(np.int64) for x in held]) for i in (3, 4))
+        a, b = forest(key, row, size, place, rule)
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        yield pa.RecordBatch.from_pydict({"a": both[0], "b": both[1]})
 
     keys = sketches.where("keys IS NOT NULL").select("row", "n_shingles", "keys")
     dealt_out = keys.mapInArrow(deal, "block int, payload binary")
-    return dealt_out.repartition("block").sortWithinPartitions("block").mapInArrow(
-        match, "a long, b long, pair boolean"
-    ).groupBy("a", "b").agg(F.min("pair").alias("pair"))
+    return dealt_out.repartition("block").sortWithinPartitions("block").mapInArrow(match, "a long, b long").distinct()
 
 
-def sharing(key: np.ndarray, row: np.ndarray, size: np.ndarray, rule: Rule):
-    """Rows with a key in common whose sizes allow a link; of more than PAIRED
-    with one key, each and the next larger one."""
+def forest(
+    key: np.ndarray, row: np.ndarray, size: np.ndarray, place: np.ndarray, rule: Rule
+) -> tuple[np.ndarray, np.ndarray]:
+    """Edges between neighbours, by which all neighbours at one key are
+    connected, fewer than rows at each key. ``place`` is how many rarer keys the
+    row has.
+
+    A row at a key allows sets of ``most`` shingles. Rows that allow their own
+    size are intervals from their size to ``most``, neighbours where these
+    overlap: in order of size each has an edge to the earlier one that allows
+    most. Other rows are no neighbours of each other. The intervals that such a
+    row is a neighbour of all hold its size, so they are connected and one edge
+    does, to the one of those it allows that allows most."""
     order = np.argsort(key)
     # Keys that occur once are most; they go first.
     key = key[order]
@@ -322,45 +332,22 @@ def sharing(key: np.ndarray, row: np.ndarray, size: np.ndarray, rule: Rule):
     shared[1:] = key[1:] == key[:-1]
     shared[:-1] |= shared[1:]
     order = order[shared]
-    key, row, size = key[shared], row[order], size[order]
+    if not len(order):
+        return row[:0], row[:0]
+    key, row, size, place = key[shared], row[order], size[order], place[order]
     order = np.lexsort((size, key))
-    key, row, size = key[order], row[order], size[order]
-    new = np.append(True, key[1:] != key[:-1])[: len(key)]
-    run = np.cumsum(new) - 1
-    many = np.bincount(run)[run] > PAIRED if len(key) else new
-    out = []
-    for step in range(1, PAIRED):
-        low = np.flatnonzero(key[step:] == key[:-step])
-        if step > 1:
-            low = low[~many[low]]
-        low = low[100 * size[low] >= rule.percent * size[low + step]]
-        if not len(low):
-            break
-        out.append((row[low], row[low + step], (~many[low]).astype(np.int64)))
-    none = np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (none, none, none)
-
-
-def _neighbours(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
-    """Neighbours: a, b."""
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                one, two = (np.stack([unpack(x)[0].astype(np.int64) for x in batch.column(c).to_pylist()]) for c in ("p", "q"))
-                bound = np.minimum(one, two).sum(axis=1)
-                keep = (100 + rule.percent) * bound >= rule.percent * (one.sum(axis=1) + two.sum(axis=1))
-                yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    shared = written(_sharing(sketches, rule, blocks), "jaccard-sharing")
-    point = sketches.where("point IS NOT NULL")
-    pairs = (
-        shared.where("pair").select("a", "b")
-        .join(point.select(F.col("row").alias("a"), F.col("point").alias("p")), "a")
-        .join(point.select(F.col("row").alias("b"), F.col("point").alias("q")), "b")
-    )
-    return shared.where("NOT pair").select("a", "b").unionByName(
-        pairs.select("a", "b", "p", "q").mapInArrow(bounded, "a long, b long")
-    )
+    key, row, size, place = key[order], row[order], size[order], place[order]
+    most = (size - place) * (100 + rule.percent) // rule.percent - size
+    span = most >= size
+    # One ascending number for key and size, and for key and the most so far.
+    run = np.cumsum(np.append(False, key[1:] != key[:-1])) * (max(int(size.max()), int(most.max())) + 1)
+    so_far = np.maximum.accumulate(run + np.where(span, most, 0))
+    widest = np.maximum.accumulate(np.where(np.append(True, so_far[1:] != so_far[:-1]), np.arange(len(key)), 0))
+    before = np.where(span, np.arange(len(key)), np.searchsorted(run + size, run + most, "right")) - 1
+    at = np.flatnonzero(before >= 0)
+    other = widest[before[at]]
+    near = (run[other] == run[at]) & span[other] & (size[at] <= most[other]) & (size[other] <= most[at])
+    return row[at[near]], row[other[near]]
 
 
 def _links(texts: DataFrame, hoods: DataFrame, rule: Rule, pairs: bool = False) -> DataFrame:
@@ -479,7 +466,7 @@ def _linked(texts: DataFrame, rule: Rule) -> tuple[DataFrame, ...]:
         ), "jaccard-classes",
     )
     members = written(
-        sketches.drop("keys", "point").join(classes, ["one", "two", "n_shingles"], "left")
+        sketches.drop("keys").join(classes, ["one", "two", "n_shingles"], "left")
         .select("row", "doc_id", "n_shingles", "node", "leader", "alike"), "jaccard-members",
     )
     node_of = members.where("node IS NOT NULL").select("row", "node")

@@ -123,16 +123,28 @@ def test_linked_sets_share_a_key(percent):
         if not len(b) or not rule.linked(len(np.intersect1d(a, b)), len(np.union1d(a, b))):
             continue
         keys, before = jaccard.rare_keys(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), rule, frequency)
-        assert np.intersect1d(keys[: before[1]], keys[before[1]:]).size
+        one, two = keys[: before[1]], keys[before[1]:]
+        assert np.intersect1d(one, two).size
+        # The sizes are allowed at the first key that both have.
+        row = np.repeat([0, 1], np.diff(before))
+        place = np.concatenate([np.arange(len(one)), np.arange(len(two))])
+        x, y = jaccard.forest(keys, row, np.where(row, len(b), len(a)), place, rule)
+        assert {0, 1} in [{*z} for z in zip(x.tolist(), y.tolist())]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_forest_connects_exactly_the_neighbours_at_a_key(seed):
+    rnd = np.random.default_rng(seed)
+    rule = jaccard.Rule(4, int(rnd.choice([50, 85, 95])))
+    key, row = rnd.integers(0, 12, 400).astype(np.uint64), np.arange(400)
+    size = rnd.integers(1, int(rnd.choice([20, 60, 400])), 400)
+    place = rnd.integers(0, size - -(-size * rule.percent // 100) + 1)
+    a, b = jaccard.forest(key, row, size, place, rule)
+    most = (size - place) * (100 + rule.percent) // rule.percent - size
 
+    def neighbours(x, y):
+        return key[x] == key[y] and size[x] <= most[y] and size[y] <= most[x]
 
-@pytest.mark.parametrize("paired", [2, 5, 1000])
-def test_chains_cover_all_pairs_of_like_size(monkeypatch, paired):
-    monkeypatch.setattr(jaccard, "PAIRED", paired)
-    rnd = np.random.default_rng(paired)
-    key, row = rnd.integers(0, 12, 400).astype(np.uint64), np.arange(400)
-    size = rnd.integers(1, 60, 400)
-    a, b, _ = jaccard.sharing(key, row, size, jaccard.Rule())
     parent = list(range(400))
 
     def root(x):
@@ -141,13 +153,28 @@ def test_chains_cover_all_pairs_of_like_size(monkeypatch, paired):
         return x
 
     for x, y in zip(a.tolist(), b.tolist()):
+        assert neighbours(x, y) and root(x) != root(y)
         parent[root(x)] = root(y)
     for x in range(400):
         for y in range(x):
-            if key[x] == key[y] and 100 * min(size[x], size[y]) >= 85 * max(size[x], size[y]):
+            if neighbours(x, y):
                 assert root(x) == root(y)
 
 
+@pytest.mark.parametrize("rows", [10, 32, 33, 3000])
+def test_a_shared_key_makes_fewer_edges_than_documents(rows):
+    """Groups of every size go the same way."""
+    size = np.full(rows, 50)
+    a, _ = jaccard.forest(np.zeros(rows, np.uint64), np.arange(rows), size, np.zeros(rows, np.int64), jaccard.Rule())
+    assert len(a) == rows - 1
+
+
+def test_no_rows_make_no_edges():
+    none = np.zeros(0, np.int64)
+    a, b = jaccard.forest(none.astype(np.uint64), none, none, none, jaccard.Rule())
+    assert len(a) == len(b) == 0
+
+
 def test_tree_finds_what_all_pairs_find():
     rnd = np.random.default_rng(2)
     rule = jaccard.Rule(4, 60)

@@ -34,10 +34,11 @@ from telmart.llm.components import components
 from telmart.llm.packing import pack, smallest, steps, unpack
 from telmart.llm.shared import binary, flat, numbered, slices, text_of, unused, written
 from telmart.llm.shingles import distinct, mix, shingles, words
+from telmart.operators.bloom import key_filter, may_match
 
 GROUPS = 256
 FANOUT = 16
-# Shingles and group counts in one block of a neighbourhood.
+# Shingles and group counts in one block of a neighbourhood, or eighths of its texts' bytes.
 BLOCK_SHINGLES = 1 << 20
 KEYS_AT_ONCE = 1 << 22
 BLOCKS_PER_PARTITION = 4
@@ -226,7 +227,7 @@ def _frequencies(texts: DataFrame, rule: Rule, blocks: int) -> np.ndarray:
 
 
 def _sketches(texts: DataFrame, rule: Rule, frequency) -> DataFrame:
-    """Per row the size and two digests of its set, and its rarest shingles,
+    """Per row the size and two digests of its set, its text's bytes, and its rarest shingles,
     which of equal sets of one task only the first has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -248,11 +249,12 @@ def _sketches(texts: DataFrame, rule: Rule, frequency) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     piece.column("doc_id"), piece.column("row"), pa.array(size, pa.int64()),
                     pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
+                    pa.array(np.diff(flat(piece.column("text"))[1])),
                     pa.array([x if y and len(x) else None for x, y in zip(packed.to_pylist(), own)], pa.binary()),
-                ], ["doc_id", "row", "n_shingles", "one", "two", "keys"])
+                ], ["doc_id", "row", "n_shingles", "one", "two", "bytes", "keys"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, row long, n_shingles long, one long, two long, keys binary")
+    return texts.mapInArrow(run, f"doc_id {kind}, row long, n_shingles long, one long, two long, bytes long, keys binary")
 
 
 def _neighbours(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
@@ -354,27 +356,23 @@ def _links(texts: DataFrame, hoods: DataFrame, rule: Rule, pairs: bool = False)
     """The verified links within neighbourhoods (row, hood, block, blocks,
     alike): all as a, b with ``pairs``, else for each row of two blocks that has
     links there a, the row b that links lead to, and n, the documents linked."""
-    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch, "text"):
-                values, before = _sets(piece, rule)
-                yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(x) for x in ("row", "hood", "block", "blocks", "alike")), binary(values, np.diff(before))],
-                    ["row", "hood", "block", "blocks", "alike", "shingles"],
-                )
-
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(5)]
-            for name, row, alike, packed in zip(zip(*columns[:3]), *columns[3:], batch.column("shingles").to_pylist()):
+            for name, row, alike, text in zip(zip(*columns[:3]), *columns[3:], batch.column("text").to_pylist()):
                 if name != now:
-                    yield from settle(now, held)
+                    yield from settle(held)
                     now, held = name, []
-                held.append((row, packed, alike))
-        yield from settle(now, held)
+                held.append((row, text, alike))
+        yield from settle(held)
+
+    def sets(held):
+        batch = pa.RecordBatch.from_pydict({"text": pa.array([x[1] for x in held], pa.large_string())})
+        found = (_sets(piece, rule) for piece in slices(batch, "text"))
+        return [x for values, before in found for x in np.split(values, before[1:-1])]
 
-    def settle(name, held):
+    def settle(held):
         if len(held) < 2:
             return
         # Of two blocks that meet, each row says which one it is from.
@@ -382,10 +380,7 @@ def _links(texts: DataFrame, hoods: DataFrame, rule: Rule, pairs: bool = False)
         right = [x for x in held if x[0] < 0] or None
         if not left:
             return
-        a, b = similar(
-            [np.frombuffer(x[1], np.uint64) for x in left],
-            None if right is None else [np.frombuffer(x[1], np.uint64) for x in right], rule,
-        )
+        a, b = similar(sets(left), None if right is None else sets(right), rule)
         if not len(a):
             return
         both = left + (right or [])
@@ -402,13 +397,15 @@ def _links(texts: DataFrame, hoods: DataFrame, rule: Rule, pairs: bool = False)
         yield pa.RecordBatch.from_pydict({
             "a": rows[linked], "b": rows[connected(a, b, len(both))[linked]], "n": number[linked]})
 
-    placed = texts.select("row", "text").join(hoods, "row")
-    sets = placed.mapInArrow(load, "row long, hood long, block int, blocks int, alike long, shingles binary")
+    # Only the neighbourhoods' own texts are shuffled, and dealt out in the same
+    # way however many they are. Texts take less room than their shingles.
+    own = may_match(texts.select("row", "text"), "row", key_filter(hoods, "row"))
+    placed = own.join(hoods.hint("merge"), "row")
     # Every two blocks of a neighbourhood meet in one task; the row of the
     # second one is marked by its sign.
-    meeting = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    meeting = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "hood", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        F.when(F.col("block") <= F.col("other"), F.col("row")).otherwise(-1 - F.col("row")).alias("row"), "alike", "shingles",
+        F.when(F.col("block") <= F.col("other"), F.col("row")).otherwise(-1 - F.col("row")).alias("row"), "alike", "text",
     )
     return (
         meeting.repartition("hood", "low", "high").sortWithinPartitions("hood", "low", "high", "row")
@@ -467,7 +464,7 @@ def _linked(texts: DataFrame, rule: Rule) -> tuple[DataFrame, ...]:
     )
     members = written(
         sketches.drop("keys").join(classes, ["one", "two", "n_shingles"], "left")
-        .select("row", "doc_id", "n_shingles", "node", "leader", "alike"), "jaccard-members",
+        .select("row", "doc_id", "n_shingles", "bytes", "node", "leader", "alike"), "jaccard-members",
     )
     node_of = members.where("node IS NOT NULL").select("row", "node")
     near = (
@@ -477,8 +474,9 @@ def _linked(texts: DataFrame, rule: Rule) -> tuple[DataFrame, ...]:
         .select(F.col("x").alias("a"), F.col("y").alias("b"))
     )
     hoods = components(near).withColumnRenamed("label", "hood").withColumnRenamed("node", "row")
-    sized = hoods.join(members.select("row", "n_shingles", "alike"), "row")
-    parts = sized.groupBy("hood").agg((F.sum(F.col("n_shingles") + GROUPS) / BLOCK_SHINGLES + 1).cast("int").alias("blocks"))
+    sized = hoods.join(members.select("row", "n_shingles", "bytes", "alike"), "row")
+    weight = F.greatest(F.col("n_shingles") + GROUPS, F.col("bytes") / 8)
+    parts = sized.groupBy("hood").agg((F.sum(weight) / BLOCK_SHINGLES + 1).cast("int").alias("blocks"))
     placed = written(sized.join(parts, "hood").select(
         "row", "hood", F.pmod(F.xxhash64("row"), F.col("blocks").cast("long")).cast("int").alias("block"), "blocks", "alike",
     ), "jaccard-hoods")

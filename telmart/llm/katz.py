@@ -29,7 +29,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from telmart.llm.packing import pack, smallest, steps, unpack
 from telmart.llm.shared import flat, numbered_in, release, remainder, slices, stored, written
@@ -44,8 +44,9 @@ TOKENS_AT_ONCE = 1 << 20
 # Text that a task takes apart at a time.
 BYTES_AT_ONCE = 2 << 20
 BLOCKS_PER_PARTITION = 4
-# The blocks are built in so many waves, each from its own pass over the texts,
-# so that the shuffle files of one are gone when the next begins.
+# The blocks are built in so many waves, each from its own pass over the texts
+# that deals out its own pairs only, and evaluated in these waves again, so that
+# the shuffle files of one are gone when the next begins.
 WAVES = 2
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 # Marks a word that is given by its hash, not by its rank.
@@ -289,6 +290,20 @@ def _rare_pairs(own: DataFrame, counts: DataFrame, order: int) -> DataFrame:
     return pairs.join(counts, "w", "left").select("row", "held_out", *names, F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def _figures(own: DataFrame, rare: DataFrame, model: Unigrams) -> DataFrame:
+    """doc_id, row, held_out, n_tokens, n_known, base_score of every row, rare
+    words included: what is needed of the figures to the end."""
+    smooth = F.log10((F.col("n") + 0.1) / F.lit(model.tokens + 0.1 * (model.types + 1)))
+    rest = rare.groupBy("row").agg(
+        F.sum((F.col("n") > 0).cast("long")).alias("rare_known"), F.sum(smooth).alias("rare_base")
+    )
+    return own.drop("rare").join(rest, "row", "left").select(
+        "doc_id", "row", "held_out", "n_tokens",
+        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        (F.col("base_score") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
+    )
+
+
 class _Dealer:
     """Which block a pair belongs to: that of its history, or one of several
     for a history with more than a block's share of the tokens."""
@@ -319,12 +334,12 @@ class _Dealer:
         return (out % np.uint64(self.blocks)).astype(np.int64)
 
 
-def _deal(dealer: _Dealer, history, word, count, place, *earlier) -> pa.RecordBatch:
+def _deal(dealer: _Dealer, block, history, word, count, place, *earlier) -> pa.RecordBatch:
     """Occurrences packed by block. ``word`` is a rank, or a hash with its
     training count; ``place`` is the row number times two, plus one if it is
     held out; ``earlier`` are the codes of the words before the history."""
     order = np.argsort(history)
-    block = dealer.block(history[order], word[order])
+    block = block[order]
     by_block = np.argsort(smallest(block), kind="stable")
     block, order = block[by_block], order[by_block]
     history, word, count, place = history[order], word[order], count[order], place[order]
@@ -381,8 +396,9 @@ def _dealt(payloads: list[bytes], counts: np.ndarray):
     return [np.concatenate(x) for x in zip(*out)]
 
 
-def _pairs(texts: DataFrame, rare: DataFrame, shared, blocks: int, order: int) -> DataFrame:
-    """Every token with its history, packed by block: block, payload."""
+def _pairs(texts: DataFrame, rare: DataFrame, shared, blocks: int, order: int, wave: int = 0, waves: int = 1) -> DataFrame:
+    """Every token with its history, packed by block: block, payload; only of
+    the blocks of one wave."""
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, dealer = shared.value, _Dealer(shared.value, blocks)
         parts, held = [], 0
@@ -392,10 +408,13 @@ def _pairs(texts: DataFrame, rare: DataFrame, shared, blocks: int, order: int) -
                 place = piece.column("row").to_numpy() * 2 + piece.column("held_out").to_numpy(zero_copy_only=False)
                 rank = model.find(token)
                 own = np.flatnonzero(rank >= 0)
+                block = dealer.block(history[own], rank[own].astype(np.uint64))
+                chosen = np.flatnonzero(block % waves == wave)
+                own, block = own[chosen], block[chosen]
                 codes = np.where(rank >= 0, rank.astype(np.uint64), token | BY_HASH)
                 earlier = _shifted(codes, bounds, START | BY_HASH, order - 1)[1:]
                 parts.append((
-                    history[own], rank[own].astype(np.uint64), np.zeros(len(own), np.uint8),
+                    block, history[own], rank[own].astype(np.uint64), np.zeros(len(own), np.uint8),
                     np.repeat(place, np.diff(bounds))[own], *(x[own] for x in earlier),
                 ))
                 held += len(own)
@@ -409,8 +428,11 @@ def _pairs(texts: DataFrame, rare: DataFrame, shared, blocks: int, order: int) -
         model, dealer = shared.value, _Dealer(shared.value, blocks)
         waiting, held = [], 0
         for batch in batches:
-            waiting.append(batch)
-            held += batch.num_rows
+            history, word = (batch.column(name).to_numpy().view(np.uint64) for name in ("h", "w"))
+            block = dealer.block(history, word | BY_HASH)
+            chosen = np.flatnonzero(block % waves == wave)
+            waiting.append((block[chosen], batch.take(pa.array(chosen))))
+            held += len(chosen)
             if held > TOKENS_AT_ONCE // 4:
                 yield _deal(dealer, *_unrolled(waiting, model, order))
                 waiting, held = [], 0
@@ -422,11 +444,11 @@ def _pairs(texts: DataFrame, rare: DataFrame, shared, blocks: int, order: int) -
     )
 
 
-def _unrolled(batches: list[pa.RecordBatch], model: Unigrams, order: int):
-    rows = pa.Table.from_batches(batches)
+def _unrolled(parts: list[tuple[np.ndarray, pa.RecordBatch]], model: Unigrams, order: int):
+    rows = pa.Table.from_batches([batch for _, batch in parts])
     number = {name: rows.column(name).to_numpy() for name in ("row", "h", "w", "n", "held_out")}
     return (
-        number["h"].view(np.uint64), number["w"].view(np.uint64) | BY_HASH, number["n"],
+        np.concatenate([block for block, _ in parts]), number["h"].view(np.uint64), number["w"].view(np.uint64) | BY_HASH, number["n"],
         number["row"] * 2 + number["held_out"].astype(np.int64),
         *(model.codes(rows.column(f"e{j}").to_numpy().view(np.uint64)) for j in range(order - 2)),
     )
@@ -524,8 +546,11 @@ def _history_sums(model: Unigrams, h, n, trained, groups):
     return [np.add.reduceat(trained, groups), *small, mass]
 
 
-def evaluate(blocks: DataFrame, shared, order: int) -> DataFrame:
-    """row, score, tokens: the summed log10 probabilities of a row's tokens."""
+def evaluate(waves: list[DataFrame], folders: list[str], shared, order: int) -> DataFrame:
+    """row, score, tokens: the summed log10 probabilities of a row's tokens.
+    The waves of blocks are joined with their sums one after the other, and the
+    folder of each is removed with it."""
+    blocks = reduce(DataFrame.unionByName, waves)
     spark = blocks.sparkSession
     each = blocks.select(F.posexplode("with_count").alias("k", "c")).select("k", F.posexplode("c").alias("r", "n"))
     with_count = np.zeros((order - 1, KATZ_LIMIT + 3), np.int64)
@@ -540,8 +565,10 @@ def evaluate(blocks: DataFrame, shared, order: int) -> DataFrame:
         for key, values in zip(h.tolist(), np.array(sums, float).T):
             split[key] = split.get(key, 0) + values
     across = spark.sparkContext.broadcast((by, split))
+    tables = []
     for k in range(3, order + 1):
-        blocks = _with_sums(blocks, shared, across, k)
+        waves, folder = _with_sums(waves, shared, across, k)
+        tables.append(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -578,11 +605,17 @@ def evaluate(blocks: DataFrame, shared, order: int) -> DataFrame:
                 tokens=np.add.reduceat(many[order], first),
             )
 
-    return (
-        blocks.select("payload", *_sums_names(order)).mapInArrow(run, "source long, payload binary")
-        .repartition("source").sortWithinPartitions("source")
-        .mapInArrow(add, "row long, score double, tokens long")
-    )
+    parts = []
+    for wave, folder in zip(waves, folders):
+        parts.append(stored(
+            wave.select("payload", *_sums_names(order)).mapInArrow(run, "source long, payload binary"), "katz-parts"
+        ))
+        release(spark, folder)
+    release(spark, *tables)
+    dealt = reduce(DataFrame.unionByName, [part for part, _ in parts]).repartition("source").sortWithinPartitions("source")
+    scored = written(dealt.mapInArrow(add, "row long, score double, tokens long"), "katz-scores")
+    release(spark, *[folder for _, folder in parts])
+    return scored
 
 
 SUMS = ["total", *(f"small{r}" for r in range(1, KATZ_LIMIT + 1)), "mass"]
@@ -604,9 +637,11 @@ def _block(batch: pa.RecordBatch, i: int, order: int) -> tuple[bytes, list]:
     return batch.column("payload")[i].as_py(), sums
 
 
-def _with_sums(blocks: DataFrame, shared, across, k: int) -> DataFrame:
-    """The blocks, each with the sums of its histories of k - 1 words that lie
-    in others too."""
+def _with_sums(waves: list[DataFrame], shared, across, k: int) -> tuple[list[DataFrame], str]:
+    """The waves of blocks, each block with the sums of its histories of k - 1
+    words that lie in others too, and the folder that has the sums."""
+    spark = waves[0].sparkSession
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         by, split = across.value
@@ -620,14 +655,21 @@ def _with_sums(blocks: DataFrame, shared, across, k: int) -> DataFrame:
 
     columns = ["block", "payload", *_sums_names(k - 1)]
     schema = "block int, key long, " + ", ".join(f"{x} double" for x in SUMS)
-    parts, parts_folder = stored(blocks.select(*columns).mapInArrow(run, schema), "katz-sums")
-    whole = parts.groupBy("key").agg(F.count("*").alias("parts"), *(F.sum(x).alias(x) for x in SUMS)).where("parts > 1")
-    # Written, so that the join deals both sides out.
-    sums = written(parts.select("block", "key").join(whole, "key").groupBy("block").agg(
+    stores = []
+    for wave in waves:
+        stores.append(stored(wave.select(*columns).mapInArrow(run, schema), "katz-sums"))
+        release(spark)
+    parts = reduce(DataFrame.unionByName, [part for part, _ in stores])
+    # A key has a row in each block at most, so its window holds no more than that.
+    key = Window.partitionBy("key")
+    whole = parts.select(
+        "block", "key", F.count("*").over(key).alias("parts"), *(F.sum(x).over(key).alias(x) for x in SUMS)
+    ).where("parts > 1")
+    sums, folder = stored(whole.groupBy("block").agg(
         F.collect_list(F.struct("key", *SUMS)).alias(f"sums{k}")
     ), "katz-histories")
-    release(blocks.sparkSession, parts_folder)
-    return blocks.select(*columns).join(sums, "block", "left")
+    release(spark, *[stored_in for _, stored_in in stores])
+    return [wave.select(*columns).join(sums, "block", "left") for wave in waves], folder
 
 
 def _evaluated(model: Unigrams, bys: list, split: dict, payload: bytes, across=(), sums_of: int = 0):
@@ -659,6 +701,11 @@ def _evaluated(model: Unigrams, bys: list, split: dict, payload: bytes, across=(
         trained, size, codes = trained.astype(np.int64), size.astype(np.int64), _decoded(codes)
         pair = np.repeat(np.arange(len(grams)), grams)
         value, last = value[pair], h[owner][pair]
+        if sums_of:
+            # A context belongs to its last word, and only these are in several blocks.
+            hot = np.flatnonzero(np.isin(last, np.array(list(split), np.uint64)))
+            pair, value, last, trained = pair[hot], value[hot], last[hot], trained[hot]
+            codes = [x[hot] for x in codes]
         context = mix(last)
         for k in range(3, len(codes) + 3):
             context = mix(context ^ mix(codes[k - 3] + np.uint64(k)))
@@ -670,8 +717,7 @@ def _evaluated(model: Unigrams, bys: list, split: dict, payload: bytes, across=(
                 np.bincount(at_key, np.where(own > 0, 10.0 ** lower, 0.0)),
             ], float)
             if sums_of == k:
-                hot = np.bincount(at_key, np.isin(last[first], np.array(list(split), np.uint64))) > 0
-                return key[hot], sums[:, hot]
+                return key, sums
             known, found = across[k - 3]
             if len(known):
                 place = np.minimum(np.searchsorted(known, key.view(np.int64)), len(known) - 1)
@@ -700,35 +746,28 @@ def score(documents: DataFrame, order: int = 2) -> DataFrame:
     spark = documents.sparkSession
     blocks = BLOCKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts, texts_folder = _rows(documents)
-    counts = written(count_words(texts, blocks), "katz-words")
+    counts, counts_folder = stored(count_words(texts, blocks), "katz-words")
     model = unigram_model(counts)
     shared = spark.sparkContext.broadcast(model)
-    own = written(_own_figures(texts, shared, order), "katz-documents")
-    rare = written(_rare_pairs(own, counts, order), "katz-rare")
+    own, own_folder = stored(_own_figures(texts, shared, order), "katz-own")
+    rare, rare_folder = stored(_rare_pairs(own, counts, order), "katz-rare")
+    figures = written(_figures(own, rare, model), "katz-documents")
     # Each pass leaves shuffle files and tables that the next ones do not read.
-    release(spark)
-    pairs, waves, folders = _pairs(texts, rare, shared, blocks, order), [], []
+    release(spark, counts_folder, own_folder)
+    waves, folders = [], []
     for wave in range(WAVES):
-        part, folder = stored(build_blocks(pairs.where(F.col("block") % WAVES == wave), shared, blocks), "katz-blocks")
+        pairs = _pairs(texts, rare, shared, blocks, order, wave, WAVES)
+        part, folder = stored(build_blocks(pairs, shared, blocks), "katz-blocks")
         waves.append(part)
         folders.append(folder)
         release(spark)
-    release(spark, texts_folder)
-    scored = written(evaluate(reduce(DataFrame.unionByName, waves), shared, order), "katz-scores")
-    release(spark, *folders)
-    smooth = F.log10((F.col("n") + 0.1) / F.lit(model.tokens + 0.1 * (model.types + 1)))
-    rest = rare.groupBy("row").agg(
-        F.sum((F.col("n") > 0).cast("long")).alias("rare_known"), F.sum(smooth).alias("rare_base")
-    )
-    rows = own.drop("rare").join(scored, "row").join(rest, "row", "left")
+    release(spark, texts_folder, rare_folder)
+    rows = figures.join(evaluate(waves, folders, shared, order), "row")
     # Every token has been evaluated once, or the scans have not agreed.
     whole = F.when(F.col("tokens") == F.col("n_tokens"), F.col("score")).otherwise(
         F.raise_error(F.lit("tokens were lost between two scans"))
     )
     return rows.select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
-        whole.alias("score"),
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", whole.alias("score"),
     )

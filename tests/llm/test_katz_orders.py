@@ -1,6 +1,7 @@
 """Longer n-grams against a plain recursive program."""
 
 import math
+import os
 from collections import Counter, defaultdict
 
 import pytest
@@ -80,3 +81,31 @@ def test_split_histories(documents, odd_texts, monkeypatch, order, known):
 
 def test_empty_table(documents):
     assert katz.score(documents([]), 3).collect() == []
+
+
+def test_only_the_result_tables_stay_and_a_wave_deals_its_own_blocks(spark, documents, monkeypatch):
+    """Words, rare pairs, blocks and sums of histories are removed once read."""
+    names = []
+    real = katz.stored
+
+    def stored(rows, name, **options):
+        table, folder = real(rows, name, **options)
+        names.append((name, folder.removeprefix("file:")))
+        return table, folder
+
+    monkeypatch.setattr(katz, "stored", stored)
+    monkeypatch.setattr(katz, "BLOCKS_PER_PARTITION", 9)
+    dealt = []
+    real_blocks = katz.build_blocks
+
+    def build(pairs, *rest):
+        dealt.append({row.block % katz.WAVES for row in pairs.select("block").collect()})
+        return real_blocks(pairs, *rest)
+
+    monkeypatch.setattr(katz, "build_blocks", build)
+    rows = [(i, " ".join(f"w{(i * j) % 7} x{j % 5}" for j in range(40))) for i in range(60)]
+    wanted = brute(rows, 3)
+    same(katz.score(documents(rows), order=3).collect(), wanted)
+    assert dealt == [{wave} for wave in range(katz.WAVES)]
+    assert {name for name, _ in names} >= {"katz-words", "katz-rare", "katz-blocks"}
+    assert [name for name, folder in names if os.path.exists(folder)] == []

@@ -44,6 +44,9 @@ TOKENS_AT_ONCE = 1 << 20
 # Text that a task takes apart at a time.
 BYTES_AT_ONCE = 2 << 20
 BLOCKS_PER_PARTITION = 4
+# A history stays in one block up to so many times a block's share of the tokens,
+# less than a partition's share; of longer ones each block gets at most as much.
+SHARES_OF_A_HISTORY = 3
 # The blocks are built in so many waves, each from its own pass over the texts
 # that deals out its own pairs only, and evaluated in these waves again, so that
 # the shuffle files of one are gone when the next begins.
@@ -306,11 +309,12 @@ def _figures(own: DataFrame, rare: DataFrame, model: Unigrams) -> DataFrame:
 
 class _Dealer:
     """Which block a pair belongs to: that of its history, or one of several
-    for a history with more than a block's share of the tokens."""
+    for a history with more than SHARES_OF_A_HISTORY blocks' share of the tokens.
+    Each split costs the exchange of the sums of its longer histories."""
 
     def __init__(self, model: Unigrams, blocks: int):
         self.blocks = blocks
-        share = max(model.tokens / blocks, 1)
+        share = max(SHARES_OF_A_HISTORY * model.tokens / blocks, 1)
         order = np.argsort(model.ranks)
         hot = order[: int(np.searchsorted(-model.counts, -share, "right"))]
         hashes = model.hashes[hot]
@@ -466,7 +470,8 @@ def _groups(*columns: np.ndarray) -> np.ndarray:
 def build_blocks(pairs: DataFrame, shared, blocks: int) -> DataFrame:
     """The model's table: for each block the pairs with their training counts
     and words' counts, the documents of each, how many pairs have each small
-    count, and the sums of histories that lie in several blocks."""
+    count, the sums of histories that lie in several blocks, and whether it has
+    any of these (hot)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, dealer = shared.value, _Dealer(shared.value, blocks)
         for block, payloads in _by_block(batches):
@@ -507,7 +512,7 @@ def build_blocks(pairs: DataFrame, shared, blocks: int) -> DataFrame:
             least = place.min()
             yield _batch(
                 block=pa.array([block], pa.int32()), with_count=pa.array([[x.tolist() for x in with_count]], pa.list_(pa.list_(pa.int64()))),
-                split=pa.array([pack(h[groups[chosen]], *[x[chosen] for x in sums])], pa.binary()),
+                split=pa.array([pack(h[groups[chosen]], *[x[chosen] for x in sums])], pa.binary()), hot=pa.array([bool(chosen.any())]),
                 payload=pa.array([pack(
                     steps(h[groups]), smallest(np.diff(np.append(groups, len(h)))),
                     smallest(np.where(hashed, 0, w + np.uint64(1))), w[hashed], smallest(n[hashed]),
@@ -516,7 +521,7 @@ def build_blocks(pairs: DataFrame, shared, blocks: int) -> DataFrame:
             )
 
     return pairs.repartition("block").sortWithinPartitions("block").mapInArrow(
-        run, "block int, with_count array<array<long>>, split binary, payload binary"
+        run, "block int, with_count array<array<long>>, split binary, hot boolean, payload binary"
     )
 
 
@@ -565,8 +570,11 @@ def evaluate(waves: list[DataFrame], folders: list[str], shared, order: int) ->
         for key, values in zip(h.tolist(), np.array(sums, float).T):
             split[key] = split.get(key, 0) + values
     across = spark.sparkContext.broadcast((by, split))
-    tables = []
+    # Blocks without such histories need no sums of others: only the rest are shuffled.
+    alone = [wave.where("NOT hot") for wave in waves]
+    waves, tables = [wave.where("hot") for wave in waves], []
     for k in range(3, order + 1):
+        alone = [wave.withColumn(f"sums{k}", F.lit(None).cast(SUMS_TYPE)) for wave in alone]
         waves, folder = _with_sums(waves, shared, across, k)
         tables.append(folder)
 
@@ -606,9 +614,10 @@ def evaluate(waves: list[DataFrame], folders: list[str], shared, order: int) ->
             )
 
     parts = []
-    for wave, folder in zip(waves, folders):
+    columns = ["payload", *_sums_names(order)]
+    for lone, wave, folder in zip(alone, waves, folders):
         parts.append(stored(
-            wave.select("payload", *_sums_names(order)).mapInArrow(run, "source long, payload binary"), "katz-parts"
+            lone.select(*columns).unionByName(wave.select(*columns)).mapInArrow(run, "source long, payload binary"), "katz-parts"
         ))
         release(spark, folder)
     release(spark, *tables)
@@ -619,6 +628,7 @@ def evaluate(waves: list[DataFrame], folders: list[str], shared, order: int) ->
 
 
 SUMS = ["total", *(f"small{r}" for r in range(1, KATZ_LIMIT + 1)), "mass"]
+SUMS_TYPE = f"array<struct<key:long,{','.join(f'{x}:double' for x in SUMS)}>>"
 
 
 def _sums_names(order: int) -> list[str]:

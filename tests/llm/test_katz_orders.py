@@ -109,3 +109,33 @@ def test_only_the_result_tables_stay_and_a_wave_deals_its_own_blocks(spark, docu
     assert dealt == [{wave} for wave in range(katz.WAVES)]
     assert {name for name, _ in names} >= {"katz-words", "katz-rare", "katz-blocks"}
     assert [name for name, folder in names if os.path.exists(folder)] == []
+
+
+def test_a_history_is_split_only_beyond_several_shares(documents, monkeypatch):
+    """Each block of a split history exchanges sums for every longer history in
+    it: one of two shares stays whole and costs none, one of five has two blocks."""
+    made = []
+    real = katz.stored
+
+    def stored(rows, name, **options):
+        table, folder = real(rows, name, **options)
+        if name == "katz-sums":
+            made.append(table.select("block", "key").collect())
+        return table, folder
+
+    monkeypatch.setattr(katz, "stored", stored)
+
+    def exchanged(share):
+        # 1,000 tokens a block, nearly; "h" is ``share`` times that of all tokens.
+        blocks, n = 32, 360
+        monkeypatch.setattr(katz, "BLOCKS_PER_PARTITION", blocks // 8)
+        many = round(share * n * 80 / blocks / n)
+        rows = [(i, " ".join(f"e{i}x{j} h w{j}" for j in range(many)) + "".join(f" f{i}x{j}" for j in range(79 - 3 * many)))
+                for i in range(n)]
+        made.clear()
+        same(katz.score(documents(rows), order=3).collect(), brute(rows, 3))
+        return sum(map(len, made)), len({block for part in made for block, _ in part})
+
+    assert exchanged(2) == (0, 0)
+    found, blocks = exchanged(5)
+    assert found and blocks == 2

@@ -12,11 +12,14 @@ from telmart import schemas
 from telmart.operators import crm, device, enrich
 from telmart.plans import added, marts
 from telmart.plans.ledger import DONE, INTENT, Ledger
-from telmart.session import new_folder, remove_folder
+from telmart.session import new_folder, pieces, remove_folder
 from telmart.sources import files, messages
 from telmart.streaming import enrichment
 
 JOBS_AT_ONCE = 8
+# A task sends so many shuffled bytes of a staged week: the tasks of a send become
+# those that decode its messages, which takes about a second for so many.
+SENT_BYTES = "4m"
 
 
 def is_loaded(spark: SparkSession, location: str, fmt: str = "parquet", **options) -> bool:
@@ -140,7 +143,10 @@ def publish_next_week(
     if revenue.filter(F.col("week_number") == week).isEmpty():
         return None
     ledger.record(week, INTENT)
-    publish(messages.week_messages(revenue, week))
+    # A week may be one staged file; its messages are spread over tasks evenly.
+    rows = revenue.filter(F.col("week_number") == week).hint("rebalance")
+    with pieces(spark, SENT_BYTES):
+        publish(messages.week_messages(rows, week))
     ledger.record(week, DONE)
     return week
 
@@ -186,7 +192,8 @@ def enrich_stream(
     hands it to ``write``. ``broadcast`` reads the subscribers past a micro-batch
     without a shuffle; only for a source that limits its micro-batches.
 
-    A micro-batch is decoded once, into a table of its own. Messages that come
+    A micro-batch is decoded once, into a table of its own, which has the text of
+    messages that cannot be used. Messages that come
     again, in it or after an earlier one, count once where the target knows the
     identities of what it has. Those that cannot be used go to the folder
     ``rejects``, if there is one; ``counted`` is told how many messages a batch
@@ -198,7 +205,8 @@ def enrich_stream(
             F.count("*").alias("received"), F.count("cause").alias("rejected"),
             F.min("week_number").alias("low"), F.max("week_number").alias("high"),
         )
-        messages.received(batch).observe(seen, *measures).write.parquet(folder)
+        received = messages.received(batch).withColumn("text", F.when(F.col("cause").isNotNull(), F.col("text")))
+        received.observe(seen, *measures).write.parquet(folder)
         rows, found = session.read.schema(messages.RECEIVED).parquet(folder), seen.get
         if rejects is not None:
             enrichment.reject_writer(rejects, checkpoint)(rows.where("cause IS NOT NULL"), number)
@@ -206,8 +214,9 @@ def enrich_stream(
         weeks = (found["low"], found["high"])
         keeps_identity = hasattr(write, "seen")
         earlier = write.seen(session, weeks, number) if keeps_identity and None not in weeks else None
-        revenue = enrichment.once_each(revenue, earlier)
-        facts = enrichment.matched(revenue, read_subscribers(session, subscribers_path), broadcast)
+        facts = enrichment.matched(
+            enrichment.once_each(revenue, earlier), read_subscribers(session, subscribers_path), broadcast, revenue
+        )
         write(facts if keeps_identity else facts.drop("message_id"), number)
         if counted is not None:
             counted(number, {

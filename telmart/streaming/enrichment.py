@@ -15,7 +15,7 @@ from pyspark.sql.utils import AnalysisException
 from telmart.operators.bloom import key_filter, may_match
 from telmart.operators.enrich import subscriber_week
 from telmart.plans.ledger import DONE, INTENT, Ledger
-from telmart.session import remove_folder
+from telmart.session import pieces, remove_folder
 from telmart.sources.messages import decode
 
 # Takes the rows of a micro-batch and its number.
@@ -30,13 +30,18 @@ def enriched(messages: DataFrame, known: DataFrame, broadcast: bool = False) ->
     return subscriber_week(known, F.broadcast(revenue) if broadcast else revenue)
 
 
-def matched(revenue: DataFrame, known: DataFrame, broadcast: bool = False) -> DataFrame:
+def matched(
+    revenue: DataFrame, known: DataFrame, broadcast: bool = False, stored: DataFrame | None = None
+) -> DataFrame:
     """The same for revenue that is decoded and stored already. A Bloom filter
     of its subscribers goes to the scan of the known ones, so that a
-    micro-batch shuffles about as many of them as it has, not all."""
+    micro-batch shuffles about as many of them as it has, not all. The filter is
+    made from ``stored``, if given: rows that have all subscribers of ``revenue``
+    and cost only a scan, where finding ``revenue`` itself takes shuffles."""
     if broadcast:
         return subscriber_week(known, F.broadcast(revenue))
-    return subscriber_week(may_match(known, "msisdn", key_filter(revenue, "msisdn")), revenue)
+    keys = revenue if stored is None else stored
+    return subscriber_week(may_match(known, "msisdn", key_filter(keys, "msisdn")), revenue)
 
 
 def once_each(revenue: DataFrame, seen: DataFrame | None) -> DataFrame:
@@ -49,6 +54,10 @@ def once_each(revenue: DataFrame, seen: DataFrame | None) -> DataFrame:
     return named.unionByName(revenue.where(F.col("message_id").isNull()))
 
 
+# A task writes so many shuffled bytes of a week's facts to a file.
+FACT_BYTES = "16m"
+
+
 class FactTable:
     """Writes micro-batches to the fact table. Each gets a folder of its own,
     by the stream that its checkpoint names and its number: a batch that comes
@@ -59,9 +68,10 @@ class FactTable:
         self._path, self._stream = path, f"{crc32(checkpoint.encode()):08x}"
 
     def __call__(self, rows: DataFrame, number: int) -> None:
-        rows.hint("rebalance", "week_number").write.mode("overwrite").partitionBy("week_number").parquet(
-            f"{self._path}/stream={self._stream}/batch={number}"
-        )
+        with pieces(rows.sparkSession, FACT_BYTES):
+            rows.hint("rebalance", "week_number").write.mode("overwrite").partitionBy("week_number").parquet(
+                f"{self._path}/stream={self._stream}/batch={number}"
+            )
 
     def seen(self, spark: SparkSession, weeks: tuple[int, int], number: int) -> DataFrame | None:
         """message_id of all facts of a range of weeks that other batches have

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from telmart import schemas
 from telmart.operators import crm, device, enrich
@@ -148,3 +149,42 @@ def test_hot_subscribers_are_split_in_a_stream(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def small_pieces(spark, monkeypatch):
+    """20 KB of shuffled rows a task where the jobs say how many."""
+    monkeypatch.setattr(jobs, "SENT_BYTES", "20k")
+    monkeypatch.setattr(enrichment, "FACT_BYTES", "20k")
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "10k")
+    yield
+    spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def one_week(spark, rows):
+    return spark.range(0, rows, 1, 8).selectExpr(
+        "string(id) AS msisdn", "22 AS week_number", "cast(id AS decimal(28,10)) AS revenue_usd")
+
+
+def test_a_week_in_one_staged_file_is_sent_by_several_tasks(spark, tmp_path, small_pieces):
+    """The files of a send are the tasks that decode its messages."""
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    jobs.stage_revenue(one_week(spark, 40000).coalesce(1), f"{tmp_path}/staged")
+    assert len(list((tmp_path / "staged").rglob("*.parquet"))) == 1
+    jobs.publish_next_week(
+        spark, jobs.read_staged_messages(spark, f"{tmp_path}/staged"), f"{tmp_path}/progress",
+        lambda rows: messages.publish_folder(rows, f"{tmp_path}/topic"))
+    topic = spark.read.parquet(f"{tmp_path}/topic")
+    assert topic.select("key").distinct().count() == topic.count() == 40000
+    parts = [row["count"] for row in topic.groupBy(F.input_file_name()).count().collect()]
+    assert len(parts) >= 4 and max(parts) < 2 * 40000 / len(parts)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == size
+
+
+def test_a_large_week_is_written_by_several_tasks(spark, tmp_path, small_pieces):
+    rows = one_week(spark, 40000).withColumn("message_id", F.col("msisdn"))
+    enrichment.fact_writer(f"{tmp_path}/facts", "checkpoint")(rows, 0)
+    assert len(list((tmp_path / "facts").rglob("*.parquet"))) >= 4
+    assert spark.read.parquet(f"{tmp_path}/facts").count() == 40000

@@ -172,6 +172,11 @@ def summary_of(weeks: DataFrame) -> DataFrame:
     return weeks.where(F.col("part") == "summary").select(*DIMENSIONS, *_SUMS)
 
 
+def summary(activity: DataFrame) -> DataFrame:
+    """The same straight from the activity."""
+    return summary_of(by_week(activity))
+
+
 def devices_of(weeks: DataFrame) -> DataFrame:
     """The different devices of each week and status."""
     return weeks.where((F.col("part") == "devices") & F.col("imei_tac").isNotNull()).select(

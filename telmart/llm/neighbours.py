@@ -15,8 +15,10 @@ inner product with any query the same. The graph works on 8-bit vectors; what
 the search finds is scored again on the original ones in double precision.
 
 A search starts at some fixed nodes and, where the query's vector is in the
-index, at its own node. Each round opens the best unopened nodes of every
-query's pool and scores their neighbours, until the best ones are all open.
+index, at its own node and that node's neighbours. Each round opens the best
+unopened nodes of every query's pool and scores their neighbours, until the best
+ones are all open. Once few are left, the pools stay where they are and what is
+found for some of them is sent to all tasks.
 """
 
 import uuid
@@ -39,10 +41,14 @@ JOINED = (12, 20, 32, 40)
 MOST_ROUNDS = 24
 # A round that changes a smaller share of all pools' entries is the last one.
 SETTLED = 0.1
-# A search's pool, the nodes it opens in a round, and its fixed starts.
+# A search's pool, how many nodes each round opens of it (later rounds as the last:
+# all that it has), and its fixed starts.
 POOL = 128
-OPENED = 32
+OPENED = (48, POOL)
 STARTS = 256
+# So few unopened nodes, and what is found for them, are sent to all tasks: 15 MB
+# at most with vectors of 64 dimensions, so that the last rounds shuffle no pools.
+FEW = 1 << 14
 
 STATE = "node long, kind int, vec binary, ids binary, sims binary, old binary"
 UPDATE_COLUMNS = ["node", "kind", "vec", "ids", "sims", "old"]
@@ -416,9 +422,16 @@ def _unopened(most: int):
     return run
 
 
-def _share_unopened(pools: DataFrame, most: int) -> float:
+def _count_unopened(pools: DataFrame, most: int) -> tuple[int, int]:
+    """How many of the first ``most`` entries of all pools are not old, and how
+    many entries that are."""
     found = pools.mapInArrow(_unopened(most), "fresh long, total long").agg(F.sum("fresh"), F.sum("total")).first()
-    return (found[0] or 0) / max(found[1] or 0, 1)
+    return found[0] or 0, found[1] or 0
+
+
+def _share_unopened(pools: DataFrame, most: int) -> float:
+    fresh, total = _count_unopened(pools, most)
+    return fresh / max(total, 1)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -479,55 +492,103 @@ def build(
 # The search
 
 def _start(ids: np.ndarray, vecs: np.ndarray, width: int):
-    """Pools of the fixed starts, and the query's own node if it has one."""
+    """Pools of the fixed starts and, if the query has a node of its own, that
+    node, which is open, and its neighbours."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            queries = _decode(_codes(batch.column("vec"), width))
-            count = len(queries)
-            sims = queries @ vecs.T
-            own = np.flatnonzero(batch.column("own").is_valid().to_numpy(zero_copy_only=False))
-            own_vec = _decode(_codes(batch.column("own_vec").take(pa.array(own)), width))
-            owner, found, sims, old = _best(
-                np.concatenate([np.repeat(np.arange(count), len(ids)), own]),
-                np.concatenate([np.tile(ids, count), batch.column("own").take(pa.array(own)).to_numpy()]),
-                np.concatenate([sims.reshape(-1), (queries[own] * own_vec).sum(axis=1)]),
-                np.zeros(count * len(ids) + len(own), np.uint8), POOL,
-            )
-            yield _state(
-                batch.column("node").to_numpy(), 0, batch.column("vec"), np.bincount(owner, minlength=count), found, sims, old
-            )
+            for part in slices(batch, "vecs", 4 << 20):
+                queries = _decode(_codes(part.column("vec"), width))
+                count = len(queries)
+                sims = queries @ vecs.T
+                own = np.flatnonzero(part.column("own").is_valid().to_numpy(zero_copy_only=False))
+                own_vec = _decode(_codes(part.column("own_vec").take(pa.array(own)), width))
+                near, counts = _numbers(part.column("ids"), "<i8")
+                row = np.repeat(np.arange(count), counts)
+                near_sims = np.einsum("ij,ij->i", _decode(_codes(part.column("vecs"), width)), queries[row])
+                old = np.zeros(count * len(ids) + len(own) + len(near), np.uint8)
+                old[count * len(ids): count * len(ids) + len(own)] = 1
+                owner, found, sims, old = _best(
+                    np.concatenate([np.repeat(np.arange(count), len(ids)), own, row]),
+                    np.concatenate([np.tile(ids, count), part.column("own").take(pa.array(own)).to_numpy(), near]),
+                    np.concatenate([sims.reshape(-1), (queries[own] * own_vec).sum(axis=1), near_sims]), old, POOL,
+                )
+                yield _state(
+                    part.column("node").to_numpy(), 0, part.column("vec"), np.bincount(owner, minlength=count), found, sims, old
+                )
 
     return run
 
 
-def _next(old: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def _next(old: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
     """The entries that a round opens: of each pool the best unopened ones."""
     fresh = np.flatnonzero(old == 0)
     owner = np.repeat(np.arange(len(counts)), counts)[fresh]
-    return fresh[_places(owner) < OPENED]
+    return fresh[_places(owner) < most]
 
 
-def _frontier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, counts = _numbers(batch.column("ids"), "<i8")
-        sims, old = _numbers(batch.column("sims"), "<f4")[0], _numbers(batch.column("old"), "u1")[0]
-        at = _next(old, counts)
-        owner = np.repeat(np.arange(len(counts)), counts)[at]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(ids[at]), batch.column("node").take(pa.array(owner)), batch.column("vec").take(pa.array(owner)),
-                pa.array(_least_of(counts, sims, POOL)[owner]),
-            ],
-            ["node", "query", "vec", "least"],
-        )
+def _frontier(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, counts = _numbers(batch.column("ids"), "<i8")
+            sims, old = _numbers(batch.column("sims"), "<f4")[0], _numbers(batch.column("old"), "u1")[0]
+            at = _next(old, counts, most)
+            owner = np.repeat(np.arange(len(counts)), counts)[at]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids[at]), batch.column("node").take(pa.array(owner)), batch.column("vec").take(pa.array(owner)),
+                    pa.array(_least_of(counts, sims, POOL)[owner]),
+                ],
+                ["node", "query", "vec", "least"],
+            )
 
+    return run
 
-def _after_opening(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, counts = _numbers(batch.column("ids"), "<i8")
-        sims, old = _numbers(batch.column("sims"), "<f4")[0], _numbers(batch.column("old"), "u1")[0].copy()
-        old[_next(old, counts)] = 1
-        yield _state(batch.column("node").to_numpy(), 0, batch.column("vec"), counts, ids, sims, old)
+
+def _after_opening(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, counts = _numbers(batch.column("ids"), "<i8")
+            sims, old = _numbers(batch.column("sims"), "<f4")[0], _numbers(batch.column("old"), "u1")[0].copy()
+            old[_next(old, counts, most)] = 1
+            yield _state(batch.column("node").to_numpy(), 0, batch.column("vec"), counts, ids, sims, old)
+
+    return run
+
+
+def _extended(most: int):
+    """Pools with the best ``most`` entries opened, and what was found for them
+    as a list beside them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, counts = _numbers(batch.column("ids"), "<i8")
+            sims, old = _numbers(batch.column("sims"), "<f4")[0], _numbers(batch.column("old"), "u1")[0].copy()
+            old[_next(old, counts, most)] = 1
+            lists = batch.column("found")
+            found = lists.flatten()
+            rows = np.repeat(np.arange(batch.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            more, many = _numbers(found.field("ids"), "<i8")
+            owner, ids, sims, old = _best(
+                np.concatenate([np.repeat(np.arange(batch.num_rows), counts), np.repeat(rows, many)]), np.concatenate([ids, more]),
+                np.concatenate([sims, _numbers(found.field("sims"), "<f4")[0]]),
+                np.concatenate([old, np.zeros(len(more), np.uint8)]), POOL,
+            )
+            counts = np.bincount(owner, minlength=batch.num_rows)
+            yield _state(batch.column("node").to_numpy(), 0, batch.column("vec"), counts, ids, sims, old)
+
+    return run
+
+
+def _opening(pools: DataFrame, lists: DataFrame, most: int, width: int, few: bool) -> DataFrame:
+    """Pools after their best ``most`` unopened entries have been opened."""
+    opened = pools.mapInArrow(_frontier(most), "node long, query long, vec binary, least float")
+    met = (F.broadcast(opened) if few else opened).join(lists, "node")
+    found = met.select("query", "vec", "least", "ids", "vecs").mapInArrow(_scored(width), STATE)
+    if not few:
+        return _by_node(pools.mapInArrow(_after_opening(most), STATE).unionByName(found), POOL)
+    found = found.groupBy("node").agg(F.collect_list(F.struct("ids", "sims")).alias("found"))
+    return pools.join(F.broadcast(found), "node", "left").select("node", "vec", "ids", "sims", "old", "found").mapInArrow(
+        _extended(most), STATE
+    )
 
 
 def _scored(width: int):
@@ -583,16 +644,17 @@ def search(
     # The extra coordinate of a query is zero.
     coded = distinct.mapInArrow(_query_codes(d), "node long, one long, two long, vec binary")
     own = index.nodes.select("one", "two", F.col("node").alias("own"), F.col("vec").alias("own_vec"))
+    lists = spark.table(index.lists)
+    with_lists = coded.join(own, ["one", "two"], "left").join(lists.withColumnRenamed("node", "own"), "own", "left")
     pools, folder = stored(
-        coded.join(own, ["one", "two"], "left").select("node", "vec", "own", "own_vec").mapInArrow(
+        with_lists.select("node", "vec", "own", "own_vec", "ids", "vecs").mapInArrow(
             _start(starts["node"].to_numpy(), start_vecs, width), STATE),
         "ann-pools",
     )
-    lists = spark.table(index.lists)
-    while _share_unopened(pools, POOL):
-        met = pools.mapInArrow(_frontier, "node long, query long, vec binary, least float").join(lists, "node")
-        found = met.select("query", "vec", "least", "ids", "vecs").mapInArrow(_scored(width), STATE)
-        before, (pools, folder) = folder, stored(_by_node(pools.mapInArrow(_after_opening, STATE).unionByName(found), POOL), "ann-pools")
+    step = 0
+    while left := _count_unopened(pools, POOL)[0]:
+        most, step = OPENED[min(step, len(OPENED) - 1)], step + 1
+        before, (pools, folder) = folder, stored(_opening(pools, lists, most, width, left <= FEW), "ann-pools")
         release(spark, before)
     pairs = pools.mapInArrow(_entries, "node long, id long").withColumnRenamed("node", "query")
     left = distinct.select(F.col("node").alias("query"), F.col("vector").alias("x"))

@@ -127,3 +127,24 @@ def test_a_list_over_several_batches():
     assert whole
     for step in (1, 3, 50):
         assert pairs([batch.slice(i, step) for i in range(0, 200, step)]) == whole
+
+
+def test_last_rounds_shuffle_no_pools(spark):
+    """A round of few unopened nodes finds what one that deals all pools out by
+    node finds, and deals out no pool."""
+    rng = np.random.default_rng(11)
+    rows = spark.createDataFrame([(i, x.tolist(), "n", "s") for i, x in enumerate(rng.standard_normal((600, 8)))], ROWS)
+    index = neighbours.build(rows)
+    seeded = index.nodes.where("node % 7 = 0").select("node", "vec").mapInArrow(neighbours._first_pools(index.n, 12), neighbours.STATE)
+    pools, lists = neighbours.written(seeded, "test-pools"), spark.table(index.lists)
+    few, all_pools = (neighbours._opening(pools, lists, 5, index.width, x) for x in (True, False))
+    plans = [x._jdf.queryExecution().executedPlan().toString() for x in (few, all_pools)]
+    # Of the first, only what was found is dealt out by node, before it is sent to all.
+    assert ["REPARTITION_BY_COL" in plan for plan in plans] == [False, True]
+    assert "SortMergeJoin" not in plans[0] and plans[0].count("BroadcastHashJoin") == 2
+    seen = [
+        {r["node"]: (bytes(r["ids"]), bytes(r["sims"]), bytes(r["old"])) for r in x.collect()} for x in (few, all_pools)
+    ]
+    assert seen[0] == seen[1] and len(seen[0]) == 86
+    assert neighbours._count_unopened(few, neighbours.POOL)[0] > 0
+    index.remove()

@@ -14,8 +14,10 @@ holds all n-grams that end with its pairs, so every order is evaluated there; th
 sums of longer histories whose last word lies in several blocks are added up in
 a table.
 
-Three passes over the texts: word counts; the documents' own figures and the
-rare words, whose counts come by a join; the pairs. Pairs are dealt out by
+Two passes over the texts: word counts; the documents' own figures and their
+tokens as ranks of frequent words and hashes of rare ones. These codes are what
+is read from then on: the rare words, whose counts come by a join, and the pairs.
+Pairs are dealt out by
 history, a frequent history by history and word, to blocks that hold their
 counts, the counts of their words, and the documents that they occur in. The
 blocks are the model's partitioned table, and every token is evaluated in the
@@ -25,14 +27,14 @@ tasks, which bounds their number and changes no result.
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from telmart.llm.packing import pack, smallest, steps, unpack
-from telmart.llm.shared import flat, numbered_in, release, remainder, slices, stored, written
+from telmart.llm.shared import binary, flat, numbered_in, release, remainder, slices, stored, written
 from telmart.llm.shingles import mix, words
 
 KATZ_LIMIT = 5
@@ -47,7 +49,7 @@ BLOCKS_PER_PARTITION = 4
 # A history stays in one block up to so many times a block's share of the tokens,
 # less than a partition's share; of longer ones each block gets at most as much.
 SHARES_OF_A_HISTORY = 3
-# The blocks are built in so many waves, each from its own pass over the texts
+# The blocks are built in so many waves, each from its own pass over the codes
 # that deals out its own pairs only, and evaluated in these waves again, so that
 # the shuffle files of one are gone when the next begins.
 WAVES = 2
@@ -102,9 +104,32 @@ class Unigrams:
         """Rank of each frequent word, -1 for others."""
         if not len(self.hashes):
             return np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        # About one word begins with each value of the leading bits: the search
+        # starts at the first one that does, and hardly goes on.
+        shift, first = self._leading
+        at, last = first[hashes >> shift], len(self.hashes) - 1
+        on = np.flatnonzero((self.hashes[at] < hashes) & (at < last))
+        while len(on):
+            at[on] += 1
+            on = on[(self.hashes[at[on]] < hashes[on]) & (at[on] < last)]
         return np.where(self.hashes[at] == hashes, self.ranks[at], -1)
 
+    @cached_property
+    def _leading(self) -> tuple[np.uint64, np.ndarray]:
+        """By how much to shift a hash for its leading bits, and for each value
+        of these the first word that is not below it."""
+        bits = len(self.hashes).bit_length()
+        shift = np.uint64(64 - bits)
+        first = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << shift)
+        return shift, np.minimum(first, len(self.hashes) - 1).astype(np.int32)
+
+    @cached_property
+    def by_rank(self) -> np.ndarray:
+        """Hashes of the frequent words in order of their ranks."""
+        out = np.empty(len(self.hashes), np.uint64)
+        out[self.ranks] = self.hashes
+        return out
+
     def codes(self, hashes: np.ndarray) -> np.ndarray:
         """Frequent words by rank, others by hash."""
         rank = self.find(hashes)
@@ -239,55 +264,66 @@ def unigram_model(counts: DataFrame) -> Unigrams:
     )
 
 
-def _own_figures(texts: DataFrame, shared, order: int) -> DataFrame:
-    """Per row: its tokens, what the frequent words add to the base score, and
-    the pairs whose word is not frequent."""
+def _own_figures(texts: DataFrame, shared) -> DataFrame:
+    """Per row: its number of tokens, what the frequent words add to the base
+    score, and its tokens: each one's rank plus one, zero for the rare, whose
+    hashes follow."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             for piece in slices(batch, "text", BYTES_AT_ONCE):
-                token, history, bounds = _tokens(piece)
+                token, _, bounds = _tokens(piece)
                 rank = model.find(token)
                 known = rank >= 0
                 score = np.zeros(len(token))
                 score[known] = model.base(model.counts[rank[known]])
                 rare = np.flatnonzero(~known)
                 edges = np.searchsorted(rare, bounds)
-                columns = (history, token, *_shifted(history, bounds, START, order - 2))
                 yield pa.RecordBatch.from_arrays([
                     piece.column("doc_id"), piece.column("row"), piece.column("held_out"),
                     pa.array(np.diff(bounds), pa.int64()),
                     pa.array(np.add.reduceat(known.astype(np.int64), bounds[:-1]), pa.int64()),
                     pa.array(np.add.reduceat(score, bounds[:-1])),
-                    pa.array([
-                        b"".join(x[rare[a:b]].tobytes() for x in columns) if b > a else None
-                        for a, b in zip(edges[:-1], edges[1:])
-                    ], pa.binary()),
-                ], ["doc_id", "row", "held_out", "n_tokens", "n_known", "base_score", "rare"])
+                    binary((rank + 1).astype("<u4"), np.diff(bounds)), binary(token[rare].astype("<u8"), np.diff(edges)),
+                ], ["doc_id", "row", "held_out", "n_tokens", "n_known", "base_score", "codes", "rare"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     return texts.mapInArrow(
-        run, f"doc_id {kind}, row long, held_out boolean, n_tokens long, n_known long, base_score double, rare binary"
+        run, f"doc_id {kind}, row long, held_out boolean, n_tokens long, n_known long, base_score double, codes binary, rare binary"
     )
 
 
-def _rare_pairs(own: DataFrame, counts: DataFrame, order: int) -> DataFrame:
+def _stored_tokens(piece: pa.RecordBatch, model: Unigrams):
+    """As ``_tokens``, from the stored codes; before the rest the tokens' ranks,
+    -1 for the rare."""
+    codes, offsets = flat(piece.column("codes"))
+    rank = np.frombuffer(codes.tobytes(), "<u4").astype(np.int64) - 1
+    bounds, rare = offsets // 4, rank < 0
+    token = np.empty(len(rank), np.uint64)
+    token[~rare] = model.by_rank[rank[~rare]]
+    token[rare] = np.frombuffer(flat(piece.column("rare"))[0].tobytes(), "<u8")
+    return rank, token, _shifted(token, bounds, START, 1)[0], bounds
+
+
+def _rare_pairs(own: DataFrame, counts: DataFrame, shared, order: int) -> DataFrame:
     """row, held_out, h, w, the words before h as e0 and so on, n (the word's
     training count, 0 if it has none)."""
     names = ["h", "w", *(f"e{j}" for j in range(order - 2))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
-            many = np.array([len(x) // (8 * order) for x in batch.column("rare").to_pylist()], np.int64)
-            pairs = [np.frombuffer(x, np.int64).reshape(order, -1) for x in batch.column("rare").to_pylist()]
-            both = np.concatenate(pairs, axis=1) if pairs else np.zeros((order, 0), np.int64)
-            at = np.repeat(np.arange(len(many)), many)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("row").take(pa.array(at)), batch.column("held_out").take(pa.array(at)),
-                *(pa.array(x) for x in both),
-            ], ["row", "held_out", *names])
-
-    pairs = own.where("rare IS NOT NULL").select("row", "held_out", "rare").mapInArrow(
+            for piece in slices(batch, "codes", BYTES_AT_ONCE):
+                rank, token, history, bounds = _stored_tokens(piece, model)
+                rare = np.flatnonzero(rank < 0)
+                at = np.repeat(np.arange(piece.num_rows), np.diff(np.searchsorted(rare, bounds)))
+                columns = (history, token, *_shifted(history, bounds, START, order - 2))
+                yield pa.RecordBatch.from_arrays([
+                    piece.column("row").take(pa.array(at)), piece.column("held_out").take(pa.array(at)),
+                    *(pa.array(x[rare].view(np.int64)) for x in columns),
+                ], ["row", "held_out", *names])
+
+    pairs = own.where("length(rare) > 0").select("row", "held_out", "codes", "rare").mapInArrow(
         run, "row long, held_out boolean, " + ", ".join(f"{x} long" for x in names)
     )
     return pairs.join(counts, "w", "left").select("row", "held_out", *names, F.coalesce("n", F.lit(0)).alias("n"))
@@ -300,7 +336,7 @@ def _figures(own: DataFrame, rare: DataFrame, model: Unigrams) -> DataFrame:
     rest = rare.groupBy("row").agg(
         F.sum((F.col("n") > 0).cast("long")).alias("rare_known"), F.sum(smooth).alias("rare_base")
     )
-    return own.drop("rare").join(rest, "row", "left").select(
+    return own.drop("codes", "rare").join(rest, "row", "left").select(
         "doc_id", "row", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         (F.col("base_score") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
@@ -400,28 +436,27 @@ def _dealt(payloads: list[bytes], counts: np.ndarray):
     return [np.concatenate(x) for x in zip(*out)]
 
 
-def _pairs(texts: DataFrame, rare: DataFrame, shared, blocks: int, order: int, wave: int = 0, waves: int = 1) -> DataFrame:
+def _pairs(own: DataFrame, rare: DataFrame, shared, blocks: int, order: int, wave: int = 0, waves: int = 1) -> DataFrame:
     """Every token with its history, packed by block: block, payload; only of
     the blocks of one wave."""
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, dealer = shared.value, _Dealer(shared.value, blocks)
         parts, held = [], 0
         for batch in batches:
-            for piece in slices(batch, "text", BYTES_AT_ONCE):
-                token, history, bounds = _tokens(piece)
+            for piece in slices(batch, "codes", BYTES_AT_ONCE):
+                rank, token, history, bounds = _stored_tokens(piece, model)
                 place = piece.column("row").to_numpy() * 2 + piece.column("held_out").to_numpy(zero_copy_only=False)
-                rank = model.find(token)
-                own = np.flatnonzero(rank >= 0)
-                block = dealer.block(history[own], rank[own].astype(np.uint64))
+                known = np.flatnonzero(rank >= 0)
+                block = dealer.block(history[known], rank[known].astype(np.uint64))
                 chosen = np.flatnonzero(block % waves == wave)
-                own, block = own[chosen], block[chosen]
+                known, block = known[chosen], block[chosen]
                 codes = np.where(rank >= 0, rank.astype(np.uint64), token | BY_HASH)
                 earlier = _shifted(codes, bounds, START | BY_HASH, order - 1)[1:]
                 parts.append((
-                    block, history[own], rank[own].astype(np.uint64), np.zeros(len(own), np.uint8),
-                    np.repeat(place, np.diff(bounds))[own], *(x[own] for x in earlier),
+                    block, history[known], rank[known].astype(np.uint64), np.zeros(len(known), np.uint8),
+                    np.repeat(place, np.diff(bounds))[known], *(x[known] for x in earlier),
                 ))
-                held += len(own)
+                held += len(known)
                 if held > TOKENS_AT_ONCE:
                     yield _deal(dealer, *[np.concatenate(x) for x in zip(*parts)])
                     parts, held = [], 0
@@ -443,7 +478,8 @@ def _pairs(texts: DataFrame, rare: DataFrame, shared, blocks: int, order: int, w
         if held:
             yield _deal(dealer, *_unrolled(waiting, model, order))
 
-    return texts.mapInArrow(frequent, "block int, payload binary").unionByName(
+    coded = own.select("row", "held_out", "codes", "rare")
+    return coded.mapInArrow(frequent, "block int, payload binary").unionByName(
         rare.mapInArrow(other, "block int, payload binary")
     )
 
@@ -490,7 +526,7 @@ def build_blocks(pairs: DataFrame, shared, blocks: int) -> DataFrame:
             number = np.repeat(np.arange(len(size)), size)
             earlier = [x[order] for x in earlier]
             if earlier:
-                sort = np.lexsort((*reversed(earlier), number))
+                sort = _sorted_within(number, earlier)
                 order, earlier = order[sort], [x[sort] for x in earlier]
             place = place[order]
             longer = []
@@ -525,6 +561,18 @@ def build_blocks(pairs: DataFrame, shared, blocks: int) -> DataFrame:
     )
 
 
+def _sorted_within(number: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
+    """An order that puts equal combinations of codes side by side within equal,
+    ascending numbers."""
+    if len(codes) == 1 and number[-1] < 1 << 24:
+        key = (number.astype(np.uint64) << np.uint64(40)) | (mix(codes[0]) >> np.uint64(24))
+        order = np.argsort(key)
+        if len(_groups(key[order])) == len(_groups(number, codes[0][order])):
+            return order
+    # Several codes, or two of a number with one key.
+    return np.lexsort((*reversed(codes), number))
+
+
 def _with_count(trained: np.ndarray) -> np.ndarray:
     return np.bincount(np.minimum(trained, KATZ_LIMIT + 2), minlength=KATZ_LIMIT + 3)
 
@@ -759,19 +807,20 @@ def score(documents: DataFrame, order: int = 2) -> DataFrame:
     counts, counts_folder = stored(count_words(texts, blocks), "katz-words")
     model = unigram_model(counts)
     shared = spark.sparkContext.broadcast(model)
-    own, own_folder = stored(_own_figures(texts, shared, order), "katz-own")
-    rare, rare_folder = stored(_rare_pairs(own, counts, order), "katz-rare")
-    figures = written(_figures(own, rare, model), "katz-documents")
+    own, own_folder = stored(_own_figures(texts, shared), "katz-own", compression="zstd")
     # Each pass leaves shuffle files and tables that the next ones do not read.
-    release(spark, counts_folder, own_folder)
+    release(spark, texts_folder)
+    rare, rare_folder = stored(_rare_pairs(own, counts, shared, order), "katz-rare")
+    figures = written(_figures(own, rare, model), "katz-documents")
+    release(spark, counts_folder)
     waves, folders = [], []
     for wave in range(WAVES):
-        pairs = _pairs(texts, rare, shared, blocks, order, wave, WAVES)
+        pairs = _pairs(own, rare, shared, blocks, order, wave, WAVES)
         part, folder = stored(build_blocks(pairs, shared, blocks), "katz-blocks")
         waves.append(part)
         folders.append(folder)
         release(spark)
-    release(spark, texts_folder, rare_folder)
+    release(spark, own_folder, rare_folder)
     rows = figures.join(evaluate(waves, folders, shared, order), "row")
     # Every token has been evaluated once, or the scans have not agreed.
     whole = F.when(F.col("tokens") == F.col("n_tokens"), F.col("score")).otherwise(

@@ -4,6 +4,7 @@ import math
 import os
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from telmart.llm import katz
@@ -139,3 +140,41 @@ def test_a_history_is_split_only_beyond_several_shares(documents, monkeypatch):
     assert exchanged(2) == (0, 0)
     found, blocks = exchanged(5)
     assert found and blocks == 2
+
+
+def test_texts_are_taken_apart_twice_only(spark, documents, monkeypatch):
+    """Blocks and rare words come from stored codes, not from the texts again."""
+    reads = {}
+
+    def stored(rows, name, **options):
+        reads[name] = reads.get(name, 0) + ("text#" in rows._jdf.queryExecution().optimizedPlan().toString())
+        return kept(rows, name, **options)
+
+    kept = katz.stored
+    monkeypatch.setattr(katz, "stored", stored)
+    rows = [(i, f"a b{i % 7} c A{i % 3} rare{i}") for i in range(60)]
+    same(katz.score(documents(rows), order=3).collect(), brute(rows, 3))
+    assert {name for name, count in reads.items() if count} == {"katz-words", "katz-own"}
+
+
+def test_frequent_words_are_found():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 2, 3, 1000):
+        hashes = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        hashes[: min(size, 2)] = [katz.END, katz.START][: min(size, 2)]
+        hashes.sort()
+        ranks = rng.permutation(len(hashes)).astype(np.int32)
+        model = katz.Unigrams(0, 0, np.ones(6), 0.0, 1.0, hashes, ranks, np.zeros(len(hashes), np.int64))
+        asked = np.concatenate([hashes, rng.integers(0, 1 << 64, 500, dtype=np.uint64), [np.uint64(0), np.uint64((1 << 64) - 1)]])
+        place = dict(zip(hashes.tolist(), ranks.tolist()))
+        assert model.find(asked).tolist() == [place.get(x, -1) for x in asked.tolist()]
+        assert model.find(model.by_rank).tolist() == list(range(len(hashes)))
+
+
+def test_codes_within_numbers():
+    rng = np.random.default_rng(4)
+    number = np.sort(rng.integers(0, 300, 2000))
+    for codes in ([rng.integers(0, 5, 2000).astype(np.uint64)], [rng.integers(0, 3, 2000).astype(np.uint64) for _ in range(2)]):
+        order = katz._sorted_within(number, codes)
+        assert (number[order] == number).all() and (np.sort(order) == np.arange(2000)).all()
+        assert len(katz._groups(number, *(x[order] for x in codes))) == len({*zip(number, *codes)})

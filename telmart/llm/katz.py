@@ -45,6 +45,10 @@ KNOWN_EVERYWHERE = 1 << 22
 TOKENS_AT_ONCE = 1 << 20
 # Text that a task takes apart at a time.
 BYTES_AT_ONCE = 2 << 20
+# Stored codes that a task works on at a time, four bytes a token.
+CODES_AT_ONCE = 1 << 20
+# Tokens of a block whose longer n-grams are sorted at a time.
+SORTED_AT_ONCE = 1 << 18
 BLOCKS_PER_PARTITION = 4
 # A history stays in one block up to so many times a block's share of the tokens,
 # less than a partition's share; of longer ones each block gets at most as much.
@@ -313,7 +317,7 @@ def _rare_pairs(own: DataFrame, counts: DataFrame, shared, order: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for piece in slices(batch, "codes", BYTES_AT_ONCE):
+            for piece in slices(batch, "codes", CODES_AT_ONCE):
                 rank, token, history, bounds = _stored_tokens(piece, model)
                 rare = np.flatnonzero(rank < 0)
                 at = np.repeat(np.arange(piece.num_rows), np.diff(np.searchsorted(rare, bounds)))
@@ -443,7 +447,7 @@ def _pairs(own: DataFrame, rare: DataFrame, shared, blocks: int, order: int, wav
         model, dealer = shared.value, _Dealer(shared.value, blocks)
         parts, held = [], 0
         for batch in batches:
-            for piece in slices(batch, "codes", BYTES_AT_ONCE):
+            for piece in slices(batch, "codes", CODES_AT_ONCE):
                 rank, token, history, bounds = _stored_tokens(piece, model)
                 place = piece.column("row").to_numpy() * 2 + piece.column("held_out").to_numpy(zero_copy_only=False)
                 known = np.flatnonzero(rank >= 0)
@@ -563,7 +567,17 @@ def build_blocks(pairs: DataFrame, shared, blocks: int) -> DataFrame:
 
 def _sorted_within(number: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
     """An order that puts equal combinations of codes side by side within equal,
-    ascending numbers."""
+    ascending numbers without gaps; whole numbers of some SORTED_AT_ONCE at a time."""
+    out, start = np.empty(len(number), np.int64), 0
+    while start < len(number):
+        stop = min(start + SORTED_AT_ONCE, len(number))
+        part = slice(start, int(np.searchsorted(number, number[stop - 1], "right")))
+        out[part] = start + _sorted_part(number[part] - number[start], [x[part] for x in codes])
+        start = part.stop
+    return out
+
+
+def _sorted_part(number: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
     if len(codes) == 1 and number[-1] < 1 << 24:
         key = (number.astype(np.uint64) << np.uint64(40)) | (mix(codes[0]) >> np.uint64(24))
         order = np.argsort(key)

@@ -171,7 +171,9 @@ def test_frequent_words_are_found():
         assert model.find(model.by_rank).tolist() == list(range(len(hashes)))
 
 
-def test_codes_within_numbers():
+@pytest.mark.parametrize("at_once", [1, 50, 1 << 18])
+def test_codes_within_numbers(monkeypatch, at_once):
+    monkeypatch.setattr(katz, "SORTED_AT_ONCE", at_once)
     rng = np.random.default_rng(4)
     number = np.sort(rng.integers(0, 300, 2000))
     for codes in ([rng.integers(0, 5, 2000).astype(np.uint64)], [rng.integers(0, 3, 2000).astype(np.uint64) for _ in range(2)]):

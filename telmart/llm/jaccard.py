@@ -21,10 +21,19 @@ Two documents that allow each other's size at a shingle are neighbours. Of the
 neighbours at one shingle, however many, a spanning forest is made, which has
 fewer edges than documents. Chains of neighbours make neighbourhoods, each of
 which has an R-tree, or one for each block of it if it is large.
+
+The more documents there are, the more of them share a rare shingle by chance,
+until chains of these join a good part of the table. So the documents of
+neighbourhoods of several blocks are taken apart again: at each key neighbours
+are compared by signatures, group counts whose number follows the set's size,
+and only those that these allow to be linked make new neighbourhoods. Where
+there still are several blocks, every two of them meet, but only as many at a
+time as have about the bytes of all neighbourhoods.
 """
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +51,11 @@ FANOUT = 16
 BLOCK_SHINGLES = 1 << 20
 KEYS_AT_ONCE = 1 << 22
 BLOCKS_PER_PARTITION = 4
+# Groups of signatures that are compared at a time, and bytes of the keys that are settled at a time.
+PAIR_GROUPS = 1 << 22
+KEY_BYTES = 1 << 24
+# Sets of a key that are compared with its others.
+ROUNDS = 1024
 # Cells of shingles, whose frequencies all tasks hold: a byte each.
 CELLS = 1 << 24
 CELL_SHIFT = np.uint64(40)
@@ -259,6 +273,17 @@ def _sketches(texts: DataFrame, rule: Rule, frequency) -> DataFrame:
 
 def _neighbours(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
     """A spanning forest of the neighbours at each key: a, b."""
+    def edges(key, row, size, place):
+        a, b = forest(key, row, size, place, rule)
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return {"a": both[0], "b": both[1]}
+
+    return _by_keys(sketches, blocks, edges, "a long, b long").distinct()
+
+
+def _by_keys(sketches: DataFrame, blocks: int, settle, schema: str) -> DataFrame:
+    """What ``settle`` makes of key, row, size and place of all rows of whole
+    blocks of keys."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
@@ -305,13 +330,11 @@ def _neighbours(sketches: DataFrame, rule: Rule, blocks: int) -> DataFrame:
         key = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in held])
         row = np.concatenate([x[2].astype(np.int64) + x[1][0] for x in held])
         size, place = (np.concatenate([x[i].astype(np.int64) for x in held]) for i in (3, 4))
-        a, b = forest(key, row, size, place, rule)
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        yield pa.RecordBatch.from_pydict({"a": both[0], "b": both[1]})
+        yield pa.RecordBatch.from_pydict(settle(key, row, size, place))
 
     keys = sketches.where("keys IS NOT NULL").select("row", "n_shingles", "keys")
     dealt_out = keys.mapInArrow(deal, "block int, payload binary")
-    return dealt_out.repartition("block").sortWithinPartitions("block").mapInArrow(match, "a long, b long").distinct()
+    return dealt_out.repartition("block").sortWithinPartitions("block").mapInArrow(match, schema)
 
 
 def forest(
@@ -320,6 +343,22 @@ def forest(
     """Edges between neighbours, by which all neighbours at one key are
     connected, fewer than rows at each key. ``place`` is how many rarer keys the
     row has.
+    """
+    a, b = forest_places(key, size, place, rule)
+    return row[a], row[b]
+
+
+def allowed(size: np.ndarray, place: np.ndarray, rule: Rule) -> np.ndarray:
+    """The most shingles of a set that a set can be linked with by the key at
+    this place."""
+    return (size - place) * (100 + rule.percent) // rule.percent - size
+
+
+def forest_places(
+    key: np.ndarray, size: np.ndarray, place: np.ndarray, rule: Rule
+) -> tuple[np.ndarray, np.ndarray]:
+    """The edges of ``forest`` as places in its arrays. Every row that has a
+    neighbour at its key is in one.
 
     A row at a key allows sets of ``most`` shingles. Rows that allow their own
     size are intervals from their size to ``most``, neighbours where these
@@ -335,11 +374,11 @@ def forest(
     shared[:-1] |= shared[1:]
     order = order[shared]
     if not len(order):
-        return row[:0], row[:0]
-    key, row, size, place = key[shared], row[order], size[order], place[order]
-    order = np.lexsort((size, key))
-    key, row, size, place = key[order], row[order], size[order], place[order]
-    most = (size - place) * (100 + rule.percent) // rule.percent - size
+        return order, order
+    key, size, place = key[shared], size[order], place[order]
+    by_size = np.lexsort((size, key))
+    key, size, place, order = key[by_size], size[by_size], place[by_size], order[by_size]
+    most = allowed(size, place, rule)
     span = most >= size
     # One ascending number for key and size, and for key and the most so far.
     run = np.cumsum(np.append(False, key[1:] != key[:-1])) * (max(int(size.max()), int(most.max())) + 1)
@@ -349,7 +388,148 @@ def forest(
     at = np.flatnonzero(before >= 0)
     other = widest[before[at]]
     near = (run[other] == run[at]) & span[other] & (size[at] <= most[other]) & (size[other] <= most[at])
-    return row[at[near]], row[other[near]]
+    return order[at[near]], order[other[near]]
+
+
+def signatures(values: np.ndarray, before: np.ndarray) -> list[bytes]:
+    """The group counts of each set as half bytes, of two to four shingles a
+    group, so that the bound that they give is as sharp for long texts. Counts
+    over 15 are stored as 15."""
+    out = []
+    for first, stop in zip(before[:-1], before[1:]):
+        level = _level(stop - first)
+        counts = np.minimum(np.bincount(
+            (mix(values[first:stop]) >> np.uint64(64 - level)).astype(np.int64), minlength=1 << level), 15).astype(np.uint8)
+        out.append((counts[::2] | counts[1::2] << 4).tobytes())
+    return out
+
+
+def _level(size) -> int:
+    """The logarithm of the number of groups in the signature of a set."""
+    return max(int(size).bit_length() - 2, 3)
+
+
+class Signatures:
+    """The signatures of sets, for bounds of what two of them share."""
+
+    def __init__(self, packed: list[bytes], size: np.ndarray):
+        self.level = np.array([(2 * len(x)).bit_length() - 1 for x in packed], np.int64)
+        self.size, self.at = size, np.zeros(len(packed), np.int64)
+        self.rows, self.beyond = {}, np.zeros(len(packed), np.int64)
+        for level in np.unique(self.level):
+            own = np.flatnonzero(self.level == level)
+            self.at[own] = np.arange(len(own))
+            self.rows[level] = np.frombuffer(b"".join([packed[i] for i in own]), np.uint8).reshape(len(own), -1)
+            # What is not in the counts, as these end at 15.
+            step = max(1, PAIR_GROUPS >> int(level))
+            for part in (own[i: i + step] for i in range(0, len(own), step)):
+                self.beyond[part] = size[part] - self._counts(level, self.at[part], level).sum(axis=1, dtype=np.int64)
+
+    def _counts(self, level: int, at: np.ndarray, groups: int) -> np.ndarray:
+        packed = self.rows[level][at]
+        counts = np.stack([packed & 15, packed >> 4], axis=2).reshape(len(at), -1)
+        return counts if groups == level else counts.reshape(len(at), 1 << groups, -1).sum(axis=2, dtype=np.uint16)
+
+    def linked(self, a: np.ndarray, b: np.ndarray, rule: Rule) -> np.ndarray:
+        """Whether the sets a and b may be linked: none that are fail."""
+        out = np.zeros(len(a), bool)
+        kind = self.level[a] << 8 | self.level[b]
+        for both in np.unique(kind):
+            pairs, one, two = np.flatnonzero(kind == both), int(both) >> 8, int(both) & 255
+            groups, step = min(one, two), max(1, PAIR_GROUPS >> max(one, two))
+            for i in (pairs[k: k + step] for k in range(0, len(pairs), step)):
+                x, y = self._counts(one, self.at[a[i]], groups), self._counts(two, self.at[b[i]], groups)
+                bound = np.minimum(x, y).sum(axis=1, dtype=np.int64) + self.beyond[a[i]] + self.beyond[b[i]]
+                out[i] = (100 + rule.percent) * bound >= rule.percent * (self.size[a[i]] + self.size[b[i]])
+        return out
+
+
+def sharp_forest(
+    key: np.ndarray, size: np.ndarray, place: np.ndarray, sets: Signatures, rule: Rule
+) -> tuple[np.ndarray, np.ndarray]:
+    """As ``forest_places``, among neighbours whose signatures allow a link
+    too. At every key a set is compared with all that are not reached yet, sets
+    that were reached first, ROUNDS times; where this leaves some, the edges of
+    ``forest`` are added."""
+    order = np.argsort(key, kind="stable")
+    group = np.zeros(len(key), np.int64)
+    group[order] = np.cumsum(np.append(False, key[order][1:] != key[order][:-1])) if len(key) else 0
+    most = allowed(size, place, rule)
+    rest, reached = order, order[:0]
+    out = [(order[:0], order[:0])]
+    for _ in range(ROUNDS):
+        # A group's next set, or its first one that is not reached.
+        both = np.concatenate([reached, rest])
+        groups, first = np.unique(group[both], return_index=True)
+        pivot = both[first]
+        taken = np.zeros(len(key), bool)
+        taken[pivot] = True
+        rest, reached = rest[~taken[rest]], reached[~taken[reached]]
+        near = pivot[np.searchsorted(groups, group[rest])]
+        fit = (size[rest] <= most[near]) & (size[near] <= most[rest])
+        fit[fit] = sets.linked(near[fit], rest[fit], rule)
+        out.append((near[fit], rest[fit]))
+        reached, rest = np.concatenate([reached, rest[fit]]), rest[~fit]
+        open_groups = np.zeros(len(key), bool)
+        open_groups[group[rest]] = True
+        reached = reached[open_groups[group[reached]]]
+        if not len(rest):
+            break
+    else:
+        left = np.flatnonzero(open_groups[group])
+        a, b = forest_places(key[left], size[left], place[left], rule)
+        out.append((left[a], left[b]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _sharp_neighbours(sketches: DataFrame, texts: DataFrame, nodes: DataFrame, rule: Rule, blocks: int) -> DataFrame:
+    """As ``_neighbours`` for the sketches (row, n_shingles, keys), whose rows
+    are ``nodes``, by sharp_forest: a, b. Signatures go only to keys at which a
+    set has neighbours."""
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("row"), pa.array(signatures(*_sets(piece, rule)), pa.binary())], ["row", "signature"])
+
+    def postings(key, row, size, place):
+        at = np.unique(np.concatenate(forest_places(key, size, place, rule)))
+        return {"key": key[at].view(np.int64), "row": row[at], "size": size[at], "place": place[at]}
+
+    def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Whole keys, until their signatures fill a block.
+        held, weight, last = [], 0, None
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            bounds = flat(batch.column("signature"))[1] + 64 * np.arange(batch.num_rows + 1)
+            start = 0
+            for i in np.flatnonzero(np.append(True, keys[1:] != keys[:-1])):
+                if keys[i] != last and weight + bounds[i] - bounds[start] > KEY_BYTES:
+                    yield from connected_by(held + [batch.slice(start, i - start)])
+                    held, weight, start = [], 0, i
+                last = keys[i]
+            held.append(batch.slice(start))
+            weight += bounds[-1] - bounds[start]
+        yield from connected_by(held)
+
+    def connected_by(held):
+        held = [x for x in held if x.num_rows]
+        if not held:
+            return
+        whole = pa.Table.from_batches(held)
+        key, row, size, place = (whole.column(x).to_numpy() for x in ("key", "row", "size", "place"))
+        packed = [x for part in whole.column("signature").chunks for x in part.to_pylist()]
+        a, b = sharp_forest(key, size, place, Signatures(packed, size), rule)
+        both = np.unique(np.stack([np.minimum(row[a], row[b]), np.maximum(row[a], row[b])]), axis=1)
+        yield pa.RecordBatch.from_pydict({"a": both[0], "b": both[1]})
+
+    signed = may_match(texts.select("row", "text"), "row", key_filter(nodes, "row")).mapInArrow(
+        sign, "row long, signature binary")
+    shared = _by_keys(sketches, blocks, postings, "key long, row long, size long, place long")
+    return (
+        shared.join(signed, "row").repartition("key").sortWithinPartitions("key")
+        .mapInArrow(connect, "a long, b long").distinct()
+    )
 
 
 def _links(texts: DataFrame, hoods: DataFrame, rule: Rule, pairs: bool = False) -> DataFrame:
@@ -397,20 +577,48 @@ def _links(texts: DataFrame, hoods: DataFrame, rule: Rule, pairs: bool = False)
         yield pa.RecordBatch.from_pydict({
             "a": rows[linked], "b": rows[connected(a, b, len(both))[linked]], "n": number[linked]})
 
+    def found(meeting):
+        return (
+            meeting.repartition("hood", "low", "high").sortWithinPartitions("hood", "low", "high", "row")
+            .mapInArrow(search, "a long, b long, n long")
+        )
+
     # Only the neighbourhoods' own texts are shuffled, and dealt out in the same
     # way however many they are. Texts take less room than their shingles.
     own = may_match(texts.select("row", "text"), "row", key_filter(hoods, "row"))
     placed = own.join(hoods.hint("merge"), "row")
-    # Every two blocks of a neighbourhood meet in one task; the row of the
-    # second one is marked by its sign.
-    meeting = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    waves = _waves(hoods)
+    if not waves:
+        return found(_meeting(placed))
+    # A text is shuffled once for each block of its neighbourhood, so the
+    # meetings of many blocks are held one part after the other.
+    one = written(found(_meeting(placed.where("blocks = 1"))), "jaccard-links-small")
+    many = written(placed.where("blocks > 1"), "jaccard-texts", compression="zstd")
+    return reduce(DataFrame.unionByName, [one, *[
+        written(found(_meeting(many, waves, wave)), "jaccard-links-large") for wave in range(waves)
+    ]])
+
+
+def _waves(hoods: DataFrame) -> int:
+    """How many parts the meetings of neighbourhoods of several blocks are held
+    in, so that in each about as many bytes meet as all neighbourhoods have."""
+    total, copied = hoods.agg(
+        F.sum("bytes"), F.sum(F.when(F.col("blocks") > 1, F.col("bytes") * F.col("blocks")).otherwise(0))
+    ).first()
+    return -(-copied // max(total, 1)) if copied else 0
+
+
+def _meeting(placed: DataFrame, waves: int = 1, wave: int = 0) -> DataFrame:
+    """Every two blocks of a neighbourhood meet in one task; the row of the
+    second one is marked by its sign."""
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    if waves > 1:
+        others = F.filter(others, lambda other: F.pmod(
+            F.xxhash64("hood", F.least("block", other), F.greatest("block", other)), F.lit(waves)) == wave)
+    return placed.withColumn("other", F.explode(others)).select(
         "hood", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         F.when(F.col("block") <= F.col("other"), F.col("row")).otherwise(-1 - F.col("row")).alias("row"), "alike", "text",
     )
-    return (
-        meeting.repartition("hood", "low", "high").sortWithinPartitions("hood", "low", "high", "row")
-        .mapInArrow(search, "a long, b long, n long")
-    )
 
 
 def linked_documents(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -451,6 +659,18 @@ def without_near_copies(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     return rows.join(kept, name, "left_semi").select(*documents.columns)
 
 
+def _placed(near: DataFrame, members: DataFrame) -> DataFrame:
+    """The neighbourhoods of the edges, and their rows' blocks."""
+    hoods = components(near).withColumnRenamed("label", "hood").withColumnRenamed("node", "row")
+    sized = hoods.join(members.select("row", "n_shingles", "bytes", "alike"), "row")
+    weight = F.greatest(F.col("n_shingles") + GROUPS, F.col("bytes") / 8)
+    parts = sized.groupBy("hood").agg((F.sum(weight) / BLOCK_SHINGLES + 1).cast("int").alias("blocks"))
+    return written(sized.join(parts, "hood").select(
+        "row", "hood", F.pmod(F.xxhash64("row"), F.col("blocks").cast("long")).cast("int").alias("block"),
+        "blocks", "alike", "bytes",
+    ), "jaccard-hoods")
+
+
 def _linked(texts: DataFrame, rule: Rule) -> tuple[DataFrame, ...]:
     blocks = BLOCKS_PER_PARTITION * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     frequency = texts.sparkSession.sparkContext.broadcast(_frequencies(texts, rule, blocks))
@@ -473,13 +693,16 @@ def _linked(texts: DataFrame, rule: Rule) -> tuple[DataFrame, ...]:
         .join(node_of.select(F.col("row").alias("b"), F.col("node").alias("y")), "b")
         .select(F.col("x").alias("a"), F.col("y").alias("b"))
     )
-    hoods = components(near).withColumnRenamed("label", "hood").withColumnRenamed("node", "row")
-    sized = hoods.join(members.select("row", "n_shingles", "bytes", "alike"), "row")
-    weight = F.greatest(F.col("n_shingles") + GROUPS, F.col("bytes") / 8)
-    parts = sized.groupBy("hood").agg((F.sum(weight) / BLOCK_SHINGLES + 1).cast("int").alias("blocks"))
-    placed = written(sized.join(parts, "hood").select(
-        "row", "hood", F.pmod(F.xxhash64("row"), F.col("blocks").cast("long")).cast("int").alias("block"), "blocks", "alike",
-    ), "jaccard-hoods")
+    placed = _placed(near, members)
+    large = placed.where("blocks > 1")
+    if not large.isEmpty():
+        # Chance brings many documents together that share next to nothing.
+        rows = written(node_of.join(large.select(F.col("row").alias("node")), "node"), "jaccard-large")
+        chosen = may_match(
+            sketches.where("keys IS NOT NULL").select("row", "n_shingles", "keys"), "row", key_filter(rows, "row")
+        ).join(rows, "row").dropDuplicates(["node"]).select(F.col("node").alias("row"), "n_shingles", "keys")
+        near = _sharp_neighbours(chosen, texts, large.select("row"), rule, blocks)
+        placed = placed.where("blocks = 1").unionByName(_placed(near, members))
     near = written(_links(texts, placed, rule), "jaccard-links")
     number = near.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     found = components(near)

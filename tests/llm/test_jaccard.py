@@ -5,8 +5,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from telmart.llm import exact, jaccard
+from telmart.llm.shared import numbered
 
 
 def shingle_set(text, n):
@@ -77,6 +79,44 @@ def test_large_neighbourhoods_in_blocks(documents, monkeypatch):
     check(documents, list(enumerate(near_copies(9))), jaccard.Rule(3, 70))
 
 
+def chance_passages(seed, count=80, passages=12):
+    """Texts of ten-word passages, each of which is in one text of either half
+    of the table, so that no task sees it twice."""
+    rnd = random.Random(seed)
+    half = [[[f"w{rnd.randrange(10 ** 9)}" for _ in range(10)] for _ in range(count // 2 * passages)]]
+    half.append(rnd.sample(half[0], len(half[0])))
+    return [
+        " ".join(word for passage in one[i: i + passages] for word in passage)
+        for one in half for i in range(0, len(one), passages)
+    ]
+
+
+def test_chance_passages_make_no_large_neighbourhoods(documents, monkeypatch):
+    """A text is dealt out once for each block of its neighbourhood."""
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 3000)
+    texts = chance_passages(5)
+    rows = list(enumerate([*texts, *near_copies(8, 40), *(x + " more" for x in texts[:9])]))
+    check(documents, rows, jaccard.Rule(4, 85))
+    placed = jaccard._linked(numbered(documents(list(enumerate(texts)))), jaccard.Rule(4, 85))[2]
+    assert placed.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0] <= 2 * len(texts)
+
+
+def test_blocks_meet_in_parts(documents, monkeypatch):
+    """However many blocks a neighbourhood has, about its own bytes meet at a
+    time, and every two blocks meet once."""
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 2000)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words[:i], f"x{i}{j}", *words[i + 1:]]) for i in range(60) for j in (0, 1)]
+    found = numbered(documents(list(enumerate(texts))))
+    _, texts, placed, _ = jaccard._linked(found, jaccard.Rule(4, 85))
+    waves = jaccard._waves(placed)
+    assert placed.agg(F.min("blocks")).first()[0] > 10 and waves > 10
+    both = texts.join(placed, "row")
+    parts = [sorted(map(tuple, jaccard._meeting(both, waves, i).collect())) for i in range(waves)]
+    assert sorted(x for part in parts for x in part) == sorted(map(tuple, jaccard._meeting(both).collect()))
+    assert max(map(len, parts)) <= 2 * 120
+
+
 def test_odd_texts(documents, odd_texts):
     rows = list(enumerate(odd_texts)) + [(None, "two words"), (None, None), (None, "alone and without name"), (4, "one"), (4, "one")]
     found = check(documents, rows, jaccard.Rule())
@@ -161,6 +201,68 @@ def test_forest_connects_exactly_the_neighbours_at_a_key(seed):
                 assert root(x) == root(y)
 
 
+def sets_of_all_sizes(seed, count=300):
+    """Sets of up to 3,000 shingles in families that differ more and more, some
+    of them in a few groups only."""
+    rnd = np.random.default_rng(seed)
+    sets = []
+    while len(sets) < count:
+        pool = rnd.integers(0, 1 << 63, 4000, dtype=np.uint64)
+        if rnd.random() < 0.3:
+            pool = pool[jaccard.mix(pool) >> np.uint64(59) < 2]
+        size = int(min(len(pool), 2 ** rnd.uniform(0, 11.5)))
+        for _ in range(5):
+            start = int(rnd.integers(0, size // 5 + 1))
+            sets.append(np.unique(pool[start: start + max(1, int(size * rnd.uniform(0.8, 1)))]))
+    return sets
+
+
+@pytest.mark.parametrize("percent", [30, 80, 85, 100])
+def test_signatures_let_all_links_pass(percent):
+    rule = jaccard.Rule(4, percent)
+    sets = sets_of_all_sizes(percent)
+    before = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    signed = jaccard.Signatures(jaccard.signatures(np.concatenate(sets), before), np.diff(before))
+    a, b = np.triu_indices(len(sets), 1)
+    passed = signed.linked(a, b, rule)
+    linked = 0
+    for i, j, ok in zip(a, b, passed):
+        if 100 * min(len(sets[i]), len(sets[j])) < percent * max(len(sets[i]), len(sets[j])):
+            continue
+        both = len(np.intersect1d(sets[i], sets[j]))
+        if rule.linked(both, len(sets[i]) + len(sets[j]) - both):
+            linked += 1
+            assert ok
+    assert linked > 100
+    long = np.array([len(x) > 300 and (jaccard.mix(x) >> np.uint64(59)).max() > 1 for x in sets])
+    apart = long[a] & long[b] & (a // 5 != b // 5)
+    assert apart.sum() > 100 and (percent == 30 or not passed[apart].any())
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 1024])
+def test_sharp_forest_connects_the_neighbours_that_may_be_linked(rounds, monkeypatch):
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    rnd = np.random.default_rng(rounds)
+    rule = jaccard.Rule(4, 80)
+    sets = sets_of_all_sizes(7)
+    before = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    size = np.diff(before)
+    signed = jaccard.Signatures(jaccard.signatures(np.concatenate(sets), before), size)
+    key = rnd.integers(0, 40, len(sets)) // 4 * (np.arange(len(sets)) // 5 % 3)
+    place = rnd.integers(0, size // 10 + 1)
+    a, b = jaccard.sharp_forest(key.astype(np.uint64), size, place, signed, rule)
+    most = jaccard.allowed(size, place, rule)
+    label = jaccard.connected(a, b, len(sets))
+    x, y = np.triu_indices(len(sets), 1)
+    near = (key[x] == key[y]) & (size[x] <= most[y]) & (size[y] <= most[x])
+    sharp = near & signed.linked(x, y, rule)
+    assert sharp.sum() > 100
+    assert (key[a] == key[b]).all() and (size[a] <= most[b]).all() and (size[b] <= most[a]).all()
+    assert (label[x[sharp]] == label[y[sharp]]).all()
+    if rounds == 1024:
+        assert signed.linked(a, b, rule).all() and len(a) < len(sets)
+
+
 @pytest.mark.parametrize("rows", [10, 32, 33, 3000])
 def test_a_shared_key_makes_fewer_edges_than_documents(rows):
     """Groups of every size go the same way."""

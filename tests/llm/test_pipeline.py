@@ -5,11 +5,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from telmart.llm import quality, stages
+from telmart.llm import jaccard, quality, stages
 from telmart.llm.shared import remainder, table, vocabulary, written
 from tests.llm.test_decontaminate import brute as contained
 from tests.llm.test_exact import brute as copies
-from tests.llm.test_jaccard import brute as linked
+from tests.llm.test_jaccard import brute as linked, chance_passages
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -73,3 +73,20 @@ def test_tokens(steps):
 def test_run_is_all_stages(spark, steps):
     found = corpus_pipeline.run(spark, SF_DIR).collect()
     assert sorted(found) == sorted(steps[-1][1])
+
+
+def test_near_copies_deals_a_text_out_about_once(documents, spark, monkeypatch):
+    """Though chance passages join all texts, before their blocks would meet."""
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 3000)
+    dealt, links = [], jaccard._links
+
+    def counted(texts, hoods, *rest):
+        dealt.append(hoods.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0])
+        return links(texts, hoods, *rest)
+
+    monkeypatch.setattr(jaccard, "_links", counted)
+    texts = chance_passages(6)
+    rows = list(enumerate([*texts, *(x + " more" for x in texts[:9])]))
+    kept = stages.drop_near_copies(spark, documents(rows), SF_DIR).collect()
+    assert sorted(row.doc_id for row in kept) == sorted({row[2] for row in linked(rows, stages.NEAR)}) == list(range(80))
+    assert sum(dealt) <= 2 * len(rows)
